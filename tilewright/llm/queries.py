@@ -4,16 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tilewright.llm import jaccard
+from tilewright.llm import jaccard, suffixes
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.remove_repeats(_table(spark, sf_dir, "documents"), depth=50)
+
+
 def op7_jaccard_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_groups(_table(spark, sf_dir, "documents"), k=3, num=90, den=100)
 
 
-QUERIES = {f.__name__: f for f in (op7_jaccard_groups,)}
+QUERIES = {f.__name__: f for f in (op2_suffix_dedup, op7_jaccard_groups)}
 SQL: dict[str, str] = {}
