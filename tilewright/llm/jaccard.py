@@ -30,6 +30,8 @@ from tilewright.sources.scratch import written
 LIGHT_MOST = 40
 #: Sets compared at once in a task; larger groups meet block by block.
 BLOCK = 768
+#: Lists are cut into classes of size, each reaching to so many times its smallest size.
+STEP = 1.03
 
 U64 = np.uint64
 WORD = np.ones(256, bool)
@@ -135,20 +137,34 @@ def _light_links(light: DataFrame, most: int, num: int, den: int) -> DataFrame:
 
 
 def _postings(reps: DataFrame, bound: int, num: int, den: int) -> DataFrame:
-    """(h, rid, n): list entries of the shingles that must be scanned, without those that no other set has.
+    """(h, rid, n, place): list entries of the shingles that must be scanned, without those that no other set has.
 
-    The common order of shingles: those of the sampled tier by the number of sets that have them, then the rest.
+    The common order of shingles: those of the sampled tier by the number of sets that have them, then the rest. ``place``
+    is the shingle's place in the set by that order, or less.
     """
-    listed = reps.select("rid", "n", F.size("tier").alias("m"), F.explode("tier").alias("h"))
+    own = F.size(F.filter("tier", lambda x: x < bound))
+    listed = reps.select("rid", "n", own.alias("m"), F.explode("tier").alias("h"))
     often = listed.groupBy("h").agg(F.count("*").alias("df")).where("df > 1")
     held = listed.join(often, "h").withColumn("late", F.col("h") >= F.lit(bound))
     mine = Window.partitionBy("rid")
-    alone = F.col("m") - F.count("*").over(mine)
-    place = F.row_number().over(mine.orderBy("late", "df", "h"))
-    prefix = F.expr(f"n - ceil({num} * n / {den}) + 1")
-    held = held.select("h", "rid", "n", "late", place.alias("place"), alone.alias("alone"), prefix.alias("prefix"))
-    # shingles that no other set has come first among the tier's; where the tier is shorter than the prefix, none are left out
-    return held.where("place + alone <= prefix or late").select("h", "rid", "n")
+    # the shingles that no other set has come first among the tier's
+    alone = F.when(F.col("late"), 0).otherwise(F.col("m") - F.count_if(~F.col("late")).over(mine))
+    place = F.row_number().over(mine.orderBy("late", "df", "h")) + alone
+    return held.select("h", "rid", "n", place.alias("place")).where(f"place <= n - ceil({num} * n / {den}) + 1")
+
+
+def _keyed(lists: DataFrame, num: int, den: int) -> DataFrame:
+    """(h, a, b, rid): each list cut by size. A set stands under the classes of sizes a and b if it is of one of them and
+    may, by the place that the shingle has in it, link to a set of the other."""
+    step = math.log(STEP)
+    reach = math.ceil(math.log(den / num) / step) + 1
+    size = F.floor(F.log("n") / F.lit(step))
+    other = F.explode(F.sequence(F.greatest(F.col("c") - reach, F.lit(0)), F.col("c") + reach))
+    lists = lists.withColumn("c", size).withColumn("o", other)
+    least, most = F.floor(F.exp(F.col("o") * step) - 1e-6), F.ceil(F.exp((F.col("o") + 1) * step) + 1e-6)
+    lists = lists.withColumn("least", F.greatest(least, F.expr(f"ceil({num} * n / {den})"))).where((F.col("least") <= most) & (least * num <= F.col("n") * den))
+    lists = lists.where(f"place <= n - ceil({num} * (n + least) / {num + den}) + 1")
+    return lists.select("h", F.least("c", "o").alias("a"), F.greatest("c", "o").alias("b"), "rid")
 
 
 def _tree(sizes: np.ndarray, values: np.ndarray, first: int, num: int, den: int) -> Iterator[tuple[int, int]]:
@@ -217,13 +233,14 @@ def _meet(k: int, num: int, den: int):
 
 def _heavy_links(texts: DataFrame, id_col: str, text_col: str, reps: DataFrame, bound: int, k: int, num: int, den: int) -> DataFrame:
     lists = written(_postings(reps, bound, num, den), "lists")
-    lead = lists.groupBy("h").agg(F.min("rid").alias("v"), F.count("*").alias("c")).where("c > 1")
-    meets = lists.join(lead, "h").where("rid <> v").select(F.col("rid").alias("u"), "v").distinct()
+    keyed = _keyed(lists, num, den)
+    lead = keyed.groupBy("h", "a", "b").agg(F.min("rid").alias("v"), F.max("rid").alias("w")).where("v < w").drop("w")
+    meets = keyed.join(lead, ["h", "a", "b"]).where("rid <> v").select(F.col("rid").alias("u"), "v").distinct()
     groups = connected_components(meets)
     many = groups.groupBy("component").agg(F.ceil(F.count("*") / F.lit(BLOCK)).alias("blocks"))
     spot = F.pmod(F.xxhash64("node"), F.col("blocks"))
     placed = groups.join(many, "component").select("node", "component", "blocks", spot.alias("b"))
-    held = texts.select(F.col(id_col).alias("node"), F.col(text_col).alias("text")).join(placed, "node")
+    held = texts.select(F.col(id_col).alias("node"), F.col(text_col).alias("text")).join(placed.hint("merge"), "node")
     # block b meets itself, the blocks after it as the left side, and those before it as the right side
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("o")
     dealt = held.select("node", "text", "component", "b", other).select(
