@@ -2,22 +2,84 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tilewright.llm import jaccard, suffixes
+from tilewright.llm import decontaminate, jaccard, languages, licenses, media, packing, pii, quality, suffixes, urlrules
+from tilewright.sources.scratch import written
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.remove_repeats(_table(spark, sf_dir, "documents"), depth=50)
 
 
+#: host, path, action
+URL_RULES = (("com", "/en/", "block"), ("example.com", "/en/7", "allow"), ("net", "/de/", "block"), ("example.net", "/de/8", "allow"), ("org", "/es/", "block"))
+
+
+def op3_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, action string")
+    return urlrules.judge_urls(_table(spark, sf_dir, "pages"), rules)
+
+
+def op4_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return media.text_media(_table(spark, sf_dir, "documents"))
+
+
+def op5_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    held_out = languages.remainder(F.col("doc_id"), 3) == 1
+    model = languages.fit(docs.where(~held_out))
+    return languages.predict(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "langs", "shares")
+
+
+def op6_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.pseudonymised(docs).select("doc_id", "text", F.size("pii").alias("n_pii"), "pii")
+
+
 def op7_jaccard_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_groups(_table(spark, sf_dir, "documents"), k=3, num=90, den=100)
 
 
-QUERIES = {f.__name__: f for f in (op2_suffix_dedup, op7_jaccard_groups)}
-SQL: dict[str, str] = {}
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_table(spark, sf_dir, "documents"), size=1024)
+
+
+def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """(doc_id, held_out, score, predicted) of each document; labels of held-out documents are not learnt from."""
+    x = written(quality.features(docs), "statistics")
+    held_out = languages.remainder(F.col("doc_id"), 5) == 0
+    known = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.max("quality").alias("label"))
+    trees = quality.fit(x.where(~held_out).join(known, "doc_id"))
+    return quality.score(x, trees).select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+def op9_quality_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op10_license_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(_table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_suffix_dedup, op3_url_rules, op4_media_columns, op5_language_mixture, op6_pseudonyms, op7_jaccard_groups, op8_packing, op9_quality_trees, op10_license_templates)}
+
+SQL: dict[str, str] = {
+    "op3_url_rules": f"""
+WITH rules(host, path, action) AS (VALUES {', '.join(str(r) for r in URL_RULES)}),
+rest AS (SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS r FROM pages),
+hosts AS (SELECT page_id, r, regexp_extract(r, '^[^/?#]*') AS h FROM rest),
+parts AS (SELECT page_id, translate(h, '{urlrules.UPPER}', '{urlrules.LOWER}') AS host, regexp_extract(substr(r, length(h) + 1), '^[^?#]*') AS path, row_number() OVER () AS n FROM hosts),
+fits AS (SELECT p.n, r.host || r.path AS rule, r.action, row_number() OVER (PARTITION BY p.n ORDER BY length(r.host || r.path) DESC, r.host || r.path DESC) AS k
+         FROM parts p JOIN rules r ON (p.host = r.host OR ends_with(p.host, '.' || r.host)) AND starts_with(p.path, r.path))
+SELECT p.page_id, p.host, p.path, f.rule, coalesce(f.action, 'allow') AS verdict FROM parts p LEFT JOIN fits f ON f.n = p.n AND f.k = 1
+""",
+}
