@@ -11,7 +11,7 @@ def spark():
     from pyspark.sql import SparkSession
 
     session = (
-        SparkSession.builder.master("local[8]").appName("tests").config("spark.sql.shuffle.partitions", "8").config("spark.ui.enabled", "false")
+        SparkSession.builder.master("local[4]").appName("tests").config("spark.sql.shuffle.partitions", "8").config("spark.ui.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC").config("spark.driver.memory", "6g").config("spark.driver.host", "127.0.0.1").getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")

@@ -1,0 +1,4 @@
+"""Registered queries: importing this package fills the registry."""
+
+from tilewright.plans import catalogue, rasters, spatial  # noqa: F401
+from tilewright.plans.registry import QUERIES, SQL  # noqa: F401
