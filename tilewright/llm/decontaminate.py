@@ -24,15 +24,17 @@ RADIUS = BLOCKS * (NEAR + 1) - 1
 BROADCAST_ROWS = 200_000
 
 
-def text_words(text: Column) -> Column:
-    """Lower-cased runs of ASCII letters and digits and of non-ASCII characters."""
-    return F.filter(F.split(F.lower(text), r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"), lambda w: w != "")
+def with_words(rows: DataFrame, text: str, *kept: str) -> DataFrame:
+    """The kept columns and ``words``: the hashes of the text's lower-cased runs of ASCII letters and digits and of other
+    than ASCII characters. A step of its own, so that what follows does not split the text anew for each word."""
+    found = F.split(F.lower(text), r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+    return rows.select(*kept, F.transform(F.filter(found, lambda w: w != ""), lambda w: F.xxhash64(w)).alias("words"))
 
 
-def shingle_hashes(words: Column, k: int) -> Column:
-    """The hash of each k consecutive words; none if there are fewer."""
-    n = F.size(words)
-    return F.when(n >= k, F.transform(F.sequence(F.lit(1), n - (k - 1)), lambda i: F.xxhash64(F.slice(words, i, k)))).otherwise(F.array().cast("array<bigint>"))
+def shingle_hashes(k: int) -> Column:
+    """The hash of each k consecutive ``words``; none if there are fewer."""
+    n = F.size("words")
+    return F.when(n >= k, F.transform(F.sequence(F.lit(1), n - (k - 1)), lambda i: F.xxhash64(F.slice("words", i, k)))).otherwise(F.array().cast("array<bigint>"))
 
 
 def simhash(grams: Column) -> Column:
@@ -75,13 +77,14 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     that share an id count as one with several texts.
     """
     docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).where("doc_id is not null")
-    items = benchmark.select(F.col(item_col).alias("item_id"), shingle_hashes(text_words(F.col(item_text_col)), k).alias("grams")).where("item_id is not null and size(grams) > 0")
+    items = with_words(benchmark.select(F.col(item_col).alias("item_id"), F.col(item_text_col).alias("text")).where("item_id is not null"), "text", "item_id")
+    items = items.select("item_id", shingle_hashes(k).alias("grams")).where("size(grams) > 0")
     items = written(items.select("item_id", "grams", F.size("grams").alias("m"), simhash(F.col("grams")).alias("fp")), "items")
     known = items.select("m", F.explode("grams").alias("g")).groupBy("g").agg(F.collect_set("m").alias("ms"))
     n_known = items.agg(F.sum("m")).first()[0] or 0
 
     # where shingles of items stand, by the size of the items
-    placed = docs.select("doc_id", F.posexplode(shingle_hashes(text_words(F.col("text")), k)).alias("p", "g"))
+    placed = with_words(docs, "text", "doc_id").select("doc_id", F.posexplode(shingle_hashes(k)).alias("p", "g"))
     hits = placed.join(F.broadcast(known) if n_known <= BROADCAST_ROWS else known, "g").select("doc_id", F.explode("ms").alias("m"), "p")
     need = F.expr(f"cast(ceil({percent} * m / 100) as int)")
     rows = hits.groupBy("doc_id", "m").agg(F.sort_array(F.collect_set("p")).alias("at")).where(F.size("at") >= need).withColumn("need", need)
@@ -95,7 +98,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
 
     # the windows' shingles and fingerprints
     of = starts.select("doc_id").distinct()
-    near = docs.join(F.broadcast(of) if of.count() <= BROADCAST_ROWS else of, "doc_id", "left_semi").select("doc_id", shingle_hashes(text_words(F.col("text")), k).alias("all"))
+    near = docs.join(F.broadcast(of) if of.count() <= BROADCAST_ROWS else of, "doc_id", "left_semi")
+    near = with_words(near, "text", "doc_id").select("doc_id", shingle_hashes(k).alias("all"))
     windows = near.join(starts, "doc_id").select("doc_id", "m", "p", F.slice("all", F.col("p") + 1, F.col("m")).alias("own")).where("size(own) = m")
     windows = written(windows.select("doc_id", "m", "p", "own", simhash(F.col("own")).alias("fp")), "fingerprints")
     values = _blocks(items.select("item_id", "m", "fp")).withColumn("v", F.explode(F.array(*[F.col("v").bitwiseXOR(F.lit(x)) for x in _masks()])))
