@@ -97,3 +97,38 @@ def mean_coordinate(lat: Column, lon: Column) -> tuple[Column, Column]:
     p, q = F.radians(lat), F.radians(lon)
     x, y, z = F.avg(F.cos(p) * F.cos(q)), F.avg(F.cos(p) * F.sin(q)), F.avg(F.sin(p))
     return F.degrees(F.atan2(z, F.hypot(x, y))), F.degrees(F.atan2(y, x))
+
+
+#: Names of projections in parameter strings, and of the kinds here.
+KINDS = {"stere": "ps", "tmerc": "tm"}
+
+
+def projection_of(crs: Column) -> Column:
+    """A ``+proj=... +lat_0=...`` string as struct(kind, lat0, lon0, k0, fe, fn, radius); null for other projections.
+
+    Parameters that are missing have the value that leaves a map unchanged.
+    """
+    found = F.str_to_map(F.regexp_replace(crs, r"\+", ""), F.lit(" "), F.lit("="))
+    kind = F.element_at(F.create_map(*[F.lit(x) for kv in KINDS.items() for x in kv]), F.element_at(found, "proj"))
+
+    def number(default: float, *names: str) -> Column:
+        return F.coalesce(*[F.element_at(found, n).try_cast("double") for n in names], F.lit(default))
+
+    return F.when(kind.isNotNull(), F.struct(kind.alias("kind"), number(0.0, "lat_0").alias("lat0"), number(0.0, "lon_0").alias("lon0"), number(1.0, "k", "k_0").alias("k0"),
+                                             number(0.0, "x_0").alias("fe"), number(0.0, "y_0").alias("fn"), number(RADIUS, "R").alias("radius")))
+
+
+def grid_record(x_min: Column, y_max: Column, px: Column, py: Column, width: Column, height: Column) -> Column:
+    """The published grid: origin to the millimetre, pixel sizes to the micrometre."""
+    return F.struct(F.round(x_min, 3).alias("x_min"), F.round(y_max, 3).alias("y_max"), F.round(px, 6).alias("px"), F.round(py, 6).alias("py"), width.cast("int").alias("width"), height.cast("int").alias("height"))
+
+
+def footprint_key(kind: Column, lat0: Column, lon0: Column, x_min: Column, y_max: Column, width_m: Column, height_m: Column, digits: int = 3) -> Column:
+    """Projection and rounded grid box as one text: equal for observations that share a footprint."""
+    edges = (x_min, x_min + width_m, y_max - height_m, y_max)
+    return F.concat_ws("|", kind, lat0.cast("string"), lon0.cast("string"), *[F.round(e, digits).cast("string") for e in edges])
+
+
+def north_up(a: Column, b: Column, d: Column, e: Column) -> Column:
+    """Whether an affine transform has no rotation, columns to the east and rows to the south."""
+    return (b == 0) & (d == 0) & (a > 0) & (e < 0)
