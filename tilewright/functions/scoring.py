@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window
 
+from tilewright.sources.scratch import written
+
 
 def round_half_up(x: Column, digits: int = 1) -> Column:
     """Half-up rounding on the binary value."""
@@ -38,7 +40,7 @@ def percentile_rank(df: DataFrame, value: str, out: str = "rank") -> DataFrame:
     Null values are no part of the population and get a null rank. Equal values are counted first, so ties, however many,
     cost one row. The only value of a population of one has rank 50.
     """
-    counts = df.where(F.col(value).isNotNull()).groupBy(F.col(value).alias("_v")).agg(F.count("*").alias("_n"))
+    counts = written(df.where(F.col(value).isNotNull()).groupBy(F.col(value).alias("_v")).agg(F.count("*").alias("_n")), "counts")
     total = counts.agg(F.sum("_n").alias("_all"))
     ranked = running_total(counts, "_v", "_n", "_below").crossJoin(F.broadcast(total))
     ranked = ranked.select("_v", round_half_up(100 * (F.col("_below") + 0.5 * F.col("_n")) / F.col("_all")).alias(out))

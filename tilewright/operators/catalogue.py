@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window
 
 from tilewright.functions import geo
+from tilewright.sources.scratch import written
 
 ID_PATTERN = r"^MM-(CR|ICE|IMP)-\d{6}$"
 PREFIX = {"CRATER_CANDIDATE": "MM-CR", "HIGH_PROSPECTIVITY_REGION": "MM-ICE", "IMP_CANDIDATE": "MM-IMP"}
@@ -58,6 +59,7 @@ def spaced(candidates: DataFrame, order: list, km: float, limit: int, taken: lis
 
 def curated(candidates: DataFrame, categories: list[str], order: list, km: float, limit: int) -> DataFrame:
     """(pass, category, pick, ...): test candidates of all categories first, then the others, each pass spaced from all picks."""
+    candidates = written(candidates, "candidates")  # looked at once for each pass and category
     out, taken = [], []
     for n, held_out in enumerate((F.col("split") == "test", F.col("split") != "test")):
         for c in categories:

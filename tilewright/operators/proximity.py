@@ -22,15 +22,20 @@ def projection_candidates(spark: SparkSession) -> DataFrame:
 def recovered_projection(meta: DataFrame, candidates: DataFrame, tolerance: float = TOLERANCE_DEG) -> DataFrame:
     """(tile_id, candidate, fits): the candidate that reproduces all published points, and how many do; null unless exactly one.
 
-    ``meta`` has (tile_id, x, y, lat, lon), a row per point. The candidates are 92 rows, so they are broadcast; all errors of
-    a point and a candidate are one expression.
+    ``meta`` has (tile_id, x, y, lat, lon), a row per point. Candidates that differ by their meridian alone give the same
+    latitude and longitudes that differ by the meridian, so a point is projected back once for each of the few families;
+    meridians are tried only where the latitude fits. The families are a handful of rows and are broadcast.
     """
-    lat, lon = geo.inverse(geo.Projection(), F.col("x"), F.col("y"))
-    turn = F.abs(lon - F.col("lon"))
-    off = F.greatest(F.abs(lat - F.col("lat")), F.least(turn, 360 - turn))
-    rows = meta.crossJoin(F.broadcast(candidates)).withColumn("off", off).groupBy("tile_id", "candidate").agg(F.max("off").alias("off"))
-    fits = rows.groupBy("tile_id").agg(F.count_if(F.col("off") <= tolerance).alias("fits"), F.min_by("candidate", "off").alias("candidate"))
-    return fits.select("tile_id", F.when(F.col("fits") == 1, F.col("candidate")).alias("candidate"), "fits")
+    shape = ["kind", "lat0", "k0", "fe", "fn"]
+    families = candidates.groupBy(*shape).agg(F.collect_list(F.struct("candidate", F.col("lon0").alias("meridian"))).alias("zones")).withColumn("lon0", F.lit(0.0))
+    lat, east = geo.inverse(geo.Projection(), F.col("x"), F.col("y"))
+    rows = meta.crossJoin(F.broadcast(families)).withColumns({"_off": F.abs(lat - F.col("lat")), "_east": east}).where(F.col("_off") <= tolerance)
+    turn = F.abs(geo.wrap(F.col("_east") + F.col("z.meridian") - F.col("lon")))
+    hits = rows.select("tile_id", "lon", "_east", F.explode("zones").alias("z")).where(turn <= tolerance).groupBy("tile_id", "z.candidate").agg(F.count("*").alias("n"))
+    whole = meta.groupBy("tile_id").agg(F.count("*").alias("points"))
+    found = hits.join(whole, "tile_id").where("n = points").groupBy("tile_id").agg(F.count("*").alias("fits"), F.min("candidate").alias("one"))
+    rows = whole.join(found, "tile_id", "left").fillna(0, ["fits"])
+    return rows.select("tile_id", F.when(F.col("fits") == 1, F.col("one")).alias("candidate"), "fits")
 
 
 def footprint(tiles: DataFrame, n: int = 2) -> DataFrame:

@@ -13,6 +13,7 @@ from tilewright.plans.rasters import MASKED, PIX
 from tilewright.plans.registry import query
 from tilewright.plans.spatial import CONFIDENT, ROUNDED, _confident_located, _published
 from tilewright.sources import collections as src, fixtures as fx
+from tilewright.sources.scratch import written
 
 MASKS = f"{PIX}, {MASKED}, area AS (SELECT patch_id, count_if(mask AND covered) * 0.25e0 AS area_m2, arbitrary(target) AS target, arbitrary(split) AS split FROM m GROUP BY patch_id)"
 
@@ -186,7 +187,7 @@ rk AS (SELECT *, CASE WHEN area_m2 > 0 THEN floor(100e0 * (rank() OVER w - 1 + 0
 @query(CRATERS + f""", {q.CENTER}, {DENS} obj AS (SELECT 'crater-detection' AS task, split, detections AS predictions, score FROM sc UNION ALL SELECT 'imp-segmentation', split, 1, score FROM rk)
 SELECT coalesce(task, 'all') AS task, coalesce(split, 'all') AS split, count(*) AS objects, CAST(sum(predictions) AS BIGINT) AS predictions, count_if(score >= 80) AS high_interest FROM obj GROUP BY CUBE (task, split)""")
 def global_stats(spark: SparkSession, d: str) -> DataFrame:
-    c = _published(spark, d)
+    c = written(_published(spark, d), "published")
     tiles = boxes.region_records(fx.tiles(spark, d), c, fx.references(spark, d), c.where("matched = 1"))
     objects = tiles.select(F.lit("crater-detection").alias("task"), "split", F.col("detections").alias("predictions"), "score").unionByName(_scored(spark, d).select(F.lit("imp-segmentation").alias("task"), "split", F.lit(1).cast("bigint").alias("predictions"), "score"))
     return catalogue.global_stats(objects).drop("level")
@@ -223,7 +224,7 @@ SELECT 'crater-count' AS rule_id, CAST(s.tile_id AS VARCHAR) AS object_id, conca
 UNION ALL SELECT 'crater-box', CAST(tile_id AS VARCHAR), CAST(idx AS VARCHAR) FROM pub WHERE x < 0 OR y < 0 OR x + w > 490 OR y + h > 490""")
 def contract_violations(spark: SparkSession, d: str) -> DataFrame:
     """Some counts are off by one, and tiles count as 490 pixels wide, so that the rules have something to find."""
-    c = _published(spark, d)
+    c = written(_published(spark, d), "published")  # read by each rule
     shown = c.groupBy("tile_id").agg(F.count("*").alias("n"), F.sum("matched").alias("matched")).select("tile_id", (F.col("n") + F.when(F.col("tile_id") % 29 == 0, 1).otherwise(0)).alias("detections"), "matched")
     return contract.problems(spark, contract.crater_rules(shown, c, 490))
 
