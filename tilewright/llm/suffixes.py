@@ -31,6 +31,8 @@ U64 = np.uint64
 GRAM = 20
 PLACE = 20  # bits of a slice's positions
 STEP = (1 << PLACE) - 4096
+#: Windows sorted at once, besides those of one anchor.
+WINDOWS = 200_000
 
 
 class Runs:
@@ -189,12 +191,12 @@ def _send(depth: int, n_buckets: int):
     return send
 
 
-def _words_at(data: np.ndarray) -> np.ndarray:
+def _words_at(data: np.ndarray, place: np.ndarray) -> np.ndarray:
     """The eight bytes that start at each place, as one number."""
-    b = np.r_[data, np.zeros(8, np.uint8)].astype(U64)
-    b = (b[:-1] << U64(8)) | b[1:]
-    b = (b[:-2] << U64(16)) | b[2:]
-    return ((b[:-4] << U64(32)) | b[4:])[: len(data)]
+    out = data[place].astype(U64)
+    for i in range(1, 8):
+        out = (out << U64(8)) | data[place + i]
+    return out
 
 
 def _groups(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -216,6 +218,36 @@ def _least(order: np.ndarray, group: np.ndarray, doc: np.ndarray) -> tuple[np.nd
     return least, more
 
 
+def _run_hashes(data: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The fingerprints of runs that lie one behind the other, some of them at a time."""
+    out, table = [], bt.byte_table(False)
+    for i in range(0, len(start), 10_000):
+        s, n = start[i : i + 10_000], size[i : i + 10_000]
+        piece = data[s[0] : s[-1] + n[-1]]
+        out.append(bt.spans_hash(bt.prefix_sums(piece, table), s - s[0], s - s[0] + n))
+    return np.concatenate(out) if out else np.zeros(0, U64)
+
+
+def _by_bytes(data, start, n, group, doc, kinds, depth, bits) -> None:
+    """Third digit: sets in ``bits`` (of each kind of run) the windows that a run of a smaller document has too.
+
+    Passes of eight bytes; a window leaves as soon as it is alone with its document.
+    """
+    within = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    place, owner = np.repeat(start, n) + within, np.repeat(np.arange(len(n)), n)
+    of, alive, group = doc[owner], np.arange(len(place)), group[owner]
+    for d in [*range(0, depth - 8, 8), depth - 8]:
+        order, g = _groups(group, _words_at(data, place[alive] + d))
+        small, more = _least(order, g, of[alive])
+        group = np.empty(len(alive), np.int64)
+        group[order] = g
+        alive, group, small = alive[more], group[more], small[more]
+        if not len(alive):
+            return
+    gone = alive[small < of[alive]]
+    np.bitwise_or.at(bits, kinds[owner[gone]], U64(1) << within[gone].astype(U64))
+
+
 def _sorted(depth: int):
     def radix(table: pa.Table) -> pa.Table:
         """For each window of the runs of a bucket, whether a smaller document has it (a bit), the document of its run aside."""
@@ -226,9 +258,8 @@ def _sorted(depth: int):
         count = count.astype(np.int64)
         size = count + depth - 1
         start = np.cumsum(size) - size
-        sums = bt.prefix_sums(data, bt.byte_table(False))
         # second digit: whole runs
-        order, group = _groups(anchor, bt.spans_hash(sums, start, start + size))
+        order, group = _groups(anchor, _run_hashes(data, start, size))
         least, _ = _least(order, group, doc)
         one = order[np.r_[True, group[1:] != group[:-1]]]  # of each kind of run one
         kind = np.empty(len(anchor), np.int64)
@@ -238,26 +269,17 @@ def _sorted(depth: int):
         hard = n_kinds[alike] > 1
         kinds = len(one)
         bits = np.zeros(kinds, U64)
-        run = one[hard]
-        if len(run):
-            n = count[run]
-            within = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-            place = np.repeat(start[run], n) + within
-            owner = np.repeat(np.flatnonzero(hard), n)
-            of = least[one][owner]
-            words = _words_at(data)
-            alive, group = np.arange(len(place)), alike[owner]
-            for d in [*range(0, depth - 8, 8), depth - 8]:
-                order, g = _groups(group, words[place[alive] + d])
-                group = np.empty(len(alive), np.int64)
-                group[order] = g
-                small, more = _least(order, g, of[alive])
-                alive, group, small = alive[more], group[more], small[more]
-                if not len(alive):
-                    break
-            if len(alive):
-                gone = alive[small < of[alive]]
-                np.bitwise_or.at(bits, owner[gone], U64(1) << within[gone].astype(U64))
+        which = np.flatnonzero(hard)
+        which = which[np.argsort(alike[which], kind="stable")]
+        edge = np.flatnonzero(np.r_[True, np.diff(alike[which]) > 0, True]) if len(which) else np.zeros(1, np.int64)
+        ends_at = np.r_[0, np.cumsum(count[one[which]])][edge]
+        i = 0
+        while i + 1 < len(edge):
+            # as many anchors as have WINDOWS windows, or one
+            j = max(i + 1, int(np.searchsorted(ends_at, ends_at[i] + WINDOWS, side="right")) - 1)
+            kinds_here = which[edge[i] : edge[j]]
+            _by_bytes(data, start[one[kinds_here]], count[one[kinds_here]], alike[kinds_here], least[one[kinds_here]], kinds_here, depth, bits)
+            i = j
         # a window's bit counts for every document; without it, for all but the smallest that has the run
         mine = bits[kind]
         rest = doc != least
@@ -344,8 +366,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     spark = docs.sparkSession
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("binary"), F.lit(b"")).alias("text")).where("doc_id is not null")
     total = docs.agg(F.sum(F.length("text"))).first()[0] or 0
-    n_buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    n_blocks = max(n_buckets, -(-total // block_bytes))
+    n_buckets = n_blocks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // block_bytes))
     docs = docs.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.lit(n_blocks)).cast("int"))
     texts = docs.groupBy("block")
     asked = texts.applyInArrow(_ask(depth, n_buckets), _ASK)
