@@ -23,7 +23,8 @@ def brute(docs, items, k=5, percent=80):
             h = Counter(tuple(v[j : j + k]) for j in range(len(v) - k + 1))
             m = sum(h.values())
             best = 0
-            for p in range(len(g) - m + 1) if m else ():
+            enough = m and sum((Counter(g) & h).values()) * 100 >= percent * m if set(g) & h.keys() else False
+            for p in range(len(g) - m + 1) if enough else ():
                 x = Counter(g[p : p + m])
                 c = sum((x & h).values())
                 if c * 100 >= percent * (2 * m - c):

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tilewright.llm import decontaminate, jaccard, languages, licenses, media, packing, pii, quality, suffixes, urlrules
+from tilewright.llm import decontaminate, jaccard, languages, licenses, media, packing, pii, quality, sql, suffixes, urlrules
 from tilewright.sources.scratch import written
+from tilewright.sources.shipping import shipped
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return shipped(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,6 +74,8 @@ def op10_license_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_suffix_dedup, op3_url_rules, op4_media_columns, op5_language_mixture, op6_pseudonyms, op7_jaccard_groups, op8_packing, op9_quality_trees, op10_license_templates)}
 
 SQL: dict[str, str] = {
+    "op2_suffix_dedup": sql.SUFFIX_DEDUP,
+    "op7_jaccard_groups": sql.JACCARD_GROUPS,
     "op3_url_rules": f"""
 WITH rules(host, path, action) AS (VALUES {', '.join(str(r) for r in URL_RULES)}),
 rest AS (SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS r FROM pages),
