@@ -156,10 +156,20 @@ def describe(craters: DataFrame) -> DataFrame:
 
 
 def discoveries(picks: DataFrame) -> DataFrame:
-    """Picked craters as records with their metrics; ``featured`` if of the test split. Metrics of another type are null."""
-    m = lambda key, label, value, unit: F.struct(F.lit(key).alias("key"), F.lit(label).alias("label"), value.cast("double").alias("value"), F.lit(None).cast("boolean").alias("value_bool"), F.lit(unit).alias("unit"))
-    flag = F.struct(F.lit("matched").alias("key"), F.lit("Matches a reference box").alias("label"), F.lit(None).cast("double").alias("value"), (F.col("matched") == 1).alias("value_bool"), F.lit(None).cast("string").alias("unit"))
-    return describe(picks).withColumns({"featured": F.col("split") == "test", "metrics": F.array(m("diameter", "Diameter", F.col("diameter_km"), "km"), m("confidence", "Confidence", F.col("score"), None), flag)})
+    """Picked craters as records with their metrics; ``featured`` if of the test split. A metric has a number or a flag."""
+    none, number = F.lit(None), lambda c: F.col(c).cast("double")
+
+    def metric(key: str, label: str, value, flag, unit: str | None, origin: str):
+        return F.struct(F.lit(key).alias("key"), F.lit(label).alias("label"), value.cast("double").alias("value"), flag.cast("boolean").alias("value_bool"), F.lit(unit).cast("string").alias("unit"), F.lit(origin).alias("origin"))
+
+    metrics = F.array(metric("confidence", "CONFIDENCE", number("score"), none, None, "model_prediction"), metric("diameter", "DIAMETER", number("diameter_km"), none, "km", "model_prediction"),
+                      metric("referenceMatch", "REFERENCE MATCH", none, F.col("matched") == 1, None, "derived_metric"))
+    return describe(picks).withColumns({"featured": F.col("split") == "test", "metrics": metrics})
+
+
+def polar_candidates(sectors: DataFrame) -> DataFrame:
+    """Sectors (region_id, pole, score, lat, lon of their anchor, split) in curation order; those without an anchor are left out."""
+    return sectors.where("lat IS NOT NULL AND lon IS NOT NULL").withColumns({"category": F.col("pole"), "o1": -F.col("score"), "o2": F.lit(0.0)})
 
 
 def duplicate_keys(rows: DataFrame, key: str = "key") -> DataFrame:

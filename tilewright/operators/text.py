@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+#: The forms of public ids.
 ID_PATTERN = {"crater-detection": r"^wac-[a-z0-9]+-r\d+-c\d+$", "ice-prospectivity": r"^ice-[ns]-\d{4}-\d{4}$", "imp-segmentation": r"^imp-[a-z0-9]+-t\d+-i\d+$"}
 
 
@@ -24,7 +25,7 @@ def sector_id(sample: Column) -> Column:
     return F.concat(F.lit("ice-"), F.substring(pole_of_name(sample), 1, 1), F.lit("-"), F.get(p, F.lit(1)), F.lit("-"), F.get(p, F.lit(2)))
 
 
-#: Fixed form of the names of segmentation samples.
+#: Fixed value: the form of the names of segmentation samples.
 IMP_SAMPLE = r"^(M\d+[LR]E)\.ech\.cog__target_(\d+)__idx_(\d+)_p0$"
 
 
@@ -73,7 +74,7 @@ def is_synthetic(id_: Column, tile: Column, version: Column, revision: Column) -
     return out
 
 
-#: Phrases that may stand only where they are denied, and the words that deny them.
+#: Phrases that may stand only where they are denied, and the words that deny them.
 CLAIMS = ("confirmed crater", "discovered crater", "new crater", "verified crater", "probability of ice", "ice probability", "active volcano", "measurement of ice")
 NEGATIONS = ("not", "never", "no", "isn't", "rather than", "instead of")
 

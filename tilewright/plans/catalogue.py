@@ -275,3 +275,36 @@ def same_rows(spark: SparkSession, d: str) -> DataFrame:
 @query("SELECT (SELECT count(*) FROM part) AS tiles, (SELECT count(*) FROM lineitem) AS detections, (SELECT count(*) FROM embeddings) AS patches, (SELECT count(*) FROM documents) AS texts")
 def build_summary(spark: SparkSession, d: str) -> DataFrame:
     return contract.build_summary(tiles=fx.tiles(spark, d), detections=fx.table(spark, d, "lineitem"), patches=fx.table(spark, d, "embeddings"), texts=fx.table(spark, d, "documents"))
+
+
+POLAR = f"""{PIX}, r AS (SELECT patch_id, pole, split, quantile_cont(value, 0.9) AS p90, arbitrary(cell_row) AS cr, arbitrary(cell_col) AS cc FROM pixel WHERE covered GROUP BY ALL)
+SELECT patch_id AS region_id, pole, round(p90, 6) AS p90, floor(least(greatest(p90, 0e0), 1e0) * 100 * 10 + 0.5e0) / 10 AS score FROM r"""
+
+
+def _sectors(spark: SparkSession, d: str) -> DataFrame:
+    p = fx.pixels(spark, d)
+    s = raster.stats(p, ("patch_id", "pole", "split", "cell_row", "cell_col"))
+    lat = F.when(F.col("pole") == "south", -1).otherwise(1) * (80 + 0.5 * F.col("cell_row"))
+    safe = raster.anchors(p, 1).where("value IS NOT NULL").select("patch_id")
+    return s.join(safe, "patch_id", "left_semi").select(F.col("patch_id").alias("region_id"), "pole", "split", "p90", scoring.bounded_score(F.col("p90")).alias("score"), lat.alias("lat"), (20.0 * F.col("cell_col") - 180).alias("lon"))
+
+
+@query(POLAR)
+def bounded_scores(spark: SparkSession, d: str) -> DataFrame:
+    s = raster.stats(fx.pixels(spark, d), ("patch_id", "pole"))
+    return s.select(F.col("patch_id").alias("region_id"), "pole", F.round("p90", 6).alias("p90"), scoring.bounded_score(F.col("p90")).alias("score"))
+
+
+@query()
+def polar_picks(spark: SparkSession, d: str) -> DataFrame:
+    c = catalogue.polar_candidates(_sectors(spark, d))
+    return catalogue.curated(c, ["south", "north"], ["o1", "region_id"], 100, 8).select("pass", "category", "pick", "region_id", "score")
+
+
+@query("""WITH r AS (SELECT event_type AS task, user_id % 50 AS sample, count(*) AS size, count(CASE WHEN value IS NULL THEN 1 END) AS non_finite, stddev_pop(value) AS std FROM events GROUP BY ALL)
+SELECT 'run-constant' AS rule_id, task || '/' || sample AS object_id, '' AS message FROM r WHERE std IS NULL OR std <= 0 UNION ALL SELECT 'run-finite', task || '/' || sample, '' FROM r WHERE non_finite > 0 UNION ALL SELECT 'run-checkpoint', task || '/' || sample, '' FROM r WHERE sample % 10 = 3""")
+def run_checks(spark: SparkSession, d: str) -> DataFrame:
+    runs = fx.table(spark, d, "events").select(F.col("event_type").alias("task"), (F.col("user_id") % 50).alias("sample"), F.col("value").cast("double").alias("value"))
+    r = raster.array_profile(runs, ("task", "sample"), "value").withColumn("run_id", F.concat_ws("/", "task", "sample"))
+    r = r.withColumns({"missing_keys": F.lit(0), "unexpected_keys": F.lit(0), "sha256": F.when(F.col("sample") % 10 == 3, "x").otherwise("y"), "pinned_sha256": F.lit("y")})
+    return contract.run_rules(r)

@@ -216,3 +216,28 @@ def raster_contract(spark: SparkSession, d: str) -> DataFrame:
     moved = F.when((F.col("patch_id") + F.col("prow") * 8 + F.col("pcol")) % 97 == 0, 2).otherwise(0)
     published = raster.quantized(p).select("patch_id", "prow", "pcol", (F.col("offset") + F.col("scale") * (F.col("level") + moved)).alias("decoded"), "scale")
     return contract.raster_rules(published, p)
+
+
+@query(f"""{fx.with_sql('tile', 'pixel')}, g AS (SELECT prow AS r, pcol AS c, avg(value) AS v FROM pixel WHERE covered GROUP BY ALL),
+p AS (SELECT tile_id AS id, ((tile_id * 37) % 3600) / 10e0 - 180 AS lon, ((tile_id * 53) % 1800) / 10e0 - 90 AS lat FROM tile),
+a AS (SELECT id, (lon + 180) / 360 * 8 - 0.5e0 AS c, least(greatest((90 - lat) / 180 * 8 - 0.5e0, 0e0), 6.999e0) AS r FROM p),
+n AS (SELECT id, CAST(floor(r) AS INT) + dr AS r, ((CAST(floor(c) AS INT) + dc) % 8 + 8) % 8 AS c, (CASE dr WHEN 0 THEN 1 - (r - floor(r)) ELSE r - floor(r) END) * (CASE dc WHEN 0 THEN 1 - (c - floor(c)) ELSE c - floor(c) END) AS wgt FROM a, (SELECT unnest([0, 1]) AS dr), (SELECT unnest([0, 1]) AS dc))
+SELECT id, round(sum(wgt * v), 6) AS value FROM n JOIN g ON g.r = n.r AND g.c = n.c GROUP BY id""")
+def bilinear_sample(spark: SparkSession, d: str) -> DataFrame:
+    grid = fx.pixels(spark, d).where("covered").groupBy(F.col("prow").alias("row"), F.col("pcol").alias("col")).agg(F.avg("value").alias("v"))
+    k = F.col("tile_id")
+    points = fx.tiles(spark, d).select(k.alias("id"), ((k * 37) % 3600 / 10.0 - 180).alias("lon"), ((k * 53) % 1800 / 10.0 - 90).alias("lat"))
+    return raster.bilinear(grid, points, 8, 8).select("id", F.round("value", 6).alias("value"))
+
+
+@query(f"""{fx.with_sql('tile')}, m AS (SELECT tile_id, kind AS mosaic_id, x_min + CASE WHEN tile_id % 17 = 0 THEN 30 ELSE 0 END AS x_min, y_max, px FROM tile), b AS (SELECT mosaic_id, min(x_min) AS x, max(y_max) AS y FROM m GROUP BY mosaic_id)
+SELECT tile_id, m.mosaic_id FROM m JOIN b ON b.mosaic_id = m.mosaic_id WHERE abs((x_min - x) / px - round_even((x_min - x) / px, 0)) > 1e-6 OR abs((y - y_max) / px - round_even((y - y_max) / px, 0)) > 1e-6""")
+def mosaic_off_grid(spark: SparkSession, d: str) -> DataFrame:
+    """Some tiles are moved by a part of a pixel."""
+    t = fx.tiles(spark, d).select("tile_id", F.col("kind").alias("mosaic_id"), (F.col("x_min") + F.when(F.col("tile_id") % 17 == 0, 30).otherwise(0)).alias("x_min"), "y_max", "px")
+    return raster.off_grid(t).select("tile_id", "mosaic_id")
+
+
+@query(f"{PIX} SELECT patch_id, least(count(*), 16) AS sampled FROM pixel WHERE covered GROUP BY patch_id")
+def seeded_samples(spark: SparkSession, d: str) -> DataFrame:
+    return raster.seeded_sample(fx.pixels(spark, d), 16, 5).groupBy("patch_id").agg(F.count("*").alias("sampled"))
