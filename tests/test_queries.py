@@ -1,6 +1,7 @@
 """Every registered query with SQL gives the rows that DuckDB gives, on the smallest tables."""
 
 import duckdb
+import numpy as np
 import pandas as pd
 import pytest
 
@@ -20,7 +21,12 @@ def con():
 
 def _key(df: pd.DataFrame) -> list[tuple]:
     cols = sorted(df.columns)
-    show = lambda v: "null" if v is None or v is pd.NA or v != v else repr(float(v) + 0.0) if isinstance(v, float) else str(v)
+
+    def show(v) -> str:
+        if v is None or v is pd.NA or v != v:
+            return "null"
+        return repr(float(v) + 0.0) if isinstance(v, (int, float, np.number)) and not isinstance(v, bool) else str(v)
+
     return sorted(tuple(map(show, r)) for r in df[cols].itertuples(index=False))
 
 
