@@ -182,7 +182,7 @@ def _send(depth: int, n_buckets: int):
                 ends = np.cumsum(size)
                 index = np.repeat(r.start[run] - (ends - size), size) + np.arange(ends[-1])
                 data, ends = d[index], np.r_[0, ends]
-                rows += [(b, block, part, r.anchor[run][i:j].tobytes(), doc[new][i:j].tobytes(), r.count[run][i:j].astype(np.uint8).tobytes(), data[ends[i] : ends[j]].tobytes())
+                rows += [(b, block, part, r.anchor[run][i:j].tobytes(), doc[new][i:j].tobytes(), r.count[run][i:j].astype(np.uint8).tobytes(), pa.compress(data[ends[i] : ends[j]].tobytes(), codec="zstd", asbytes=True))
                          for b, (i, j) in enumerate(zip(cut[:-1], cut[1:], strict=True)) if i < j]
         kinds = (pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.binary())
         return pa.Table.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True) if rows else [[]] * 7, kinds, strict=True)],
@@ -253,9 +253,11 @@ def _sorted(depth: int):
         """For each window of the runs of a bucket, whether a smaller document has it (a bit), the document of its run aside."""
         table = table.sort_by([("block", "ascending"), ("part", "ascending")])
         load = lambda name, kind: [np.frombuffer(x, kind) for x in table.column(name).to_pylist()]
-        per = [len(x) for x in load("counts", np.uint8)]
-        anchor, doc, count, data = (np.concatenate(load(n, k)) for n, k in (("anchors", U64), ("docs", np.int64), ("counts", np.uint8), ("bytes", np.uint8)))
-        count = count.astype(np.int64)
+        per = [len(x) for x in table.column("counts").to_pylist()]
+        anchor, doc = np.concatenate(load("anchors", U64)), np.concatenate(load("docs", np.int64))
+        counts = [x.astype(np.int64) for x in load("counts", np.uint8)]
+        data = np.concatenate([np.frombuffer(pa.decompress(x, decompressed_size=int((n + depth - 1).sum()), codec="zstd", asbytes=True), np.uint8) for x, n in zip(table.column("bytes").to_pylist(), counts, strict=True)])
+        count = np.concatenate(counts)
         size = count + depth - 1
         start = np.cumsum(size) - size
         # second digit: whole runs
