@@ -119,7 +119,8 @@ pick(n, stage, taken, o1, o2, tile_id, idx) AS (
 """
 
 
-@query()
+@query(CURATED + """ SELECT CAST(stage // 3 AS INT) AS pass, CASE stage % 3 WHEN 0 THEN 'large' WHEN 1 THEN 'high-confidence' ELSE 'unmatched-high-confidence' END AS category,
+CAST(row_number() OVER (PARTITION BY stage ORDER BY n) - 1 AS INT) AS pick, tile_id, idx FROM pick WHERE n > 0""")
 def curated_spread(spark: SparkSession, d: str) -> DataFrame:
     return _picks(spark, d).select("pass", "category", "pick", "tile_id", "idx")
 
