@@ -148,3 +148,23 @@ def test_digit_permutation_is_one_to_one(spark):
     assert df.select(pii.permuted_digits(F.substring("d", 3, 1), "k", "t").alias("p")).distinct().count() == 10
     days = spark.range(146097).select(*(c.alias(n) for c, n in zip(pii.feistel(F.floor(F.col("id") / 5411), F.col("id") % 5411, F.lit(27), F.lit(5411), "k", F.lit("date")), "hl", strict=True)))
     assert days.distinct().count() == 146097
+
+
+def test_leaks_of_overlapping_items(spark):
+    """Items of one size that share passages, and an item that stands inside a run of its own shingles."""
+    w = [f"w{i}" for i in range(40)]
+    turn = "a b c d e f".split()
+    items = [(1, " ".join(w[:20])), (2, " ".join(w[10:30])), (3, " ".join(w[20:])), (4, " ".join(["q", *turn * 3, "r"]))]
+    docs = [(1, " ".join(w[5:35])), (2, " ".join(w[10:30])), (3, " ".join(["x", *w, "y"])), (4, " ".join([*turn * 3, "q", *turn * 3, "r", *turn * 3])), (5, " ".join(w[5:15] + w[25:35]))]
+    rng = random.Random(8)
+    for i in range(6, 60):
+        a = rng.randrange(30)
+        v = w[a : a + rng.randrange(20, 36)]
+        if i % 3 == 0:
+            v[rng.randrange(len(v))] = "z"
+        docs.append((i, " ".join(["x"] * rng.randrange(3) + v + ["y"] * rng.randrange(3))))
+    docs = [(i, t) for i, t in docs if len(t.split()) >= 20]
+    got = {(r["doc_id"], r["item_id"]): r["similarity"] for r in decontaminate.leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    want = brute(docs, items)
+    assert got[1, 2] == 1 and got[4, 4] == 1
+    assert got.keys() == want.keys() and all(abs(got[x] - want[x]) < 1e-9 for x in got)

@@ -1,8 +1,8 @@
 """Benchmark decontamination with DataFrame functions only: SimHash of item-sized windows and multi-index Hamming blocks.
 
 An item of m shingles is looked for in windows of m shingles. A window can only be as similar as asked if so many of its
-shingles are shingles of items of that size, so windows are laid where such shingles stand close enough; all others have no
-chance. A window's 64-bit SimHash is cut into blocks. Two fingerprints that differ in at most ``RADIUS`` bits differ in at
+shingles are shingles of items of that size, so a window is laid at every place where such shingles stand close enough; all
+others have no chance. A window's 64-bit SimHash is cut into blocks. Two fingerprints that differ in at most ``RADIUS`` bits differ in at
 most ``NEAR`` bits in some block, so joining each block of the windows with all values within ``NEAR`` bits of each block
 of the items yields every pair within the radius. Those pairs are verified by the exact similarity of their weighted
 shingles: the sum of the smaller counts over the sum of the larger ones.
@@ -84,17 +84,18 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     n_known = items.agg(F.sum("m")).first()[0] or 0
 
     # where shingles of items stand, by the size of the items
-    placed = with_words(docs, "text", "doc_id").select("doc_id", F.posexplode(shingle_hashes(k)).alias("p", "g"))
-    hits = placed.join(F.broadcast(known) if n_known <= BROADCAST_ROWS else known, "g").select("doc_id", F.explode("ms").alias("m"), "p")
-    need = F.expr(f"cast(ceil({percent} * m / 100) as int)")
-    rows = hits.groupBy("doc_id", "m").agg(F.sort_array(F.collect_set("p")).alias("at")).where(F.size("at") >= need).withColumn("need", need)
-    step = F.sequence(F.lit(0), F.size("at") - 1)
+    counted = with_words(docs, "text", "doc_id").withColumn("n", F.greatest(F.size("words") - (k - 1), F.lit(0)))
+    placed = counted.select("doc_id", "n", F.posexplode(shingle_hashes(k)).alias("p", "g"))
+    hits = placed.join(F.broadcast(known) if n_known <= BROADCAST_ROWS else known, "g").select("doc_id", "n", F.explode("ms").alias("m"), "p")
+    # common * (100 + percent) >= percent * (size + m): fewer hits in a window than that cannot be enough
+    need = F.expr(f"cast(ceil({percent} * (size + m) / {100 + percent}) as int)")
+    rows = hits.groupBy("doc_id", "n", "m").agg(F.sort_array(F.collect_set("p")).alias("at")).withColumn("size", F.col("m")).withColumn("need", need).where(F.size("at") >= F.col("need"))
     at = lambda i: F.get("at", i)
-    # a window begins where a run of shared shingles begins, or ends where one ends, if enough of them stand in it
-    begins = F.transform(F.filter(step, lambda i: F.coalesce(at(i - 1) < at(i) - 1, F.lit(True)) & (at(i + F.col("need") - 1) < at(i) + F.col("m"))), lambda i: at(i))
-    ends = F.transform(F.filter(step, lambda i: F.coalesce(at(i + 1) > at(i) + 1, F.lit(True)) & (F.when(i >= F.col("need") - 1, at(i - F.col("need") + 1)) > at(i) - F.col("m"))),
-                       lambda i: F.greatest(at(i) - F.col("m") + 1, F.lit(0)))
-    starts = written(rows.select("doc_id", F.explode(F.array_distinct(F.concat(begins, ends))).alias("p"), "m").distinct(), "windows")
+    # the windows whose first hit is hit i: they begin after the hit before it, and hold the need-th hit from it on
+    low = lambda i: F.greatest(F.coalesce(at(i - 1) + 1, F.lit(0)), at(i + F.col("need") - 1) - F.col("size") + 1, F.lit(0))
+    high = lambda i: F.least(at(i), F.col("n") - F.col("size"))
+    firsts = F.filter(F.sequence(F.lit(0), F.size("at") - F.col("need")), lambda i: low(i) <= high(i))
+    starts = written(rows.select("doc_id", "m", F.explode(F.flatten(F.transform(firsts, lambda i: F.sequence(low(i), high(i))))).alias("p")).distinct(), "windows")
 
     # the windows' shingles and fingerprints
     of = starts.select("doc_id").distinct()
