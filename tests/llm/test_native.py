@@ -168,3 +168,20 @@ def test_leaks_of_overlapping_items(spark):
     want = brute(docs, items)
     assert got[1, 2] == 1 and got[4, 4] == 1
     assert got.keys() == want.keys() and all(abs(got[x] - want[x]) < 1e-9 for x in got)
+
+
+def test_leaks_in_texts_shorter_than_the_item(spark):
+    """Such a text is one window, of all its shingles."""
+    w = [f"w{i}" for i in range(50)]
+    docs = [(1, w[:-3]), (2, w[:25] + w[26:]), (3, ["x"] * 10 + w[:-3]), (4, w[:40]), (5, w[:42]), (6, w[:41]), (7, w), (8, w[:3]), (9, w[4:-2]), (10, w[:10] + w[11:30] + w[31:])]
+    docs = [(i, " ".join(v)) for i, v in docs]
+    items = [(1, " ".join(w)), (2, "one two three four five six seven")]
+    got = {(r["doc_id"], r["item_id"]): r["similarity"] for r in decontaminate.leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    want, h = {}, {tuple(w[j : j + 5]) for j in range(46)}
+    for i, t in docs:
+        g = [tuple(t.split()[j : j + 5]) for j in range(len(t.split()) - 4)]
+        best = max((len(h & set(x)) / (len(x) + 46 - len(h & set(x))) for p in range(max(len(g) - 46, 0) + 1) for x in [g[p : p + 46]]), default=0)
+        if best >= 0.8:
+            want[i, 1] = best
+    assert {1, 2, 3, 7} <= {i for i, _ in want} and want[1, 1] == 43 / 46 and want.keys() == got.keys()
+    assert all(abs(got[x] - want[x]) < 1e-9 for x in got)

@@ -1,6 +1,6 @@
 """Benchmark decontamination with DataFrame functions only: SimHash of item-sized windows and multi-index Hamming blocks.
 
-An item of m shingles is looked for in windows of m shingles. A window can only be as similar as asked if so many of its
+An item of m shingles is looked for in windows of m shingles; a text of fewer shingles is one window. A window can only be as similar as asked if so many of its
 shingles are shingles of items of that size, so a window is laid at every place where such shingles stand close enough; all
 others have no chance. A window's 64-bit SimHash is cut into blocks. Two fingerprints that differ in at most ``RADIUS`` bits differ in at
 most ``NEAR`` bits in some block, so joining each block of the windows with all values within ``NEAR`` bits of each block
@@ -89,19 +89,19 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     hits = placed.join(F.broadcast(known) if n_known <= BROADCAST_ROWS else known, "g").select("doc_id", "n", F.explode("ms").alias("m"), "p")
     # common * (100 + percent) >= percent * (size + m): fewer hits in a window than that cannot be enough
     need = F.expr(f"cast(ceil({percent} * (size + m) / {100 + percent}) as int)")
-    rows = hits.groupBy("doc_id", "n", "m").agg(F.sort_array(F.collect_set("p")).alias("at")).withColumn("size", F.col("m")).withColumn("need", need).where(F.size("at") >= F.col("need"))
+    rows = hits.groupBy("doc_id", "n", "m").agg(F.sort_array(F.collect_set("p")).alias("at")).withColumn("size", F.least("n", "m")).withColumn("need", need).where(F.size("at") >= F.col("need"))
     at = lambda i: F.get("at", i)
     # the windows whose first hit is hit i: they begin after the hit before it, and hold the need-th hit from it on
     low = lambda i: F.greatest(F.coalesce(at(i - 1) + 1, F.lit(0)), at(i + F.col("need") - 1) - F.col("size") + 1, F.lit(0))
     high = lambda i: F.least(at(i), F.col("n") - F.col("size"))
     firsts = F.filter(F.sequence(F.lit(0), F.size("at") - F.col("need")), lambda i: low(i) <= high(i))
-    starts = written(rows.select("doc_id", "m", F.explode(F.flatten(F.transform(firsts, lambda i: F.sequence(low(i), high(i))))).alias("p")).distinct(), "windows")
+    starts = written(rows.select("doc_id", "m", "size", F.explode(F.flatten(F.transform(firsts, lambda i: F.sequence(low(i), high(i))))).alias("p")).distinct(), "windows")
 
     # the windows' shingles and fingerprints
     of = starts.select("doc_id").distinct()
     near = docs.join(F.broadcast(of) if of.count() <= BROADCAST_ROWS else of, "doc_id", "left_semi")
     near = with_words(near, "text", "doc_id").select("doc_id", shingle_hashes(k).alias("all"))
-    windows = near.join(starts, "doc_id").select("doc_id", "m", "p", F.slice("all", F.col("p") + 1, F.col("m")).alias("own")).where("size(own) = m")
+    windows = near.join(starts, "doc_id").select("doc_id", "m", "p", "size", F.slice("all", F.col("p") + 1, F.col("m")).alias("own")).where("size(own) = size")
     windows = written(windows.select("doc_id", "m", "p", "own", simhash(F.col("own")).alias("fp")), "fingerprints")
     values = _blocks(items.select("item_id", "m", "fp")).withColumn("v", F.explode(F.array(*[F.col("v").bitwiseXOR(F.lit(x)) for x in _masks()])))
     pairs = _blocks(windows.select("doc_id", "m", "p", "fp")).join(values.withColumnRenamed("fp", "item_fp"), ["m", "i", "v"])
@@ -113,8 +113,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     both = both.where(F.size(F.filter("own", lambda g: F.call_function("array_contains", F.col("grams"), g))) * 100 >= percent * F.col("m"))
     count = lambda c, g: F.size(F.filter(c, lambda x: x == g))
     common = F.aggregate(F.array_distinct("own"), F.lit(0), lambda a, g: a + F.least(count("own", g), count("grams", g)))
-    both = both.withColumn("common", common).where(F.col("common") * 100 >= percent * (2 * F.col("m") - F.col("common")))
-    found = both.select("doc_id", "item_id", (F.col("common") / (2 * F.col("m") - F.col("common"))).alias("similarity"), "distance", F.col("p").alias("first_word"))
+    both = both.withColumn("common", common).where(F.col("common") * 100 >= percent * (F.size("own") + F.col("m") - F.col("common")))
+    found = both.select("doc_id", "item_id", (F.col("common") / (F.size("own") + F.col("m") - F.col("common"))).alias("similarity"), "distance", F.col("p").alias("first_word"))
     best = F.max_by(F.struct("similarity", "distance", "first_word"), F.struct("similarity", -F.col("first_word"), -F.col("distance")))
     return found.groupBy("doc_id", "item_id").agg(best.alias("b")).select("doc_id", "item_id", "b.similarity", F.col("b.distance").cast("int").alias("distance"), "b.first_word")
 
