@@ -185,3 +185,15 @@ def test_leaks_in_texts_shorter_than_the_item(spark):
             want[i, 1] = best
     assert {1, 2, 3, 7} <= {i for i, _ in want} and want[1, 1] == 43 / 46 and want.keys() == got.keys()
     assert all(abs(got[x] - want[x]) < 1e-9 for x in got)
+
+
+def test_ibans_before_words_and_long_secrets(spark):
+    key = "".join(random.Random(3).choice("abcdefXYZ0189") for _ in range(1500))
+    texts = ["to AT61 1904 3002 3457 3201 EUR 5", "to ES9121000418450200051332 EUR", "GB82 WEST 1234 5698 7654 32 NOW", f"token={key} end"]
+    out = [r["text"] for r in pii.pseudonymised(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).orderBy("doc_id").collect()]
+    for new, old, (head, tail) in zip(out, texts, [("to AT", " EUR 5"), ("to ES", " EUR"), ("GB", " NOW"), ("token=", " end")], strict=True):
+        assert new != old and len(new) == len(old) and new.startswith(head) and new.endswith(tail)
+    for new, tail in zip(out[:3], (" EUR 5", " EUR", " NOW"), strict=True):
+        s = new.removeprefix("to ").removesuffix(tail).replace(" ", "")
+        assert int("".join(str(int(x, 36)) for x in s[4:] + s[:4])) % 97 == 1
+    assert all(a != b for a, b in [(out[3][6 + i : 26 + i], key[i : i + 20]) for i in range(0, 1480, 20)])

@@ -23,11 +23,18 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 ROUNDS = 8
 
+#: Characters of an IBAN by country; other countries' are taken as they stand.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FO GL NL", 19: "MK SI", 20: "AT BA EE KZ LT LU XK", 21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL TL",
+    24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "PT", 26: "IS TR", 27: "FR GR IT MC SM", 28: "AL AZ BY CY DO GT HU LB PL", 29: "BR EG PS QA UA", 30: "JO KW MU", 31: "MT SC",
+}
+_OF_LENGTH = "|".join(rf"(?:{c.replace(' ', '|')})\d{{2}}(?: ?[A-Z0-9]){{{n - 4}}}" for n, c in IBAN_LENGTHS.items())
+
 #: What is looked for, in this order where several could begin.
 PATTERNS = {
     "email": r"[A-Za-z0-9][A-Za-z0-9._%+\-]{0,63}@[A-Za-z0-9](?:[A-Za-z0-9\-]{0,62}\.)+[A-Za-z]{2,24}",
-    "secret": r"(?i:api[_\- ]?key|secret|token|password|passwd|pwd|access[_\- ]?key)(?:\s{0,3}[:=]\s{0,3})[\"']?[A-Za-z0-9+/_\-]{12,512}",
-    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
+    "secret": r"(?i:api[_\- ]?key|secret|token|password|passwd|pwd|access[_\- ]?key)(?:\s{0,3}[:=]\s{0,3})[\"']?[A-Za-z0-9+/_\-]{12,}",
+    "iban": rf"(?<![A-Za-z0-9])(?:{_OF_LENGTH}|[A-Z]{{2}}\d{{2}}(?: ?[A-Z0-9]{{4}}){{2,7}}(?: ?[A-Z0-9]{{1,3}})?)(?![A-Za-z0-9])",
     "ip": r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d]|\.\d)",
     "date": r"(?<!\d)(?:(?:18|19|20|21)\d\d-\d\d-\d\d|\d\d\.\d\d\.(?:18|19|20|21)\d\d|\d\d/\d\d/(?:18|19|20|21)\d\d)(?!\d)",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
@@ -163,14 +170,13 @@ def _letters(value: Column, key: str, tag: str) -> Column:
     hex_ = F.sha2(F.concat(F.lit(f"{key} {tag} "), value), 512)
     stream = F.concat(hex_, F.sha2(F.concat(hex_, F.lit("+")), 512), F.sha2(F.concat(hex_, F.lit("++")), 512), F.sha2(F.concat(hex_, F.lit("+++")), 512))
     def of(s):
-        all_hex = F.regexp_like(s["v"], F.lit("^[0-9a-f]+$"))
-        other = F.translate(s["s"], "0123456789", "ghijkmnpqr")
         def put(c, i):
-            pick = F.substr(F.when(all_hex, s["s"]).otherwise(other), F.pmod(i, F.lit(512)) + 1, F.lit(1))
-            kind = F.when(all_hex, pick).when(c.between("0", "9"), F.pmod(F.conv(F.substr(s["s"], F.pmod(i, F.lit(512)) + 1, F.lit(1)), 16, 10).cast("int"), F.lit(10)).cast("string"))
+            pick = F.substr(s["o"], F.pmod(i, F.lit(512)) + 1, F.lit(1))
+            kind = F.when(s["a"], pick).when(c.between("0", "9"), F.pmod(F.conv(F.substr(s["s"], F.pmod(i, F.lit(512)) + 1, F.lit(1)), 16, 10).cast("int"), F.lit(10)).cast("string"))
             return kind.when(c.between("A", "Z"), F.upper(pick)).when(c.between("a", "z"), pick).otherwise(c)
         return F.array_join(F.transform(F.filter(F.split(s["v"], ""), lambda c: c != ""), put), "")
-    return _held({"v": value, "s": stream}, of)
+    hexed = lambda s: _held({"v": s["v"], "s": s["s"], "a": s["a"], "o": F.when(s["a"], s["s"]).otherwise(F.translate(s["s"], "0123456789", "ghijkmnpqr"))}, of)
+    return _held({"v": value, "s": stream, "a": F.regexp_like(value, F.lit("^[0-9a-f]+$"))}, hexed)
 
 
 def _email(text: Column, key: str) -> Column:
@@ -179,7 +185,7 @@ def _email(text: Column, key: str) -> Column:
 
 
 def _secret(text: Column, key: str) -> Column:
-    value = r"[A-Za-z0-9+/_\-]{12,512}$"
+    value = r"[A-Za-z0-9+/_\-]{12,}$"
     return _held({"v": F.regexp_extract(text, value, 0), "t": text}, lambda s: F.concat(F.substr(s["t"], F.lit(1), F.length(s["t"]) - F.length(s["v"])), _letters(s["v"], key, "secret")))
 
 
