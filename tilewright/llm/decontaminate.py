@@ -1,11 +1,14 @@
 """Benchmark decontamination with DataFrame functions only: SimHash of item-sized windows and multi-index Hamming blocks.
 
-An item of m shingles is looked for in windows of m shingles; a text of fewer shingles is one window. A window can only be as similar as asked if so many of its
-shingles are shingles of items of that size, so a window is laid at every place where such shingles stand close enough; all
-others have no chance. A window's 64-bit SimHash is cut into blocks. Two fingerprints that differ in at most ``RADIUS`` bits differ in at
-most ``NEAR`` bits in some block, so joining each block of the windows with all values within ``NEAR`` bits of each block
-of the items yields every pair within the radius. Those pairs are verified by the exact similarity of their weighted
-shingles: the sum of the smaller counts over the sum of the larger ones.
+An item of m shingles is looked for in windows of m shingles; a text of fewer shingles is one window. Windows are laid at every
+place where at least half as many shingles of items of that size stand as a match needs; a window with fewer cannot match. Each
+window's 64-bit SimHash is cut into blocks. Two fingerprints that differ in at most ``RADIUS`` bits differ in at most ``NEAR``
+bits in some block, so joining each block with all values within ``NEAR`` bits of each block of the other side, the smaller of
+the two, yields every pair within the radius. A block of 16 bits has 2,517 such values of 65,536, so four blocks emit about 15 of
+100 pairs of unlike fingerprints. Pairs within the radius are verified by the exact similarity of their weighted shingles: the sum
+of the smaller counts over the sum of the larger ones.
+
+A pair just at the similarity asked for (0.8) differs in about 10 bits of 64, with a deviation of 3; the radius is 19.
 """
 
 from __future__ import annotations
@@ -14,10 +17,11 @@ import itertools
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tilewright.llm.keys import row_key
 from tilewright.sources.scratch import written
 
 #: A SimHash has 64 bits in BLOCKS blocks; each is joined within NEAR bits, which finds all within RADIUS bits.
-BLOCKS, NEAR = 8, 2
+BLOCKS, NEAR = 4, 4
 BITS = 64 // BLOCKS
 RADIUS = BLOCKS * (NEAR + 1) - 1
 #: Rows up to which the benchmark's shingles, or the ids of documents with windows, are broadcast; more are joined by shuffle.
@@ -37,25 +41,27 @@ def shingle_hashes(k: int) -> Column:
     return F.when(n >= k, F.transform(F.sequence(F.lit(1), n - (k - 1)), lambda i: F.xxhash64(F.slice("words", i, k)))).otherwise(F.array().cast("array<bigint>"))
 
 
-def simhash(grams: Column) -> Column:
-    """64 bits, each set if more than half of the shingles, repeated ones counted anew, have it set.
-
-    Four bits are counted at once, in the 16-bit lanes of a number.
-    """
-    lanes = F.lit(0x0001000100010001)
+def _majority(grams: Column, width: int) -> Column:
+    """The bits that more than half of the numbers have, counted at once in lanes of ``width`` bits of one number."""
+    lanes, most = sum(1 << (width * i) for i in range(64 // width)), 2**width - 1
     out = F.lit(0).cast("long")
 
     def add(b: int):
-        return lambda a, g: a + F.shiftrightunsigned(g, b).bitwiseAND(lanes)
+        return lambda a, g: a + F.shiftrightunsigned(g, b).bitwiseAND(F.lit(lanes))
 
-    for b in range(16):
+    for b in range(width):
         counts = F.aggregate(grams, F.lit(0).cast("long"), add(b))
-        for lane in range(4):
-            count = F.shiftrightunsigned(counts, 16 * lane).bitwiseAND(F.lit(0xFFFF))
-            out = out.bitwiseOR(F.shiftleft((count * 2 > F.size(grams)).cast("long"), 16 * lane + b))
+        for lane in range(64 // width):
+            count = F.shiftrightunsigned(counts, width * lane).bitwiseAND(F.lit(most))
+            out = out.bitwiseOR(F.shiftleft((count * 2 > F.size(grams)).cast("long"), width * lane + b))
     return out
 
 
+def simhash(grams: Column) -> Column:
+    """64 bits, each set if more than half of the shingles, repeated ones counted anew, have it set."""
+    return F.when(F.size(grams) < 2**16, _majority(grams, 16)).otherwise(_majority(grams, 32))
+
+
 def _masks() -> list[int]:
     return [sum(1 << i for i in c) for n in range(NEAR + 1) for c in itertools.combinations(range(BITS), n)]
 
@@ -64,62 +70,83 @@ def _block(fingerprint: Column, i: Column) -> Column:
     return F.call_function("shiftrightunsigned", fingerprint, i * BITS).bitwiseAND(F.lit(2**BITS - 1))
 
 
-def _blocks(df: DataFrame) -> DataFrame:
-    return df.withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(BLOCKS - 1)))).withColumn("v", _block(F.col("fp"), F.col("i")))
+def _blocks(df: DataFrame, fp: str) -> DataFrame:
+    return df.withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(BLOCKS - 1)))).withColumn("v", _block(F.col(fp), F.col("i")))
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", k: int = 5, percent: int = 80) -> DataFrame:
-    """(doc_id, item_id, similarity, distance, first_word): each document and item with a window at least so similar.
+def _repeated(grams: Column) -> Column:
+    """The distinct values that an array has more than once."""
+    after = lambda o: F.filter(o, lambda x, i: (i > 0) & (F.get(o, i - 1) == x))
+    return F.array_distinct(F.get(F.transform(F.array(F.array_sort(grams)), after), F.lit(0)))
 
-    The best window stands for the pair, of equals the first. Shingles have ``k`` words; items of fewer than ``k`` words are
-    too short to be told apart and match nothing, as do null and empty texts. Rows with null ids are left out; repeated rows
-    give one row per pair of ids. Empty tables give an empty result. Other columns are not looked at. Documents or items
-    that share an id count as one with several texts.
-    """
-    docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).where("doc_id is not null")
-    items = with_words(benchmark.select(F.col(item_col).alias("item_id"), F.col(item_text_col).alias("text")).where("item_id is not null"), "text", "item_id")
-    items = items.select("item_id", shingle_hashes(k).alias("grams")).where("size(grams) > 0")
-    items = written(items.select("item_id", "grams", F.size("grams").alias("m"), simhash(F.col("grams")).alias("fp")), "items")
+
+def weighted_common(a: Column, b: Column) -> Column:
+    """The sum of the smaller counts of the values of two arrays."""
+    count = lambda c, g: F.size(F.filter(c, lambda x: x == g))
+    more = F.aggregate(F.array_intersect(_repeated(a), _repeated(b)), F.lit(0), lambda s, g: s + F.least(count(a, g), count(b, g)) - 1)
+    return F.size(F.array_intersect(a, b)) + more
+
+
+def windows_of(docs: DataFrame, items: DataFrame, k: int, percent: int) -> DataFrame:
+    """(doc_id, m, size, p): the windows of ``size`` shingles from shingle ``p`` on that are compared with items of m shingles."""
     known = items.select("m", F.explode("grams").alias("g")).groupBy("g").agg(F.collect_set("m").alias("ms"))
     n_known = items.agg(F.sum("m")).first()[0] or 0
-
-    # where shingles of items stand, by the size of the items
     counted = with_words(docs, "text", "doc_id").withColumn("n", F.greatest(F.size("words") - (k - 1), F.lit(0)))
     placed = counted.select("doc_id", "n", F.posexplode(shingle_hashes(k)).alias("p", "g"))
     hits = placed.join(F.broadcast(known) if n_known <= BROADCAST_ROWS else known, "g").select("doc_id", "n", F.explode("ms").alias("m"), "p")
-    # common * (100 + percent) >= percent * (size + m): fewer hits in a window than that cannot be enough
-    need = F.expr(f"cast(ceil({percent} * (size + m) / {100 + percent}) as int)")
+    # common * (100 + percent) >= percent * (size + m): half of the hits that this asks for
+    need = F.expr(f"cast(greatest(1, ceil({percent} * (size + m) / {2 * (100 + percent)})) as int)")
     rows = hits.groupBy("doc_id", "n", "m").agg(F.sort_array(F.collect_set("p")).alias("at")).withColumn("size", F.least("n", "m")).withColumn("need", need).where(F.size("at") >= F.col("need"))
     at = lambda i: F.get("at", i)
     # the windows whose first hit is hit i: they begin after the hit before it, and hold the need-th hit from it on
     low = lambda i: F.greatest(F.coalesce(at(i - 1) + 1, F.lit(0)), at(i + F.col("need") - 1) - F.col("size") + 1, F.lit(0))
     high = lambda i: F.least(at(i), F.col("n") - F.col("size"))
     firsts = F.filter(F.sequence(F.lit(0), F.size("at") - F.col("need")), lambda i: low(i) <= high(i))
-    starts = written(rows.select("doc_id", "m", "size", F.explode(F.flatten(F.transform(firsts, lambda i: F.sequence(low(i), high(i))))).alias("p")).distinct(), "windows")
-
-    # the windows' shingles and fingerprints
-    of = starts.select("doc_id").distinct()
-    near = docs.join(F.broadcast(of) if of.count() <= BROADCAST_ROWS else of, "doc_id", "left_semi")
-    near = with_words(near, "text", "doc_id").select("doc_id", shingle_hashes(k).alias("all"))
-    windows = near.join(starts, "doc_id").select("doc_id", "m", "p", "size", F.slice("all", F.col("p") + 1, F.col("m")).alias("own")).where("size(own) = size")
-    windows = written(windows.select("doc_id", "m", "p", "own", simhash(F.col("own")).alias("fp")), "fingerprints")
-    values = _blocks(items.select("item_id", "m", "fp")).withColumn("v", F.explode(F.array(*[F.col("v").bitwiseXOR(F.lit(x)) for x in _masks()])))
-    pairs = _blocks(windows.select("doc_id", "m", "p", "fp")).join(values.withColumnRenamed("fp", "item_fp"), ["m", "i", "v"])
+    return rows.select("doc_id", "m", "size", F.explode(F.flatten(F.transform(firsts, lambda i: F.sequence(low(i), high(i))))).alias("p")).distinct()
+
+
+def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", k: int = 5, percent: int = 80) -> DataFrame:
+    """(doc_id, item_id, similarity, distance, first_word): each document and item with a window at least so similar.
+
+    The best window stands for the pair, of equals the first. Shingles have ``k`` words; items of fewer than ``k`` words are
+    too short to be told apart and match nothing, as do null and empty texts. Rows with null ids are left out; repeated rows
+    give one row per pair of ids. Empty tables give an empty result. Other columns are not looked at. Documents or items
+    that share an id count as one with several texts. Texts and items may be of any length; an item of m words that stands
+    in a document costs about m windows of m shingles there.
+    """
+    docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).where("doc_id is not null")
+    items = with_words(benchmark.select(F.col(item_col).alias("item_id"), F.col(item_text_col).alias("text")).where("item_id is not null"), "text", "item_id")
+    items = items.select("item_id", shingle_hashes(k).alias("grams")).where("size(grams) > 0")
+    items = written(items.select("item_id", "grams", F.size("grams").alias("m"), simhash(F.col("grams")).alias("fp")), "items")
+    starts = written(windows_of(docs, items, k, percent), "windows")
+
+    def cut(places: DataFrame) -> DataFrame:
+        """The places with ``own``, the shingles of their windows, taken from the texts anew."""
+        of = places.select("doc_id").distinct()
+        near = docs.join(F.broadcast(of) if of.count() <= BROADCAST_ROWS else of, "doc_id", "left_semi")
+        near = with_words(near, "text", "doc_id").select("doc_id", shingle_hashes(k).alias("all"))
+        return near.join(places, "doc_id").withColumn("own", F.slice("all", F.col("p") + 1, F.col("m"))).drop("all").where("size(own) = size")
+
+    windows = written(cut(starts).select("doc_id", "m", "p", "size", simhash(F.col("own")).alias("fp")), "fingerprints")
+    few, many = items.select("item_id", "m", F.col("fp").alias("item_fp")), windows
+    spread = lambda rows, fp: _blocks(rows, fp).withColumn("v", F.explode(F.transform(F.array(*[F.lit(x) for x in _masks()]), lambda x: F.col("v").bitwiseXOR(x))))
+    if few.count() <= many.count():
+        pairs = _blocks(many, "fp").join(spread(few, "item_fp"), ["m", "i", "v"])
+    else:
+        pairs = spread(many, "fp").join(_blocks(few, "item_fp"), ["m", "i", "v"])
     pairs = pairs.withColumn("distance", F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp")))).where(F.col("distance") <= RADIUS)
-    pairs = pairs.select("doc_id", "m", "p", "item_id", "distance").distinct()
+    pairs = written(pairs.select("doc_id", "m", "p", "size", "item_id", "distance").distinct(), "pairs")
 
     # exact similarity of the weighted shingles
-    both = pairs.join(windows.select("doc_id", "m", "p", "own"), ["doc_id", "m", "p"]).join(items.select("item_id", "m", "grams"), ["item_id", "m"])
-    both = both.where(F.size(F.filter("own", lambda g: F.call_function("array_contains", F.col("grams"), g))) * 100 >= percent * F.col("m"))
-    count = lambda c, g: F.size(F.filter(c, lambda x: x == g))
-    common = F.aggregate(F.array_distinct("own"), F.lit(0), lambda a, g: a + F.least(count("own", g), count("grams", g)))
-    both = both.withColumn("common", common).where(F.col("common") * 100 >= percent * (F.size("own") + F.col("m") - F.col("common")))
+    both = cut(pairs).join(items.select("item_id", "m", "grams"), ["item_id", "m"])
+    both = both.withColumn("common", weighted_common(F.col("own"), F.col("grams"))).where(F.col("common") * 100 >= percent * (F.size("own") + F.col("m") - F.col("common")))
     found = both.select("doc_id", "item_id", (F.col("common") / (F.size("own") + F.col("m") - F.col("common"))).alias("similarity"), "distance", F.col("p").alias("first_word"))
     best = F.max_by(F.struct("similarity", "distance", "first_word"), F.struct("similarity", -F.col("first_word"), -F.col("distance")))
     return found.groupBy("doc_id", "item_id").agg(best.alias("b")).select("doc_id", "item_id", "b.similarity", F.col("b.distance").cast("int").alias("distance"), "b.first_word")
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` in whose document no item is found, with all their columns."""
-    found = leaks(docs, benchmark, id_col, text_col).select(F.col("doc_id").alias(id_col)).distinct()
-    return docs.join(found, id_col, "left_anti")
+    """The rows of ``docs`` in whose document no item is found, with all their columns; a row with a null id is judged by its text."""
+    key = row_key(id_col, text_col)
+    found = leaks(docs.select(key.alias("key"), F.col(text_col).alias("text")), benchmark, "key").select(F.col("doc_id").alias("_key")).distinct()
+    return docs.withColumn("_key", key).join(found, "_key", "left_anti").drop("_key")
