@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tilewright.llm import decontaminate, jaccard, packing, pii
-from tilewright.llm.queries import quality_scores
+from tilewright.llm.queries import pseudonym_key, quality_scores
 from tilewright.sources.scratch import written
 from tilewright.sources.shipping import shipped
 
@@ -29,7 +29,7 @@ def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """With pseudonyms for personal data; ``n_chars`` follows the text."""
-    return pii.pseudonymised(docs).withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
+    return pii.pseudonymised(docs, pseudonym_key(spark)).withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

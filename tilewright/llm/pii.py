@@ -1,18 +1,23 @@
 """Format-preserving pseudonyms of personal data, with DataFrame functions only.
 
-Found values are permuted within their format by a Feistel network whose round function is a keyed hash, so the same value
-gets the same pseudonym in every document, different values of a format get different ones, and only the key undoes it.
-
-* card numbers (13 to 19 digits that pass the Luhn check): all digits but the last are permuted, the last is the check digit;
-* phone numbers, US social security numbers: the digits are permuted, signs and spaces stay;
+Found values are permuted within their format by a Feistel network whose round function is SHA-256 of the key, the format, the round
+and the other half, so the same value gets the same pseudonym in every document, different values of a format get different
+ones, and only the key undoes it.
+
+* card numbers (13 to 19 digits that pass the Luhn check): all digits but the last are permuted, the last is the check digit. In
+  a longer run of numbers, each card that stands there in an ungrouped form or in the usual groups is found;
+* phone numbers: the ten digits of a North American number, with or without its ``+1``, are permuted alike; of others all
+  digits; signs and spaces stay. US social security numbers likewise;
 * dates (year-month-day, day.month.year, month/day/year, of the years 1800 to 2199): the day is permuted among the 146,097
   days of that span;
 * IPv4 addresses: the 32 bits are permuted; IBANs (checked modulo 97): digits of the account are permuted, check digits anew;
-* e-mail addresses: the local part becomes as many letters and digits, the domain's host a name under example.com;
-* secrets (``token``, ``key``, ``password``, ``secret`` and the like followed by a value of 12 or more characters): hexadecimal digits are replaced
-  by hexadecimal digits, other letters and digits by letters and digits.
+* e-mail addresses: name and domain are permuted letter for letter and digit for digit, and the domain is set under ``.example``;
+* secrets (``token``, ``key``, ``password``, ``secret`` and the like followed by a value of 12 or more characters): values of
+  hexadecimal digits become such values, others stay letters for letters and digits for digits.
 
 Numbers are permuted as two halves of decimal digits in turn, so a number keeps its length; a number of one digit is shifted.
+Texts are permuted as two halves of characters, of any length; large and small letters shift alike, so that addresses that
+differ only in case stay linked. Values may be of any length: no pattern has an upper bound where its format has none.
 """
 
 from __future__ import annotations
@@ -32,20 +37,21 @@ _OF_LENGTH = "|".join(rf"(?:{c.replace(' ', '|')})\d{{2}}(?: ?[A-Z0-9]){{{n - 4}
 
 #: What is looked for, in this order where several could begin.
 PATTERNS = {
-    "email": r"[A-Za-z0-9][A-Za-z0-9._%+\-]{0,63}@[A-Za-z0-9](?:[A-Za-z0-9\-]{0,62}\.)+[A-Za-z]{2,24}",
-    "secret": r"(?i:api[_\- ]?key|secret|token|password|passwd|pwd|access[_\- ]?key)(?:\s{0,3}[:=]\s{0,3})[\"']?[A-Za-z0-9+/_\-]{12,}",
+    "email": r"(?<![A-Za-z0-9._%+\-])[A-Za-z0-9._%+\-]++@(?:[A-Za-z0-9\-]++\.(?=[A-Za-z0-9]))++(?<=\.)[A-Za-z0-9\-]*+(?<=[A-Za-z]{2})",
+    "secret": r"(?i:api[_\- ]?key|secret|token|password|passwd|pwd|access[_\- ]?key)(?:\s{0,3}[:=]\s{0,3})[\"']?[A-Za-z0-9+/_.~\-]{12,}+",
     "iban": rf"(?<![A-Za-z0-9])(?:{_OF_LENGTH}|[A-Z]{{2}}\d{{2}}(?: ?[A-Z0-9]{{4}}){{2,7}}(?: ?[A-Z0-9]{{1,3}})?)(?![A-Za-z0-9])",
     "ip": r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d]|\.\d)",
     "date": r"(?<!\d)(?:(?:18|19|20|21)\d\d-\d\d-\d\d|\d\d\.\d\d\.(?:18|19|20|21)\d\d|\d\d/\d\d/(?:18|19|20|21)\d\d)(?!\d)",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
     "phone": r"(?<![\d+])(?:\+\d{1,3}[ .\-]?)?(?:\(\d{2,4}\)[ .\-]?|\d{3}[ .\-])\d{3}[ .\-]\d{4}(?!\d)|(?<![\d+])\+\d{1,3}(?:[ .\-]?\d{2,4}){2,5}(?!\d)",
-    "card": r"(?<![\d])\d(?:[ \-]?\d){12,18}(?!\d)",
+    "card": r"(?<!\d)\d(?:[ \-]?\d){12,}+",
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 
 
 def _round(value: Column, key: str, tag: Column, r: int, modulus: Column) -> Column:
-    return F.pmod(F.xxhash64(F.lit(key), tag, F.lit(r), value), modulus)
+    digest = F.sha2(F.concat_ws("|", F.lit(key), tag, F.lit(str(r)), value.cast("string")), 256)
+    return F.pmod(F.conv(F.substr(digest, F.lit(1), F.lit(15)), 16, 10).cast("long"), modulus)
 
 
 def feistel(high: Column, low: Column, of_high: Column, of_low: Column, key: str, tag: Column) -> tuple[Column, Column]:
@@ -106,17 +112,47 @@ def luhn_sum(digits: Column, from_check: bool) -> Column:
     return F.aggregate(F.sequence(F.lit(0), n - 1), F.lit(0), add)
 
 
+#: Groups of digits as cards show them, where several numbers stand one after the other.
+GROUPED = r"^(1[3-9]|4,4,4,4(,[1-3])?|4,6,[45])$"
+
+
 def _card(text: Column, key: str) -> Column:
     def of(s):
         body = permuted_digits(F.substr(s["d"], F.lit(1), F.length(s["d"]) - 1), key, "card")
         return _held({"b": body, "t": s["t"]}, lambda v: _laid_into(v["t"], F.concat(v["b"], F.pmod(10 - luhn_sum(v["b"], False) % 10, F.lit(10)).cast("string"))))
-    return _held({"d": _digits(text), "t": text}, lambda s: F.when(luhn_sum(s["d"], True) % 10 == 0, of(s)).otherwise(s["t"]))
+
+    valid = lambda d: F.length(d).between(13, 19) & (luhn_sum(d, True) % 10 == 0)
+    one = lambda t: _held({"d": _digits(t), "t": t}, of)
+
+    def several(s):
+        """Cards among groups of digits (``g``: digits and signs in turn), the longest first at each place."""
+        def step(a, i):
+            last = lambda j: F.slice(s["g"], i + 1, j - i + 1)
+            digits = lambda j: F.array_join(F.filter(last(j), lambda x: x.between("0", ":")), "")
+            shape = lambda j: F.array_join(F.transform(F.filter(last(j), lambda x: x.between("0", ":")), lambda x: F.length(x).cast("string")), ",")
+            ends = F.filter(F.sequence(i, F.least(i + 8, F.size(s["g"]) - 1)), lambda j: (j % 2 == 0) & F.regexp_like(shape(j), F.lit(GROUPED)) & valid(digits(j)))
+            found = lambda v: F.when(v["e"].isNull(), F.struct((v["i"] + 1).alias("next"), F.concat(v["out"], F.get(s["g"], v["i"])).alias("out"))).otherwise(
+                F.struct((v["e"] + 1).alias("next"), F.concat(v["out"], one(F.array_join(F.slice(s["g"], v["i"] + 1, v["e"] - v["i"] + 1), ""))).alias("out")))
+            return F.when(i < a["next"], a).otherwise(_held({"e": F.when(i % 2 == 0, F.array_max(ends)), "i": i, "out": a["out"]}, found))
+
+        return F.aggregate(F.sequence(F.lit(0), F.size(s["g"]) - 1), F.struct(F.lit(0).alias("next"), F.lit("").alias("out")), step, lambda a: a["out"])
+
+    groups = lambda t: _held({"g": F.regexp_extract_all(t, F.lit(r"[0-9]+|[ \-]"), F.lit(0))}, several)
+    return _held({"d": _digits(text), "t": text}, lambda s: F.when(valid(s["d"]), of(s)).when(F.regexp_like(s["t"], F.lit("[ -]")), groups(s["t"])).otherwise(s["t"]))
 
 
 def _number(text: Column, key: str, tag: str) -> Column:
     return _held({"p": permuted_digits(_digits(text), key, tag), "t": text}, lambda s: _laid_into(s["t"], s["p"]))
 
 
+def _phone(text: Column, key: str) -> Column:
+    def of(s):
+        national = F.startswith(s["t"], F.lit("+1")) & (F.length(s["d"]) == 11)
+        own = F.when(national, F.substr(s["d"], F.lit(2))).otherwise(s["d"])
+        return _held({"p": permuted_digits(own, key, "phone"), "t": s["t"], "n": national}, lambda v: _laid_into(v["t"], F.concat(F.when(v["n"], "1").otherwise(""), v["p"])))
+    return _held({"d": _digits(text), "t": text}, of)
+
+
 #: Days from 1800-01-01 to 2199-12-31: 27 * 5411.
 DAY_HIGH, DAY_LOW, DAY_ZERO = 27, 5411, "1800-01-01"
 
@@ -165,44 +201,68 @@ def _iban(text: Column, key: str) -> Column:
     return _held({"c": F.replace(text, F.lit(" "), F.lit("")), "t": text}, lambda s: F.when(valid(s), of(s)).otherwise(s["t"]))
 
 
-def _letters(value: Column, key: str, tag: str) -> Column:
-    """As many characters: hexadecimal digits for hexadecimal digits if all are, else letters and digits; signs stay."""
-    hex_ = F.sha2(F.concat(F.lit(f"{key} {tag} "), value), 512)
-    stream = F.concat(hex_, F.sha2(F.concat(hex_, F.lit("+")), 512), F.sha2(F.concat(hex_, F.lit("++")), 512), F.sha2(F.concat(hex_, F.lit("+++")), 512))
-    def of(s):
-        def put(c, i):
-            pick = F.substr(s["o"], F.pmod(i, F.lit(512)) + 1, F.lit(1))
-            kind = F.when(s["a"], pick).when(c.between("0", "9"), F.pmod(F.conv(F.substr(s["s"], F.pmod(i, F.lit(512)) + 1, F.lit(1)), 16, 10).cast("int"), F.lit(10)).cast("string"))
-            return kind.when(c.between("A", "Z"), F.upper(pick)).when(c.between("a", "z"), pick).otherwise(c)
-        return F.array_join(F.transform(F.filter(F.split(s["v"], ""), lambda c: c != ""), put), "")
-    hexed = lambda s: _held({"v": s["v"], "s": s["s"], "a": s["a"], "o": F.when(s["a"], s["s"]).otherwise(F.translate(s["s"], "0123456789", "ghijkmnpqr"))}, of)
-    return _held({"v": value, "s": stream, "a": F.regexp_like(value, F.lit("^[0-9a-f]+$"))}, hexed)
+HEX = "0123456789abcdef"
+
+
+def permuted_text(value: Column, key: str, tag: str) -> Column:
+    """As many characters, permuted: hexadecimal digits if all are, else letters for letters and digits for digits of the
+    same kind; signs stay. The halves are shifted in turn by a stream made of the digest of the other half. A value with
+    other letters that would become hexadecimal digits alone is permuted again, so that it meets no value of that format."""
+    hexed = lambda v: F.regexp_like(v, F.lit("^[0-9a-f]+$"))
+
+    def again(v):
+        return F.aggregate(F.sequence(F.lit(1), F.lit(64)), v["v"], lambda a, i: F.when((i == 1) | (hexed(a) & ~v["x"]), _shuffled(a, v["x"], key, tag)).otherwise(a))
+
+    return _held({"v": value, "x": hexed(value)}, again)
+
+
+def _shuffled(value: Column, hexed: Column, key: str, tag: str) -> Column:
+    def shifted(half: Column, other: Column, hexed: Column, r: Column) -> Column:
+        seed = F.sha2(F.concat_ws("|", F.lit(key), F.lit(tag), r.cast("string"), F.lower(F.array_join(other, ""))), 256)
+        def by_stream(s):
+            def put(c, i):
+                byte = F.conv(F.substr(F.get(s["stream"], F.floor(i / 32).cast("int")), i % 32 * 2 + 1, F.lit(2)), 16, 10).cast("int")
+                moved = lambda first, n: F.chr((F.lit(ord(first)) + (F.ascii(c) - ord(first) + byte) % n).cast("long"))
+                in_hex = F.substr(F.lit(HEX), (F.instr(F.lit(HEX), c) - 1 + byte) % 16 + 1, F.lit(1))
+                return F.when(s["x"], in_hex).when(c.between("0", "9"), moved("0", 10)).when(c.between("A", "Z"), moved("A", 26)).when(c.between("a", "z"), moved("a", 26)).otherwise(c)
+            return F.transform(s["half"], put)
+        stream = lambda s: _held({"stream": F.transform(F.sequence(F.lit(0), F.floor(F.size(s["half"]) / 32).cast("int")), lambda b: F.sha2(F.concat(s["seed"], b.cast("string")), 256)), "half": s["half"], "x": s["x"]}, by_stream)
+        return _held({"seed": seed, "half": half, "x": hexed}, stream)
+
+    def cut(s):
+        h = F.floor(F.size(s["c"]) / 2).cast("int")
+        return F.struct(F.slice(s["c"], F.lit(1), h).alias("half"), F.slice(s["c"], h + 1, F.size(s["c"])).alias("other"))
+
+    # each round shifts one half and turns the halves about; their number is even, so the first half is first again
+    first = _held({"c": F.filter(F.split(value, ""), lambda c: c != "")}, cut)
+    last = F.aggregate(F.sequence(F.lit(0), F.lit(ROUNDS - 1)), first, lambda s, r: F.struct(s["other"].alias("half"), shifted(s["half"], s["other"], hexed, r).alias("other")))
+    return _held({"s": last}, lambda v: F.concat(F.array_join(v["s"]["half"], ""), F.array_join(v["s"]["other"], "")))
 
 
 def _email(text: Column, key: str) -> Column:
-    return _held({"l": F.substring_index(text, "@", 1), "h": F.lower(F.substring_index(text, "@", -1))}, lambda s: F.concat(
-        _letters(s["l"], key, "mail"), F.lit("@h"), F.substr(F.sha2(F.concat(F.lit(f"{key} host "), s["h"]), 256), F.lit(1), F.lit(8)), F.lit(".example.com")))
+    return F.concat(permuted_text(F.substring_index(text, "@", 1), key, "mail"), F.lit("@"), permuted_text(F.substring_index(text, "@", -1), key, "host"), F.lit(".example"))
 
 
 def _secret(text: Column, key: str) -> Column:
-    value = r"[A-Za-z0-9+/_\-]{12,}$"
-    return _held({"v": F.regexp_extract(text, value, 0), "t": text}, lambda s: F.concat(F.substr(s["t"], F.lit(1), F.length(s["t"]) - F.length(s["v"])), _letters(s["v"], key, "secret")))
+    value = r"[A-Za-z0-9+/_.~\-]{12,}+$"
+    return _held({"v": F.regexp_extract(text, value, 0), "t": text}, lambda s: F.concat(F.substr(s["t"], F.lit(1), F.length(s["t"]) - F.length(s["v"])), permuted_text(s["v"], key, "secret")))
 
 
 def pseudonym(value: Column, key: str) -> Column:
     """struct(kind, new) of a found value; ``new`` is the value itself where it fails its format's check."""
     start = lambda kind: F.regexp_like(value, F.lit(f"^(?:{PATTERNS[kind]})$"))
     made = {"email": _email(value, key), "secret": _secret(value, key), "iban": _iban(value, key), "ip": _ip(value, key), "date": _date(value, key),
-            "ssn": _number(value, key, "ssn"), "phone": _number(value, key, "phone"), "card": _card(value, key)}
+            "ssn": _number(value, key, "ssn"), "phone": _phone(value, key), "card": _card(value, key)}
     out = F.struct(F.lit("none").alias("kind"), value.alias("new"))
     for kind in reversed(made):
         out = F.when(start(kind), F.struct(F.lit(kind).alias("kind"), made[kind].alias("new"))).otherwise(out)
     return out
 
 
-def pseudonymised(docs: DataFrame, text_col: str = "text", key: str = "tilewright") -> DataFrame:
+def pseudonymised(docs: DataFrame, key: str, text_col: str = "text") -> DataFrame:
     """``docs`` with the found values of ``text_col`` replaced, and ``pii``: array of (kind, value pseudonym) in their order.
 
+    ``key`` is the secret of the permutations; with the same key, equal values get equal pseudonyms in all tables.
     A null text stays null with an empty array; an empty text, and one without such values, stays as it is. All other
     columns and rows are kept; an empty table stays empty. A column named ``pii`` is replaced.
     """
