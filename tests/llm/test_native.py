@@ -4,6 +4,7 @@ import random
 import re
 from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
 
 from tilewright.llm import decontaminate, pii, urlrules
@@ -92,11 +93,13 @@ def judged(url):
     return (host, path, max(fit)[1], max(fit)[2]) if fit else (host, path, None, "allow")
 
 
-def test_url_rules(spark):
+@pytest.mark.parametrize("starts", [100_000, 2])
+def test_url_rules(spark, monkeypatch, starts):
+    monkeypatch.setattr(urlrules, "STARTS", starts)
     rng = random.Random(2)
     hosts = ["example.com", "m.EXAMPLE.com", "com", "xcom", "example.net", "a.b.example.net", "example.org", "a.example.org", "q.a.example.org", "net", "", "example.com:80", "exampleXcom", "É.com"]
     paths = ["", "/", "/en/7", "/en/71/x", "/en/8", "/de/8", "/de/9?x#y", "/es/", "?en/", "#/en/", "/EN/7", "/en/7\nz"]
-    urls = [(i, f"{rng.choice(['http', 'https', ''])}{rng.choice(['://', '://', '://', ':/'])}{rng.choice(hosts)}{rng.choice(paths)}") for i in range(600)] + [(700, None), (701, ""), (None, "http://example.com/en/7"), (1, "http://example.com/en/7")]
+    urls = [(i, f"{rng.choice(['http', 'https', ''])}{rng.choice(['://', '://', '://', ':/'])}{rng.choice(hosts)}{rng.choice(paths)}") for i in range(600)] + [(700, None), (701, ""), (702, "http://" + "a." * 3000 + "example.com/en/7" + "x" * 100_000), (None, "http://example.com/en/7"), (1, "http://example.com/en/7")]
     pages = spark.createDataFrame([(i, u, "x", "y") for i, u in urls], "page_id long, url string, host string, verdict string")
     rules = spark.createDataFrame(RULES, "host string, path string, action string")
     got = sorted(tuple(map(str, r)) for r in urlrules.judge_urls(pages, rules).collect())
