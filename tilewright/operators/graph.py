@@ -12,16 +12,22 @@ from pyspark.sql import DataFrame, functions as F
 from tilewright.sources.scratch import written
 
 
+def _with_least(edges: DataFrame, least: DataFrame) -> DataFrame:
+    """Each edge with its end's least neighbour. The further key makes the join shuffle both sides for itself, apart from the
+    aggregate before it, so that adaptive execution may split the edges of a hub over several tasks."""
+    return edges.withColumn("k", F.xxhash64("u")).join(least.withColumn("k", F.xxhash64("u")), ["u", "k"]).drop("k")
+
+
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    return both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    return _with_least(both, least).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
     least = down.groupBy("u").agg(F.min("v").alias("m"))
-    moved = down.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    moved = _with_least(down, least).where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.union(least.select("u", F.col("m").alias("v")))
 
 
