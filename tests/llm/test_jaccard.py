@@ -58,12 +58,14 @@ def test_against_brute_force(spark, k, num, den):
     assert got == brute(rows, k, num, den)
 
 
-def test_blocks_agree(spark, monkeypatch):
+@pytest.mark.parametrize("few", [0, 8])
+def test_blocks_agree(spark, monkeypatch, few):
     from tilewright.llm import jaccard
 
     rows = made(11, 120)
     want = brute(rows, 3, 90, 100)
     monkeypatch.setattr(jaccard, "BLOCK", 7)
+    monkeypatch.setattr(jaccard, "FEW_BLOCKS", few)
     got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got == want
 
@@ -75,4 +77,34 @@ def test_empty_and_clashing_columns(spark):
     docs = spark.createDataFrame(rows, docs.schema)
     assert {r["doc_id"]: r["component_id"] for r in jaccard_groups(docs).collect()} == {1: 1, 2: 1, 5: 5}
     kept = one_of_each(docs).collect()
-    assert sorted(r["doc_id"] for r in kept) == [1, 5] and kept[0].asDict().keys() == {"doc_id", "text", "n", "h1", "component"}
+    assert sorted((r["doc_id"] or 0) for r in kept) == [0, 1, 5] and kept[0].asDict().keys() == {"doc_id", "text", "n", "h1", "component"}
+
+
+def test_ids_of_several_texts_and_null_ids(spark):
+    t = [" ".join(f"w{a}" for a in range(b, b + 60)) for b in (0, 200, 400, 600)]
+    near = [x + " more" for x in t]
+    rows = [(1, t[0]), (1, t[1]), (2, near[1]), (3, near[0]), (4, t[2]), (1, t[0]), (None, near[2]), (None, t[3]), (None, t[3])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((r["doc_id"], r["component_id"]) for r in jaccard_groups(docs, k=5, num=80).collect())
+    assert got == [(1, 1), (1, 1), (1, 1), (2, 1), (3, 1), (4, 4)]
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in one_of_each(docs).collect()) == sorted([(1, t[0]), (1, t[0]), (1, t[1]), (4, t[2]), (0, t[3]), (0, t[3])])
+
+
+def test_a_chain_of_sets_that_only_meet(spark, monkeypatch):
+    """Sets that meet their neighbours by a rare shingle but link with none: copies grow with the lists, not with blocks."""
+    from tilewright.llm import jaccard
+
+    monkeypatch.setattr(jaccard, "BLOCK", 20)
+    n = 2000
+    keyed = spark.range(n).selectExpr("explode(array(id, id + 1)) h", "0L a", "0L b", "id node")
+    groups = spark.range(n).selectExpr("id node", "0L component")
+    got = jaccard._comparisons(keyed, groups)
+    assert n < got.count() <= 3 * n
+    both = got.alias("x").join(got.alias("y"), ["component", "i", "j"]).where("x.node = y.node - 1").select("x.node").distinct().count()
+    assert both == n - 1
+
+
+def test_very_long_texts(spark):
+    long = " ".join(f"w{i}" for i in range(150_000))
+    docs = spark.createDataFrame([(1, long), (2, long + " end"), (3, "x" * 500_000), (4, "w1 " * 100_000)], "doc_id long, text string")
+    assert {r["doc_id"]: r["component_id"] for r in jaccard_groups(docs).collect()} == {1: 1, 2: 1, 3: 3, 4: 4}

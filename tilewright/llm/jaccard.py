@@ -5,9 +5,11 @@ their sizes demand, so a shared subset *is* the link and nothing has to be verif
 the lists of a set's rarest shingles have to be scanned, for two similar sets must share one of them. The boundary is the
 size at which enumerating subsets begins to cost more than scanning lists, taken from the histogram of set sizes.
 
-Sets that are equal are one class from the start. Lists do not emit pairs: they only say which sets must meet. Sets that
-meet are brought together once each and compared there by blocks, and only a spanning tree of what links is emitted, so a
-group of near copies costs edges in proportion to its size and no link between different texts is lost.
+Sets that are equal are one class from the start. Lists do not emit pairs: they only say which sets must meet. Groups of sets
+that meet are cut into blocks. A set goes to its own block, and to the comparison of two blocks if one of its lists reaches into
+the other; there only a spanning tree of what links is emitted. So a group of near copies costs edges in proportion to its
+size, a long chain of sets that meet only their neighbours costs copies in proportion to its lists, and no link between
+different texts is lost.
 """
 
 from __future__ import annotations
@@ -30,6 +32,8 @@ from tilewright.sources.scratch import written
 LIGHT_MOST = 40
 #: Sets compared at once in a task; larger groups meet block by block.
 BLOCK = 768
+#: Groups of at most so many blocks compare all their blocks; in larger ones the lists say which.
+FEW_BLOCKS = 8
 #: Lists are cut into classes of size, each reaching to so many times its smallest size.
 STEP = 1.03
 
@@ -116,45 +120,48 @@ def boundary(histogram: dict[int, int], num: int, den: int) -> int:
 
 
 def _light_links(light: DataFrame, most: int, num: int, den: int) -> DataFrame:
+    """Links by shared subsets, which are told apart by two sums of 64 bits each."""
+
     def subsets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for rid, s in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                h = bt.mix(np.array(s, np.int64).view(U64) * U64(7))
-                total = np.add.reduce(h)
+            for node, s in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                x = np.array(s, np.int64).view(U64)
+                sums = [bt.mix(x * U64(7)), bt.mix(x * U64(11))]
                 for o in subset_sizes(len(s), most, num, den):
-                    sig = total - h[_left_out(len(s), len(s) - o)].sum(axis=1, dtype=U64)
-                    m = len(sig)
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(m, rid)), pa.array(np.full(m, len(s))), pa.array(np.full(m, o)), pa.array(sig.view(np.int64))], ["rid", "n", "o", "sig"])
+                    out = _left_out(len(s), len(s) - o)
+                    a, b = (np.add.reduce(h) - h[out].sum(axis=1, dtype=U64) for h in sums)
+                    m = len(a)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(m, node)), pa.array(np.full(m, len(s))), pa.array(np.full(m, o)), pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], ["node", "n", "o", "sig", "more"])
 
-    made = light.select("rid", "small").mapInArrow(subsets, "rid long, n long, o long, sig long")
-    first = made.groupBy("o", "sig").agg(F.min(F.struct("n", "rid")).alias("f"), F.count("*").alias("c")).where("c > 1")
+    made = light.select("node", "small").mapInArrow(subsets, "node long, n long, o long, sig long, more long")
+    first = made.groupBy("o", "sig", "more").agg(F.min(F.struct("n", "node")).alias("f"), F.count("*").alias("c")).where("c > 1")
     # every pair of the group that links by this subset also links, by it, to the group's smallest set
-    return (made.join(first, ["o", "sig"]).where(f"rid <> f.rid and {num} * (n + f.n) <= {num + den} * o")
-            .select(F.col("rid").alias("u"), F.col("f.rid").alias("v")).distinct())
+    return (made.join(first, ["o", "sig", "more"]).where(f"node <> f.node and {num} * (n + f.n) <= {num + den} * o")
+            .select(F.col("node").alias("u"), F.col("f.node").alias("v")).distinct())
 
 
 # --- heavy sets -------------------------------------------------------------------------------------------------------
 
 
 def _postings(reps: DataFrame, bound: int, num: int, den: int) -> DataFrame:
-    """(h, rid, n, place): list entries of the shingles that must be scanned, without those that no other set has.
+    """(h, node, n, place): list entries of the shingles that must be scanned, without those that no other set has.
 
     The common order of shingles: those of the sampled tier by the number of sets that have them, then the rest. ``place``
     is the shingle's place in the set by that order, or less.
     """
     own = F.size(F.filter("tier", lambda x: x < bound))
-    listed = reps.select("rid", "n", own.alias("m"), F.explode("tier").alias("h"))
+    listed = reps.select("node", "n", own.alias("m"), F.explode("tier").alias("h"))
     often = listed.groupBy("h").agg(F.count("*").alias("df")).where("df > 1")
     held = listed.join(often, "h").withColumn("late", F.col("h") >= F.lit(bound))
-    mine = Window.partitionBy("rid")
+    mine = Window.partitionBy("node")
     # the shingles that no other set has come first among the tier's
     alone = F.when(F.col("late"), 0).otherwise(F.col("m") - F.count_if(~F.col("late")).over(mine))
     place = F.row_number().over(mine.orderBy("late", "df", "h")) + alone
-    return held.select("h", "rid", "n", place.alias("place")).where(f"place <= n - ceil({num} * n / {den}) + 1")
+    return held.select("h", "node", "n", place.alias("place")).where(f"place <= n - ceil({num} * n / {den}) + 1")
 
 
 def _keyed(lists: DataFrame, num: int, den: int) -> DataFrame:
-    """(h, a, b, rid): each list cut by size. A set stands under the classes of sizes a and b if it is of one of them and
+    """(h, a, b, node): each list cut by size. A set stands under the classes of sizes a and b if it is of one of them and
     may, by the place that the shingle has in it, link to a set of the other."""
     step = math.log(STEP)
     reach = math.ceil(math.log(den / num) / step) + 1
@@ -164,7 +171,7 @@ def _keyed(lists: DataFrame, num: int, den: int) -> DataFrame:
     least, most = F.floor(F.exp(F.col("o") * step) - 1e-6), F.ceil(F.exp((F.col("o") + 1) * step) + 1e-6)
     lists = lists.withColumn("least", F.greatest(least, F.expr(f"ceil({num} * n / {den})"))).where((F.col("least") <= most) & (least * num <= F.col("n") * den))
     lists = lists.where(f"place <= n - ceil({num} * (n + least) / {num + den}) + 1")
-    return lists.select("h", F.least("c", "o").alias("a"), F.greatest("c", "o").alias("b"), "rid")
+    return lists.select("h", F.least("c", "o").alias("a"), F.greatest("c", "o").alias("b"), "node")
 
 
 def _tree(sizes: np.ndarray, values: np.ndarray, first: int, num: int, den: int) -> Iterator[tuple[int, int]]:
@@ -214,39 +221,54 @@ def _tree(sizes: np.ndarray, values: np.ndarray, first: int, num: int, den: int)
 
 def _meet(k: int, num: int, den: int):
     def compare(table: pa.Table) -> pa.Table:
-        """One group: the texts of block i, or those of blocks i and j."""
-        table = table.sort_by([("side", "ascending"), ("rid", "ascending")])
-        rid, side = table.column("rid").to_numpy(), table.column("side").to_numpy()
+        """One group: the texts of block i, or those of blocks i and j. A text whose set is not the one meant, of an id that
+        several texts share, is left out."""
+        table = table.sort_by([("side", "ascending"), ("node", "ascending")])
+        node, side, meant = (table.column(c).to_numpy() for c in ("node", "side", "h1"))
         sets = []
         for chunk in table.column("text").chunks:
             data, off = bt.column_bytes(chunk)
             for _, _, d, o in bt.slices(data, off):
                 sets += list(_sets(d, o, k))
+        keep = np.array([len(s) > 0 and int(np.bitwise_xor.reduce(bt.mix(s)).view(np.int64)) == h for s, h in zip(sets, meant, strict=True)], bool)
+        keep[1:] &= (node[1:] != node[:-1]) | ~keep[:-1]
+        sets, node, side = [s for s, ok in zip(sets, keep, strict=True) if ok], node[keep], side[keep]
         sizes = np.array([len(s) for s in sets], np.int64)
         values = np.concatenate(sets) if sets else np.zeros(0, U64)
-        pairs = list(_tree(sizes, values, int((side == 0).sum()) if side.any() else 0, num, den))
-        u, v = [rid[a] for a, _ in pairs], [rid[b] for _, b in pairs]
+        pairs = [] if len(sets) < 2 or (side.any() and side.all()) else list(_tree(sizes, values, int((side == 0).sum()) if side.any() else 0, num, den))
+        u, v = [node[a] for a, _ in pairs], [node[b] for _, b in pairs]
         return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
 
     return compare
 
 
-def _heavy_links(texts: DataFrame, id_col: str, text_col: str, reps: DataFrame, bound: int, k: int, num: int, den: int) -> DataFrame:
-    lists = written(_postings(reps, bound, num, den), "lists")
-    keyed = _keyed(lists, num, den)
-    lead = keyed.groupBy("h", "a", "b").agg(F.min("rid").alias("v"), F.max("rid").alias("w")).where("v < w").drop("w")
-    meets = keyed.join(lead, ["h", "a", "b"]).where("rid <> v").select(F.col("rid").alias("u"), "v").distinct()
-    groups = connected_components(meets)
+def _reached(keyed: DataFrame, large: DataFrame) -> DataFrame:
+    """(node, component, b, o): of the sets of large groups, the blocks o that their lists reach, their own one among them."""
+    listed = keyed.withColumnRenamed("b", "c").join(large.select("node", "component", "b"), "node")
+    blocks = listed.groupBy("h", "a", "c").agg(F.collect_set("b").alias("os"))
+    return listed.join(blocks, ["h", "a", "c"]).select("node", "component", "b", F.explode("os").alias("o")).distinct()
+
+
+def _comparisons(keyed: DataFrame, groups: DataFrame) -> DataFrame:
+    """(node, component, i, j, side): the comparisons of blocks i <= j that each set takes part in."""
     many = groups.groupBy("component").agg(F.ceil(F.count("*") / F.lit(BLOCK)).alias("blocks"))
     spot = F.pmod(F.xxhash64("node"), F.col("blocks"))
-    placed = groups.join(many, "component").select("node", "component", "blocks", spot.alias("b"))
-    held = texts.select(F.col(id_col).alias("node"), F.col(text_col).alias("text")).join(placed.hint("merge"), "node")
+    placed = written(groups.join(many, "component").select("node", "component", "blocks", spot.alias("b")), "placed")
     # block b meets itself, the blocks after it as the left side, and those before it as the right side
-    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("o")
-    dealt = held.select("node", "text", "component", "b", other).select(
-        F.col("node").alias("rid"), "text", "component", F.least("b", "o").alias("i"), F.greatest("b", "o").alias("j"),
-        (F.col("b") > F.col("o")).cast("int").alias("side"))
-    return dealt.groupBy("component", "i", "j").applyInArrow(_meet(k, num, den), "u long, v long")
+    few = placed.where(F.col("blocks") <= FEW_BLOCKS).select("node", "component", "b", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("o"))
+    large = placed.where(F.col("blocks") > FEW_BLOCKS)
+    dealt = few.unionByName(_reached(keyed, large)) if large.limit(1).count() else few
+    return dealt.select("node", "component", F.least("b", "o").alias("i"), F.greatest("b", "o").alias("j"), (F.col("b") > F.col("o")).cast("int").alias("side"))
+
+
+def _heavy_links(texts: DataFrame, id_col: str, text_col: str, reps: DataFrame, bound: int, k: int, num: int, den: int) -> DataFrame:
+    lists = written(_postings(reps, bound, num, den), "lists")
+    keyed = _keyed(lists, num, den)
+    lead = keyed.groupBy("h", "a", "b").agg(F.min("node").alias("v"), F.max("node").alias("w")).where("v < w").drop("w")
+    meets = keyed.join(lead, ["h", "a", "b"]).where("node <> v").select(F.col("node").alias("u"), "v").distinct()
+    dealt = _comparisons(keyed, connected_components(meets)).join(reps.select("node", "rid", "h1"), "node")
+    held = texts.select(F.col(id_col).alias("rid"), F.col(text_col).alias("text")).join(dealt.hint("merge"), "rid")
+    return held.select("node", "h1", "text", "component", "i", "j", "side").groupBy("component", "i", "j").applyInArrow(_meet(k, num, den), "u long, v long")
 
 
 # --- the operator -----------------------------------------------------------------------------------------------------
@@ -257,28 +279,41 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     Words are runs of other bytes than ASCII white space, A-Z lower-cased; a document's set holds its distinct shingles
     of ``k`` words, or its whole sequence if it has fewer. ``component_id`` is the smallest id reachable by links. A null
-    or empty text has an empty set, links with nothing and is its own component; rows with a null id are left out, an id
-    that stands on several rows is one document per distinct text and takes the smallest component of them. An empty
+    or empty text has an empty set, links with nothing and is its own component; rows with a null id are left out; each row
+    of an id that stands on several rows is judged by its own text. Repeated rows stay. Texts may be of any length. An empty
     table gives an empty result. Other columns are not looked at.
     """
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).where("doc_id is not null")
     profile, bound = _profiler(k, num, den)
     docs_seen = written(docs.mapInArrow(profile, _PROFILE), "profiles")
     key = ["h1", "h2", "n"]
-    classes = docs_seen.where("n > 0").groupBy(*key).agg(F.min("doc_id").alias("rid"))
-    reps = docs_seen.where("n > 0").join(classes, key).where("doc_id = rid").dropDuplicates(["rid"])
-    reps = written(reps.select("rid", "n", "tier", "small"), "classes")
+    # a class of equal sets has its smallest id as node; if another class has that id too, a negative digest
+    found = docs_seen.where("n > 0").groupBy(*key).agg(F.min("doc_id").alias("rid"), F.min_by(F.struct("tier", "small"), "doc_id").alias("s"))
+    turn = F.row_number().over(Window.partitionBy("rid").orderBy(*key))
+    named = found.select("rid", *key, F.col("s.tier").alias("tier"), F.col("s.small").alias("small"), F.when(turn == 1, F.col("rid")).otherwise(-1 - F.pmod(F.xxhash64(*key), F.lit(2**62))).alias("node"))
+    reps = written(named, "classes")
     sizes = {r["n"]: r["c"] for r in reps.where(F.col("n") <= 2 * LIGHT_MOST).groupBy("n").agg(F.count("*").alias("c")).collect()}
     x = boundary(sizes, num, den)
     light = _light_links(reps.where(F.col("n") <= x), x, num, den)
     heavy = _heavy_links(docs, "doc_id", "text", reps.where(F.col("n") * den >= num * (x + 1)), bound, k, num, den)
     groups = connected_components(light.union(heavy))
-    of_class = classes.join(groups, F.col("rid") == F.col("node"), "left").select(*key, F.coalesce("component", "rid").alias("component_id"))
-    out = docs_seen.select("doc_id", *key).join(of_class, key, "left")
+    of_class = reps.join(groups, "node", "left").select(*key, "rid", F.coalesce("component", "node").alias("component"))
+    if reps.where("node <> rid").limit(1).count():  # the smallest id of a component is not that of its node
+        least = of_class.groupBy("component").agg(F.min("rid").alias("component_id"))
+        of_class = of_class.join(least, "component")
+    else:
+        of_class = of_class.withColumnRenamed("component", "component_id")
+    out = docs_seen.select("doc_id", *key).join(of_class.select(*key, "component_id"), key, "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, num: int = 80, den: int = 100) -> DataFrame:
-    """The rows of ``docs`` whose document has the smallest id of its group, with all their columns."""
-    groups = jaccard_groups(docs, id_col, text_col, k, num, den).where("doc_id = component_id")
-    return docs.join(groups.select(F.col("doc_id").alias(id_col)).distinct(), id_col, "left_semi")
+    """The rows of ``docs`` whose document has the smallest id of its group, with all their columns.
+
+    Rows with a null id come after all others: such a row stays if no row with an id, and none of a smaller digest of its
+    text, is in its group. Rows that share an id and a group stay together.
+    """
+    own = F.coalesce(F.col(id_col).cast("long"), F.pmod(F.xxhash64(F.col(text_col).cast("string")), F.lit(2**61)) + F.lit(2**62))
+    keyed = docs.withColumn("_own", own)
+    groups = jaccard_groups(keyed, "_own", text_col, k, num, den).where("doc_id = component_id")
+    return keyed.join(groups.select(F.col("doc_id").alias("_own")).distinct(), "_own", "left_semi").select(docs.columns)
