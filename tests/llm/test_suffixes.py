@@ -61,6 +61,39 @@ def test_long_text_in_steps(spark, monkeypatch):
     assert got == brute(rows)
 
 
+@pytest.mark.parametrize("hot", [1, 3])
+def test_windows_of_hot_anchors_one_by_one(spark, monkeypatch, hot):
+    from tilewright.llm import suffixes
+
+    monkeypatch.setattr(suffixes, "HOT", hot)
+    rng = random.Random(6)
+    line = "a line that stands in many documents with other words around"
+    rows = made(5) + [(20_000 + i, f"{rng.random()} {rng.random()} {line} {rng.random()} {rng.random()}") for i in range(60)]
+    got = {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), block_bytes=2000).collect()}
+    assert got == brute(rows)
+
+
+def test_equal_fingerprints_of_unlike_runs(spark, monkeypatch):
+    """Fingerprints of few bits put unlike runs together; the bytes tell them apart."""
+    from tilewright.llm import bytetext, suffixes
+
+    real = bytetext.spans_hash
+    monkeypatch.setattr(suffixes.bt, "spans_hash", lambda *a: real(*a) & suffixes.U64(7))
+    rows = made(7)
+    docs = [(i, (t or "").encode()) for i, t in rows]
+    want = brute(rows)
+    import pyarrow as pa
+
+    table = pa.table({"doc_id": pa.array([i for i, _ in docs], pa.int64()), "text": pa.array([t for _, t in docs], pa.binary()), "block": pa.array([0] * len(docs), pa.int32())})
+    asked = suffixes._ask(50, 1)(table)
+    found = suffixes._answer(asked)
+    bits = suffixes._sorted(50)(suffixes._send(50, 1)(table, found))
+    none = lambda t, **k: pa.table({c: t.column(c) if c in t.column_names else pa.nulls(len(t), k[c]) for c in ("block", "bucket", "part", "anchors", "hot", "gone")})
+    back = pa.concat_tables([none(found, part=pa.int64(), gone=pa.binary()), none(bits, anchors=pa.binary(), hot=pa.binary())])
+    got = suffixes._removed(50, 1, False)(table, back).to_pylist()
+    assert {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"]) for r in got} == want
+
+
 def test_empty_table_and_kept_bytes(spark):
     schema = "doc_id long, text string, block int, bucket int, kept string"
     assert remove_repeats(spark.createDataFrame([], schema)).count() == 0

@@ -7,10 +7,14 @@ repeated windows. Three digits are used.
 1. The anchor: of the grams of a window the one with the smallest fingerprint, the leftmost of equals. Equal windows have
    equal anchors at equal places. Neighbouring windows mostly share one, so a run of them travels as one record (its
    first window and the bytes that follow). This digit deals the suffixes out to Spark's partitions; anchors that only one
-   document has end here, and only their fingerprints were sent.
+   document has end here, and only their fingerprints were sent. The windows of a hot anchor, one that stands in ``HOT`` or more
+   different runs, are dealt out one by one, by their whole bytes, so that no task holds all of them.
 2. The whole run of windows with its bytes. Runs that are equal stay together from here on, with their smallest document.
 3. Eight bytes at a time to ``depth``, for the windows of runs that differ but share an anchor.
 
+The first two digits are fingerprints of bytes: any function of a window's bytes may be a digit, for equal windows have equal
+digits. A digit may also put unlike windows together; the second is therefore compared byte by byte, and the third is bytes.
+
 Documents are dealt to blocks by id. A block asks the partitions (``buckets``) of the anchors, and the answers come back
 to the block, where the documents' texts are. What a block sends holds each anchor or run once, however often the block
 has it, so a passage that every document has costs each bucket one record per block.
@@ -19,10 +23,12 @@ has it, so a passage that every document has costs each bucket one record per bl
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from tilewright.llm import bytetext as bt
@@ -33,6 +39,8 @@ PLACE = 20  # bits of a slice's positions
 STEP = (1 << PLACE) - 4096
 #: Windows sorted at once, besides those of one anchor.
 WINDOWS = 200_000
+#: Different runs with one anchor, summed over blocks, from which on its windows are dealt out one by one.
+HOT = 20_000
 
 
 class Runs:
@@ -68,10 +76,6 @@ class Runs:
         self.anchor, self.doc = gram[at[first]], doc[window[first]]
         self.sums = sums
 
-    def contents(self, depth: int) -> np.ndarray:
-        """The fingerprint of each run's bytes."""
-        return bt.spans_hash(self.sums, self.start, self.start + self.count + depth - 1)
-
 
 def _chunks(text: pa.Array, depth: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, int]]:
     """(first document, bytes, offsets, place of the first byte in its document) of slices; longer texts come in steps."""
@@ -85,23 +89,45 @@ def _chunks(text: pa.Array, depth: int) -> Iterator[tuple[int, np.ndarray, np.nd
                 yield i, piece, np.array([0, len(piece)]), c
 
 
-def _dealt(bucket: np.ndarray, n: int) -> np.ndarray:
-    return np.searchsorted(bucket, np.arange(n + 1))
+def _cuts(bucket: np.ndarray) -> Iterator[tuple[int, int, int]]:
+    """(bucket, first, end) of each bucket that sorted rows have."""
+    if len(bucket):
+        first = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
+        yield from zip(bucket[first].tolist(), first.tolist(), [*first[1:].tolist(), len(bucket)], strict=True)
+
+
+def _same_bytes(data: np.ndarray, start: np.ndarray, other: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Whether data[start : start + size] and data[other : other + size] are the same, for each of the rows."""
+    out = np.ones(len(start), bool)
+    cut = np.r_[0, np.flatnonzero(np.diff(np.cumsum(size) >> 22)) + 1, len(start)]  # some megabytes at a time
+    for i, j in zip(cut[:-1], cut[1:], strict=True):
+        if i < j:
+            n = size[i:j]
+            within, row = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n), np.repeat(np.arange(i, j), n)
+            out[row[data[start[row] + within] != data[other[row] + within]]] = False
+    return out
 
 
 def _bucket(anchor: np.ndarray, n: int) -> np.ndarray:
     return ((anchor >> U64(32)) * U64(n) >> U64(32)).astype(np.int64)
 
 
-_ASK = "bucket int, block int, anchors binary, several binary"
-_FOUND = "block int, bucket int, anchors binary"
+_ASK = "bucket int, block int, anchors binary, several binary, runs binary"
+_FOUND = "block int, bucket int, anchors binary, hot binary"
 _RUNS = "bucket int, block int, part long, anchors binary, docs binary, counts binary, bytes binary"
 _BITS = "block int, bucket int, part long, gone binary"
 
 
+def _table(rows: list[tuple], ddl: str) -> pa.Table:
+    kinds = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary(), "string": pa.string()}
+    fields = [f.split() for f in ddl.split(", ")]
+    columns = zip(*rows, strict=True) if rows else [[]] * len(fields)
+    return pa.Table.from_arrays([pa.array(x, kinds[k]) for x, (_, k) in zip(columns, fields, strict=True)], [n for n, _ in fields])
+
+
 def _ask(depth: int, n_buckets: int):
     def ask(table: pa.Table) -> pa.Table:
-        """The anchors of a block, each once, by bucket, with whether several of its documents have it."""
+        """The anchors of a block, each once, by bucket, with whether several of its documents have it, and its different runs."""
         block = table.column("block")[0].as_py()
         held = []
         for chunk in table.column("text").chunks:
@@ -109,84 +135,127 @@ def _ask(depth: int, n_buckets: int):
                 r = Runs(d, o, depth)
                 if not len(r.anchor):
                     continue
-                order = np.lexsort((r.doc, r.anchor))
-                a, doc = r.anchor[order], r.doc[order]
-                new = np.r_[True, a[1:] != a[:-1]]
-                first = np.flatnonzero(new)
-                last = np.r_[first[1:], len(a)] - 1
-                held.append((a[first], doc[first] != doc[last]))
-        anchors, several = (np.concatenate(x) for x in zip(*held, strict=True)) if held else (np.zeros(0, U64), np.zeros(0, bool))
+                what = bt.spans_hash(r.sums, r.start, r.start + r.count + depth - 1)
+                order = np.lexsort((what, r.anchor))
+                a, w, doc = r.anchor[order], what[order], r.doc[order]
+                other = np.r_[True, a[1:] != a[:-1]]
+                first = np.flatnonzero(other)
+                held.append((a[first], np.minimum.reduceat(doc, first) != np.maximum.reduceat(doc, first), np.add.reduceat((other | np.r_[True, w[1:] != w[:-1]]).astype(np.int64), first)))
+        anchors, several, runs = (np.concatenate(x) for x in zip(*held, strict=True)) if held else (np.zeros(0, U64), np.zeros(0, bool), np.zeros(0, np.int64))
         # several slices hold different documents, but for a text of more than one slice, where asking too much does no harm
         anchors, place, count = np.unique(anchors, return_inverse=True, return_counts=True)
         more = count > 1
         more |= np.bincount(place, several, len(anchors)) > 0
-        cut = _dealt(_bucket(anchors, n_buckets), n_buckets)
-        rows = [(b, block, anchors[i:j].tobytes(), np.packbits(more[i:j]).tobytes()) for b, (i, j) in enumerate(zip(cut[:-1], cut[1:], strict=True)) if i < j]
-        return pa.Table.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True) if rows else [[]] * 4, (pa.int32(), pa.int32(), pa.binary(), pa.binary()), strict=True)], ["bucket", "block", "anchors", "several"])
+        runs = np.minimum(np.bincount(place, runs, len(anchors)), 65535).astype(np.uint16)
+        return _table([(b, block, anchors[i:j].tobytes(), np.packbits(more[i:j]).tobytes(), pa.compress(runs[i:j].tobytes(), codec="zstd", asbytes=True)) for b, i, j in _cuts(_bucket(anchors, n_buckets))], _ASK)
 
     return ask
 
 
 def _answer(table: pa.Table) -> pa.Table:
-    """Of a bucket's anchors those that several documents have, for each block that asked for them."""
+    """Of a bucket's anchors those that several documents have, for each block that asked for them, and whether they are hot."""
     asked = [np.frombuffer(x, U64) for x in table.column("anchors").to_pylist()]
     several = [np.unpackbits(np.frombuffer(x, np.uint8), count=len(a)).astype(bool) for x, a in zip(table.column("several").to_pylist(), asked, strict=True)]
-    every = np.sort(np.concatenate(asked))
-    often = np.unique(every[1:][every[1:] == every[:-1]])
+    runs = [np.frombuffer(pa.decompress(x, decompressed_size=2 * len(a), codec="zstd", asbytes=True), np.uint16) for x, a in zip(table.column("runs").to_pylist(), asked, strict=True)]
+    every = np.concatenate(asked)
+    order = np.argsort(every, kind="stable")
+    every, n = every[order], np.concatenate(runs)[order].astype(np.int64)
+    first = np.flatnonzero(np.r_[True, every[1:] != every[:-1]])
+    blocks, total = np.diff(np.r_[first, len(every)]), np.add.reduceat(n, first)
+    often, hot = every[first][blocks > 1], every[first][total >= HOT]
     rows = []
     for block, a, s in zip(table.column("block").to_pylist(), asked, several, strict=True):
-        at = np.searchsorted(often, a)
-        at[at == len(often)] = 0
-        hit = s | (often[at] == a) if len(often) else s
+        hit = s | _among(a, often)
         if hit.any():
-            rows.append((block, table.column("bucket")[0].as_py(), a[hit].tobytes()))
-    return pa.Table.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True) if rows else [[]] * 3, (pa.int32(), pa.int32(), pa.binary()), strict=True)], ["block", "bucket", "anchors"])
+            rows.append((block, table.column("bucket")[0].as_py(), a[hit].tobytes(), np.packbits(_among(a[hit], hot)).tobytes()))
+    return _table(rows, _FOUND)
+
+
+def _among(a: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Whether each value is in the sorted ``known``."""
+    if not len(known):
+        return np.zeros(len(a), bool)
+    at = np.searchsorted(known, a)
+    at[at == len(known)] = 0
+    return known[at] == a
+
+
+def _known(answers: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """The found anchors of a block in their order, and whether each is hot."""
+    if not answers.num_rows:
+        return np.zeros(0, U64), np.zeros(0, bool)
+    found = [np.frombuffer(x, U64) for x in answers.column("anchors").to_pylist()]
+    hot = [np.unpackbits(np.frombuffer(x, np.uint8), count=len(a)).astype(bool) for x, a in zip(answers.column("hot").to_pylist(), found, strict=True)]
+    found, hot = np.concatenate(found), np.concatenate(hot)
+    order = np.argsort(found, kind="stable")
+    return found[order], hot[order]
+
+
+class Sent:
+    """What a slice sends: runs, or single windows of hot anchors, in the order of anchor, content and document. ``new`` marks
+    the first of those that are equal; only it is sent, the others share its answer."""
+
+    def __init__(self, d: np.ndarray, r: Runs, ids: np.ndarray, found: np.ndarray, hot: np.ndarray, depth: int):
+        take = np.flatnonzero(_among(r.anchor, found))
+        warm = hot[np.searchsorted(found, r.anchor[take])] if len(take) else np.zeros(0, bool)
+        single, whole = take[warm], take[~warm]
+        n = r.count[single]
+        within = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        start = np.r_[r.start[whole], np.repeat(r.start[single], n) + within]
+        count = np.r_[r.count[whole], np.ones(len(within), np.int64)]
+        index = np.r_[r.doc[whole], np.repeat(r.doc[single], n)]
+        what = bt.spans_hash(r.sums, start, start + count + depth - 1) if len(start) else np.zeros(0, U64)
+        # a window of a hot anchor has a digit of its own: its bytes, salted so that it meets no anchor
+        anchor = np.r_[r.anchor[whole], bt.mix(what[len(whole) :] ^ U64(0xA0761D6478BD642F))]
+        doc = ids[index]
+        order = np.lexsort((doc, what, anchor))
+        self.start, self.count, self.index, self.anchor, self.doc = start[order], count[order], index[order], anchor[order], doc[order]
+        what = what[order]
+        self.new = np.ones(len(order), bool)
+        if len(order) > 1:
+            before = np.arange(len(order) - 1)
+            alike = (self.anchor[1:] == self.anchor[:-1]) & (what[1:] == what[:-1]) & (self.count[1:] == self.count[:-1])
+            at = before[alike]
+            same = _same_bytes(d, self.start[at], self.start[at + 1], self.count[at] + depth - 1)
+            self.new[at[same] + 1] = False
 
 
-def _kept_runs(text: pa.ChunkedArray, ids: np.ndarray, found: np.ndarray, depth: int) -> Iterator[tuple]:
-    """Slice by slice the runs whose anchor is found, each content once: what is sent, and what it stands for."""
+def _in_order(docs: pa.Table) -> pa.Table:
+    """A block's documents in an order that does not depend on how they arrived."""
+    return docs.sort_by([("doc_id", "ascending"), ("text", "ascending")])
+
+
+def _sent(text: pa.ChunkedArray, ids: np.ndarray, answers: pa.Table, depth: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, int, Sent]]:
+    """(number, first document, bytes, offsets, place in the document) of each slice that sends something, and what it sends."""
+    found, hot = _known(answers)
     base, part = 0, 0
     for chunk in text.chunks:
         for i, d, o, c in _chunks(chunk, depth):
             r = Runs(d, o, depth)
-            at = np.searchsorted(found, r.anchor)
-            at[at == len(found)] = 0
-            take = np.flatnonzero(found[at] == r.anchor) if len(found) and len(r.anchor) else np.zeros(0, np.int64)
-            if len(take):
-                what, doc = r.contents(depth)[take], ids[base + i + r.doc[take]]
-                order = np.lexsort((doc, what, r.anchor[take]))
-                a, w = r.anchor[take][order], what[order]
-                new = np.r_[True, (a[1:] != a[:-1]) | (w[1:] != w[:-1])]
-                yield part, base + i, d, o, c, r, take[order], doc[order], new
+            if len(r.anchor) and len(found):
+                sent = Sent(d, r, ids[base + i :], found, hot, depth)
+                if len(sent.new):
+                    yield part, base + i, d, o, c, sent
             part += 1
         base += len(chunk)
 
 
-def _in_order(docs: pa.Table) -> pa.Table:
-    """A block's documents in an order that does not depend on how they arrived."""
-    return docs.sort_by([("doc_id", "ascending"), ("text", "ascending")])
-
-
 def _send(depth: int, n_buckets: int):
     def send(docs: pa.Table, answers: pa.Table) -> pa.Table:
         """The runs of a block that go on to the next digits, by bucket."""
         rows = []
         if docs.num_rows and answers.num_rows:
             block = docs.column("block")[0].as_py()
-            found = np.sort(np.concatenate([np.frombuffer(x, U64) for x in answers.column("anchors").to_pylist()]))
             docs = _in_order(docs)
-            for part, _, d, _, _, r, take, doc, new in _kept_runs(docs.column("text"), docs.column("doc_id").to_numpy(), found, depth):
-                run = take[new]
-                cut = _dealt(_bucket(r.anchor[run], n_buckets), n_buckets)
-                size = r.count[run] + depth - 1
+            for part, _, d, _, _, sent in _sent(docs.column("text"), docs.column("doc_id").to_numpy(), answers, depth):
+                anchor, doc, count, start = (x[sent.new] for x in (sent.anchor, sent.doc, sent.count, sent.start))
+                size = count + depth - 1
                 ends = np.cumsum(size)
-                index = np.repeat(r.start[run] - (ends - size), size) + np.arange(ends[-1])
+                index = np.repeat(start - (ends - size), size) + np.arange(ends[-1])
                 data, ends = d[index], np.r_[0, ends]
-                rows += [(b, block, part, r.anchor[run][i:j].tobytes(), doc[new][i:j].tobytes(), r.count[run][i:j].astype(np.uint8).tobytes(), pa.compress(data[ends[i] : ends[j]].tobytes(), codec="zstd", asbytes=True))
-                         for b, (i, j) in enumerate(zip(cut[:-1], cut[1:], strict=True)) if i < j]
-        kinds = (pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.binary())
-        return pa.Table.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True) if rows else [[]] * 7, kinds, strict=True)],
-                                    ["bucket", "block", "part", "anchors", "docs", "counts", "bytes"])
+                rows += [(b, block, part, anchor[i:j].tobytes(), doc[i:j].tobytes(), count[i:j].astype(np.uint8).tobytes(), pa.compress(data[ends[i] : ends[j]].tobytes(), codec="zstd", asbytes=True))
+                         for b, i, j in _cuts(_bucket(anchor, n_buckets))]
+        return _table(rows, _RUNS)
 
     return send
 
@@ -260,8 +329,15 @@ def _sorted(depth: int):
         count = np.concatenate(counts)
         size = count + depth - 1
         start = np.cumsum(size) - size
-        # second digit: whole runs
-        order, group = _groups(anchor, _run_hashes(data, start, size))
+        # second digit: whole runs, by fingerprint; what then differs byte by byte gets another one
+        digit = _run_hashes(data, start, size)
+        while True:
+            order, group = _groups(anchor, size.astype(U64), digit)
+            lead = order[np.flatnonzero(np.r_[True, group[1:] != group[:-1]])][group]
+            same = _same_bytes(data, start[order], start[lead], size[order])
+            if same.all():
+                break
+            digit[order[~same]] += U64(1)
         least, _ = _least(order, group, doc)
         one = order[np.r_[True, group[1:] != group[:-1]]]  # of each kind of run one
         kind = np.empty(len(anchor), np.int64)
@@ -302,28 +378,22 @@ def _removed(depth: int, n_buckets: int, with_kept: bool):
     def remove(docs: pa.Table, answers: pa.Table) -> pa.Table:
         docs = _in_order(docs)
         ids, text = docs.column("doc_id").to_numpy(), docs.column("text")
-        found = np.zeros(0, U64)
-        bits: dict[tuple[int, int], np.ndarray] = {}
-        if answers.num_rows:
-            known = answers.filter(answers.column("part").is_null()) if answers.column("part").null_count else answers.slice(0, 0)
-            if known.num_rows:
-                found = np.sort(np.concatenate([np.frombuffer(x, U64) for x in known.column("anchors").to_pylist()]))
-            parts, buckets, gone = (answers.column(x).to_pylist() for x in ("part", "bucket", "gone"))
-            bits = {(p, b): np.frombuffer(g, U64) for p, b, g in zip(parts, buckets, gone, strict=True) if p is not None}
+        known = answers.filter(pc.is_null(answers.column("part")))
+        parts, buckets, gone = (answers.column(x).to_pylist() for x in ("part", "bucket", "gone"))
+        bits = {(p, b): np.frombuffer(g, U64) for p, b, g in zip(parts, buckets, gone, strict=True) if p is not None}
         starts: dict[int, list[np.ndarray]] = {}
-        for part, base, _, o, c, r, take, doc, new in _kept_runs(text, ids, found, depth):
-            run = take[new]
-            cut = _dealt(_bucket(r.anchor[run], n_buckets), n_buckets)
-            mine = np.concatenate([bits[part, b] for b in range(n_buckets) if cut[b] < cut[b + 1]])
+        for part, base, _, o, c, sent in _sent(text, ids, known, depth):
+            new, doc = sent.new, sent.doc
+            mine = np.concatenate([bits[part, b] for b, _, _ in _cuts(_bucket(sent.anchor[new], n_buckets))])
             group = np.cumsum(new) - 1
             least = doc[new]  # of equal runs of the slice, the smallest document comes first
-            full = (U64(1) << r.count[take].astype(U64)) - U64(1)
+            full = (U64(1) << sent.count.astype(U64)) - U64(1)
             mask = np.where(doc != least[group], full, mine[group])
-            k, n = np.flatnonzero(mask), None
-            n = r.count[take[k]]
+            k = np.flatnonzero(mask)
+            n = sent.count[k]
             within = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
             on = (np.repeat(mask[k], n) >> within.astype(U64)) & U64(1) == 1
-            place, who = (np.repeat(r.start[take[k]], n) + within)[on], np.repeat(r.doc[take[k]], n)[on]
+            place, who = (np.repeat(sent.start[k], n) + within)[on], np.repeat(sent.index[k], n)[on]
             by = np.argsort(who, kind="stable")
             place, who = place[by], who[by]
             if not len(who):
@@ -355,27 +425,35 @@ def _removed(depth: int, n_buckets: int, with_kept: bool):
     return remove
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", depth: int = 50, block_bytes: int = 4 << 20, with_kept: bool = False) -> DataFrame:
+def _block_bytes(total: int) -> int:
+    """Bytes of a block: so many that a block's records for a bucket hold 16 anchors or more as long as the blocks fit a task."""
+    return min(32 << 20, max(4 << 20, math.isqrt(480 * total)))
+
+
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", depth: int = 50, block_bytes: int | None = None, with_kept: bool = False) -> DataFrame:
     """Per document: (doc_id, n_bytes, n_removed, n_spans, kept_sha256), and with ``with_kept`` the ``kept`` bytes.
 
     Each byte covered by a ``depth``-byte string that also starts in a document with a smaller id is removed; strings are
     judged on the input, overlaps count, and no string crosses documents. A null or empty text has no bytes and loses
     none; rows with a null id are left out; rows that share an id are judged as one document and come back row by row.
-    An empty table gives an empty result. Other columns are not looked at. ``depth`` lies between 28 and 82.
+    Texts may be of any length. An empty table gives an empty result. Other columns are not looked at. ``depth`` lies between
+    28 and 82.
     """
     if not GRAM + 8 <= depth <= GRAM + 62:
         raise ValueError(f"depth must lie between {GRAM + 8} and {GRAM + 62}")
     spark = docs.sparkSession
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("binary"), F.lit(b"")).alias("text")).where("doc_id is not null")
     total = docs.agg(F.sum(F.length("text"))).first()[0] or 0
-    n_buckets = n_blocks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // block_bytes))
-    docs = docs.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.lit(n_blocks)).cast("int"))
-    texts = docs.groupBy("block")
+    block_bytes, usual = block_bytes or _block_bytes(total), int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n_buckets = n_blocks = max(usual, -(-total // block_bytes))
+    tasks = -(-total // (64 << 20))
+    by = lambda df, key: (df.repartition(tasks, key) if tasks > usual else df).groupBy(key)
+    texts = by(docs.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.lit(n_blocks)).cast("int")), "block")
     asked = texts.applyInArrow(_ask(depth, n_buckets), _ASK)
-    found = asked.groupBy("bucket").applyInArrow(_answer, _FOUND)
-    runs = texts.cogroup(found.groupBy("block")).applyInArrow(_send(depth, n_buckets), _RUNS)
-    bits = runs.groupBy("bucket").applyInArrow(_sorted(depth), _BITS)
-    back = found.select("block", "bucket", F.lit(None).cast("long").alias("part"), "anchors", F.lit(None).cast("binary").alias("gone")).unionByName(
-        bits.select("block", "bucket", "part", F.lit(None).cast("binary").alias("anchors"), "gone"))
-    out = texts.cogroup(back.groupBy("block")).applyInArrow(_removed(depth, n_buckets, with_kept), _RESULT)
+    found = by(asked, "bucket").applyInArrow(_answer, _FOUND)
+    runs = texts.cogroup(by(found, "block")).applyInArrow(_send(depth, n_buckets), _RUNS)
+    bits = by(runs, "bucket").applyInArrow(_sorted(depth), _BITS)
+    back = found.select("block", "bucket", F.lit(None).cast("long").alias("part"), "anchors", "hot", F.lit(None).cast("binary").alias("gone")).unionByName(
+        bits.select("block", "bucket", "part", F.lit(None).cast("binary").alias("anchors"), F.lit(None).cast("binary").alias("hot"), "gone"))
+    out = texts.cogroup(by(back, "block")).applyInArrow(_removed(depth, n_buckets, with_kept), _RESULT)
     return out if with_kept else out.drop("kept")
