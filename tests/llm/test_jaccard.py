@@ -97,11 +97,32 @@ def test_a_chain_of_sets_that_only_meet(spark, monkeypatch):
     monkeypatch.setattr(jaccard, "BLOCK", 20)
     n = 2000
     keyed = spark.range(n).selectExpr("explode(array(id, id + 1)) h", "0L a", "0L b", "id node")
-    groups = spark.range(n).selectExpr("id node", "0L component")
-    got = jaccard._comparisons(keyed, groups)
-    assert n < got.count() <= 3 * n
-    both = got.alias("x").join(got.alias("y"), ["component", "i", "j"]).where("x.node = y.node - 1").select("x.node").distinct().count()
-    assert both == n - 1
+    placed = jaccard._cut(spark.range(n).selectExpr("id node", "0L component"))
+    copies = lambda spots: spots.selectExpr("node", "inline(spots)").collect()
+    first = copies(jaccard._first_spots(placed))
+    rest = copies(jaccard._rest_spots(keyed, placed, spark.createDataFrame([], "node long, component long")))
+    assert len(first) < 3 * n and len(rest) <= 3 * n
+    at = {}
+    for r in first + rest:
+        at.setdefault(r["node"], set()).add((r["i"], r["j"]))
+    assert all(at[x] & at[x + 1] for x in range(n - 1))
+
+
+def test_a_large_group_of_near_copies(spark, monkeypatch):
+    """Most sets link with the first block; copies grow with the group, not with its square; those apart are still found."""
+    from tilewright.llm import jaccard
+
+    monkeypatch.setattr(jaccard, "BLOCK", 10)
+    made_of = {}
+    real = jaccard._compared
+    monkeypatch.setattr(jaccard, "_compared", lambda t, r, spots, *a: (made_of.setdefault(len(made_of), spots.selectExpr("sum(size(spots)) n").first()["n"]), real(t, r, spots, *a))[1])
+    base = [f"w{i}" for i in range(200)]
+    rows = [(i, " ".join(base[:10] + [f"x{i}"] + base[11:])) for i in range(300)]
+    far = base[:10] + [f"q{i}" for i in range(19)] + base[29:]
+    rows += [(1000 + i, " ".join(far[:-1] + [f"y{i}"])) for i in range(12)]
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == brute(rows, 3, 90, 100)
+    assert 1 <= len(made_of) <= 2 and sum(made_of.values()) < 6 * len(rows)
 
 
 def test_very_long_texts(spark):

@@ -6,10 +6,11 @@ the lists of a set's rarest shingles have to be scanned, for two similar sets mu
 size at which enumerating subsets begins to cost more than scanning lists, taken from the histogram of set sizes.
 
 Sets that are equal are one class from the start. Lists do not emit pairs: they only say which sets must meet. Groups of sets
-that meet are cut into blocks. A set goes to its own block, and to the comparison of two blocks if one of its lists reaches into
-the other; there only a spanning tree of what links is emitted. So a group of near copies costs edges in proportion to its
-size, a long chain of sets that meet only their neighbours costs copies in proportion to its lists, and no link between
-different texts is lost.
+that meet are cut into blocks, and blocks are compared; only a spanning tree of what links is emitted. In a group of few blocks
+all blocks meet. In a larger one the first block meets all others first, which links most of a group of near copies; only
+sets that it has left apart are then compared with the rest, and if they are many, only with those blocks that one of their
+lists reaches. So a group of near copies costs copies and edges in proportion to its size, a long chain of sets that meet only
+their neighbours costs copies in proportion to its lists, and no link between different texts is lost.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window
 
 from tilewright.llm import bytetext as bt
@@ -32,7 +33,7 @@ from tilewright.sources.scratch import written
 LIGHT_MOST = 40
 #: Sets compared at once in a task; larger groups meet block by block.
 BLOCK = 768
-#: Groups of at most so many blocks compare all their blocks; in larger ones the lists say which.
+#: Groups of at most so many blocks compare all their blocks at once.
 FEW_BLOCKS = 8
 #: Lists are cut into classes of size, each reaching to so many times its smallest size.
 STEP = 1.03
@@ -242,23 +243,54 @@ def _meet(k: int, num: int, den: int):
     return compare
 
 
-def _reached(keyed: DataFrame, large: DataFrame) -> DataFrame:
-    """(node, component, b, o): of the sets of large groups, the blocks o that their lists reach, their own one among them."""
-    listed = keyed.withColumnRenamed("b", "c").join(large.select("node", "component", "b"), "node")
-    blocks = listed.groupBy("h", "a", "c").agg(F.collect_set("b").alias("os"))
-    return listed.join(blocks, ["h", "a", "c"]).select("node", "component", "b", F.explode("os").alias("o")).distinct()
+def _spot(b: Column, o: Column) -> Column:
+    """The comparison of blocks b and o, for a set of block b: the lower block is the left side."""
+    return F.struct(F.least(b, o).alias("i"), F.greatest(b, o).alias("j"), (b > o).cast("int").alias("side"))
 
 
-def _comparisons(keyed: DataFrame, groups: DataFrame) -> DataFrame:
-    """(node, component, i, j, side): the comparisons of blocks i <= j that each set takes part in."""
+def _cut(groups: DataFrame, name: str = "b") -> DataFrame:
+    """(node, component, blocks, b): the sets of each group dealt to blocks of about ``BLOCK``."""
     many = groups.groupBy("component").agg(F.ceil(F.count("*") / F.lit(BLOCK)).alias("blocks"))
-    spot = F.pmod(F.xxhash64("node"), F.col("blocks"))
-    placed = written(groups.join(many, "component").select("node", "component", "blocks", spot.alias("b")), "placed")
-    # block b meets itself, the blocks after it as the left side, and those before it as the right side
-    few = placed.where(F.col("blocks") <= FEW_BLOCKS).select("node", "component", "b", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("o"))
-    large = placed.where(F.col("blocks") > FEW_BLOCKS)
-    dealt = few.unionByName(_reached(keyed, large)) if large.limit(1).count() else few
-    return dealt.select("node", "component", F.least("b", "o").alias("i"), F.greatest("b", "o").alias("j"), (F.col("b") > F.col("o")).cast("int").alias("side"))
+    return groups.join(many, "component").select("node", "component", "blocks", F.pmod(F.xxhash64("node"), F.col("blocks")).alias(name))
+
+
+def _first_spots(placed: DataFrame) -> DataFrame:
+    """(node, component, spots): all comparisons of small groups, and those of the first block of large ones."""
+    zero, others = F.lit(0).cast("long"), F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)
+    all_ = (F.col("blocks") <= FEW_BLOCKS) | (F.col("b") == 0)
+    return placed.select("node", "component", F.when(all_, F.transform(others, lambda o: _spot(F.col("b"), o))).otherwise(F.array(_spot(F.col("b"), zero))).alias("spots"))
+
+
+def _rest_spots(keyed: DataFrame, large: DataFrame, linked: DataFrame) -> DataFrame:
+    """(node, component, spots) of the comparisons that ``large`` groups still need, given what is ``linked`` already.
+
+    Of each group the largest part that is linked is settled; the sets apart from it meet one another and the settled ones.
+    """
+    parts = large.select("node", "component").join(linked.select("node", F.col("component").alias("part")), "node", "left").select("node", "component", F.coalesce("part", "node").alias("part"))
+    size = parts.groupBy("component", "part").agg(F.count("*").alias("n"))
+    most = size.groupBy("component").agg(F.max_by("part", F.struct("n", "part")).alias("settled"))
+    parts = written(parts.join(most, "component").select("node", "component", (F.col("part") == F.col("settled")).alias("settled")), "parts")
+    apart = _cut(parts.where("not settled").select("node", "component")).withColumnRenamed("blocks", "apart")
+    few = apart.groupBy("component").agg(F.first("apart").alias("apart"))
+    rest = _cut(parts.where("settled").select("node", "component")).join(few, "component").select("node", "component", "apart", (F.col("apart") + F.col("b")).alias("b"), F.col("blocks").alias("rest"))
+    counts = rest.groupBy("component").agg(F.first("rest").alias("rest"))
+    both = written(apart.join(counts, "component").select("node", "component", "apart", "rest", "b").unionByName(rest), "apart")
+    # few sets apart: they meet all; the settled ones meet them
+    end = F.when(F.col("b") < F.col("apart"), F.col("apart") + F.col("rest")).otherwise(F.col("apart"))
+    near = both.where(F.col("apart") <= FEW_BLOCKS).select("node", "component", F.transform(F.sequence(F.lit(0).cast("long"), end - 1), lambda o: _spot(F.col("b"), o)).alias("spots"))
+    # many: they meet the blocks that their lists reach
+    far = both.where(F.col("apart") > FEW_BLOCKS)
+    listed = keyed.withColumnRenamed("b", "c").join(far, "node")
+    blocks = listed.groupBy("h", "a", "c").agg(F.collect_set("b").alias("os"))
+    met = listed.join(blocks, ["h", "a", "c"]).select("node", "component", "apart", "b", F.explode("os").alias("o")).where("b < apart OR o < apart").distinct()
+    return near.unionByName(met.groupBy("node", "component").agg(F.collect_list(_spot(F.col("b"), F.col("o"))).alias("spots")))
+
+
+def _compared(texts: DataFrame, reps: DataFrame, spots: DataFrame, k: int, num: int, den: int) -> DataFrame:
+    """Edges (u, v) of the comparisons, each text brought once and copied to its spots."""
+    named = spots.join(reps.select("node", "rid", "h1"), "node")
+    held = texts.join(named.hint("merge"), "rid").select("node", "h1", "text", "component", F.explode("spots").alias("s"))
+    return held.select("node", "h1", "text", "component", "s.i", "s.j", "s.side").groupBy("component", "i", "j").applyInArrow(_meet(k, num, den), "u long, v long")
 
 
 def _heavy_links(texts: DataFrame, id_col: str, text_col: str, reps: DataFrame, bound: int, k: int, num: int, den: int) -> DataFrame:
@@ -266,9 +298,15 @@ def _heavy_links(texts: DataFrame, id_col: str, text_col: str, reps: DataFrame,
     keyed = _keyed(lists, num, den)
     lead = keyed.groupBy("h", "a", "b").agg(F.min("node").alias("v"), F.max("node").alias("w")).where("v < w").drop("w")
     meets = keyed.join(lead, ["h", "a", "b"]).where("node <> v").select(F.col("node").alias("u"), "v").distinct()
-    dealt = _comparisons(keyed, connected_components(meets)).join(reps.select("node", "rid", "h1"), "node")
-    held = texts.select(F.col(id_col).alias("rid"), F.col(text_col).alias("text")).join(dealt.hint("merge"), "rid")
-    return held.select("node", "h1", "text", "component", "i", "j", "side").groupBy("component", "i", "j").applyInArrow(_meet(k, num, den), "u long, v long")
+    placed = written(_cut(connected_components(meets)), "placed")
+    texts = texts.select(F.col(id_col).alias("rid"), F.col(text_col).alias("text"))
+    links = _compared(texts, reps, _first_spots(placed), k, num, den)
+    large = placed.where(F.col("blocks") > FEW_BLOCKS)
+    if large.limit(1).count():
+        links = written(links, "links")
+        rest = _rest_spots(keyed, large, connected_components(links.join(large.select(F.col("node").alias("u")), "u", "left_semi")))
+        links = links.union(_compared(texts, reps, rest, k, num, den))
+    return links
 
 
 # --- the operator -----------------------------------------------------------------------------------------------------
