@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window
 
 from tilewright.llm import bytetext as bt
+from tilewright.llm.keys import own_id
 from tilewright.operators.graph import connected_components
 from tilewright.sources.scratch import written
 
@@ -351,7 +352,6 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Rows with a null id come after all others: such a row stays if no row with an id, and none of a smaller digest of its
     text, is in its group. Rows that share an id and a group stay together.
     """
-    own = F.coalesce(F.col(id_col).cast("long"), F.pmod(F.xxhash64(F.col(text_col).cast("string")), F.lit(2**61)) + F.lit(2**62))
-    keyed = docs.withColumn("_own", own)
+    keyed = docs.withColumn("_own", own_id(id_col, text_col))
     groups = jaccard_groups(keyed, "_own", text_col, k, num, den).where("doc_id = component_id")
     return keyed.join(groups.select(F.col("doc_id").alias("_own")).distinct(), "_own", "left_semi").select(docs.columns)

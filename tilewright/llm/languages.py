@@ -2,11 +2,12 @@
 
 A text is cut into segments; each segment has a likelihood under each language, the product of its n-grams' probabilities.
 Expectation-maximisation estimates the text's language shares from them. The set of languages is chosen by penalised
-likelihood: beginning with all of them, the language of least share is given up as long as the likelihood, less half the
-logarithm of the number of segments for each language kept, does not fall.
+likelihood: languages whose share is less than half a segment are given up at once; then the language of least share is
+given up as long as the likelihood, less a price for each language kept, does not fall. The price is half the logarithm of the
+number of segments and one, and one more.
 
-The probabilities are counts of hashed n-grams over all learning texts, added up by Spark; the model is a table of fixed
-size (``SLOTS`` by the number of languages).
+The probabilities are counts of hashed n-grams over all learning texts, added up by Spark. The model knows every language of the
+learning texts; it holds ``SLOTS`` numbers of 32 bits, 64 KB, for each.
 """
 
 from __future__ import annotations
@@ -19,14 +20,13 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tilewright.llm import bytetext as bt
+from tilewright.sources.scratch import written
 
 U64 = np.uint64
 BITS = 14
 SLOTS = 1 << BITS
 GRAM = 4
 SEGMENT = 64
-#: A model holds at most so many languages, the most frequent ones.
-MOST_LANGUAGES = 256
 ROUNDS = 12
 
 
@@ -48,17 +48,19 @@ def _count(langs: list[str]):
     at = {x: i for i, x in enumerate(langs)}
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((len(langs), SLOTS), np.int64)
+        total: dict[int, np.ndarray] = {}
         for batch in batches:
             lang = np.array([at.get(x, -1) for x in batch.column(1).to_pylist()])
             for i in range(0, len(batch), 512):
                 data, off = bt.column_bytes(_folded(batch.column(0).slice(i, 512)))
                 for a, b, d, o in bt.slices(data, off):
                     g, of = _grams(d), np.repeat(lang[i + a : i + b], np.diff(o))
-                    for k in np.unique(of[of >= 0]):
+                    for k in np.unique(of[of >= 0]).tolist():
+                        total.setdefault(k, np.zeros(SLOTS, np.int64))
                         total[k] += np.bincount(g[of == k], minlength=SLOTS)
-        k, slot = np.nonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(k.astype(np.int32)), pa.array(slot.astype(np.int32)), pa.array(total[k, slot])], ["k", "slot", "n"])
+        for k, n in total.items():
+            slot = np.flatnonzero(n)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(slot), k, np.int32)), pa.array(slot.astype(np.int32)), pa.array(n[slot])], ["k", "slot", "n"])
 
     return count
 
@@ -69,17 +71,27 @@ class Model:
 
 
 def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Model:
-    """The model of the rows given; rows with a null text or language add nothing. Without any row it knows no language."""
+    """The model of the rows given; rows with a null text or language add nothing, repeated rows count anew, and columns of other
+    names are not looked at. Without any row it knows no language."""
     rows = docs.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).where("text is not null and lang is not null")
-    langs = [r["lang"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MOST_LANGUAGES).collect()]
-    langs.sort()
-    counts = np.zeros((SLOTS, max(1, len(langs))))
+    langs = sorted(r["lang"] for r in rows.select("lang").distinct().collect())
+    log_p = np.zeros((SLOTS, max(1, len(langs))), np.float32)
     if langs:
-        added = rows.mapInArrow(_count(langs), "k int, slot int, n long").groupBy("k", "slot").agg(F.sum("n").alias("n")).toArrow()
-        counts[added.column("slot").to_numpy(), added.column("k").to_numpy()] = added.column("n").to_numpy()
-    prior = counts.sum(axis=1, keepdims=True) / max(1.0, counts.sum())
-    smooth = (counts + 50 * (prior + 1e-6)) / (counts.sum(axis=0) + 50 * (1 + 1e-6 * SLOTS))
-    return Model(langs, np.log(smooth).astype(np.float32))
+        added = written(rows.mapInArrow(_count(langs), "k int, slot int, n long").groupBy("k", "slot").agg(F.sum("n").alias("n")), "counts")
+        prior = np.zeros(SLOTS)
+        for r in added.groupBy("slot").agg(F.sum("n").alias("n")).collect():
+            prior[r["slot"]] = r["n"]
+        prior = prior / max(1.0, prior.sum()) + 1e-6
+        own = added.groupBy("k").agg(F.collect_list(F.struct("slot", "n")).alias("c"))
+        count = {}
+        for r in own.toLocalIterator():  # one language at a time
+            counts = np.zeros(SLOTS)
+            counts[[c["slot"] for c in r["c"]]] = [c["n"] for c in r["c"]]
+            count[r["k"]] = True
+            log_p[:, r["k"]] = np.log((counts + 50 * prior) / (counts.sum() + 50 * (1 + 1e-6 * SLOTS)))
+        for k in set(range(len(langs))) - count.keys():  # languages of empty texts alone
+            log_p[:, k] = np.log(prior / (1 + 1e-6 * SLOTS))
+    return Model(langs, log_p)
 
 
 def _mixture(ll: np.ndarray, text: np.ndarray, n: int, kept: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -108,23 +120,24 @@ def mixture(model: Model, d: np.ndarray, off: np.ndarray) -> np.ndarray:
     start = np.flatnonzero(pos % SEGMENT == 0)
     ll = np.add.reduceat(model.log_p[_grams(d)], start, axis=0).astype(np.float64)
     text = np.searchsorted(full, np.searchsorted(off[1:], start, side="right"))
-    kept = np.ones((len(full), k), bool)
-    price = 0.5 * np.log(np.bincount(text, minlength=len(full)) + 1.0) + 1.0
+    segments = np.bincount(text, minlength=len(full))
+    price = 0.5 * np.log(segments + 1.0) + 1.0
+    share, fit_ = _mixture(ll, text, len(full), np.ones((len(full), k), bool))
+    kept = share * segments[:, None] >= 0.5
+    kept[np.arange(len(full)), share.argmax(axis=1)] = True
     share, fit_ = _mixture(ll, text, len(full), kept)
-    open_ = np.ones(len(full), bool)
-    for left in range(k, 1, -1):
+    open_ = kept.sum(axis=1) > 1
+    while open_.any():
         go = np.flatnonzero(open_)
-        if not len(go):
-            break
         fewer = kept[go].copy()
         fewer[np.arange(len(go)), np.where(fewer, share[go], np.inf).argmin(axis=1)] = False
         mine = open_[text]
         new, new_fit = _mixture(ll[mine], np.searchsorted(go, text[mine]), len(go), fewer)
-        better = new_fit - (left - 1) * price[go] >= fit_[go] - left * price[go]
+        better = new_fit + price[go] >= fit_[go]
         take = go[better]
         kept[take], share[take], fit_[take] = fewer[better], new[better], new_fit[better]
         open_[:] = False
-        open_[take] = True
+        open_[take] = kept[take].sum(axis=1) > 1
     out[full] = share
     return out
 
@@ -134,7 +147,7 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
 
     ``lang_pred`` is ``und``, with score 0 and no mixture, for a null text, a text without a letter, and where the model
     knows no language. Ties go to the language that is first in alphabetical order. Repeated rows stay; an empty table
-    gives an empty result. Only the text is looked at.
+    gives an empty result. Texts may be of any length. Only the text is looked at.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

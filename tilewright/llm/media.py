@@ -143,12 +143,20 @@ _SEEN = "digest string, payload_bytes long, payload_sha256 string, tail_crc32 lo
 
 
 def inspect(store: DataFrame, digest_col: str = "digest", media_col: str = "media") -> DataFrame:
-    """One row for each digest of the store: what its bytes, read back and decoded, hold. Rows with null media are left out."""
+    """One row for each digest of the store: what its bytes, read back and decoded, hold.
+
+    Rows with null media or a null digest are left out; a digest that stands on several rows, whose media are the same bytes, gives
+    one row; an empty store gives an empty result. Other columns are not looked at.
+    """
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[str] = set()  # a task decodes each digest once
         for batch in batches:
             rows = []
             for digest, media in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                if digest in seen:
+                    continue
+                seen.add(digest)
                 stored = media.as_buffer().to_pybytes()
                 width, height, samples = decode_image(stored)
                 rows.append((digest, len(samples), hashlib.sha256(samples).hexdigest(), zlib.crc32(samples[-16:]), len(stored), hashlib.sha256(stored).hexdigest(), feature(width, height, samples)))
@@ -156,35 +164,51 @@ def inspect(store: DataFrame, digest_col: str = "digest", media_col: str = "medi
             cols = zip(*rows, strict=True) if rows else [[]] * 7
             yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(cols, kinds, strict=True)], [x.split()[0] for x in _SEEN.split(", ")])
 
-    rows = store.where(F.col(media_col).isNotNull()).select(F.col(digest_col).alias("digest"), F.col(media_col).alias("media"))
+    rows = store.where(F.col(media_col).isNotNull() & F.col(digest_col).isNotNull()).select(F.col(digest_col).alias("digest"), F.col(media_col).alias("media"))
     return rows.mapInArrow(read, _SEEN).dropDuplicates(["digest"])
 
 
 def resolve(sequences: DataFrame, media: DataFrame, scheme: str = "sha256:") -> DataFrame:
     """(id, position, caption, digest, and the media columns) for each reference ``scheme`` + digest of the sequences.
 
-    A reference that the store lacks has null media columns. The caption is that which follows the medium at once, else its
-    alternative text.
+    A reference that the store lacks has null media columns; a digest that ``media`` has twice counts once. The caption is that
+    which follows the medium at once, else its alternative text. References to a digest that very many pages share are split over
+    tasks by adaptive execution: the join shuffles by a further key, apart from the aggregate before it.
     """
     after = F.try_element_at("items", F.col("item.position") + 2)
     caption = F.when(after["kind"] == "caption", after["text"]).otherwise(F.col("item.text"))
     refs = sequences.select("id", "items", F.explode("items").alias("item")).where(F.col("item.kind") == "media").where(F.col("item.ref").startswith(scheme))
     refs = refs.select("id", F.col("item.position").alias("position"), caption.alias("caption"), F.expr(f"substring(item.ref, {len(scheme) + 1})").alias("digest"))
-    return refs.join(media, "digest", "left")
+    media = media.dropDuplicates(["digest"]).withColumn("_k", F.xxhash64("digest"))
+    return refs.withColumn("_k", F.xxhash64("digest")).join(media, ["digest", "_k"], "left").drop("_k")
 
 
 def figure(digest: Column, caption: Column) -> Column:
     return F.concat(F.lit('<figure><img src="sha256:'), digest, F.lit('" alt=""><figcaption>'), caption, F.lit("</figcaption></figure>"))
 
 
+def _escaped(text: Column) -> Column:
+    return F.replace(F.replace(F.replace(text, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
+
+
+def page_of(text: Column, digest: Column, n_bytes: Column) -> Column:
+    """A page of a text: its first line, a figure that shows the text's stored form, and its other lines."""
+    head = F.substring_index(text, "\n", 1)
+    tail = F.substr(text, F.length(head) + 2)
+    return F.concat(F.lit("<article><h1>"), _escaped(head), F.lit("</h1>"), figure(digest, F.concat(F.lit("text of "), n_bytes.cast("string"), F.lit(" bytes"))), F.lit("<p>"), _escaped(tail), F.lit("</p></article>"))
+
+
 def text_media(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_bytes, payload_bytes, payload_sha256, tail_crc32, media_bytes, media_sha256, feature, position, caption).
 
-    Each text is stored as an image and set into a page that refers to it by digest; the page is parsed, its reference
-    resolved in the store, and the stored bytes are read back. A null text counts as empty; rows that share an id stay;
-    an empty table gives an empty result. Other columns are not looked at.
+    Each text is stored as an image. Its page, made from the stored bytes, has the text's lines around a figure that refers to
+    the image by digest; the page is parsed into its sequence, the reference resolved in the store, and the stored bytes are
+    read back. ``position`` is the medium's place in the sequence: 1 after a first line that has words, else 0. A null text counts
+    as empty; rows that share an id stay; texts may be of any length; an empty table gives an empty result. Other columns are
+    not looked at.
     """
     store = store_media(docs, id_col, text_col)
-    pages = store.select(F.struct("id", "n_bytes").alias("key"), figure(F.col("digest"), F.concat(F.lit("text of "), F.col("n_bytes").cast("string"), F.lit(" bytes"))).alias("html"))
+    text = F.decode(F.expr(f"substring(media, length(media) - greatest({ROW}, cast(ceil(n_bytes / {ROW}) as int) * {ROW}) + 1, n_bytes)"), "UTF-8")
+    pages = store.select(F.struct("id", "n_bytes").alias("key"), page_of(text, F.col("digest"), F.col("n_bytes")).alias("html"))
     found = resolve(interleave(pages, "key", "html"), inspect(store))
     return found.select(F.col("id.id").alias("doc_id"), F.col("id.n_bytes").alias("n_bytes"), "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "position", "caption")

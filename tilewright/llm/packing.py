@@ -253,15 +253,14 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokeni
             break
         shards = -(-count // SHARD)
         got = written(_level(loose, level, shards, size), "packed")
-        if shards == 1 or level == 15:
+        open_ = got.where(F.col("fill") < FULL * size)
+        left = open_.agg(F.countDistinct("sequence_id").alias("bins"), F.sum("length").alias("ids")).first()
+        # the rest is dealt anew as long as it could do with fewer bins
+        if shards == 1 or level == 15 or not left["bins"] or left["bins"] <= -(-left["ids"] // size):
             done.append(got)
             break
         done.append(got.where(F.col("fill") >= FULL * size))
-        again = got.where(F.col("fill") < FULL * size)
-        loose, level = again.select("uid", "length"), level + 1
-        if again.count() > count // 2:  # nothing is left to gain from another deal
-            done.append(again)
-            break
+        loose, level = open_.select("uid", "length"), level + 1
     place = cut.where(F.col("length") == size).select("uid", (-1 - F.col("uid")).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
     for d in done:
         place = place.union(d.select("uid", "sequence_id", "offset"))

@@ -73,7 +73,11 @@ def statistics(d: np.ndarray, off: np.ndarray) -> np.ndarray:
 
 
 def features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, x): the statistics of each whole text; a null text counts as empty and has zeros."""
+    """(doc_id, x): the statistics of each whole text, row by row; a null text counts as empty and has zeros.
+
+    Texts may be of any length, repeated rows and null ids stay, an empty table gives an empty result; other columns, also those
+    named like the result's, are not looked at.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -144,14 +148,18 @@ def fit_trees(x: np.ndarray, y: np.ndarray) -> Trees:
 
 
 def fit(known: DataFrame, most: int = MOST_ROWS) -> Trees:
-    """The trees of the rows (doc_id, x, label) of ``known``, of ``most`` of them at most; rows with a null label add nothing."""
+    """The trees of the rows (doc_id, x, label) of ``known``, of ``most`` of them at most, those of smallest hash of the id.
+
+    Rows with a null label add nothing; repeated rows count anew, also with labels that contradict each other. Without rows, with
+    too few or with labels of one kind there are no trees: every text then scores the labels' mean, 0.5 without any.
+    """
     rows = known.where("label is not null").orderBy(F.xxhash64("doc_id", F.lit(9))).limit(most).select("x", F.col("label").cast("double").alias("y")).toArrow()
     x = np.stack([np.asarray(v, np.float32) for v in rows.column("x").to_pylist()]) if rows.num_rows else np.zeros((0, len(NAMES)), np.float32)
     return fit_trees(x, rows.column("y").to_numpy())
 
 
 def score(rows: DataFrame, trees: Trees) -> DataFrame:
-    """(doc_id, score) of each row (doc_id, x)."""
+    """(doc_id, score) of each row (doc_id, x); repeated rows stay, an empty table gives an empty result."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

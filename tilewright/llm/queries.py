@@ -60,7 +60,10 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(doc_id, held_out, score, predicted) of each document; labels of held-out documents are not learnt from."""
+    """(doc_id, held_out, score, predicted) of each row; labels of held-out documents are not learnt from.
+
+    A document with several labels counts as labelled by the larger one. Rows with a null id are scored but not learnt from.
+    """
     x = written(quality.features(docs), "statistics")
     held_out = languages.remainder(F.col("doc_id"), 5) == 0
     known = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.max("quality").alias("label"))
