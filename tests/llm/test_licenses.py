@@ -5,6 +5,56 @@ from tilewright.llm import licenses
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
 
+MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction,
+including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to
+the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND,
+EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES
+OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""
+BSD = """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above
+copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the
+documentation and/or other materials provided with the distribution. {}THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO,
+THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY,
+OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN
+CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""
+NAMES = "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission. "
+
+
+def test_whole_licenses_and_one_other_word(spark):
+    whole = {"mit": MIT, "bsd-2-clause": BSD.format(""), "bsd-3-clause": BSD.format(NAMES)}
+    rows, want = [], {}
+    for name, t in whole.items():
+        w = t.split()
+        rows.append((len(rows), "(c) 2020 " + t + " more")), want.setdefault(len(rows) - 1, name)
+        for at in range(0, len(w), 7):
+            rows.append((len(rows), " ".join(w[:at] + ["zebra", *w[at:]])))
+    rows.append((len(rows), "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: pay us money."))
+    got = {r["doc_id"]: r["labels"] for r in licenses.scan_licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert {i: x for i, x in got.items() if i in want} == want
+    # a word more is only taken where a replaceable region stands, or before and after the license
+    taken = [i for i, x in got.items() if i not in want and x]
+    assert len(taken) <= 14 and got[len(rows) - 1] == ""
+
+
+def test_automata_against_regular_expressions():
+    """All matches of small templates, found again by trying every stretch of words with a regular expression."""
+    import random
+
+    rng = random.Random(3)
+    for _ in range(300):
+        parts = []
+        for _ in range(rng.randint(2, 6)):
+            parts.append(rng.choice(["a", "b", "c", "[[a]]", "[[b c]]", "{{2}}", "[[a {{1}} b]]"]))
+        template = " ".join(["a", *parts])
+        auto = licenses.compile_template("t", template)
+        pattern = ""
+        for t in re.findall(r"\[\[|\]\]|\{\{\d+\}\}|\w+", template):
+            pattern += "(?:" if t == "[[" else ")?" if t == "]]" else rf"(?:\w+ ){{0,{t[2:-2]}}}" if t[0] == "{" else t + " "
+        words = [rng.choice("abcd") for _ in range(12)]
+        for p in range(len(words)):
+            ends = [e for e in range(p, len(words) + 1) if re.fullmatch(pattern, "".join(w + " " for w in words[p:e]))]
+            assert auto.accepts(words, p) == (min(ends) if ends else None), (template, words, p)
+
+
 def base(t):
     w = WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
     at = sorted((i, lab) for p, lab in licenses.BASE for i in range(len(w)) if w[i : i + len(p.split())] == p.split())
@@ -12,12 +62,10 @@ def base(t):
 
 
 def test_base_and_templates(spark):
-    mit = ("Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, "
-           "including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, "
-           "subject to the following conditions:")
+    mit = MIT
     rows = [
         (1, "Licensed under the Apache License, Version 2.0."), (2, "x. Released under the MIT License.\nand MIT licenses, MIT-license"), (3, "This work is licensed under the GNU General Public License, version 3."),
-        (4, "Licensed under CC BY-NC 4.0."), (5, mit), (6, mit.replace("merge", "fuse")), (7, None), (8, ""), (9, "émit license mité license mit  licensé"), (10, "MIT"), (10, "MIT"), (11, "license mit"), (12, "general public license " * 3 + "apache license"),
+        (4, "Licensed under CC BY-NC 4.0."), (5, mit), (6, mit.replace("merge", "fuse")), (13, "word " * 200_000 + mit), (7, None), (8, ""), (9, "émit license mité license mit  licensé"), (10, "MIT"), (10, "MIT"), (11, "license mit"), (12, "general public license " * 3 + "apache license"),
     ]
     docs = spark.createDataFrame([(i, t, "l") for i, t in rows], "doc_id long, text string, labels string")
     got = licenses.scan_licenses(docs)
@@ -26,7 +74,7 @@ def test_base_and_templates(spark):
     for i, t in rows:
         assert tuple(by[i])[1:6] == base(t), i
         assert set(by[i]["base_labels"].split(",")) - {""} <= set(by[i]["labels"].split(",")) and 0 <= by[i]["score"] <= 1
-    assert [by[i]["labels"] for i in (1, 2, 3, 4, 5, 6)] == ["apache,apache-2.0", "mit", "gpl,gpl-3.0", "cc-by-nc-4.0", "mit", ""]
+    assert [by[i]["labels"] for i in (1, 2, 3, 4, 5, 6, 13)] == ["apache,apache-2.0", "mit", "gpl,gpl-3.0", "cc-by-nc-4.0", "mit", "", "mit"]
     assert by[5]["score"] > by[2]["score"] > 0.25 > by[6]["score"] == 0
     assert licenses.scan_licenses(docs.limit(0)).count() == 0
 

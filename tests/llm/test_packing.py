@@ -72,3 +72,26 @@ def test_crossover_keeps_every_piece():
     assert np.bincount(c, length).max() <= 1024 and len(np.unique(c)) == c.max() + 1
     best = packing._evolve(length, [], 1, 1024)
     assert best[0].max() + 1 <= min(a.max(), b.max()) + 1
+
+
+def test_the_genetic_part_saves_bins():
+    """Triples that fill a bin exactly, and pieces of 200 to 500: best fit leaves gaps, crossover and mutation close most."""
+    rng = np.random.default_rng(0)
+    a = rng.integers(256, 420, 400)
+    b = rng.integers(256, 1024 - a - 200)
+    for length, most in ((np.r_[a, b, 1024 - a - b], 0.5), (rng.integers(200, 500, 2000), 0.75)):
+        least = -(-int(length.sum()) // 1024)
+        plain = int(packing._packed(length, np.argsort(-length, kind="stable"), 1024).max()) + 1
+        best = packing._evolve(length, [], 1, 1024)[0]
+        assert np.bincount(best, length).max() <= 1024 and len(np.unique(best)) == best.max() + 1
+        assert best.max() + 1 - least <= most * (plain - least)
+
+
+def test_levels_go_on_while_bins_can_be_saved(spark, monkeypatch, tmp_path):
+    """Most pieces stay loose at the first level: they are dealt again until one shard is left."""
+    monkeypatch.setattr(packing, "SHARD", 40)
+    rng = random.Random(2)
+    docs = [(i, " ".join("the" for _ in range(rng.randint(560, 640)))) for i in range(60)] + [(1000 + i, " ".join("the" for _ in range(rng.randint(370, 450)))) for i in range(60)]
+    got = packing.pack(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    total = sum(r["length"] for r in got)
+    assert len({r["sequence_id"] for r in got}) <= total / 1024 * 1.05 + 1

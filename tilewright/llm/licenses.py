@@ -26,28 +26,51 @@ WORD[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0
 #: Phrases and the labels that they give wherever their words stand one after the other.
 BASE = (("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl"))
 
+#: The wording of published licenses, and of the notices by which a text is put under one. A label's template is the
+#: whole text, so that one other word anywhere in its mandatory wording is another license.
+_AS_IS = "this software is provided by {{8}} as is and any express or implied warranties including but not limited to the implied warranties of merchantability and fitness for a particular purpose are disclaimed"
+_DAMAGES = ("in no event shall {{10}} be liable for any direct indirect incidental special exemplary or consequential damages including but not limited to procurement of substitute goods or services loss of use data "
+            "or profits or business interruption however caused and on any theory of liability whether in contract strict liability or tort including negligence or otherwise arising in any way out of the use of "
+            "this software even if advised of the possibility of such damage")
+_BSD = ("redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met [[1]] redistributions of source code must retain the above "
+        "copyright notice this list of conditions and the following disclaimer [[2]] redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer "
+        "in the documentation and or other materials provided with the distribution")
+_BSD_NAMES = "[[3]] neither the name of {{10}} nor the names of {{2}} contributors may be used to endorse or promote products derived from this software without specific prior written permission"
+_GPL = "under the terms of the gnu {}general public license as published by the free software foundation either version {} of the license or at your option any later version"
+_GRANT = "licensed under [[the terms of]] [[a]] [[the]]"
+
 #: Labels and templates of licenses and of notices that refer to them.
 TEMPLATES = (
+    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this {{4}} and associated documentation files the {{2}} to deal in the {{2}} without restriction including without "
+            "limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the {{2}} and to permit persons to whom the {{2}} is furnished to do so subject to the following "
+            "conditions the above copyright notice and this permission notice [[including the next paragraph]] shall be included in all copies or substantial portions of the {{2}} the {{2}} is provided as is without "
+            "warranty of any kind express or implied including but not limited to the warranties of merchantability fitness for a particular purpose and noninfringement in no event shall {{8}} be liable for any "
+            "claim damages or other liability whether in an action of contract tort or otherwise arising from out of or in connection with the {{2}} or the use or other dealings in the {{2}}"),
+    ("isc", "permission to use copy modify and [[or]] distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in "
+            "all copies the software is provided as is and the author disclaims all warranties with regard to this software including all implied warranties of merchantability and fitness in no event shall the "
+            "author be liable for any special direct indirect or consequential damages or any damages whatsoever resulting from loss of use data or profits whether in an action of contract negligence or other "
+            "tortious action arising out of or in connection with the use or performance of this software"),
+    ("bsd-2-clause", f"{_BSD} {_AS_IS} {_DAMAGES}"),
+    ("bsd-3-clause", f"{_BSD} {_BSD_NAMES} {_AS_IS} {_DAMAGES}"),
+    ("zlib", "this software is provided as is without any express or implied warranty in no event will the authors be held liable for any damages arising from the use of this software permission is granted to "
+             "anyone to use this software for any purpose including commercial applications and to alter it and redistribute it freely subject to the following restrictions [[1]] the origin of this software must "
+             "not be misrepresented you must not claim that you wrote the original software if you use this software in a product an acknowledgment in the product documentation would be appreciated but is not "
+             "required [[2]] altered source versions must be plainly marked as such and must not be misrepresented as being the original software [[3]] this notice may not be removed or altered from any source distribution"),
+    ("apache-2.0", "licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license you may obtain a copy of the license at {{9}} unless required by "
+                   "applicable law or agreed to in writing software distributed under the license is distributed on an as is basis without warranties or conditions of any kind either express or implied see the "
+                   "license for the specific language governing permissions and limitations under the license"),
+    ("apache-2.0", f"{_GRANT} apache license [[version]] 2 0"),
     ("mit", "released under the mit license"),
-    ("mit", "[[this software is]] licensed under the [[terms of the]] mit license"),
-    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this {{4}} and associated documentation files the {{2}} to deal in the {{2}} without restriction "
-            "including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the {{2}} and to permit persons to whom the {{2}} is furnished to do so "
-            "subject to the following conditions [[the above copyright notice and this permission notice shall be included in all copies or substantial portions of the {{2}}]]"),
-    ("isc", "permission to use copy modify and [[or]] distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies"),
-    ("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met"),
-    ("apache-2.0", "licensed under the apache license [[version]] 2 0"),
-    ("apache-2.0", "licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license"),
-    ("gpl-3.0", "licensed under the [[terms of the]] gnu general public license version 3 [[0]]"),
-    ("gpl-2.0", "licensed under the [[terms of the]] gnu general public license version 2 [[0]]"),
-    ("gpl-3.0", "free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 3"),
-    ("gpl-2.0", "free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 2"),
-    ("lgpl", "licensed under the [[terms of the]] gnu lesser general public license"),
-    ("mpl-2.0", "subject to the terms of the mozilla public license v 2 0"),
-    ("cc-by-nc-4.0", "licensed under [[a]] [[the]] cc by nc 4 0"),
-    ("cc-by-4.0", "licensed under [[a]] [[the]] cc by 4 0"),
-    ("cc-by-sa-4.0", "licensed under [[a]] [[the]] cc by sa 4 0"),
-    ("cc-by-nc-4.0", "licensed under [[a]] [[the]] creative commons attribution noncommercial 4 0"),
-    ("cc-by-4.0", "licensed under [[a]] [[the]] creative commons attribution 4 0"),
+    ("mit", f"{_GRANT} mit license"),
+    *((f"{name}gpl-{v}.0", _GPL.format(words, v)) for name, words, versions in (("", "", "23"), ("a", "affero ", "3"), ("l", "lesser ", "3")) for v in versions),
+    ("lgpl-2.1", _GPL.format("lesser ", "2 1")),
+    *((f"gpl-{v}.0", f"{_GRANT} gnu general public license [[version]] {v} [[0]]") for v in "23"),
+    ("lgpl", f"{_GRANT} gnu lesser general public license"),
+    ("mpl-2.0", "this source code form is subject to the terms of the mozilla public license v 2 0 if a copy of the mpl was not distributed with this file you can obtain one at {{6}} mozilla org mpl 2 0"),
+    *((f"cc-{kind}-4.0", f"{_GRANT} {words} 4 0 [[international]]") for kind, both in (
+        ("by", ("cc by", "creative commons attribution")), ("by-sa", ("cc by sa", "creative commons attribution sharealike")), ("by-nc", ("cc by nc", "creative commons attribution noncommercial")),
+        ("by-nd", ("cc by nd", "creative commons attribution noderivatives")), ("by-nc-sa", ("cc by nc sa", "creative commons attribution noncommercial sharealike")),
+        ("by-nc-nd", ("cc by nc nd", "creative commons attribution noncommercial noderivatives"))) for words in both),
     ("proprietary", "all rights reserved {{8}} without [[the]] [[prior]] written permission"),
 )
 
@@ -120,8 +143,8 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     The base columns say where phrases of ``base`` stand; ``labels`` has those of accepted templates too, and ``matches``
     where. ``score`` is 0 without any place, 0.25 for a phrase alone, else m / (m + 2) of the longest accepted template's m
-    mandatory words. A null or empty text has no words; repeated rows stay; an empty table gives an empty result. Other
-    columns are not looked at.
+    mandatory words. A null or empty text has no words; repeated rows stay; texts may be of any length; an empty table gives an
+    empty result. Other columns are not looked at. Where several templates begin at a word, each counts.
     """
     automata = [compile_template(*t) for t in templates]
     phrases = [(_hash(p.split()), label) for p, label in base]

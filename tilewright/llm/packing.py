@@ -1,7 +1,8 @@
 """Best-fit packing of token sequences by a grouping genetic algorithm on islands.
 
-A chromosome is a set of bins. Crossover injects whole well-filled bins of one parent into the other, removes the bins that
-then hold a document twice, and places their displaced documents by best fit. Pieces are dealt into shards of bounded size;
+A chromosome is a set of bins. Crossover injects whole well-filled bins of one parent into the other and removes the bins that
+then hold a document twice; mutation empties the least filled bins and some others. Displaced documents first take the place of
+one or two documents of a bin where they fill it better, which then are displaced in turn, and what is left goes by best fit. Pieces are dealt into shards of bounded size;
 each shard evolves on several islands, which are rows of a Spark table, and between epochs each island's elite moves to
 the next island. The best chromosome of a shard's islands wins. Pieces of bins that stay underfilled are pooled over all
 shards and packed again, level by level, until one shard is left.
@@ -23,7 +24,9 @@ from tilewright.sources.scratch import written
 
 #: Pieces of a shard, about.
 SHARD = 8192
-ISLANDS, EPOCHS, POPULATION, GENERATIONS = 3, 2, 4, 8
+ISLANDS, EPOCHS, POPULATION, GENERATIONS = 3, 2, 4, 24
+#: Bins of a generation that displaced pieces are tried in.
+TRIED = 96
 #: Bins filled less than this share are packed again with those of other shards.
 FULL = 0.98
 
@@ -145,8 +148,64 @@ def _worth(length: np.ndarray, bin_of: np.ndarray, size: int) -> tuple[int, floa
     return -len(fill), float(((fill / size) ** 2).sum())
 
 
+def _exchange(length: np.ndarray, bin_of: np.ndarray, loose: np.ndarray, rng: np.random.Generator, size: int) -> np.ndarray:
+    """Puts one or two loose pieces in the place of one or two of a bin that they fill better; the pieces that are loose then."""
+    placed = np.ones(len(length), bool)
+    placed[loose] = False
+    order = np.flatnonzero(placed)
+    order = order[np.argsort(bin_of[order], kind="stable")]
+    held_in = bin_of[order]  # a bin is tried once, so its pieces are those that it had
+    fill = np.bincount(held_in, length[order]).astype(np.int64)
+    open_ = np.flatnonzero((fill < size) & (fill > 0))
+    free = loose[np.argsort(length[loose], kind="stable")]
+    n = length[free]
+    for b in rng.permutation(open_)[:TRIED]:
+        if not len(n):
+            break
+        own = order[np.searchsorted(held_in, b) : np.searchsorted(held_in, b, side="right")][:8]
+        out = [(int(i),) for i in own] + [(int(i), int(j)) for x, i in enumerate(own) for j in own[x + 1 :]]
+        room = size - int(fill[b])
+        best, move = 0, None
+        for o in out:
+            held = int(length[list(o)].sum())
+            k = int(np.searchsorted(n, held + room, side="right")) - 1
+            if k >= 0 and n[k] - held > best:
+                best, move = int(n[k]) - held, (o, [k])
+            if best < room and len(n) > 1:
+                first = np.arange(len(n))
+                second = np.searchsorted(n, held + room - n, side="right") - 1
+                ok = second > first
+                if ok.any():
+                    total = n[first[ok]] + n[second[ok]]
+                    x = int(total.argmax())
+                    if total[x] - held > best:
+                        best, move = int(total[x]) - held, (o, [int(first[ok][x]), int(second[ok][x])])
+            if best == room:
+                break
+        if move:
+            o, ks = move
+            bin_of[free[ks]] = b
+            back = np.array(o)
+            free = np.r_[np.delete(free, ks), back]
+            free = free[np.argsort(length[free], kind="stable")]
+            n = length[free]
+    return free
+
+
+def _settled(length: np.ndarray, bin_of: np.ndarray, loose: np.ndarray, rng: np.random.Generator, size: int) -> np.ndarray:
+    """The chromosome with its loose pieces placed: exchanged for others, then by best fit, the longest first."""
+    loose = _exchange(length, bin_of, loose, rng, size)
+    placed = np.ones(len(length), bool)
+    placed[loose] = False
+    child = np.zeros(len(length), np.int32)
+    _, child[placed] = np.unique(bin_of[placed], return_inverse=True)
+    fill = np.bincount(child[placed], length[placed]).astype(int).tolist() if placed.any() else []
+    _best_fit(length, loose[np.argsort(-length[loose], kind="stable")].tolist(), child, fill, size)
+    return child
+
+
 def _cross(length: np.ndarray, a: np.ndarray, b: np.ndarray, rng: np.random.Generator, size: int) -> np.ndarray:
-    """``a`` with some of the well-filled bins of ``b``; displaced pieces go by best fit, the longest first."""
+    """``a`` with some of the well-filled bins of ``b``."""
     fill_b = np.bincount(b, length)
     good = np.flatnonzero(fill_b >= np.quantile(fill_b, 0.5))
     chosen = np.zeros(len(fill_b), bool)
@@ -154,18 +213,19 @@ def _cross(length: np.ndarray, a: np.ndarray, b: np.ndarray, rng: np.random.Gene
     new = chosen[b]
     broken = np.zeros(a.max() + 1, bool)
     broken[a[new]] = True
-    loose = broken[a] & ~new
-    stay = ~broken[a]
-    child = np.zeros(len(a), np.int32)
-    _, child[stay] = np.unique(a[stay], return_inverse=True)
-    base = int(child[stay].max()) + 1 if stay.any() else 0
-    _, inner = np.unique(b[new], return_inverse=True)
-    child[new] = base + inner
-    placed = stay | new
-    fill = np.bincount(child[placed], length[placed]).astype(int).tolist()
-    order = np.flatnonzero(loose)
-    _best_fit(length, order[np.argsort(-length[order], kind="stable")].tolist(), child, fill, size)
-    return child
+    child = a.astype(np.int64)
+    child[new] = len(broken) + b[new]
+    return _settled(length, child, np.flatnonzero(broken[a] & ~new), rng, size)
+
+
+def _mutated(length: np.ndarray, a: np.ndarray, rng: np.random.Generator, size: int) -> np.ndarray:
+    """``a`` with its least filled bins and some others emptied."""
+    fill = np.bincount(a, length)
+    some = max(2, min(40, len(fill) // 8))
+    gone = np.zeros(len(fill), bool)
+    gone[np.argsort(fill, kind="stable")[:some]] = True
+    gone[rng.choice(len(fill), min(len(fill), some), replace=False)] = True
+    return _settled(length, a.astype(np.int64), np.flatnonzero(gone[a]), rng, size)
 
 
 def _evolve(length: np.ndarray, known: list[np.ndarray], seed: int, size: int) -> list[np.ndarray]:
@@ -175,14 +235,15 @@ def _evolve(length: np.ndarray, known: list[np.ndarray], seed: int, size: int) -
         noise = rng.normal(0, 0 if not people else 8, len(length))
         people.append(_packed(length, np.argsort(-(length + noise), kind="stable"), size))
     least = -(-int(length.sum()) // size)
-    for _ in range(GENERATIONS):
-        people.sort(key=lambda x: _worth(length, x, size), reverse=True)
-        if people[0].max() + 1 <= least:
+    worth = lambda x: _worth(length, x, size)
+    people = sorted(((worth(x), i, x) for i, x in enumerate(people)), key=lambda p: (p[0], -p[1]), reverse=True)[:POPULATION]
+    for g in range(GENERATIONS):
+        if -people[0][0][0] <= least:
             break
-        i, j = rng.choice(min(3, len(people)), 2, replace=False)
-        people = [*people[: POPULATION - 1], _cross(length, people[i], people[j], rng, size)]
-    people.sort(key=lambda x: _worth(length, x, size), reverse=True)
-    return people[:2]
+        i, j = rng.choice(len(people), 2, replace=False)
+        child = _cross(length, people[i][2], people[j][2], rng, size) if g % 4 == 3 else _mutated(length, people[min(i, j)][2], rng, size)
+        people = sorted([*people, (worth(child), POPULATION + g, child)], key=lambda p: (p[0], -p[1]), reverse=True)[:POPULATION]
+    return [x for _, _, x in people[:2]]
 
 
 def _epoch(epoch: int, size: int):
