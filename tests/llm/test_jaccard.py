@@ -113,6 +113,7 @@ def test_a_large_group_of_near_copies(spark, monkeypatch):
     from tilewright.llm import jaccard
 
     monkeypatch.setattr(jaccard, "BLOCK", 10)
+    monkeypatch.setattr(jaccard, "FEW_BLOCKS", 8)
     made_of = {}
     real = jaccard._compared
     monkeypatch.setattr(jaccard, "_compared", lambda t, r, spots, *a: (made_of.setdefault(len(made_of), spots.selectExpr("sum(size(spots)) n").first()["n"]), real(t, r, spots, *a))[1])

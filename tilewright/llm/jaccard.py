@@ -34,8 +34,8 @@ from tilewright.sources.scratch import written
 LIGHT_MOST = 40
 #: Sets compared at once in a task; larger groups meet block by block.
 BLOCK = 768
-#: Groups of at most so many blocks compare all their blocks at once.
-FEW_BLOCKS = 8
+#: Groups of at most so many blocks compare all their blocks at once: further passes over the texts would cost more.
+FEW_BLOCKS = 32
 #: Lists are cut into classes of size, each reaching to so many times its smallest size.
 STEP = 1.03
 
