@@ -130,10 +130,11 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     windows = written(cut(starts).select("doc_id", "m", "p", "size", simhash(F.col("own")).alias("fp")), "fingerprints")
     few, many = items.select("item_id", "m", F.col("fp").alias("item_fp")), windows
     spread = lambda rows, fp: _blocks(rows, fp).withColumn("v", F.explode(F.transform(F.array(*[F.lit(x) for x in _masks()]), lambda x: F.col("v").bitwiseXOR(x))))
+    # the spread side has thousands of rows for each of its fingerprints: shuffled, never broadcast
     if few.count() <= many.count():
-        pairs = _blocks(many, "fp").join(spread(few, "item_fp"), ["m", "i", "v"])
+        pairs = _blocks(many, "fp").join(spread(few, "item_fp").hint("merge"), ["m", "i", "v"])
     else:
-        pairs = spread(many, "fp").join(_blocks(few, "item_fp"), ["m", "i", "v"])
+        pairs = spread(many, "fp").hint("merge").join(_blocks(few, "item_fp"), ["m", "i", "v"])
     pairs = pairs.withColumn("distance", F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp")))).where(F.col("distance") <= RADIUS)
     pairs = written(pairs.select("doc_id", "m", "p", "size", "item_id", "distance").distinct(), "pairs")
 
