@@ -93,20 +93,46 @@ def box_of(key: Column) -> Column:
     return F.transform(F.split(F.substring_index(key, "box=", -1), ","), lambda v: v.cast("int"))
 
 
+def _prefix() -> Column:
+    return F.element_at(F.create_map(*[F.lit(x) for kv in PREFIX.items() for x in kv]), F.col("type"))
+
+
+def _numbered(registry: DataFrame, requests: DataFrame) -> DataFrame:
+    """(type, key, prefix, number) of the requested keys that the registry lacks, in key order after the largest of their prefix."""
+    top = registry.groupBy(F.regexp_extract("id", r"^(.*)-\d+$", 1).alias("prefix")).agg(F.max(F.regexp_extract("id", r"(\d+)$", 1).cast("int")).alias("top"))
+    asked = requests.select("type", "key").distinct().withColumn("prefix", _prefix()).where("prefix IS NOT NULL AND key IS NOT NULL")
+    one = asked.groupBy("key").agg(F.min("type").alias("type"), F.min("prefix").alias("prefix"))  # of a key with several types the first; the rest is a conflict
+    new = one.join(registry.select("key"), "key", "left_anti")
+    order = Window.partitionBy("prefix").orderBy("key")  # at most MOST_NUMBER ids of a prefix
+    new = new.withColumn("n", F.row_number().over(order)).join(top, "prefix", "left")
+    return new.select("type", "key", "prefix", (F.coalesce("top", F.lit(0)) + F.col("n")).alias("number"))
+
+
 def registry_assign(registry: DataFrame, requests: DataFrame, date: str) -> DataFrame:
     """The registry (id, type, key, first_catalogued) with an entry for each requested (type, key) that it lacks.
 
-    Known keys keep their ids. New keys get, in key order, the numbers after the largest of their prefix.
+    Known keys keep their ids. New keys get, in key order, the numbers after the largest of their prefix. Requests of unknown
+    types, and those beyond the largest number, get no entry; ``request_violations`` lists them.
     """
-    prefix = F.element_at(F.create_map(*[F.lit(x) for kv in PREFIX.items() for x in kv]), F.col("type"))
-    top = registry.groupBy(F.regexp_extract("id", r"^(.*)-\d+$", 1).alias("prefix")).agg(F.max(F.regexp_extract("id", r"(\d+)$", 1).cast("int")).alias("top"))
-    new = requests.select("type", "key").distinct().join(registry.select("key"), "key", "left_anti").withColumn("prefix", prefix)
-    order = Window.partitionBy("prefix").orderBy("key")  # new keys of a run: curated picks
-    new = new.withColumn("n", F.row_number().over(order)).join(top, "prefix", "left").withColumn("number", F.coalesce("top", F.lit(0)) + F.col("n"))
+    new = _numbered(registry, requests).where(F.col("number") <= MOST_NUMBER)
     entries = new.select(F.format_string("%s-%06d", "prefix", "number").alias("id"), "type", "key", F.lit(date).alias("first_catalogued"))
     return registry.select("id", "type", "key", "first_catalogued").unionByName(entries)
 
 
+def request_violations(registry: DataFrame, requests: DataFrame) -> DataFrame:
+    """Requests that cannot be met: of an unknown type, of a key that is registered or also requested as another type, and those for
+    which a prefix has no number left."""
+    asked = requests.select("type", "key").distinct()
+    known = registry.select("key", F.col("type").alias("registered"))
+    several = asked.where(_prefix().isNotNull()).groupBy("key").agg(F.countDistinct("type").alias("n"), F.array_join(F.sort_array(F.collect_set("type")), ",").alias("types")).where("n > 1")
+    return reduce(DataFrame.unionByName, [
+        _rule(asked.where(_prefix().isNull()), "registry-unknown-type", "key", F.coalesce("type", F.lit(""))),
+        _rule(asked.where(_prefix().isNotNull()).join(known, "key").where("type <> registered"), "registry-type-conflict", "key", F.concat_ws("/", "registered", "type")),
+        _rule(several, "registry-type-conflict", "key", F.col("types")),
+        _rule(_numbered(registry, requests).where(F.col("number") > MOST_NUMBER), "registry-full", "key", F.col("prefix")),
+    ])
+
+
 def _rule(df: DataFrame, rule: str, object_: str = "id", message: Column | None = None) -> DataFrame:
     return df.select(F.lit(rule).alias("rule_id"), F.col(object_).cast("string").alias("object_id"), (message if message is not None else F.lit("")).alias("message"))
 

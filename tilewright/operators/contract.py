@@ -65,6 +65,28 @@ def crater_rules(regions: DataFrame, craters: DataFrame, size: int = 512) -> Dat
     ])
 
 
+def mask_rules(published: DataFrame, masks: DataFrame, object_: str = "patch_id", size: int = 8) -> DataFrame:
+    """Published mask records (pixels, area_m2, fraction, mean_softmax, iou, row, col) against those of their masks: shares within
+    0 and 1, no negative area, the centroid inside its tile of ``size`` pixels, and as many pixels as the mask has."""
+    share = lambda c: F.col(c).isNull() | F.col(c).between(0, 1)
+    counted = published.select(object_, "pixels").join(masks.select(object_, F.col("pixels").alias("n")), object_, "full_outer")
+    return reduce(DataFrame.unionByName, [
+        violations(published, "mask-fraction", ~F.col("fraction").between(0, 1), object_), violations(published, "mask-area", F.col("area_m2") < 0, object_),
+        violations(published, "mask-iou", ~share("iou"), object_), violations(published, "mask-softmax", ~share("mean_softmax"), object_),
+        violations(published.where("row IS NOT NULL"), "mask-centroid", ~(F.col("row").between(0, size) & F.col("col").between(0, size)), object_),
+        violations(counted, "mask-pixels", F.col("pixels") != F.col("n"), object_, F.concat_ws("/", F.col("pixels"), F.col("n"))),
+    ])
+
+
+def identity_rules(discoveries: DataFrame, registry: DataFrame) -> DataFrame:
+    """Published discoveries (id, type, key) against the registry: each id is registered, with the same type and key, and stands once."""
+    both = discoveries.join(registry.select("id", F.col("type").alias("registered"), F.col("key").alias("identity")), "id", "left")
+    return reduce(DataFrame.unionByName, [
+        violations(both.where("registered IS NULL"), "discovery-unregistered", F.lit(True), "id"), violations(both.where("registered IS NOT NULL"), "discovery-type", F.col("type") != F.col("registered"), "id", F.col("type")),
+        violations(both.where("registered IS NOT NULL"), "discovery-identity", F.col("key") != F.col("identity"), "id", F.col("key")), duplicates(discoveries, "discovery-twice", "id"),
+    ])
+
+
 def same_rows(a: DataFrame, b: DataFrame, rule: str, key: str) -> DataFrame:
     """Rows of one table that the other lacks, both ways, repeated rows counted."""
     one = a.exceptAll(b).select(F.lit(rule).alias("rule_id"), F.col(key).cast("string").alias("object_id"), F.lit("only in the first").alias("message"))

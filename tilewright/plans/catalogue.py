@@ -92,13 +92,11 @@ ORDER = ["o1", "o2", "tile_id", "idx"]
 CATEGORIES = ["large", "high-confidence", "unmatched-high-confidence"]
 
 
-@query(CRATERS + f", {CATS} SELECT category, tile_id, idx, row_number() OVER (PARTITION BY category ORDER BY o1, o2, tile_id, idx) AS place FROM cats QUALIFY place <= 50")
+@query(CRATERS + f", {CATS} SELECT category, tile_id, idx, round(o1, 9) AS o1, round(o2, 9) AS o2 FROM cats")
 def crater_candidates(spark: SparkSession, d: str) -> DataFrame:
-    """The first fifty of each category: a top-k report."""
+    """Every candidate of each category with the numbers that it is ordered by."""
     c = catalogue.crater_candidates(_published(spark, d))
-    from pyspark.sql.window import Window
-
-    return c.select("category", "tile_id", "idx", F.row_number().over(Window.partitionBy("category").orderBy(*ORDER)).alias("place")).where("place <= 50")
+    return c.select("category", "tile_id", "idx", F.round("o1", 9).alias("o1"), F.round("o2", 9).alias("o2"))
 
 
 SPREAD_KM, SPREAD_LIMIT = 120, 8
@@ -160,14 +158,45 @@ def registry_assign(spark: SparkSession, d: str) -> DataFrame:
     return catalogue.registry_assign(_registry(spark, d), _keys(spark, d), "2026-02-02")
 
 
-@query(REG + """ SELECT 'registry-append-only' AS rule_id, id AS object_id, key AS message FROM old WHERE key LIKE '%7' UNION ALL SELECT 'registry-id', replace(id, '-', '_'), '' FROM old WHERE key LIKE '%7'
+ALL_REG = KEYS + """, old AS (SELECT prefix || '-' || lpad(CAST(row_number() OVER (PARTITION BY prefix ORDER BY key) AS VARCHAR), 6, '0') AS id, type, key, prefix FROM keys)"""
+
+
+def _whole_registry(spark: SparkSession, d: str) -> DataFrame:
+    none = spark.createDataFrame([], "id string, type string, key string, first_catalogued string")
+    return catalogue.registry_assign(none, _keys(spark, d), "2026-01-01")
+
+
+@query(ALL_REG + """ SELECT 'registry-append-only' AS rule_id, id AS object_id, key AS message FROM old WHERE key LIKE '%7' UNION ALL SELECT 'registry-id', replace(id, '-', '_'), '' FROM old WHERE key LIKE '%7'
 UNION ALL SELECT 'registry-type', replace(id, '-', '_'), type FROM old WHERE key LIKE '%7'""")
 def registry_guard(spark: SparkSession, d: str) -> DataFrame:
-    old = _registry(spark, d)
+    """The registry of all tiles against itself with some ids changed."""
+    old = _whole_registry(spark, d)
     new = old.withColumn("id", F.when(F.col("key").endswith("7"), F.replace("id", F.lit("-"), F.lit("_"))).otherwise(F.col("id")))
     return catalogue.append_only_violations(old, new).unionByName(catalogue.registry_violations(new))
 
 
+@query(ALL_REG + """, asked AS (SELECT CASE WHEN key LIKE '%3' THEN 'IMP_CANDIDATE' WHEN key LIKE '%5' THEN 'OTHER' ELSE type END AS type, key, type AS registered FROM keys)
+SELECT 'registry-unknown-type' AS rule_id, key AS object_id, type AS message FROM asked WHERE type = 'OTHER' UNION ALL SELECT 'registry-type-conflict', key, registered || '/' || type FROM asked WHERE type <> 'OTHER' AND type <> registered
+UNION ALL SELECT 'registry-full', 'n' || key, 'MM-ICE' FROM keys""")
+def registry_requests(spark: SparkSession, d: str) -> DataFrame:
+    """Requests with some types changed, and new keys for a prefix whose last number is given."""
+    k = _keys(spark, d)
+    changed = F.when(F.col("key").endswith("3"), "IMP_CANDIDATE").when(F.col("key").endswith("5"), "OTHER").otherwise(F.col("type"))
+    last = _whole_registry(spark, d).unionByName(spark.createDataFrame([("MM-ICE-999999", "HIGH_PROSPECTIVITY_REGION", "last", "2026-01-01")], "id string, type string, key string, first_catalogued string"))
+    asked = k.select(changed.alias("type"), "key").unionByName(k.select(F.lit("HIGH_PROSPECTIVITY_REGION").alias("type"), F.concat(F.lit("n"), "key").alias("key")))
+    return catalogue.request_violations(last, asked)
+
+
+@query(ALL_REG + """, shown AS (SELECT CASE WHEN key LIKE '%1' THEN id || '0' ELSE id END AS id, CASE WHEN key LIKE '%2' THEN 'OTHER' ELSE type END AS type, CASE WHEN key LIKE '%4' THEN key || '!' ELSE key END AS key FROM old)
+SELECT 'discovery-unregistered' AS rule_id, id AS object_id, '' AS message FROM shown WHERE key LIKE '%1' UNION ALL SELECT 'discovery-type', id, type FROM shown WHERE type = 'OTHER' UNION ALL SELECT 'discovery-identity', id, key FROM shown WHERE key LIKE '%!'""")
+def discovery_identities(spark: SparkSession, d: str) -> DataFrame:
+    """Discoveries with some ids, types and keys changed, against the registry."""
+    old = _whole_registry(spark, d)
+    ends = lambda x: F.col("key").endswith(x)
+    shown = old.select(F.when(ends("1"), F.concat("id", F.lit("0"))).otherwise(F.col("id")).alias("id"), F.when(ends("2"), "OTHER").otherwise(F.col("type")).alias("type"), F.when(ends("4"), F.concat("key", F.lit("!"))).otherwise(F.col("key")).alias("key"))
+    return contract.identity_rules(shown, old)
+
+
 @query(f"""{fx.with_sql('det')}, b AS (SELECT tile_id, CAST(round_even(x + w / 2, 0) AS INT) AS cx, CAST(round_even(y + h / 2, 0) AS INT) AS cy, CAST(round_even(w, 0) AS INT) AS bw, CAST(round_even(h, 0) AS INT) AS bh, d1 FROM det WHERE score >= 0.9),
 o AS (SELECT DISTINCT tile_id, cx + CASE WHEN d1 % 5 = 0 THEN 1 ELSE 0 END AS cx, cy, bw, bh FROM b),
 k AS (SELECT *, concat('crater-detection|set|', tile_id, '|ckpt|box=', concat_ws(',', cx, cy, bw, bh)) AS key FROM o), n AS (SELECT DISTINCT tile_id, cx, cy, bw, bh, concat('crater-detection|set|', tile_id, '|ckpt|box=', concat_ws(',', cx, cy, bw, bh)) AS key FROM b)

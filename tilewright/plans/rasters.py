@@ -200,13 +200,26 @@ def confusion_by_split(spark: SparkSession, d: str) -> DataFrame:
     return raster.confusion(raster.segmented(fx.pixels(spark, d))).select("split", "tp", "fp", "fn", F.round("iou", 6).alias("iou"), F.round("f1", 6).alias("f1"))
 
 
-@query(f"""{PIX}, {PATCHES}, c AS (SELECT pole, CAST(cell_row AS INT) AS r, CAST(cell_col AS INT) AS c, split FROM pixel WHERE mosaic_id = 0 AND prow = 0 AND pcol = 0 AND cell_row < 9 AND cell_col < 9),
-g AS (SELECT pole, r, c FROM (SELECT DISTINCT pole FROM c), (SELECT unnest(range(9)) AS r), (SELECT unnest(range(9)) AS c))
-SELECT g.pole, g.r AS row, g.c AS col, CASE WHEN c.pole IS NULL THEN 'missing' WHEN c.split = 'validation' THEN 'unlisted' ELSE c.split END AS split FROM g LEFT JOIN c ON c.pole = g.pole AND c.r = g.r AND c.c = g.c""")
+@query(f"""{PIX}, c AS (SELECT mosaic_id, pole, CAST(cell_row AS INT) AS r, CAST(cell_col AS INT) AS c, split FROM pixel WHERE prow = 0 AND pcol = 0),
+g AS (SELECT mosaic_id, pole, r, c FROM (SELECT DISTINCT mosaic_id, pole FROM c), (SELECT unnest(range(16)) AS r), (SELECT unnest(range(16)) AS c))
+SELECT g.mosaic_id, g.pole, g.r AS row, g.c AS col, CASE WHEN c.pole IS NULL THEN 'missing' WHEN c.split = 'validation' THEN 'unlisted' ELSE c.split END AS split FROM g LEFT JOIN c ON c.mosaic_id = g.mosaic_id AND c.pole = g.pole AND c.r = g.r AND c.c = g.c""")
 def pole_matrix(spark: SparkSession, d: str) -> DataFrame:
-    p = fx.pixels(spark, d).where("mosaic_id = 0 AND prow = 0 AND pcol = 0 AND cell_row < 9 AND cell_col < 9")
-    cells = p.select("patch_id", "pole", F.col("cell_row").alias("row"), F.col("cell_col").alias("col"))
-    return proximity.cell_matrix(cells, p.where("split <> 'validation'").select("patch_id", "split"))
+    """Every cell of every mosaic and pole."""
+    p = fx.pixels(spark, d).where("prow = 0 AND pcol = 0")
+    cells = p.select("patch_id", "mosaic_id", "pole", F.col("cell_row").cast("int").alias("row"), F.col("cell_col").cast("int").alias("col"))
+    return proximity.cell_matrix(cells, p.where("split <> 'validation'").select("patch_id", "split"), 16, ("mosaic_id", "pole"))
+
+
+@query(f"""{PIX}, {MASKED}, r AS (SELECT patch_id, count_if(mask AND covered) AS n, count_if(covered) AS valid, avg(CASE WHEN mask AND covered THEN prow + 0.5e0 END) AS row FROM m GROUP BY patch_id)
+SELECT 'mask-pixels' AS rule_id, CAST(patch_id AS VARCHAR) AS object_id, concat_ws('/', n + 1, n) AS message FROM r WHERE patch_id % 17 = 0 UNION ALL SELECT 'mask-fraction', CAST(patch_id AS VARCHAR), '' FROM r WHERE patch_id % 19 = 0 AND valid > 0
+UNION ALL SELECT 'mask-centroid', CAST(patch_id AS VARCHAR), '' FROM r WHERE patch_id % 23 = 0 AND row IS NOT NULL UNION ALL SELECT 'mask-area', CAST(patch_id AS VARCHAR), '' FROM r WHERE patch_id % 29 = 0
+UNION ALL SELECT 'mask-fraction', CAST(patch_id AS VARCHAR), '' FROM r WHERE valid = 0""")
+def mask_contract(spark: SparkSession, d: str) -> DataFrame:
+    """Some counts, shares, areas and centroids are changed, so that the rules have something to find."""
+    masks = raster.mask_records(raster.segmented(fx.pixels(spark, d)), 0.25)
+    off = lambda n, new, c: F.when(F.col("patch_id") % n == 0, new).otherwise(F.col(c)).alias(c)
+    shown = masks.select("patch_id", off(17, F.col("pixels") + 1, "pixels"), off(29, F.lit(-1.0), "area_m2"), off(19, F.col("fraction") + 1.5, "fraction"), "mean_softmax", "iou", off(23, F.col("row") + 100, "row"), "col")
+    return contract.mask_rules(shown, masks)
 
 
 @query(QUANT + ", pub AS (SELECT patch_id, prow, pcol, lo + scale * (level + CASE WHEN (patch_id + prow * 8 + pcol) % 97 = 0 THEN 2 ELSE 0 END) AS decoded, scale, value FROM l) SELECT 'raster-value' AS rule_id, CAST(patch_id AS VARCHAR) AS object_id, concat_ws(',', prow, pcol) AS message FROM pub WHERE abs(decoded - value) > scale / 2 + 1e-12")
