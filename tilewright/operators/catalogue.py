@@ -206,3 +206,36 @@ def global_stats(objects: DataFrame) -> DataFrame:
     """(task, split, objects, predictions, high_interest) for each task and split, each of them, and all: grouping sets."""
     rows = objects.cube("task", "split").agg(F.count("*").alias("objects"), F.sum("predictions").alias("predictions"), F.count_if(F.col("score") >= 80).alias("high_interest"), F.grouping_id().alias("level"))
     return rows.fillna("all", ["task", "split"])
+
+
+SPLITS = ("train", "validation", "test", "external")
+
+
+def manifest_counts(objects: DataFrame) -> DataFrame:
+    """(task, objects, train, validation, test, external): objects of each task, in all and by split."""
+    return objects.groupBy("task").agg(F.count("*").alias("objects"), *[F.count_if(F.col("split") == s).alias(s) for s in SPLITS])
+
+
+def sources_used(objects: DataFrame, sources: DataFrame) -> DataFrame:
+    """(source_id, kind, revision, objects) of each model and dataset that objects (model, dataset) name; the revision is null
+    for sources that are not listed."""
+    named = F.explode(F.array(F.struct(F.lit("model").alias("kind"), F.col("model").alias("source_id")), F.struct(F.lit("dataset").alias("kind"), F.col("dataset").alias("source_id")))).alias("s")
+    used = objects.select(named).where("s.source_id IS NOT NULL").groupBy("s.kind", "s.source_id").agg(F.count("*").alias("objects"))
+    return used.join(sources.select("kind", "source_id", "revision"), ["kind", "source_id"], "left")
+
+
+def decision_inputs(items: DataFrame, kilobytes: dict[str, float]) -> DataFrame:
+    """(task, added, test_places, places, storage_mb) of items (task, split, place): what publishing the train and validation
+    splits too would add, in items, in places beyond those of the test split, and in storage."""
+    size = F.element_at(F.create_map(*[F.lit(x) for kv in kilobytes.items() for x in kv]), F.col("task"))
+    rows = items.groupBy("task").agg(F.count_if(F.col("split").isin("train", "validation")).alias("added"), F.count_distinct(F.when(F.col("split") == "test", F.col("place"))).alias("test_places"), F.count_distinct("place").alias("places"))
+    return rows.withColumn("storage_mb", F.round(F.col("added") * size / 1024, 1))
+
+
+def with_provenance(objects: DataFrame, runs: DataFrame, pins: DataFrame, version: str) -> DataFrame:
+    """Objects (task, sample) with ``provenance`` from their run (task, sample, split, checkpoint, revision) and the pinned
+    names (task, model, dataset, reference) of their task; null without a run. The split ``val`` is ``validation``."""
+    rows = objects.join(runs.withColumn("_run", F.lit(True)), ["task", "sample"], "left").join(pins, "task", "left")
+    fields = F.struct("task", F.col("dataset").alias("source_dataset"), F.col("sample").alias("source_tile"), F.when(F.col("split") == "val", "validation").otherwise(F.col("split")).alias("dataset_split"),
+                      "model", "checkpoint", F.col("revision").alias("model_revision"), F.col("reference").alias("reference_source"), F.lit(version).alias("processing_version"))
+    return rows.select(*objects.columns, F.when(F.col("_run"), fields).alias("provenance"))

@@ -6,6 +6,9 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from tilewright.functions import geo
+from tilewright.operators import proximity, raster
+
 SCHEMA = "rule_id string, object_id string, message string"
 
 
@@ -14,6 +17,13 @@ def violations(rows: DataFrame, rule: str, broken: Column, object_: str, message
     return rows.where(F.coalesce(broken, F.lit(True))).select(F.lit(rule).alias("rule_id"), F.col(object_).cast("string").alias("object_id"), (message if message is not None else F.lit("")).cast("string").alias("message"))
 
 
+def checked(rows: DataFrame, object_: str, *rules: tuple) -> DataFrame:
+    """The union of ``violations`` over the same rows for (rule, broken) or (rule, broken, message), in one pass over them."""
+    found = F.array(*[F.struct(F.lit(rule).alias("rule_id"), F.coalesce(broken, F.lit(True)).alias("broken"), (message[0] if message else F.lit("")).cast("string").alias("message")) for rule, broken, *message in rules])
+    hits = rows.select(F.col(object_).cast("string").alias("object_id"), F.explode(F.filter(found, lambda r: r["broken"])).alias("r"))
+    return hits.select("r.rule_id", "object_id", "r.message")
+
+
 def duplicates(rows: DataFrame, rule: str, key: str) -> DataFrame:
     n = rows.groupBy(key).agg(F.count("*").alias("n")).where("n > 1")
     return n.select(F.lit(rule).alias("rule_id"), F.col(key).cast("string").alias("object_id"), F.col("n").cast("string").alias("message"))
@@ -113,3 +123,72 @@ def build_summary(**counts: DataFrame) -> DataFrame:
     """One row of the counts of a build's tables."""
     each = [df.agg(F.count("*").alias("n")).select(F.lit(name).alias("name"), "n") for name, df in counts.items()]
     return reduce(DataFrame.unionByName, each).groupBy().pivot("name", list(counts)).agg(F.first("n"))
+
+
+def count_rules(published: DataFrame, counted: DataFrame, rule: str, key: str) -> DataFrame:
+    """Published counts per key against counted ones, column by column: counts that differ, keys that one side lacks."""
+    names = [c for c in published.columns if c != key]
+    real = counted.select(key, F.lit(True).alias("_real"), *[F.col(c).alias(f"_{c}") for c in names])
+    both = published.withColumn("_shown", F.lit(True)).join(real, key, "full_outer")
+    shown, known = F.col("_shown").isNotNull(), F.col("_real").isNotNull()
+    return checked(both, key, (f"{rule}-unpublished", ~shown), (f"{rule}-unknown", ~known),
+                   *[(f"{rule}-count", shown & known & ~F.col(c).eqNullSafe(F.col(f"_{c}")), F.lit(c)) for c in names])
+
+
+def geolocation_rules(tiles: DataFrame, tolerance: float = 1e-5) -> DataFrame:
+    """Published centre (lat, lon) and corners (lats, lons; clockwise from the upper left) of tiles against what their
+    projection and grid give. Each row is judged by itself."""
+    truth = proximity.with_corners(tiles.withColumnsRenamed({"lats": "p_lats", "lons": "p_lons"}))
+    half = F.col("width") / 2
+    lat, lon = geo.pixel_to_lonlat(geo.Projection(), F.col("x_min"), F.col("y_max"), F.col("px"), half, half)
+    near = lambda a, b, c, d: (F.abs(a - c) <= tolerance) & (F.abs(geo.wrap(b - d)) <= tolerance)
+    return checked(truth, "tile_id", ("geolocation-center", ~near(F.col("lat"), F.col("lon"), lat, lon)),
+                   *[("geolocation-corner", ~near(F.get("p_lats", F.lit(k)), F.get("p_lons", F.lit(k)), F.get("lats", F.lit(k)), F.get("lons", F.lit(k))), F.lit(k)) for k in range(4)])
+
+
+def containment_rules(craters: DataFrame, tiles: DataFrame, margin: float = 0.2) -> DataFrame:
+    """Craters (tile_id, idx, lat, lon) beyond the bounds of their tile's corners by more than ``margin`` degrees, or without a tile."""
+    corners = proximity.with_corners(tiles).select("tile_id", "lats", "lons")
+    return checked(craters.join(corners, "tile_id", "left"), "tile_id", ("crater-outside", ~proximity.in_bounds(margin), F.col("idx")))
+
+
+def ice_rules(published: DataFrame, pixels: DataFrame, margin: int, formula: str = "ice-p90-bounded-v2", tolerance: float = 1e-6) -> DataFrame:
+    """Published sector records (those of ``raster.sector_records`` with pole, lat, name and formula) against their pixels.
+
+    Pole, latitude, name and formula agree; statistics, clipped and covered pixels, peak and anchor are recomputed. A sector
+    without a covered pixel is one violation (ice-raster). An anchor nearer to the valid edge than ``margin`` is not the
+    recomputed one.
+    """
+    fields = ("min", "max", "covered_pixels", "clipped_pixels", "rmse", "mae", "peak", "anchor")
+    truth = raster.sector_records(pixels, margin).select("patch_id", *[F.col(c).alias(f"_{c}") for c in fields])
+    both = published.join(truth, "patch_id", "left")
+    known, south = F.col("_max").isNotNull(), F.col("pole") == "south"
+    off = lambda c: known & F.coalesce(F.abs(F.col(c) - F.col(f"_{c}")) > tolerance, F.lit(True))
+    moved = lambda c: (F.col(f"{c}.prow") != F.col(f"_{c}.prow")) | (F.col(f"{c}.pcol") != F.col(f"_{c}.pcol")) | (F.abs(F.col(f"{c}.value") - F.col(f"_{c}.value")) > tolerance)
+    return checked(
+        both, "patch_id", ("ice-pole", ((F.col("lat") < 0) != south) | (F.abs("lat") < 75)), ("ice-name", F.col("name").endswith("_S_80S") != south),
+        ("ice-formula", F.col("formula") != formula), ("ice-errors", (F.col("rmse") < 0) | (F.col("mae") < 0)), ("ice-raster", ~known),
+        ("ice-statistics", off("min") | off("max")), ("ice-clipped", known & ~F.col("clipped_pixels").eqNullSafe(F.col("_clipped_pixels"))),
+        ("ice-covered", known & ~F.col("covered_pixels").eqNullSafe(F.col("_covered_pixels"))), ("ice-peak", known & F.coalesce(moved("peak"), F.lit(True))),
+        ("ice-anchor-presence", known & (F.col("anchor").isNull() != F.col("_anchor").isNull())),
+        ("ice-anchor", F.col("anchor").isNotNull() & F.col("_anchor").isNotNull() & F.coalesce(moved("anchor"), F.lit(True))))
+
+
+def mosaic_rules(placements: DataFrame, sectors: DataFrame, mosaics: DataFrame, tolerance_m: float = 0.01) -> DataFrame:
+    """Placements (mosaic_id, patch_id, row, col, height, width) of sectors (patch_id, pole, projection, x_min, y_max) in mosaics
+    (mosaic_id, pole, projection, x_min, y_max, px, height, width): each sector once, all of one pole and projection, at its
+    place on the grid, inside. Values and coverage are compared by ``raster.patch_vs_mosaic``'s query."""
+    times = placements.groupBy("patch_id").agg(F.count("*").alias("n"))
+    once = checked(sectors.select("patch_id").join(times, "patch_id", "left").fillna(0, ["n"]), "patch_id", ("mosaic-placement", F.col("n") != 1, F.col("n")))
+    s = sectors.select("patch_id", F.col("pole").alias("s_pole"), F.col("projection").alias("s_projection"), F.col("x_min").alias("s_x"), F.col("y_max").alias("s_y"))
+    m = mosaics.select("mosaic_id", "pole", "projection", "x_min", "y_max", "px", F.col("height").alias("m_height"), F.col("width").alias("m_width"))
+    both = placements.join(s, "patch_id", "left").join(m, "mosaic_id", "left")
+    member, found = F.col("s_pole").isNotNull(), F.col("pole").isNotNull()
+    known = member & found
+    far = lambda a, b: F.abs(a - b) >= tolerance_m
+    wrong = lambda c: known & F.coalesce(c, F.lit(True))
+    return once.unionByName(checked(
+        both, "patch_id", ("mosaic-member", ~member, F.col("mosaic_id")), ("mosaic-unknown", ~found, F.col("mosaic_id")),
+        ("mosaic-pole", wrong(F.col("s_pole") != F.col("pole")), F.col("mosaic_id")), ("mosaic-projection", wrong(F.col("s_projection") != F.col("projection")), F.col("mosaic_id")),
+        ("mosaic-position", wrong(far(F.col("s_x"), F.col("x_min") + F.col("col") * F.col("px")) | far(F.col("s_y"), F.col("y_max") - F.col("row") * F.col("px"))), F.col("mosaic_id")),
+        ("mosaic-outside", wrong((F.col("col") + F.col("width") > F.col("m_width")) | (F.col("row") + F.col("height") > F.col("m_height"))), F.col("mosaic_id"))))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tilewright.functions import geo
 from tilewright.operators.graph import connected_components
@@ -73,11 +73,27 @@ def points_in_tiles(points: DataFrame, tiles: DataFrame, cell: float = 2.0) -> D
     return both.where(near).withColumns({"c": F.round(col, 6), "r": F.round(row, 6)}).where("c BETWEEN 0 AND width AND r BETWEEN 0 AND width").select("point_id", "tile_id")
 
 
-def within_bounds(pairs: DataFrame, margin: float = 0.0) -> DataFrame:
-    """Pairs (lat, lon, lats, lons) whose point lies in the bounds of the footprint's latitudes and unwrapped longitudes."""
+def with_corners(tiles: DataFrame) -> DataFrame:
+    """Tiles with ``lats`` and ``lons`` of their four outer corners, clockwise from the upper left."""
+    w = F.col("width")
+    at = [geo.pixel_to_lonlat(geo.Projection(), F.col("x_min"), F.col("y_max"), F.col("px"), col * w, row * w) for col, row in ((0, 0), (1, 0), (1, 1), (0, 1))]
+    return tiles.withColumns({"lats": F.array(*[lat for lat, _ in at]), "lons": F.array(*[lon for _, lon in at])})
+
+
+def in_bounds(margin: float = 0.0) -> Column:
+    """Whether (lat, lon) lies in the bounds of the latitudes ``lats`` and the longitudes ``lons``, unwrapped around the point."""
     near = F.transform("lons", lambda x: F.pmod(x - F.col("lon") + 180, F.lit(360.0)) - 180)
-    ok = F.col("lat").between(F.array_min("lats") - margin, F.array_max("lats") + margin) & (F.array_min(near) <= margin) & (F.array_max(near) >= -margin)
-    return pairs.where(ok)
+    return F.col("lat").between(F.array_min("lats") - margin, F.array_max("lats") + margin) & (F.array_min(near) <= margin) & (F.array_max(near) >= -margin)
+
+
+def within_bounds(pairs: DataFrame, margin: float = 0.0) -> DataFrame:
+    """Pairs (lat, lon, lats, lons) whose point lies in the bounds of the footprint."""
+    return pairs.where(in_bounds(margin))
+
+
+def in_box() -> Column:
+    """Whether (lat, lon) lies between the least and the largest of ``lats`` and ``lons`` as they stand, without unwrapping."""
+    return F.col("lat").between(F.array_min("lats"), F.array_max("lats")) & F.col("lon").between(F.array_min("lons"), F.array_max("lons"))
 
 
 def close_pairs(points: DataFrame, km: float) -> DataFrame:

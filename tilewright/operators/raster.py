@@ -306,3 +306,27 @@ def geolocated(tiles: DataFrame, pixels: DataFrame, row: str = "prow", col: str
     rows = pixels.join(tiles, "tile_id")
     lat, lon = geo.pixel_to_lonlat(p, F.col("x_min"), F.col("y_max"), F.col("px"), F.col(col) + 0.5, F.col(row) + 0.5)
     return rows.withColumns({"lat": lat, "lon": lon})
+
+
+# --- records ----------------------------------------------------------------------------------------------------------
+
+
+def sector_records(pixels: DataFrame, margin: int, by: tuple[str, ...] = PATCH) -> DataFrame:
+    """One record per patch with a covered pixel: statistics, clipped and covered pixels, errors, peak and anchor (value,
+    prow, pcol). The anchor is null where no pixel is ``margin`` pixels from the valid edge; errors are null where no pixel
+    has both values. Pixels are read once and reduced once."""
+    v, e = F.when(F.col("covered"), F.col("value")), F.when(F.col("covered") & F.col("ref_covered"), F.col("value") - F.col("ref_value"))
+    at = F.struct("value", "prow", "pcol")
+    first = lambda c: F.min_by(at, F.when(F.col(c), F.struct(-F.col("value"), "prow", "pcol")))
+    rows = eroded(pixels, margin).withColumn("deep", F.col("deep") & F.col("covered")).groupBy(*by).agg(
+        F.count(v).alias("covered_pixels"), F.count_if((v < 0) | (v > 1)).alias("clipped_pixels"), F.min(v).alias("min"), F.max(v).alias("max"), F.avg(v).alias("mean"),
+        F.percentile(v, F.lit(0.9)).alias("p90"), F.sqrt(F.avg(e * e)).alias("rmse"), F.avg(F.abs(e)).alias("mae"), first("covered").alias("peak"), first("deep").alias("anchor"))
+    return rows.where("covered_pixels > 0")
+
+
+def mask_regions(tiles: DataFrame, masks: DataFrame) -> DataFrame:
+    """Mask records (tile_id, row, col, ...) with their tile's corners and the latitude and longitude of their centroid, null
+    for empty masks."""
+    rows = masks.join(tiles, "tile_id")
+    lat, lon = geo.pixel_to_lonlat(geo.Projection(), F.col("x_min"), F.col("y_max"), F.col("px"), F.col("col"), F.col("row"))
+    return rows.withColumns({"lat": lat, "lon": lon})
