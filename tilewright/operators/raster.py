@@ -56,16 +56,17 @@ def eroded(pixels: DataFrame, k: int) -> DataFrame:
 def edge_distance(pixels: DataFrame, most: int) -> DataFrame:
     """``pixels`` with ``edge_distance``: of a covered pixel the number of erosions it survives, ``most`` at most; else null.
 
-    One erosion step after the other, each two windows over rows and columns of three.
+    A square erodes first along rows, then along columns: one pass counts the steps survived in the row, a second one in the
+    column, so that the pixels are shuffled twice whatever ``most`` is.
     """
-    rows = pixels.withColumns({"_on": F.col("covered").cast("int"), "edge_distance": F.when(F.col("covered"), 0)})
-    across = Window.partitionBy("patch_id", "prow").orderBy("pcol").rowsBetween(-1, 1)
-    down = Window.partitionBy("patch_id", "pcol").orderBy("prow").rowsBetween(-1, 1)
-    for step in range(1, most + 1):
-        rows = rows.withColumn("_r", F.when(F.count("*").over(across) == 3, F.min("_on").over(across)).otherwise(0))
-        rows = rows.withColumn("_on", F.when(F.count("*").over(down) == 3, F.min("_r").over(down)).otherwise(0))
-        rows = rows.withColumn("edge_distance", F.when(F.col("_on") == 1, step).otherwise(F.col("edge_distance")))
-    return rows.drop("_on", "_r")
+    def survived(steps: str, line: str, along: str) -> Column:
+        each = [Window.partitionBy("patch_id", line).orderBy(along).rowsBetween(-k, k) for k in range(1, most + 1)]
+        whole = [(F.count("*").over(w) == 2 * k + 1) & (F.min(steps).over(w) >= k) for k, w in enumerate(each, 1)]
+        return reduce(Column.__add__, [ok.cast("int") for ok in whole], F.lit(0))
+
+    rows = pixels.withColumn("_on", F.when(F.coalesce("covered", F.lit(False)), most).otherwise(0))
+    rows = rows.withColumn("_r", survived("_on", "prow", "pcol"))
+    return rows.withColumn("edge_distance", F.when(F.col("covered"), survived("_r", "pcol", "prow"))).drop("_on", "_r")
 
 
 def peak(pixels: DataFrame, eligible: str = "covered", by: tuple[str, ...] = PATCH) -> DataFrame:
