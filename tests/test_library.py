@@ -256,3 +256,12 @@ def test_contract_rules_on_bad_rows(spark):
     runs = spark.createDataFrame([("a", 0, 0, "x", "x", 0, 5, 1.0), ("b", 1, 0, "x", "y", 2, 0, 0.0)], "run_id string, missing_keys int, unexpected_keys int, sha256 string, pinned_sha256 string, non_finite int, size int, std double")
     bad = contract.problems(spark, contract.run_rules(runs), scope="published", raw_rules=("run-strict",)).collect()
     assert sorted(r["rule_id"] for r in bad) == ["run-checkpoint", "run-constant", "run-empty", "run-finite"]
+
+
+def test_running_total_by_group(spark):
+    rows = [("a" if i % 3 else None, i % 7, i % 5) for i in range(100)]
+    df = spark.createDataFrame(rows, "g string, k int, n int").groupBy("g", "k").agg(F.sum("n").alias("n"))
+    for parts in (1, 3, 64):
+        got = {(r["g"], r["k"]): r["t"] for r in scoring.running_total(df, "k", "n", "t", ascending=False, parts=parts, by=("g",)).collect()}
+        assert got == {(g, k): sum(m for h, j, m in rows if h == g and j > k) for g, k, _ in rows}
+    assert scoring.running_total(df.limit(0), "k", "n", "t", by=("g",)).count() == 0

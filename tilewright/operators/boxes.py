@@ -98,14 +98,13 @@ def average_precision(detections: DataFrame, references: DataFrame, split: str =
     pairs = iou_pairs(det, references, min(thresholds))
     levels = F.explode(F.array(*[F.lit(t) for t in thresholds])).alias("threshold")
     matched = greedy_matches(pairs.select("*", levels).where("iou >= threshold"), ("tile_id", "threshold"))
-    hits = det.select("tile_id", F.col("idx").alias("det"), split, F.col("score"))
-    per = hits.select("*", levels).join(matched.select("tile_id", "threshold", "det", F.lit(1).alias("tp")), ["tile_id", "threshold", "det"], "left")
-    steps = per.groupBy(split, "threshold", "score").agg(F.count("tp").alias("tp"), F.count("*").alias("n"))
+    hits = matched.select("tile_id", "threshold", "det").join(det.select("tile_id", F.col("idx").alias("det"), split, "score"), ["tile_id", "det"])
+    # scores without a hit add nothing to the curve but to the detections so far, which are the same at each threshold
+    tps = running_total(hits.groupBy(split, "threshold", "score").agg(F.count("*").alias("tp")), "score", "tp", "above", ascending=False, by=(split, "threshold"))
+    ns = running_total(det.groupBy(split, "score").agg(F.count("*").alias("n")), "score", "n", "above", ascending=False, by=(split,))
+    steps = tps.withColumn("tps", F.col("above") + F.col("tp")).join(ns.select(split, "score", (F.col("above") + F.col("n")).alias("ns")), [split, "score"])
     total = references.groupBy(split).agg(F.count("*").alias("total"))
-    # distinct scores of a split and threshold: as many as the scores' precision allows
-    down = Window.partitionBy(split, "threshold").orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, 0)
-    curve = steps.withColumns({"tps": F.sum("tp").over(down), "ns": F.sum("n").over(down)}).join(F.broadcast(total), split)
-    curve = curve.select(split, "threshold", "score", (F.col("tps") / F.col("total")).alias("recall"), (F.col("tps") / F.col("ns")).alias("precision"))
+    curve = steps.join(total, split).select(split, "threshold", (F.col("tps") / F.col("total")).alias("recall"), (F.col("tps") / F.col("ns")).alias("precision"))
     points = F.explode(F.sequence(F.lit(0), F.lit(100))).alias("r")
     # the best precision at or beyond each recall point
     reached = curve.select("*", F.floor(F.col("recall") * 100 + 1e-9).alias("top")).groupBy(split, "threshold", "top").agg(F.max("precision").alias("p"))
