@@ -29,3 +29,41 @@ n AS (SELECT doc_id, sum(e - s) AS removed, count(*) AS spans FROM span GROUP BY
 SELECT t.doc_id, length(x) // 2 AS n_bytes, CAST(coalesce(removed, 0) AS BIGINT) AS n_removed, coalesce(spans, 0) AS n_spans, sha256(unhex(CASE WHEN n.doc_id IS NULL THEN x ELSE coalesce(kept, '') END)) AS kept_sha256
 FROM t LEFT JOIN n ON n.doc_id = t.doc_id LEFT JOIN keep k ON k.doc_id = t.doc_id
 """
+
+
+def crc32(decimal: str) -> str:
+    """SQL of the unsigned CRC-32 of a text of ASCII characters: a bit at a time over its characters, each followed by seven marks."""
+    bits = f"list_concat([4294967295::UBIGINT], flatten(list_transform(string_split({decimal}, ''), lambda ch: list_concat([ascii(ch)::UBIGINT], repeat([256::UBIGINT], 7)))))"
+    step = "lambda c, v: xor(xor(c, v % 256) >> 1, (xor(c, v % 256) & 1) * 3988292384::UBIGINT)"
+    return f"xor(list_reduce({bits}, {step}), 4294967295::UBIGINT)"
+
+
+def _merkle() -> str:
+    """The trees, level by level: as many levels as ten documents to the power of eight need, a tree of one node stays as it is."""
+    height = 9
+    field = lambda c: f"coalesce(strlen({c}::VARCHAR)::VARCHAR || ':' || {c}::VARCHAR, '-')"
+    row = lambda text: "sha256(" + " || ".join([*map(field, ("doc_id", "source", "lang", "n_chars")), field(text)]) + ")"
+    out = [f"""leaves AS MATERIALIZED (SELECT doc_id, lang, {row('text')} AS leaf, CASE WHEN {crc32('doc_id::VARCHAR')} % 3 = 0 THEN {row(f"translate(text, '{UPPER}', '{LOWER}')")} ELSE {row('text')} END AS told FROM documents),
+langs AS (SELECT lang, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS t FROM (SELECT DISTINCT lang FROM leaves)),
+placed AS MATERIALIZED (SELECT doc_id, t, leaf, told, row_number() OVER (PARTITION BY t ORDER BY doc_id NULLS FIRST, leaf) - 1 AS p FROM leaves l JOIN langs g ON l.lang IS NOT DISTINCT FROM g.lang)"""]
+
+    def climb(name: str, first: str) -> None:
+        out.append(f"{name}0 AS MATERIALIZED ({first})")
+        for i in range(height):
+            out.append(f"{name}{i + 1} AS MATERIALIZED (SELECT t, p // 8 AS p, CASE WHEN any_value(n) = 1 THEN any_value(node) ELSE sha256(string_agg(node, '' ORDER BY p)) END AS node, (any_value(n) + 7) // 8 AS n FROM {name}{i} GROUP BY t, p // 8)")
+
+    climb("a", "SELECT t, p, leaf AS node, count(*) OVER (PARTITION BY t) AS n FROM placed")
+    climb("b", f"SELECT 0 AS t, t AS p, node, (SELECT count(*) FROM langs) AS n FROM a{height}")
+    last = "SELECT doc_id, t, p, t AS t2, leaf, told AS now, '' AS proof FROM placed"
+    k = 0
+    for name, tree, place in (("a", "f.t", "f.p"), ("b", "0", "f.t2")):
+        for i in range(height):
+            at = f"({place} // {8**i})"
+            side = lambda test: f"coalesce((SELECT string_agg(x.node, '' ORDER BY x.p) FROM {name}{i} x WHERE x.t = {tree} AND x.p // 8 = {at} // 8 AND x.p {test} {at}), '')"  # noqa: E731,B023
+            out.append(f"s{k} AS MATERIALIZED (SELECT f.*, {side('<')} AS l, {side('>')} AS r, (SELECT any_value(x.n) FROM {name}{i} x WHERE x.t = {tree}) AS n FROM ({last}) f)")
+            last = f"SELECT doc_id, t, p, t2, leaf, CASE WHEN n = 1 THEN now ELSE sha256(l || now || r) END AS now, proof || l || r AS proof FROM s{k}"
+            k += 1
+    return "WITH " + ",\n".join(out) + f"\nSELECT doc_id, leaf, a.node AS subroot, b.node AS root, sha256(proof) AS proof_sha256, now AS folded_root, now = b.node AS verified FROM ({last}) f JOIN a{height} a ON a.t = f.t CROSS JOIN b{height} b"
+
+
+MERKLE_MANIFEST = _merkle()
