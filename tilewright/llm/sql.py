@@ -67,3 +67,18 @@ placed AS MATERIALIZED (SELECT doc_id, t, leaf, told, row_number() OVER (PARTITI
 
 
 MERKLE_MANIFEST = _merkle()
+
+PREFIX_TRIE = f"""
+WITH turns AS (SELECT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS t FROM conversations WHERE conv_id IS NOT NULL),
+own AS (SELECT conv_id, list({{'k': strlen(r) || ':' || r || strlen(t) || ':' || t, 'c': length(t)}} ORDER BY turn NULLS FIRST, r, t) AS xs FROM turns GROUP BY conv_id),
+head AS (SELECT conv_id, CAST({crc32('conv_id::VARCHAR')} % 6 AS INTEGER) AS h, conv_id - conv_id % 100 AS b, xs FROM own),
+built AS (SELECT h.conv_id, list_concat(coalesce(o.xs, [])[1:h.h], h.xs[h.h + 1:]) AS xs FROM head h LEFT JOIN own o ON o.conv_id = h.b),
+begin AS (SELECT conv_id, xs, len(xs) AS n, unnest(range(len(xs) + 1)) AS d FROM built),
+held AS MATERIALIZED (SELECT conv_id, n, d, CASE WHEN d > 0 THEN xs[d].c ELSE 0 END AS c, sha256(array_to_string(list_transform(xs[1:d], lambda x: x.k), '')) AS k, sha256(array_to_string(list_transform(xs[1:d - 1], lambda x: x.k), '')) AS up FROM begin),
+node AS MATERIALIZED (SELECT d, k, any_value(up) AS up, any_value(c) AS c, min(conv_id) AS conv_id, count(*) AS m, sha256(coalesce(string_agg(CASE WHEN n = d THEN conv_id::VARCHAR END, ',' ORDER BY conv_id), '')) AS ends FROM held GROUP BY d, k),
+kids AS (SELECT d - 1 AS d, up AS k, count(*) AS n FROM node WHERE d > 0 GROUP BY d, up),
+full_ AS MATERIALIZED (SELECT n.*, coalesce(s.n, 0) AS kids FROM node n LEFT JOIN kids s ON s.d = n.d AND s.k = n.k),
+below AS (SELECT h.d, h.k, sum((f.m - 1) * f.c) AS saved, sum((f.kids = 0)::INT) AS leaves FROM full_ f JOIN held h ON h.conv_id = f.conv_id AND h.d <= f.d GROUP BY h.d, h.k)
+SELECT f.d::INT AS depth, f.conv_id, p.conv_id AS parent_conv_id, f.m AS n_convs, f.kids AS n_children, b.leaves::BIGINT AS n_leaves, b.saved::BIGINT AS saved_tokens, f.ends AS ends_sha256
+FROM full_ f JOIN below b ON b.d = f.d AND b.k = f.k LEFT JOIN node p ON f.d > 0 AND p.d = f.d - 1 AND p.k = f.up
+"""
