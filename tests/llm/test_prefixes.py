@@ -75,7 +75,7 @@ def test_many_members_and_long_conversations(spark, tmp_path, monkeypatch):
     asked(spark, tmp_path, short)
     spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").write.parquet(str(tmp_path / "long" / "conversations.parquet"))
     got = queries.op12_prefix_trie(spark, str(tmp_path / "long")).agg({"depth": "max", "n_leaves": "max"}).first()
-    assert got["max(depth)"] == 3000 and got["max(n_leaves)"] >= 3
+    assert got["max(depth)"] == max(3000 - zlib.crc32(c) % 6 for c in (b"1", b"2")) and got["max(n_leaves)"] >= 3
 
 
 def test_empty_and_clashing_columns(spark):

@@ -294,13 +294,16 @@ def _compared(texts: DataFrame, reps: DataFrame, spots: DataFrame, k: int, num:
     return held.select("node", "h1", "text", "component", "s.i", "s.j", "s.side").groupBy("component", "i", "j").applyInArrow(_meet(k, num, den), "u long, v long")
 
 
-def _heavy_links(texts: DataFrame, id_col: str, text_col: str, reps: DataFrame, bound: int, k: int, num: int, den: int) -> DataFrame:
-    lists = written(_postings(reps, bound, num, den), "lists")
-    keyed = _keyed(lists, num, den)
+def links_among(keyed: DataFrame, docs: DataFrame, reps: DataFrame, k: int, num: int, den: int) -> DataFrame:
+    """Edges (u, v) that span the links among sets that meet: those on a list (h, a, b, node) together, and by way of others.
+
+    ``docs`` (doc_id, text) holds the texts, ``reps`` (node, rid, h1) says which text is which set's. Every link between sets of one
+    list is found on the whole sets, whatever the list's length.
+    """
     lead = keyed.groupBy("h", "a", "b").agg(F.min("node").alias("v"), F.max("node").alias("w")).where("v < w").drop("w")
     meets = keyed.join(lead, ["h", "a", "b"]).where("node <> v").select(F.col("node").alias("u"), "v").distinct()
     placed = written(_cut(connected_components(meets)), "placed")
-    texts = texts.select(F.col(id_col).alias("rid"), F.col(text_col).alias("text"))
+    texts = docs.select(F.col("doc_id").alias("rid"), "text")
     links = _compared(texts, reps, _first_spots(placed), k, num, den)
     large = placed.where(F.col("blocks") > FEW_BLOCKS)
     if large.limit(1).count():
@@ -324,25 +327,37 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).where("doc_id is not null")
     profile, bound = _profiler(k, num, den)
-    docs_seen = written(docs.mapInArrow(profile, _PROFILE), "profiles")
-    key = ["h1", "h2", "n"]
-    # a class of equal sets has its smallest id as node; if another class has that id too, a negative digest
-    found = docs_seen.where("n > 0").groupBy(*key).agg(F.min("doc_id").alias("rid"), F.min_by(F.struct("tier", "small"), "doc_id").alias("s"))
-    turn = F.row_number().over(Window.partitionBy("rid").orderBy(*key))
-    named = found.select("rid", *key, F.col("s.tier").alias("tier"), F.col("s.small").alias("small"), F.when(turn == 1, F.col("rid")).otherwise(-1 - F.pmod(F.xxhash64(*key), F.lit(2**62))).alias("node"))
-    reps = written(named, "classes")
+    seen = written(docs.mapInArrow(profile, _PROFILE), "profiles")
+    reps = classes(seen, "tier", "small")
     sizes = {r["n"]: r["c"] for r in reps.where(F.col("n") <= 2 * LIGHT_MOST).groupBy("n").agg(F.count("*").alias("c")).collect()}
     x = boundary(sizes, num, den)
     light = _light_links(reps.where(F.col("n") <= x), x, num, den)
-    heavy = _heavy_links(docs, "doc_id", "text", reps.where(F.col("n") * den >= num * (x + 1)), bound, k, num, den)
-    groups = connected_components(light.union(heavy))
-    of_class = reps.join(groups, "node", "left").select(*key, "rid", F.coalesce("component", "node").alias("component"))
+    heavy = reps.where(F.col("n") * den >= num * (x + 1))
+    lists = written(_postings(heavy, bound, num, den), "lists")
+    return grouped(seen, reps, light.union(links_among(_keyed(lists, num, den), docs, heavy, k, num, den)))
+
+
+_CLASS = ["h1", "h2", "n"]
+
+
+def classes(seen: DataFrame, *columns: str) -> DataFrame:
+    """One row for each distinct set of ``seen`` (doc_id, n, h1, h2, columns), written: its smallest id ``rid`` with that row's columns,
+    and its node, which is that id or, if a class before has that id too, a negative digest."""
+    found = seen.where("n > 0").groupBy(*_CLASS).agg(F.min("doc_id").alias("rid"), F.min_by(F.struct(*columns), "doc_id").alias("s"))
+    turn = F.row_number().over(Window.partitionBy("rid").orderBy(*_CLASS))
+    node = F.when(turn == 1, F.col("rid")).otherwise(-1 - F.pmod(F.xxhash64(*_CLASS), F.lit(2**62)))
+    return written(found.select("rid", *_CLASS, *(F.col(f"s.{c}").alias(c) for c in columns), node.alias("node")), "classes")
+
+
+def grouped(seen: DataFrame, reps: DataFrame, links: DataFrame) -> DataFrame:
+    """(doc_id, n_shingles, component_id) of all rows of ``seen``, given the links between their classes."""
+    of_class = reps.join(connected_components(links), "node", "left").select(*_CLASS, "rid", F.coalesce("component", "node").alias("component"))
     if reps.where("node <> rid").limit(1).count():  # the smallest id of a component is not that of its node
         least = of_class.groupBy("component").agg(F.min("rid").alias("component_id"))
         of_class = of_class.join(least, "component")
     else:
         of_class = of_class.withColumnRenamed("component", "component_id")
-    out = docs_seen.select("doc_id", *key).join(of_class.select(*key, "component_id"), key, "left")
+    out = seen.select("doc_id", *_CLASS).join(of_class.select(*_CLASS, "component_id"), _CLASS, "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tilewright.llm import decontaminate, jaccard, languages, licenses, media, merkle, packing, pii, prefixes, quality, sql, suffixes, urlrules
+from tilewright.llm import decontaminate, forest, jaccard, languages, licenses, media, merkle, packing, pii, prefixes, quality, sql, suffixes, urlrules
 from tilewright.sources.scratch import written
 from tilewright.sources.shipping import shipped
 
@@ -79,6 +79,10 @@ def op10_license_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(_table(spark, sf_dir, "documents"))
 
 
+def op11_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return forest.forest_groups(_table(spark, sf_dir, "documents"), k=4, num=80, den=100)
+
+
 def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     own = written(prefixes.encoded(_table(spark, sf_dir, "conversations")), "sequences")
     c = F.col("conv_id")
@@ -92,11 +96,12 @@ def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest(_table(spark, sf_dir, "documents"), ["doc_id", "source", "lang", "n_chars", "text"], presented={"text": text})
 
 
-QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_suffix_dedup, op3_url_rules, op4_media_columns, op5_language_mixture, op6_pseudonyms, op7_jaccard_groups, op8_packing, op9_quality_trees, op10_license_templates, op12_prefix_trie, op13_merkle_manifest)}
+QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_suffix_dedup, op3_url_rules, op4_media_columns, op5_language_mixture, op6_pseudonyms, op7_jaccard_groups, op8_packing, op9_quality_trees, op10_license_templates, op11_lsh_forest, op12_prefix_trie, op13_merkle_manifest)}
 
 SQL: dict[str, str] = {
     "op2_suffix_dedup": sql.SUFFIX_DEDUP,
     "op7_jaccard_groups": sql.JACCARD_GROUPS,
+    "op11_lsh_forest": f"SELECT *, doc_id = component_id AS kept FROM ({sql.groups(4, 80)})",
     "op12_prefix_trie": sql.PREFIX_TRIE,
     "op13_merkle_manifest": sql.MERKLE_MANIFEST,
     "op3_url_rules": f"""

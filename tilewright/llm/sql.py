@@ -14,6 +14,21 @@ low AS (SELECT node, min(other) AS low FROM reach GROUP BY node)
 SELECT z.doc_id, z.n AS n_shingles, CASE WHEN z.n = 0 THEN z.doc_id ELSE least(r.rid, coalesce(l.low, r.rid)) END AS component_id FROM size z LEFT JOIN rep r ON r.n = z.n AND r.h = z.h LEFT JOIN low l ON l.node = r.rid
 """
 
+def groups(k: int, percent: int) -> str:
+    """Links of shingle sets of k words by all shared shingles, and their components."""
+    return rf"""
+WITH RECURSIVE words AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w FROM documents),
+sets AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < {k} THEN [array_to_string(w, ' ')] ELSE list_distinct(list_transform(range(1, len(w) - {k - 2}), lambda i: array_to_string(w[i : i + {k - 1}], ' '))) END AS s FROM words),
+size AS (SELECT doc_id, len(s) AS n, md5(array_to_string(list_sort(s), chr(10))) AS h FROM sets),
+rep AS (SELECT n, h, min(doc_id) AS rid FROM size WHERE n > 0 GROUP BY n, h),
+sh AS (SELECT r.rid, r.n, unnest(s.s) AS g FROM rep r JOIN sets s ON s.doc_id = r.rid),
+pairs AS (SELECT a.rid AS a, b.rid AS b FROM sh a JOIN sh b ON a.g = b.g AND a.rid < b.rid AND 100 * a.n >= {percent} * b.n AND 100 * b.n >= {percent} * a.n GROUP BY a.rid, b.rid, a.n, b.n HAVING 100 * count(*) >= {percent} * (a.n + b.n - count(*))),
+sym AS (SELECT a, b FROM pairs UNION SELECT b, a FROM pairs), reach(node, other) AS (SELECT a, b FROM sym UNION SELECT r.node, e.b FROM reach r JOIN sym e ON e.a = r.other),
+low AS (SELECT node, min(other) AS low FROM reach GROUP BY node)
+SELECT z.doc_id, z.n AS n_shingles, CASE WHEN z.n = 0 THEN z.doc_id ELSE least(r.rid, coalesce(l.low, r.rid)) END AS component_id FROM size z LEFT JOIN rep r ON r.n = z.n AND r.h = z.h LEFT JOIN low l ON l.node = r.rid
+"""
+
+
 SUFFIX_DEDUP = """
 WITH t AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
 part AS (SELECT doc_id, c * 128 AS base, substr(x, 256 * c + 1, 354) AS y FROM (SELECT doc_id, x, unnest(range((length(x) // 2 - 50) // 128 + 1)) AS c FROM t WHERE length(x) >= 100)),
