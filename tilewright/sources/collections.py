@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from tilewright.sources.documents import read_collection, write_collection  # noqa: F401
+
 
 def tile_metadata(spark: SparkSession, path: str, name: str = "WAC_VIS_TILE") -> DataFrame:
     """Tile metadata with ``sample``, the file name without its folder and ``.nc``."""
@@ -55,21 +57,14 @@ def assembled(layers: dict[str, DataFrame]) -> tuple[DataFrame, DataFrame]:
     return wide, bad
 
 
-def crater_map(spark: SparkSession, path: str) -> DataFrame:
+def crater_map(spark: SparkSession, path: str, range_bytes: int | None = None) -> DataFrame:
     """(region_id, idx, lat, lon, diameter_km, score, truncated, matched) of a JSON object of arrays of number arrays."""
-    rows = spark.read.text(path, wholetext=True).select(F.explode(F.from_json("value", "map<string, array<array<double>>>")).alias("region_id", "t")).select("region_id", F.posexplode("t").alias("idx", "v"))
+    entries = read_collection(spark, path, **({"range_bytes": range_bytes} if range_bytes else {}))
+    rows = entries.select(F.col("key").alias("region_id"), F.posexplode(F.from_json("value", "array<array<double>>")).alias("idx", "v"))
     names = ("lat", "lon", "diameter_km", "score", "truncated", "matched")
     return rows.select("region_id", "idx", *((F.col("v")[i].cast("int") if n in ("truncated", "matched") else F.col("v")[i]).alias(n) for i, n in enumerate(names)))
 
 
-def write_collection(df: DataFrame, path: str, key: str) -> None:
-    """An id-sorted JSON collection. Numbers that are not finite are refused before anything is written."""
-    doubles = [f.name for f in df.schema if f.dataType.simpleString() in ("double", "float")]
-    if doubles and not df.where(F.exists(F.array(*[F.col(c).cast("double") for c in doubles]), lambda v: F.isnan(v) | (F.abs(v) == float("inf")))).isEmpty():
-        raise ValueError("a number of the collection is not finite")
-    df.repartitionByRange(F.col(key)).sortWithinPartitions(key).write.mode("overwrite").json(path)
-
-
 def inventory(spark: SparkSession, path: str) -> DataFrame:
     """(path, bytes, sha256) of the files below a folder, each read by the task that hashes it."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
@@ -88,7 +83,7 @@ def empty(spark: SparkSession, ddl: str) -> DataFrame:
 
 
 def publish(df: DataFrame, path: str, problems: DataFrame) -> None:
-    """Replaces the published table, unless there are problems."""
+    """Replaces one published table, unless there are problems; several at once are the work of ``builds.publish``."""
     if not problems.isEmpty():
         raise ValueError("the build has problems; nothing was published")
     df.write.mode("overwrite").parquet(path)
