@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window
 
-from tilewright.functions import geo
+from tilewright.functions import geo, selection
 from tilewright.sources.scratch import written
 
 ID_PATTERN = r"^MM-(CR|ICE|IMP)-\d{6}$"
@@ -72,6 +72,20 @@ def curated(candidates: DataFrame, categories: list[str], order: list, km: float
     return candidates.sparkSession.createDataFrame(out, ddl)
 
 
+def diameter_analysis(craters: DataFrame, picks: DataFrame, shares: list[float]) -> DataFrame:
+    """One row: whole craters, quantiles of their diameters and how many reach the 99th percentile, and of the curated ``picks``
+    their number, the range of their percentile ranks and of their diameters (null without picks). An empty catalogue has nulls."""
+    whole = written(craters.where("truncated = 0").select("diameter_km"), "diameters")
+    n, q = selection.quantiles(whole, "diameter_km", [*shares, 0.99])
+    x = F.col("diameter_km")
+    ends = picks.agg(F.count("*").alias("curated"), F.min("diameter_km").alias("d_min"), F.max("diameter_km").alias("d_max")).first()
+    rank = lambda d: (100 * (F.count_if(x < d) + 0.5 * F.count_if(x == d)) / F.lit(n)) if n and d is not None else F.lit(None).cast("double")
+    number = lambda v, name: F.lit(None if v is None else round(v, 3)).cast("double").alias(name)
+    row = whole.agg(F.count("*").alias("population"), F.count_if(x >= F.lit(q[-1])).alias("at_or_above_p99"), rank(ends["d_min"]).alias("rank_min"), rank(ends["d_max"]).alias("rank_max"))
+    return row.select("population", *(number(v, f"p{100 * p:g}".replace(".", "_")) for p, v in zip(shares, q[:-1], strict=True)), "at_or_above_p99", F.lit(ends["curated"]).alias("curated"), F.round("rank_min", 2).alias("rank_min"), F.round("rank_max", 2).alias("rank_max"),
+                      number(ends["d_min"], "diameter_min"), number(ends["d_max"], "diameter_max"))
+
+
 def primaries(groups: DataFrame, regions: DataFrame) -> DataFrame:
     """(target, region_id, area_m2): of each observation group the first region, in the group's order, that has a score."""
     each = groups.select("target", F.posexplode("observation_ids").alias("k", "region_id")).join(regions.where("score IS NOT NULL").select("region_id", "area_m2"), "region_id")

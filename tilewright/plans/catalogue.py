@@ -123,6 +123,18 @@ def curated_spread(spark: SparkSession, d: str) -> DataFrame:
     return _picks(spark, d).select("pass", "category", "pick", "tile_id", "idx")
 
 
+SHARES = [0.01, 0.1, 0.25, 0.5, 0.75, 0.9, 0.999]
+
+
+@query(CURATED + f""", v AS (SELECT diameter_km AS x FROM pub WHERE truncated = 0), s AS (SELECT count(*) AS population, quantile_cont(x, {SHARES + [0.99]}) AS p FROM v),
+c AS (SELECT b.diameter_km AS x FROM pick k JOIN pub b ON b.tile_id = k.tile_id AND b.idx = k.idx WHERE n > 0), e AS (SELECT count(*) AS curated, min(x) AS lo, max(x) AS hi FROM c)
+SELECT population, {', '.join(f"round(p[{i + 1}], 3) AS p{f'{100 * x:g}'.replace('.', '_')}" for i, x in enumerate(SHARES))}, (SELECT count(*) FROM v WHERE x >= p[{len(SHARES) + 1}]) AS at_or_above_p99, curated,
+round(100e0 * ((SELECT count(*) FROM v WHERE x < lo) + 0.5e0 * (SELECT count(*) FROM v WHERE x = lo)) / population, 2) AS rank_min, round(100e0 * ((SELECT count(*) FROM v WHERE x < hi) + 0.5e0 * (SELECT count(*) FROM v WHERE x = hi)) / population, 2) AS rank_max,
+round(lo, 3) AS diameter_min, round(hi, 3) AS diameter_max FROM s, e""")
+def diameter_analysis(spark: SparkSession, d: str) -> DataFrame:
+    return catalogue.diameter_analysis(_published(spark, d), _picks(spark, d), SHARES)
+
+
 @query()
 def discovery_records(spark: SparkSession, d: str) -> DataFrame:
     r = catalogue.discoveries(_picks(spark, d))

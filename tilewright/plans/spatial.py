@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tilewright.functions import geo, scoring
+from tilewright.functions import geo, scoring, selection
 from tilewright.operators import boxes, proximity
 from tilewright.plans import sphere_sql as q
 from tilewright.plans.registry import query
@@ -141,9 +141,10 @@ def confidence_histogram(spark: SparkSession, d: str) -> DataFrame:
 SELECT population, round(p[1], 3) AS p50, round(p[2], 3) AS p90, round(p[3], 3) AS p99, round(p[4], 3) AS p999, (SELECT count(*) FROM v WHERE x >= round(p[3], 3)) AS at_or_above_p99 FROM s""")
 def diameter_quantiles(spark: SparkSession, d: str) -> DataFrame:
     v = _confident_located(spark, d).where("truncated = 0").select(F.round("diameter_km", 3).alias("x"))
-    s = v.agg(F.count("*").alias("population"), F.percentile("x", F.array(*[F.lit(x) for x in (0.5, 0.9, 0.99, 0.999)])).alias("p"))
-    s = s.select("population", *(F.round(F.col("p")[i], 3).alias(n) for i, n in enumerate(("p50", "p90", "p99", "p999"))))
-    return v.crossJoin(F.broadcast(s)).groupBy(*s.columns).agg(F.count_if(F.col("x") >= F.col("p99")).alias("at_or_above_p99"))
+    n, p = selection.quantiles(v, "x", [0.5, 0.9, 0.99, 0.999])
+    p = [None if x is None else round(x, 3) for x in p]
+    found = v.agg(F.count("x").alias("population"), F.count_if(F.col("x") >= F.lit(p[2])).alias("at_or_above_p99"))
+    return found.select("population", *(F.lit(x).cast("double").alias(c) for c, x in zip(("p50", "p90", "p99", "p999"), p, strict=True)), "at_or_above_p99")
 
 
 @query(f"""{fx.with_sql('tile')}, {q.CENTER} SELECT coalesce(split, 'all') AS split, count(*) AS tiles, round(min(lat), 2) AS lat_min, round(max(lat), 2) AS lat_max, round(min(lon), 2) AS lon_min, round(max(lon), 2) AS lon_max, count_if(lat >= 0) AS north, count_if(lat < 0) AS south,
