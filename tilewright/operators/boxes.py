@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window
 
@@ -133,6 +135,35 @@ def repeats(craters: DataFrame, cell: float = 0.25, wrap: bool = False) -> DataF
     return near.join(b, ["i", "j"]).where((F.col("tile_id") != F.col("o_tile_id")) & close).select("tile_id", "idx").distinct()
 
 
+def repeats_by_reach(craters: DataFrame, least_km: float = 1.0, share: float = 0.25) -> DataFrame:
+    """(tile_id, idx) of the craters (tile_id, idx, lat, lon, diameter_km) that another tile's crater repeats: no further than
+    max(``least_km``, ``share`` of the diameter), with diameters that differ by at most ``share`` of the larger. No size and no
+    place is missed. Rows with a null among these columns repeat nothing.
+
+    The grid has a level for each class of diameters, three-dimensional, so that poles and the antimeridian are like any other place. A
+    cell of a level is twice as wide as the farthest reach of its class: a crater looks into the cells that its reach
+    touches, eight at most, of its own level, and stands itself in one cell of each level whose craters may be repeated by it, three.
+    Levels also keep small and large craters of one spot apart.
+    """
+    step = 1.001 / (1 - share)
+    d = F.greatest(F.col("diameter_km"), F.lit(1e-9))
+    reach = F.greatest(F.lit(least_km), share * F.col("diameter_km"))
+    p, q = F.radians("lat"), F.radians("lon")
+    r = geo.RADIUS / 1000
+    rows = craters.where("tile_id is not null and lat is not null and lon is not null and diameter_km is not null")
+    rows = rows.select("tile_id", "idx", "lat", "lon", "diameter_km", F.floor(F.log(d) / F.lit(math.log(step))).alias("level"), *(v.alias(c) for c, v in (("x", r * F.cos(p) * F.cos(q)), ("y", r * F.cos(p) * F.sin(q)), ("z", r * F.sin(p)))))
+    width = lambda level: 2 * F.greatest(F.lit(least_km), share * F.pow(F.lit(step), level + 1))
+    touched = lambda c: F.sequence(F.floor((F.col(c) - reach * 1.000001) / width(F.col("level"))), F.floor((F.col(c) + reach * 1.000001) / width(F.col("level"))))
+    look = rows.withColumn("cx", F.explode(touched("x"))).withColumn("cy", F.explode(touched("y"))).withColumn("cz", F.explode(touched("z"))).drop("x", "y", "z")
+    stand = rows.withColumn("level", F.explode(F.array(F.col("level") - 1, F.col("level"), F.col("level") + 1)))
+    stand = stand.select(*(F.col(c).alias("o_" + c) for c in ("tile_id", "lat", "lon", "diameter_km")), "level", *(F.floor(F.col(c) / width(F.col("level"))).alias("c" + c) for c in "xyz"))
+    near = geo.distance_m(F.col("lat"), F.col("lon"), F.col("o_lat"), F.col("o_lon")) <= 1000 * reach
+    alike = F.abs(F.col("diameter_km") - F.col("o_diameter_km")) <= share * F.greatest("diameter_km", "o_diameter_km")
+    a, b = look.alias("a"), stand.alias("b")
+    cell = (F.col("a.level") == F.col("b.level")) & (F.col("a.cx") == F.col("b.cx")) & (F.col("a.cy") == F.col("b.cy")) & (F.col("a.cz") == F.col("b.cz"))
+    return a.join(b, cell & (F.col("tile_id") != F.col("o_tile_id")) & alike & near, "left_semi").select("tile_id", "idx").distinct()
+
+
 def coordinate_residual(tiles: DataFrame, detections: DataFrame, published: DataFrame) -> DataFrame:
     """(tile_id, max_m): the largest distance between recomputed and published (tile_id, idx, lat, lon) coordinates."""
     again = located(tiles, detections).select("tile_id", "idx", F.col("lat").alias("a"), F.col("lon").alias("b"))

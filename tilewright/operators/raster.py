@@ -53,20 +53,55 @@ def eroded(pixels: DataFrame, k: int) -> DataFrame:
     return rows.withColumn("deep", F.when(F.count("*").over(down) == 2 * k + 1, F.min("_r").over(down)).otherwise(0) == 1).drop("_r")
 
 
-def edge_distance(pixels: DataFrame, most: int) -> DataFrame:
-    """``pixels`` with ``edge_distance``: of a covered pixel the number of erosions it survives, ``most`` at most; else null.
+def edge_distance(pixels: DataFrame, most: int | None = None) -> DataFrame:
+    """``pixels`` with ``edge_distance``: of a covered pixel the chessboard distance to the valid edge (0 on it), else null.
 
-    A square erodes first along rows, then along columns: one pass counts the steps survived in the row, a second one in the
-    column, so that the pixels are shuffled twice whatever ``most`` is.
+    What lies beyond a patch's rows and columns counts as uncovered, and so does a null. With ``most``, larger distances are given as
+    that. Two passes, whatever the distances are: the nearest uncovered pixel of the row by running windows; then each column is an
+    array of those, and a pixel's distance is the least k such that within k rows one of them is at most k. Minima over 1, 2, 4, ...
+    rows answer that for any k, and k is found by halving: a column of n pixels costs n log n.
     """
-    def survived(steps: str, line: str, along: str) -> Column:
-        each = [Window.partitionBy("patch_id", line).orderBy(along).rowsBetween(-k, k) for k in range(1, most + 1)]
-        whole = [(F.count("*").over(w) == 2 * k + 1) & (F.min(steps).over(w) >= k) for k, w in enumerate(each, 1)]
-        return reduce(Column.__add__, [ok.cast("int") for ok in whole], F.lit(0))
-
-    rows = pixels.withColumn("_on", F.when(F.coalesce("covered", F.lit(False)), most).otherwise(0))
-    rows = rows.withColumn("_r", survived("_on", "prow", "pcol"))
-    return rows.withColumn("edge_distance", F.when(F.col("covered"), survived("_r", "pcol", "prow"))).drop("_on", "_r")
+    pixels = pixels.drop("edge_distance")
+    on = F.coalesce("covered", F.lit(False))
+    row = Window.partitionBy("patch_id", "prow")
+    before = F.max(F.when(~on, F.col("pcol"))).over(row.orderBy("pcol").rowsBetween(Window.unboundedPreceding, 0))
+    after = F.min(F.when(~on, F.col("pcol"))).over(row.orderBy("pcol").rowsBetween(0, Window.unboundedFollowing))
+    near = F.least(F.col("pcol") - F.coalesce(before, F.min("pcol").over(row) - 1), F.coalesce(after, F.max("pcol").over(row) + 1) - F.col("pcol"))
+    rows = pixels.withColumn("_near", near.cast("int"))
+    held = F.sort_array(F.collect_list(F.struct("prow", "_near", F.struct(*[c for c in pixels.columns if c not in ("patch_id", "pcol", "prow")]).alias("_rest"))))
+    columns = rows.groupBy("patch_id", "pcol").agg(held.alias("_held"))
+    placed = columns.select("patch_id", "pcol", F.inline(_with_distances(F.col("_held"))))
+    found = F.col("_d") - 1
+    found = F.when(F.col("_rest.covered"), found if most is None else F.least(found, F.lit(most)))
+    kept = [F.col(c) if c in ("patch_id", "pcol", "prow") else F.col(f"_rest.{c}").alias(c) for c in pixels.columns]
+    return placed.select(*kept, found.alias("edge_distance"))
+
+
+def _with_distances(held: Column) -> Column:
+    """A column's pixels (prow, _near, _rest) with ``_d``: the distance to the nearest uncovered pixel or outside."""
+    zero = F.lit(0)
+    line = F.concat(F.array(zero), F.transform(held, lambda x: x["_near"]), F.array(zero))
+    log = lambda n: F.length(F.bin(n.cast("long"))) - 1
+    pow2 = lambda j: F.call_function("shiftleft", F.lit(1), j)
+
+    def minima(g: Column) -> Column:
+        """Of each place the minimum over 1, 2, 4, ... values from there on."""
+        step = lambda t, j: F.concat(t, F.array(F.transform(F.sequence(zero, F.size(g) - pow2(j)), lambda i: F.least(F.get(F.get(t, j - 1), i), F.get(F.get(t, j - 1), i + pow2(j - 1))))))
+        return F.aggregate(F.sequence(F.lit(1), log(F.size(g))), F.array(g), step)
+
+    def least(t: Column, a: Column, b: Column) -> Column:
+        j = log(b - a + 1)
+        return F.least(F.get(F.get(t, j), a), F.get(F.get(t, j), b - pow2(j) + 1))
+
+    def distance(g: Column, t: Column, i: Column) -> Column:
+        """The least k for the pixel at place i: halving between 0 and its own row's distance."""
+        most = F.least(F.get(g, i), i, F.size(g) - 1 - i)
+        halve = lambda s, _: F.transform(F.array(F.floor((s["a"] + s["b"]) / 2).cast("int")), lambda k: F.when(least(t, i - k, i + k) <= k, F.struct(s["a"].alias("a"), k.alias("b"))).otherwise(F.struct(F.least(k + 1, s["b"]).alias("a"), s["b"].alias("b"))))[0]
+        return F.aggregate(F.sequence(F.lit(0), log(F.size(g))), F.struct(zero.alias("a"), most.alias("b")), halve)["a"]
+
+    # arrays of one bind what is used more than once
+    known = F.transform(F.array(line), lambda g: F.struct(g.alias("g"), minima(g).alias("t")))
+    return F.get(F.transform(known, lambda s: F.transform(held, lambda x, i: F.struct(x["prow"].alias("prow"), x["_rest"].alias("_rest"), distance(s["g"], s["t"], i + 1).alias("_d")))), F.lit(0))
 
 
 def peak(pixels: DataFrame, eligible: str = "covered", by: tuple[str, ...] = PATCH) -> DataFrame:
@@ -89,7 +124,7 @@ def at_anchor(anchor: DataFrame, pixels: DataFrame, *layers: str) -> DataFrame:
 def edge_rings(pixels: DataFrame, rings: list[tuple[int, int]]) -> DataFrame:
     """Per ring of edge distances: share of pixels, enrichment of values beyond 0 and 1, error ratio to the whole."""
     spark = pixels.sparkSession
-    rows = edge_distance(pixels, max(lo for lo, _ in rings))
+    rows = edge_distance(pixels)
     ring = spark.createDataFrame([(i, lo, hi) for i, (lo, hi) in enumerate(rings)], "ring int, low int, high int")
     e = F.when(F.col("ref_covered"), F.abs(F.col("value") - F.col("ref_value")))
     per = rows.where("covered").join(F.broadcast(ring), (F.col("edge_distance") >= F.col("low")) & (F.col("edge_distance") < F.col("high")))
@@ -102,10 +137,18 @@ def edge_rings(pixels: DataFrame, rings: list[tuple[int, int]]) -> DataFrame:
 
 
 def anchor_sensitivity(pixels: DataFrame, margins: list[int]) -> DataFrame:
-    """(patch_id, margin, value, delta_value, shift_px) for each margin; null where a patch has no eligible pixel."""
-    rows = reduce(DataFrame.unionByName, [anchors(pixels, m).withColumn("margin", F.lit(m)) for m in margins])
-    base = rows.where(F.col("margin") == margins[0]).select("patch_id", *(F.col(c).alias("b_" + c) for c in ("value", "prow", "pcol")))
-    return rows.join(base, "patch_id").select("patch_id", "margin", "value", (F.col("value") - F.col("b_value")).alias("delta_value"), F.hypot(F.col("prow") - F.col("b_prow"), F.col("pcol") - F.col("b_pcol")).alias("shift_px"))
+    """(patch_id, margin, value, delta_value, shift_px, edge_distance, shift_km) for each margin, against the first one; null where a
+    patch has no pixel so far from the edge. ``shift_km`` follows where pixels have ``lat`` and ``lon``. One pass over the pixels.
+    """
+    rows = edge_distance(pixels)
+    more = [c for c in ("lat", "lon") if c in pixels.columns]
+    at = F.struct("value", "prow", "pcol", "edge_distance", *more)
+    order = F.struct(-F.col("value"), "prow", "pcol")
+    picks = rows.groupBy("patch_id").agg(*[F.min_by(F.when(F.col("edge_distance") >= m, at), F.when(F.col("edge_distance") >= m, order)).alias(f"m{i}") for i, m in enumerate(margins)])
+    each = picks.select("patch_id", F.col("m0").alias("b"), F.inline(F.array(*[F.struct(F.lit(m).alias("margin"), F.col(f"m{i}").alias("p")) for i, m in enumerate(margins)])))
+    shift = F.hypot(F.col("p.prow") - F.col("b.prow"), F.col("p.pcol") - F.col("b.pcol"))
+    km = geo.distance_m(F.col("b.lat"), F.col("b.lon"), F.col("p.lat"), F.col("p.lon")) / 1000 if len(more) == 2 else None
+    return each.select("patch_id", "margin", "p.value", (F.col("p.value") - F.col("b.value")).alias("delta_value"), shift.alias("shift_px"), "p.edge_distance", *([km.alias("shift_km")] if km is not None else []))
 
 
 def sensitivity_summary(rows: DataFrame) -> DataFrame:

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tilewright.functions import geo
 from tilewright.operators import contract, proximity, raster
+from tilewright.plans import sphere_sql as q
 from tilewright.plans.registry import query
 from tilewright.sources import fixtures as fx
 
@@ -44,7 +46,7 @@ def edge_safe_anchor(spark: SparkSession, d: str) -> DataFrame:
 @query(f"""{PIX}, off AS (SELECT patch_id, prow, pcol FROM pixel WHERE NOT covered)
 SELECT patch_id, prow, pcol, CASE WHEN covered THEN least(prow, pcol, 7 - prow, 7 - pcol, coalesce((SELECT min(greatest(abs(o.prow - p.prow), abs(o.pcol - p.pcol))) - 1 FROM off o WHERE o.patch_id = p.patch_id), 99)) END AS edge_distance FROM pixel p""")
 def edge_distance(spark: SparkSession, d: str) -> DataFrame:
-    return raster.edge_distance(fx.pixels(spark, d), 3).select("patch_id", "prow", "pcol", "edge_distance")
+    return raster.edge_distance(fx.pixels(spark, d)).select("patch_id", "prow", "pcol", "edge_distance")
 
 
 _RINGS = [(0, 1), (1, 2), (2, 3), (3, 10000)]
@@ -72,6 +74,26 @@ def anchor_sensitivity(spark: SparkSession, d: str) -> DataFrame:
     return s.select("patch_id", "margin", *(F.round(c, 6).alias(c) for c in ("value", "delta_value", "shift_px")))
 
 
+def _located_pixels(spark: SparkSession, d: str) -> DataFrame:
+    """Pixels of 240 m on each pole's grid, with their coordinates."""
+    p = fx.pixels(spark, d).withColumns({"kind": F.lit("ps"), "lat0": F.when(F.col("pole") == "south", -90.0).otherwise(90.0), "lon0": F.lit(0.0), "k0": F.lit(1.0), "fe": F.lit(0.0), "fn": F.lit(0.0)})
+    lat, lon = geo.inverse(geo.Projection(), (F.col("cell_col") * 8 + F.col("pcol") + 0.5) * 240, -(F.col("cell_row") * 8 + F.col("prow") + 0.5) * 240)
+    return p.withColumns({"lat": lat, "lon": lon})
+
+
+_X, _Y = "((cell_col * 8 + pcol + 0.5e0) * 240)", "(-(cell_row * 8 + prow + 0.5e0) * 240)"
+
+
+@query(f"""{PIX}, off AS (SELECT patch_id, prow, pcol FROM pixel WHERE NOT covered), grid AS (SELECT *, 'ps' AS kind, CASE WHEN pole = 'south' THEN -90e0 ELSE 90e0 END AS lat0, 0e0 AS lon0, 1e0 AS k0, 0e0 AS fe, 0e0 AS fn FROM pixel WHERE covered),
+dist AS (SELECT *, {q.inverse(_X, _Y)[0]} AS lat, {q.inverse(_X, _Y)[1]} AS lon, least(prow, pcol, 7 - prow, 7 - pcol, coalesce((SELECT min(greatest(abs(o.prow - p.prow), abs(o.pcol - p.pcol))) - 1 FROM off o WHERE o.patch_id = p.patch_id), 99)) AS e FROM grid p),
+pick AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY patch_id, margin ORDER BY value DESC, prow, pcol) AS k FROM dist, (SELECT unnest([0, 1, 2, 3]) AS margin) WHERE e >= margin) WHERE k = 1),
+every AS (SELECT patch_id, margin FROM (SELECT DISTINCT patch_id FROM pixel), (SELECT unnest([0, 1, 2, 3]) AS margin))
+SELECT v.patch_id, v.margin, p.e AS edge_distance, round(p.value - b.value, 6) AS delta_value, round({q.distance('b.lat', 'b.lon', 'p.lat', 'p.lon')} / 1000, 6) AS shift_km FROM every v LEFT JOIN pick p ON p.patch_id = v.patch_id AND p.margin = v.margin LEFT JOIN pick b ON b.patch_id = v.patch_id AND b.margin = 0""")
+def anchor_shifts(spark: SparkSession, d: str) -> DataFrame:
+    s = raster.anchor_sensitivity(_located_pixels(spark, d), [0, 1, 2, 3])
+    return s.select("patch_id", "margin", "edge_distance", F.round("delta_value", 6).alias("delta_value"), F.round("shift_km", 6).alias("shift_km"))
+
+
 @query(f"""{PIX}, {_margins((0, 1, 2))} SELECT margin, count(value) AS patches, count_if(shift_px > 0) AS moved, count_if(value IS NULL) AS without, round(max(abs(delta_value)), 6) AS max_delta, round(coalesce(quantile_cont(CASE WHEN shift_px > 0 THEN abs(delta_value) END, 0.5), 0), 6) AS median_delta,
 round(max(shift_px), 6) AS max_shift FROM sens GROUP BY margin""")
 def sensitivity_summary(spark: SparkSession, d: str) -> DataFrame:

@@ -116,6 +116,16 @@ def cross_tile_repeats(spark: SparkSession, d: str) -> DataFrame:
     return boxes.repeats(rows).groupBy("tile_id").agg(F.count("*").alias("repeated"))
 
 
+@query(f"""{fx.with_sql('tile', 'det')}, {q.LOCATED}, {ROUNDED}, a AS (SELECT tile_id, idx, lat, lon, diameter_km * CASE WHEN tile_id % 5 = 0 THEN 12 ELSE 1 END AS d FROM craters)
+SELECT a.tile_id, count(*) AS repeated FROM a WHERE EXISTS (SELECT 1 FROM a b WHERE b.tile_id <> a.tile_id AND b.lat BETWEEN a.lat - 1 AND a.lat + 1 AND b.d BETWEEN 0.7 * a.d AND 1.5 * a.d AND abs(a.d - b.d) <= 0.25 * greatest(a.d, b.d)
+  AND {q.distance('a.lat', 'a.lon', 'b.lat', 'b.lon')} <= greatest(1000e0, 250 * a.d)) GROUP BY a.tile_id""")
+def repeats_by_reach(spark: SparkSession, d: str) -> DataFrame:
+    """Repeats among all craters, those of every fifth tile twelve times as large: up to some 60 km."""
+    rows = _confident_located(spark, d).withColumns({"lat": geo.published(F.col("lat")), "lon": geo.published_longitude(F.col("lon"))})
+    rows = rows.withColumn("diameter_km", F.round("diameter_km", 3) * F.when(F.col("tile_id") % 5 == 0, 12).otherwise(1))
+    return boxes.repeats_by_reach(rows).groupBy("tile_id").agg(F.count("*").alias("repeated"))
+
+
 @query(f"""{fx.with_sql('tile', 'det', 'ref')}, {q.PAIRS.format(where='')}, {q.matches(boxes.THRESHOLDS)},
 per AS (SELECT t.split, l.thr, d.score, m.ref FROM det d JOIN tile t ON t.tile_id = d.tile_id CROSS JOIN (SELECT unnest({list(boxes.THRESHOLDS)}) AS thr) l LEFT JOIN matches m ON m.tile_id = d.tile_id AND m.thr = l.thr AND m.det = d.idx),
 steps AS (SELECT split, thr, score, count(ref) AS tp, count(*) AS n FROM per GROUP BY ALL), total AS (SELECT split, count(*) AS total FROM ref JOIN tile USING (tile_id) GROUP BY split),
