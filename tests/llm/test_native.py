@@ -257,6 +257,8 @@ def test_permutations_against_plain_python(spark):
                 for kind in ([pii.HEX] if hexed else ["0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"]):
                     if c in kind:
                         half[i] = kind[(kind.index(c) + stream[i]) % len(kind)]
+                if ord(c) > 127:
+                    half[i] = (c.encode()[:-1] + bytes([128 + (c.encode()[-1] - 128 + stream[i]) % 64])).decode()
         return "".join(a + b)
 
     rng = random.Random(4)
@@ -268,3 +270,33 @@ def test_permutations_against_plain_python(spark):
     assert all(r["p"] == text(r["v"], "t") for r in got)
     two = [a + b for a in "abcdefghijklmnopqrstuvwxyz" for b in "0123456789"]
     assert spark.createDataFrame([(x,) for x in two], "v string").select(pii.permuted_text(F.col("v"), KEY, "t").alias("p")).distinct().count() == 260
+
+
+def test_every_form_is_found(spark):
+    """Each form by itself: what must go, what must stay, and that equal values stay linked over their forms."""
+    gone = {
+        "mail müller@example.de now": "müller", "mail info@bücher.example now": "bücher", "an Жанна.П@почта.рф": "Жанна", '{"password": "hunter2hunter22"}': "hunter2hunter22", "password:      hunter2hunter22": "hunter2hunter22",
+        "'api_key'='Zk81x0'": "Zk81x0", "pwd = abc123": "abc123", "Authorization: Bearer abcdEFGH1234.ijkl": "abcdEFGH1234", "order 12 41111111 11111111": "41111111 11111111", "card 4111.1111.1111.1111.": "4111.1111.1111.1111",
+        "card 4111/1111/1111/1111": "4111/1111/1111/1111", "ids 55 411111 1111 111111 66": "411111 1111 111111", "at 2001:db8:85a3:0:0:8a2e:370:7334 and": "2001:db8:85a3:0:0:8a2e:370:7334", "at fe80::1ff:fe23:4567:890a and": "fe23:4567",
+        "born 1984/03/04 in": "1984/03/04", "born 3/4/1984 in": "3/4/1984", "born 4.3.1984 in": "4.3.1984", "born 1984-3-4 in": "1984-3-4", "call 7435553824 now": "7435553824",
+    }
+    stay = ["password: short", "token holders", "a key: value", "12::30", "at 10:30:45", "1::2::3 x", "std::vector<int>", "v 1.2.3/4", "77/88/1984x", "3.14159265358979", "1724155522 is a time", "0.7435553824", "sum 2345 6789 12", "bearer of news", "f(x)::g"]
+    texts = [*gone, *stay, "743-555-3824 and 7435553824 and +1 743 555 3824", "1984/03/04 3/4/1984 1984-03-04 04.03.1984", "é@é.fr e@e.fr É@é.fr"]
+    out = [r["text"] for r in pii.pseudonymised(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), KEY).orderBy("doc_id").collect()]
+    left = [(t, o) for (t, v), o in zip(gone.items(), out, strict=False) if v in o or t == o]
+    assert not left
+    kept = [(t, o) for t, o in zip(stay, out[len(gone) :], strict=False) if t != o and t not in ("12::30", "1::2::3 x")]
+    assert not kept
+    a, b, c = out[-3].split(" and ")
+    assert re.sub(r"\D", "", a) == b == re.sub(r"\D", "", c)[1:] != "7435553824"
+    d = out[-2].split()
+    year, month, day = map(int, d[0].split("/"))
+    assert (year, month, day) != (1984, 3, 4) and [int(x) for x in d[1].split("/")] == [month, day, year] and [int(x) for x in d[2].split("-")] == [year, month, day] and [int(x) for x in d[3].split(".")] == [day, month, year]
+    e = out[-1].split()
+    assert e[0] != "é@é.fr" and e[0].split("@")[1] == e[2].split("@")[1] and len(e[0]) == len("é@é.fr") + len(".example")
+
+
+def test_letters_of_other_scripts_are_one_to_one(spark):
+    two = [a + b for a in "éüßЖñ" for b in "éüßЖñabc"]
+    got = spark.createDataFrame([(x,) for x in two], "v string").select("v", pii.permuted_text(F.col("v"), KEY, "t").alias("p")).collect()
+    assert len({r["p"] for r in got}) == len(two) and all(len(r["p"]) == 2 and len(r["p"].encode()) == len(r["v"].encode()) for r in got)

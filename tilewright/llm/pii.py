@@ -4,26 +4,26 @@ Found values are permuted within their format by a Feistel network whose round f
 and the other half, so the same value gets the same pseudonym in every document, different values of a format get different
 ones, and only the key undoes it.
 
-* card numbers (13 to 19 digits that pass the Luhn check): all digits but the last are permuted, the last is the check digit. In
-  a longer run of numbers, each card that stands there in an ungrouped form or in the usual groups is found;
-* phone numbers: the ten digits of a North American number, with or without its ``+1``, are permuted alike; of others all
-  digits; signs and spaces stay. US social security numbers likewise;
-* dates (year-month-day, day.month.year, month/day/year, of the years 1800 to 2199): the day is permuted among the 146,097
-  days of that span;
-* IPv4 addresses: the 32 bits are permuted; IBANs (checked modulo 97): digits of the account are permuted, check digits anew;
-* e-mail addresses: name and domain are permuted letter for letter and digit for digit, and the domain is set under ``.example``;
-* secrets (``token``, ``key``, ``password``, ``secret`` and the like followed by a value of 12 or more characters): values of
-  hexadecimal digits become such values, others stay letters for letters and digits for digits.
+* card numbers (13 to 19 digits that pass the Luhn check, in any groups between spaces or hyphens, or in groups of four between
+  full stops or slashes): all digits but the last are permuted, the last is the check digit. In a longer run of numbers, each
+  card that begins like one, whatever its groups of two digits or more, is found;
+* phone numbers: the ten digits of a North American number, with or without its ``+1`` or signs, are permuted alike; of others
+  all digits; signs and spaces stay. US social security numbers likewise;
+* dates (year-month-day, year/month/day, day.month.year, month/day/year, of the years 1800 to 2199, days and months of one digit
+  too): the day is permuted among the 146,097 days of that span;
+* IPv4 addresses: the 32 bits are permuted; of IPv6 addresses the digits as they stand; IBANs (checked modulo 97): digits of the account are permuted, check digits anew;
+* e-mail addresses, in letters of any script: name and domain are permuted letter for letter and digit for digit, and the domain
+  is set under ``.example``;
+* secrets (``token``, ``key``, ``password``, ``secret`` and the like, quoted or not, followed by a value of 12 or more characters, or
+  of 6 or more with a digit, and what follows ``bearer``): values of hexadecimal digits become such values, others stay letters for letters and digits for digits.
 
 Numbers are permuted as two halves of decimal digits in turn, so a number keeps its length; a number of one digit is shifted.
 Texts are permuted as two halves of characters, of any length; large and small letters shift alike, so that addresses that
-differ only in case stay linked. Values may be of any length: no pattern has an upper bound where its format has none.
+differ only in case stay linked; a letter other than ASCII moves among the 64 of its block. Values may be of any length: no pattern has an upper bound where its format has none.
 """
 
 from __future__ import annotations
 
-import functools
-
 from pyspark.sql import Column, DataFrame, functions as F
 
 ROUNDS = 8
@@ -35,33 +35,44 @@ IBAN_LENGTHS = {
 }
 _OF_LENGTH = "|".join(rf"(?:{c.replace(' ', '|')})\d{{2}}(?: ?[A-Z0-9]){{{n - 4}}}" for n, c in IBAN_LENGTHS.items())
 
+#: A secret's value: 12 characters or more, or from 6 on with a digit among them.
+SECRET = r"(?=[A-Za-z0-9+/_.~\-]{12}|[A-Za-z+/_.~\-]*[0-9])[A-Za-z0-9+/_.~\-]{6,}+"
+
 #: What is looked for, in this order where several could begin.
 PATTERNS = {
-    "email": r"(?<![A-Za-z0-9._%+\-])[A-Za-z0-9._%+\-]++@(?:[A-Za-z0-9\-]++\.(?=[A-Za-z0-9]))++(?<=\.)[A-Za-z0-9\-]*+(?<=[A-Za-z]{2})",
-    "secret": r"(?i:api[_\- ]?key|secret|token|password|passwd|pwd|access[_\- ]?key)(?:\s{0,3}[:=]\s{0,3})[\"']?[A-Za-z0-9+/_.~\-]{12,}+",
+    "email": r"(?<![\p{L}\p{M}\p{N}._%+\-])[\p{L}\p{M}\p{N}._%+\-]++@(?:[\p{L}\p{M}\p{N}\-]++\.(?=[\p{L}\p{N}]))++(?<=\.)[\p{L}\p{M}\p{N}\-]*+(?<=[\p{L}\p{M}]{2})",
+    "secret": rf"(?i:api[_\- ]?key|secret|token|password|passwd|pwd|access[_\- ]?key)[\"']?\s*+[:=]\s*+[\"']?{SECRET}|(?i:(?<![A-Za-z])bearer)\s++{SECRET}",
     "iban": rf"(?<![A-Za-z0-9])(?:{_OF_LENGTH}|[A-Z]{{2}}\d{{2}}(?: ?[A-Z0-9]{{4}}){{2,7}}(?: ?[A-Z0-9]{{1,3}})?)(?![A-Za-z0-9])",
     "ip": r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d]|\.\d)",
-    "date": r"(?<!\d)(?:(?:18|19|20|21)\d\d-\d\d-\d\d|\d\d\.\d\d\.(?:18|19|20|21)\d\d|\d\d/\d\d/(?:18|19|20|21)\d\d)(?!\d)",
+    "ip6": r"(?<![\w:.])(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}|(?=[0-9A-Fa-f:]*[0-9A-Fa-f])(?:[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,5})?::(?:[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,5})?)(?![\w:])",
+    "date": r"(?<![\d./\-])(?:(?:18|19|20|21)\d\d(?:-\d\d?-|/\d\d?/)\d\d?|\d\d?\.\d\d?\.(?:18|19|20|21)\d\d|\d\d?/\d\d?/(?:18|19|20|21)\d\d)(?!\d|[./\-]\d)",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
-    "phone": r"(?<![\d+])(?:\+\d{1,3}[ .\-]?)?(?:\(\d{2,4}\)[ .\-]?|\d{3}[ .\-])\d{3}[ .\-]\d{4}(?!\d)|(?<![\d+])\+\d{1,3}(?:[ .\-]?\d{2,4}){2,5}(?!\d)",
-    "card": r"(?<!\d)\d(?:[ \-]?\d){12,}+",
+    "phone": r"(?<![\d+])(?:\+\d{1,3}[ .\-]?)?(?:\(\d{2,4}\)[ .\-]?|\d{3}[ .\-])\d{3}[ .\-]\d{4}(?!\d)|(?<![\d+])\+\d{1,3}(?:[ .\-]?\d{2,4}){2,5}(?!\d)|(?<![\d+.,\-])[2-9]\d\d[2-9]\d{6}(?!\d|[.,\-]\d)",
+    "card": r"(?<!\d)(?<!\d[./])(?:\d{4}\.\d{4}\.\d{4}\.\d{1,7}|\d{4}/\d{4}/\d{4}/\d{1,7})(?!\d|[./]\d)|(?<!\d)\d(?:[ \-]?\d){12,}+",
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 
 
-def _round(value: Column, key: str, tag: Column, r: int, modulus: Column) -> Column:
-    digest = F.sha2(F.concat_ws("|", F.lit(key), tag, F.lit(str(r)), value.cast("string")), 256)
+def _round(value: Column, key: str, tag: Column, r: Column, modulus: Column) -> Column:
+    digest = F.sha2(F.concat_ws("|", F.lit(key), tag, r.cast("string"), value.cast("string")), 256)
     return F.pmod(F.conv(F.substr(digest, F.lit(1), F.lit(15)), 16, 10).cast("long"), modulus)
 
 
+def _feistel(high: Column, low: Column, of_high: Column, of_low: Column, key: str, tag: Column) -> Column:
+    """struct(h, l): a keyed permutation of the pairs (high, low) with 0 <= high < of_high and 0 <= low < of_low. A fold over the
+    rounds, whose even ones move the high half and whose odd ones the low half."""
+    def step(s, r):
+        odd = r % 2 == 1
+        moved = _round(F.when(odd, s["h"]).otherwise(s["l"]), key, tag, r, F.when(odd, of_low).otherwise(of_high))
+        return F.struct(F.when(odd, s["h"]).otherwise(F.pmod(s["h"] + moved, of_high)).cast("long").alias("h"), F.when(odd, F.pmod(s["l"] + moved, of_low)).otherwise(s["l"]).cast("long").alias("l"))
+
+    return F.aggregate(F.sequence(F.lit(0), F.lit(ROUNDS - 1)), F.struct(high.cast("long").alias("h"), low.cast("long").alias("l")), step)
+
+
 def feistel(high: Column, low: Column, of_high: Column, of_low: Column, key: str, tag: Column) -> tuple[Column, Column]:
-    """A keyed permutation of the pairs (high, low) with 0 <= high < of_high and 0 <= low < of_low."""
-    for r in range(ROUNDS):
-        if r % 2:
-            low = F.pmod(low + _round(high, key, tag, r, of_low), of_low)
-        else:
-            high = F.pmod(high + _round(low, key, tag, r, of_high), of_high)
-    return high, low
+    """Both halves of that permutation."""
+    s = _feistel(high, low, of_high, of_low, key, tag)
+    return s["h"], s["l"]
 
 
 def _held(values: dict[str, Column], then) -> Column:
@@ -77,28 +88,27 @@ def _power(n: Column) -> Column:
 def permuted_digits(digits: Column, key: str, tag: str) -> Column:
     """A string of 1 to 36 digits, permuted among those of its length, in rounds that are each computed once."""
     n = F.length(digits)
-    state = _held({"n": n, "u": F.floor(n / 2).cast("int"), "d": digits}, lambda s: F.struct(
+    halves = _held({"n": n, "u": F.floor(n / 2).cast("int"), "d": digits}, lambda s: F.struct(
         s["n"].alias("n"), s["u"].alias("u"), F.coalesce(F.substr(s["d"], F.lit(1), s["u"]).try_cast("long"), F.lit(0)).alias("h"), F.substr(s["d"], s["u"] + 1, s["n"]).cast("long").alias("l")))
-    for r in range(ROUNDS):
-        def step(s, r):
-            mark = F.concat(F.lit(tag), s["n"].cast("string"))
-            if r % 2:
-                return F.struct(s["n"].alias("n"), s["u"].alias("u"), s["h"].alias("h"), F.pmod(s["l"] + _round(s["h"], key, mark, r, _power(s["n"] - s["u"])), _power(s["n"] - s["u"])).alias("l"))
-            return F.struct(s["n"].alias("n"), s["u"].alias("u"), F.pmod(s["h"] + _round(s["l"], key, mark, r, _power(s["u"])), _power(s["u"])).alias("h"), s["l"].alias("l"))
-        state = _held({"s": state}, functools.partial(lambda r, s: step(s["s"], r), r))
-    out = _held({"s": state}, lambda s: F.concat(F.when(s["s"]["u"] > 0, F.lpad(s["s"]["h"].cast("string"), s["s"]["u"], "0")).otherwise(F.lit("")), F.lpad(s["s"]["l"].cast("string"), s["s"]["n"] - s["s"]["u"], "0")))
-    return out
+
+    def of(v):
+        s = v["s"]
+        bounds = {"s": s, "x": _power(s["u"]), "y": _power(s["n"] - s["u"]), "mark": F.concat(F.lit(tag), s["n"].cast("string"))}
+        moved = lambda w: F.struct(w["s"].alias("s"), _feistel(w["s"]["h"], w["s"]["l"], w["x"], w["y"], key, w["mark"]).alias("p"))
+        return _held({"m": _held(bounds, moved)}, lambda w: F.concat(F.when(w["m"]["s"]["u"] > 0, F.lpad(w["m"]["p"]["h"].cast("string"), w["m"]["s"]["u"], "0")).otherwise(F.lit("")), F.lpad(w["m"]["p"]["l"].cast("string"), w["m"]["s"]["n"] - w["m"]["s"]["u"], "0")))
+
+    return _held({"s": halves}, of)
 
 
 def _digits(text: Column) -> Column:
     return F.regexp_replace(text, r"\D", "")
 
 
-def _laid_into(template: Column, digits: Column) -> Column:
+def _laid_into(template: Column, digits: Column, kind: str = "[0-9]") -> Column:
     """The template with its digits replaced, one after the other, by ``digits``."""
     chars = F.split(template, "")
     start = F.struct(F.lit(0).alias("i"), F.lit("").alias("t"))
-    put = lambda a, c: F.when(c.between("0", "9"), F.struct((a["i"] + 1).alias("i"), F.concat(a["t"], F.substr(digits, a["i"] + 1, F.lit(1))).alias("t"))).otherwise(F.struct(a["i"].alias("i"), F.concat(a["t"], c).alias("t")))
+    put = lambda a, c: F.when(F.regexp_like(c, F.lit(kind)), F.struct((a["i"] + 1).alias("i"), F.concat(a["t"], F.substr(digits, a["i"] + 1, F.lit(1))).alias("t"))).otherwise(F.struct(a["i"].alias("i"), F.concat(a["t"], c).alias("t")))
     return F.aggregate(chars, start, put, lambda a: a["t"])
 
 
@@ -112,8 +122,10 @@ def luhn_sum(digits: Column, from_check: bool) -> Column:
     return F.aggregate(F.sequence(F.lit(0), n - 1), F.lit(0), add)
 
 
-#: Groups of digits as cards show them, where several numbers stand one after the other.
-GROUPED = r"^(1[3-9]|4,4,4,4(,[1-3])?|4,6,[45])$"
+#: Groups of digits that may be a card where several numbers stand one after the other: any of two digits or more.
+GROUPED = r"^(?:[2-9]|1\d)(?:,(?:[2-9]|1\d)){0,8}$"
+#: First digits of cards' numbers: those of payment, travel and merchandising.
+FIRST = r"^[2-6]"
 
 
 def _card(text: Column, key: str) -> Column:
@@ -130,7 +142,7 @@ def _card(text: Column, key: str) -> Column:
             last = lambda j: F.slice(s["g"], i + 1, j - i + 1)
             digits = lambda j: F.array_join(F.filter(last(j), lambda x: x.between("0", ":")), "")
             shape = lambda j: F.array_join(F.transform(F.filter(last(j), lambda x: x.between("0", ":")), lambda x: F.length(x).cast("string")), ",")
-            ends = F.filter(F.sequence(i, F.least(i + 8, F.size(s["g"]) - 1)), lambda j: (j % 2 == 0) & F.regexp_like(shape(j), F.lit(GROUPED)) & valid(digits(j)))
+            ends = F.filter(F.sequence(i, F.least(i + 16, F.size(s["g"]) - 1)), lambda j: (j % 2 == 0) & F.regexp_like(shape(j), F.lit(GROUPED)) & F.regexp_like(digits(j), F.lit(FIRST)) & valid(digits(j)))
             found = lambda v: F.when(v["e"].isNull(), F.struct((v["i"] + 1).alias("next"), F.concat(v["out"], F.get(s["g"], v["i"])).alias("out"))).otherwise(
                 F.struct((v["e"] + 1).alias("next"), F.concat(v["out"], one(F.array_join(F.slice(s["g"], v["i"] + 1, v["e"] - v["i"] + 1), ""))).alias("out")))
             return F.when(i < a["next"], a).otherwise(_held({"e": F.when(i % 2 == 0, F.array_max(ends)), "i": i, "out": a["out"]}, found))
@@ -157,34 +169,41 @@ def _phone(text: Column, key: str) -> Column:
 DAY_HIGH, DAY_LOW, DAY_ZERO = 27, 5411, "1800-01-01"
 
 
+#: (what tells the form, how it is read, how it is written, how it is written where the day or month has one digit)
+_FORMS = ((r"^\d{4}-", "yyyy-M-d", "yyyy-MM-dd", "yyyy-M-d"), (r"^\d{4}/", "yyyy/M/d", "yyyy/MM/dd", "yyyy/M/d"), (r"\.", "d.M.yyyy", "dd.MM.yyyy", "d.M.yyyy"), (r"/", "M/d/yyyy", "MM/dd/yyyy", "M/d/yyyy"))
+
+
 def _date(text: Column, key: str) -> Column:
-    forms = ((r"^\d{4}-", "yyyy-MM-dd"), (r"\.", "dd.MM.yyyy"), (r"/", "MM/dd/yyyy"))
-    out = text
-    for pattern, form in forms[::-1]:
-        def moved(form, s):
-            high, low = feistel(F.floor(s["n"] / DAY_LOW).cast("long"), F.pmod(s["n"], F.lit(DAY_LOW)).cast("long"), F.lit(DAY_HIGH), F.lit(DAY_LOW), key, F.lit("date"))
-            day = F.date_add(F.lit(DAY_ZERO).cast("date"), (high * DAY_LOW + low).cast("int"))
-            return F.when(s["n"].isNull(), s["t"]).otherwise(F.date_format(day, form))
-        n = F.datediff(F.try_to_timestamp(text, F.lit(form)).cast("date"), F.lit(DAY_ZERO).cast("date"))
-        out = F.when(F.regexp_like(text, F.lit(pattern)), _held({"n": n, "t": text}, functools.partial(moved, form))).otherwise(out)
-    return out
+    def pick(at: int) -> Column:
+        out = F.lit(_FORMS[-1][at])
+        for form in _FORMS[-2::-1]:
+            out = F.when(F.regexp_like(text, F.lit(form[0])), F.lit(form[at])).otherwise(out)
+        return out
+
+    def moved(s):
+        n = s["n"]
+        return _held({"p": _feistel(F.floor(n / DAY_LOW), F.pmod(n, F.lit(DAY_LOW)), F.lit(DAY_HIGH), F.lit(DAY_LOW), key, F.lit("date")), "t": s["t"], "f": s["f"]},
+                     lambda v: F.call_function("date_format", F.date_add(F.lit(DAY_ZERO).cast("date"), (v["p"]["h"] * DAY_LOW + v["p"]["l"]).cast("int")), v["f"]))
+
+    n = F.datediff(F.try_to_timestamp(text, pick(1)).cast("date"), F.lit(DAY_ZERO).cast("date"))
+    form = F.when(F.regexp_like(text, F.lit(r"(?<!\d)\d(?!\d)")), pick(3)).otherwise(pick(2))
+    return _held({"n": n, "t": text, "f": form}, lambda s: F.when(s["n"].isNull(), s["t"]).otherwise(moved(s)))
 
 
 def _ip(text: Column, key: str) -> Column:
     def of(s):
         part = lambda i: F.get(s["p"], F.lit(i)).cast("long")
         return F.struct((part(0) * 256 + part(1)).alias("h"), (part(2) * 256 + part(3)).alias("l"))
-    state = _held({"p": F.split(text, r"\.")}, of)
-    for r in range(ROUNDS):
-        def step(r, s):
-            h, low = s["s"]["h"], s["s"]["l"]
-            if r % 2:
-                return F.struct(h.alias("h"), F.pmod(low + _round(h, key, F.lit("ip"), r, F.lit(65536)), F.lit(65536)).alias("l"))
-            return F.struct(F.pmod(h + _round(low, key, F.lit("ip"), r, F.lit(65536)), F.lit(65536)).alias("h"), low.alias("l"))
-        state = _held({"s": state}, functools.partial(step, r))
+    moved = lambda v: _feistel(v["s"]["h"], v["s"]["l"], F.lit(65536), F.lit(65536), key, F.lit("ip"))
+    state = _held({"s": _held({"p": F.split(text, r"\.")}, of)}, moved)
     return _held({"s": state}, lambda s: F.concat_ws(".", F.shiftright(s["s"]["h"], 8), s["s"]["h"] % 256, F.shiftright(s["s"]["l"], 8), s["s"]["l"] % 256))
 
 
+def _ip6(text: Column, key: str) -> Column:
+    hexed = F.lower(F.regexp_replace(text, "[^0-9A-Fa-f]", ""))
+    return _held({"p": permuted_text(hexed, key, "ip6"), "t": text}, lambda s: _laid_into(s["t"], s["p"], "[0-9A-Fa-f]"))
+
+
 def _mod97(text: Column) -> Column:
     """The IBAN remainder of a string of digits and capitals."""
     value = lambda c: F.when(c.between("0", "9"), c.cast("long")).otherwise(F.ascii(c).cast("long") - 55)
@@ -216,6 +235,13 @@ def permuted_text(value: Column, key: str, tag: str) -> Column:
     return _held({"v": value, "x": hexed(value)}, again)
 
 
+def _within_block(c: Column, byte: Column) -> Column:
+    """A character other than ASCII, moved among the 64 that differ from it in the last byte of their UTF-8 alone."""
+    coded = F.hex(c)
+    last = F.conv(F.right(coded, F.lit(2)), 16, 10).cast("int")
+    return F.decode(F.unhex(F.concat(F.substr(coded, F.lit(1), F.length(coded) - 2), F.hex(128 + (last - 128 + byte) % 64))), "UTF-8")
+
+
 def _shuffled(value: Column, hexed: Column, key: str, tag: str) -> Column:
     def shifted(half: Column, other: Column, hexed: Column, r: Column) -> Column:
         seed = F.sha2(F.concat_ws("|", F.lit(key), F.lit(tag), r.cast("string"), F.lower(F.array_join(other, ""))), 256)
@@ -224,7 +250,7 @@ def _shuffled(value: Column, hexed: Column, key: str, tag: str) -> Column:
                 byte = F.conv(F.substr(F.get(s["stream"], F.floor(i / 32).cast("int")), i % 32 * 2 + 1, F.lit(2)), 16, 10).cast("int")
                 moved = lambda first, n: F.chr((F.lit(ord(first)) + (F.ascii(c) - ord(first) + byte) % n).cast("long"))
                 in_hex = F.substr(F.lit(HEX), (F.instr(F.lit(HEX), c) - 1 + byte) % 16 + 1, F.lit(1))
-                return F.when(s["x"], in_hex).when(c.between("0", "9"), moved("0", 10)).when(c.between("A", "Z"), moved("A", 26)).when(c.between("a", "z"), moved("a", 26)).otherwise(c)
+                return F.when(s["x"], in_hex).when(c.between("0", "9"), moved("0", 10)).when(c.between("A", "Z"), moved("A", 26)).when(c.between("a", "z"), moved("a", 26)).when(F.octet_length(c) > 1, _within_block(c, byte)).otherwise(c)
             return F.transform(s["half"], put)
         stream = lambda s: _held({"stream": F.transform(F.sequence(F.lit(0), F.floor(F.size(s["half"]) / 32).cast("int")), lambda b: F.sha2(F.concat(s["seed"], b.cast("string")), 256)), "half": s["half"], "x": s["x"]}, by_stream)
         return _held({"seed": seed, "half": half, "x": hexed}, stream)
@@ -244,14 +270,14 @@ def _email(text: Column, key: str) -> Column:
 
 
 def _secret(text: Column, key: str) -> Column:
-    value = r"[A-Za-z0-9+/_.~\-]{12,}+$"
+    value = r"[A-Za-z0-9+/_.~\-]{6,}+$"
     return _held({"v": F.regexp_extract(text, value, 0), "t": text}, lambda s: F.concat(F.substr(s["t"], F.lit(1), F.length(s["t"]) - F.length(s["v"])), permuted_text(s["v"], key, "secret")))
 
 
 def pseudonym(value: Column, key: str) -> Column:
     """struct(kind, new) of a found value; ``new`` is the value itself where it fails its format's check."""
     start = lambda kind: F.regexp_like(value, F.lit(f"^(?:{PATTERNS[kind]})$"))
-    made = {"email": _email(value, key), "secret": _secret(value, key), "iban": _iban(value, key), "ip": _ip(value, key), "date": _date(value, key),
+    made = {"email": _email(value, key), "secret": _secret(value, key), "iban": _iban(value, key), "ip": _ip(value, key), "ip6": _ip6(value, key), "date": _date(value, key),
             "ssn": _number(value, key, "ssn"), "phone": _phone(value, key), "card": _card(value, key)}
     out = F.struct(F.lit("none").alias("kind"), value.alias("new"))
     for kind in reversed(made):
@@ -267,7 +293,7 @@ def pseudonymised(docs: DataFrame, key: str, text_col: str = "text") -> DataFram
     columns and rows are kept; an empty table stays empty. A column named ``pii`` is replaced.
     """
     text = F.col(text_col)
-    found = F.when(F.regexp_like(text, F.lit(r"[0-9@]|(?i:secret|token|passw|pwd|key)")), F.regexp_extract_all(text, F.lit(ANY), F.lit(0)))
+    found = F.when(F.regexp_like(text, F.lit(r"[0-9@]|(?i:secret|token|passw|pwd|key|bearer)|::")), F.regexp_extract_all(text, F.lit(ANY), F.lit(0)))
     docs = docs.withColumn("pii", found)
     between = F.split(text, ANY)
     new = F.transform("pii", lambda v: pseudonym(v, key))
