@@ -300,3 +300,21 @@ def test_letters_of_other_scripts_are_one_to_one(spark):
     two = [a + b for a in "éüßЖñ" for b in "éüßЖñabc"]
     got = spark.createDataFrame([(x,) for x in two], "v string").select("v", pii.permuted_text(F.col("v"), KEY, "t").alias("p")).collect()
     assert len({r["p"] for r in got}) == len(two) and all(len(r["p"]) == 2 and len(r["p"].encode()) == len(r["v"].encode()) for r in got)
+
+
+def test_no_match_is_lost_at_the_threshold(spark):
+    """2,000 items of 5 to 12 words and documents that have exactly 0.8 of their shingles or the next share above it."""
+    rng = random.Random(6)
+    items, docs, want = [], [], {}
+    for i in range(2000):
+        m = rng.randint(1, 8)
+        w = [f"u{i}x{j}" for j in range(m + 4)]
+        less = next(d for d in range(m, -1, -1) if (m - d) * 100 >= 80 * m)
+        items.append((i, " ".join(w)))
+        docs.append((i, " ".join(w[: len(w) - less])))
+        if m - less:
+            want[i, i] = (m - less) / m
+    d, b = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]): r["similarity"] for r in decontaminate.leaks(d, b).collect()}
+    assert got.keys() == want.keys() and sum(abs(v - 0.8) < 1e-9 for v in want.values()) > 200
+    assert all(abs(got[x] - want[x]) < 1e-9 for x in got)

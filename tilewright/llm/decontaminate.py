@@ -8,7 +8,9 @@ the two, yields every pair within the radius. A block of 16 bits has 2,517 such
 100 pairs of unlike fingerprints. Pairs within the radius are verified by the exact similarity of their weighted shingles: the sum
 of the smaller counts over the sum of the larger ones.
 
-A pair just at the similarity asked for (0.8) differs in about 10 bits of 64, with a deviation of 3; the radius is 19.
+A pair just at the similarity asked for (0.8) differs in about 10 bits of 64, with a deviation of 3; the radius is 19. Fingerprints
+of few shingles spread wider: items of fewer than ``FEW`` shingles are compared with every window that holds one of their rarest
+shingles, so many that no match can do without all of them, and lose nothing to the radius.
 """
 
 from __future__ import annotations
@@ -24,6 +26,8 @@ from tilewright.sources.scratch import written
 BLOCKS, NEAR = 4, 4
 BITS = 64 // BLOCKS
 RADIUS = BLOCKS * (NEAR + 1) - 1
+#: Items of fewer shingles are compared without regard to the distance of fingerprints.
+FEW = 32
 #: Rows up to which the benchmark's shingles, or the ids of documents with windows, are broadcast; more are joined by shuffle.
 BROADCAST_ROWS = 200_000
 
@@ -105,6 +109,16 @@ def windows_of(docs: DataFrame, items: DataFrame, k: int, percent: int) -> DataF
     return rows.select("doc_id", "m", "size", F.explode(F.flatten(F.transform(firsts, lambda i: F.sequence(low(i), high(i))))).alias("p")).distinct()
 
 
+def _rarest(items: DataFrame, percent: int) -> DataFrame:
+    """(m, g, item_id, item_fp): of each item so many of its rarest shingles that a window without any of them cannot match it."""
+    listed = items.select("item_id", "m", "fp", F.explode("grams").alias("g"))
+    often = listed.groupBy("g").agg(F.count("*").alias("n"))
+    held = listed.join(often, "g").groupBy("item_id", "m", "fp").agg(F.array_sort(F.collect_list(F.struct("n", "g"))).alias("by"))
+    # a match shares percent of the m shingles at least, repeated ones counted anew
+    first = F.slice("by", F.lit(1), F.col("m") - F.expr(f"cast(ceil({percent} * m / 100) as int)") + 1)
+    return held.select("m", F.explode(F.array_distinct(F.transform(first, lambda x: x["g"]))).alias("g"), "item_id", F.col("fp").alias("item_fp"))
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", k: int = 5, percent: int = 80) -> DataFrame:
     """(doc_id, item_id, similarity, distance, first_word): each document and item with a window at least so similar.
 
@@ -127,16 +141,19 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
         near = with_words(near, "text", "doc_id").select("doc_id", shingle_hashes(k).alias("all"))
         return near.join(places, "doc_id").withColumn("own", F.slice("all", F.col("p") + 1, F.col("m"))).drop("all").where("size(own) = size")
 
-    windows = written(cut(starts).select("doc_id", "m", "p", "size", simhash(F.col("own")).alias("fp")), "fingerprints")
-    few, many = items.select("item_id", "m", F.col("fp").alias("item_fp")), windows
+    windows = written(cut(starts).select("doc_id", "m", "p", "size", simhash(F.col("own")).alias("fp"), F.when(F.col("m") < FEW, F.array_distinct("own")).alias("own")), "fingerprints")
+    apart = F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp")))
+    small = windows.where(F.col("m") < FEW).select("doc_id", "m", "p", "size", "fp", F.explode("own").alias("g"))
+    direct = small.join(_rarest(items.where(F.col("m") < FEW), percent), ["m", "g"]).select("doc_id", "m", "p", "size", "item_id", apart.alias("distance"))
+    few, many = items.where(F.col("m") >= FEW).select("item_id", "m", F.col("fp").alias("item_fp")), windows.where(F.col("m") >= FEW).drop("own")
     spread = lambda rows, fp: _blocks(rows, fp).withColumn("v", F.explode(F.transform(F.array(*[F.lit(x) for x in _masks()]), lambda x: F.col("v").bitwiseXOR(x))))
     # the spread side has thousands of rows for each of its fingerprints: shuffled, never broadcast
     if few.count() <= many.count():
         pairs = _blocks(many, "fp").join(spread(few, "item_fp").hint("merge"), ["m", "i", "v"])
     else:
         pairs = spread(many, "fp").hint("merge").join(_blocks(few, "item_fp"), ["m", "i", "v"])
-    pairs = pairs.withColumn("distance", F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp")))).where(F.col("distance") <= RADIUS)
-    pairs = written(pairs.select("doc_id", "m", "p", "size", "item_id", "distance").distinct(), "pairs")
+    pairs = pairs.withColumn("distance", apart).where(F.col("distance") <= RADIUS).select("doc_id", "m", "p", "size", "item_id", "distance")
+    pairs = written(pairs.union(direct).distinct(), "pairs")
 
     # exact similarity of the weighted shingles
     both = cut(pairs).join(items.select("item_id", "m", "grams"), ["item_id", "m"])
