@@ -95,3 +95,22 @@ def test_levels_go_on_while_bins_can_be_saved(spark, monkeypatch, tmp_path):
     got = packing.pack(spark.createDataFrame(docs, "doc_id long, text string")).collect()
     total = sum(r["length"] for r in got)
     assert len({r["sequence_id"] for r in got}) <= total / 1024 * 1.05 + 1
+
+
+def test_levels_end_without_gain(spark, monkeypatch):
+    """Pieces of which no two fit together are packed once; others go on while a level saves bins."""
+    calls = []
+    real = packing._level
+    monkeypatch.setattr(packing, "_level", lambda loose, level, shards, size: (calls.append(level), real(loose, level, shards, size))[1])
+    monkeypatch.setattr(packing, "SHARD", 200)
+    monkeypatch.setattr(packing, "pieces", lambda docs, *a: docs.selectExpr("doc_id", "0 piece", "0L start", "cast(length as bigint) length", "0L ids_crc32"))
+    rng = random.Random(1)
+    large = spark.createDataFrame([(i, rng.randint(600, 899)) for i in range(900)], "doc_id long, length int")
+    assert packing.pack(large).select("sequence_id").distinct().count() == 900 and calls == [0]
+    calls.clear()
+    mixed = spark.createDataFrame([(i, rng.choice([350, 420, 500, 700])) for i in range(900)], "doc_id long, length int")
+    got = packing.pack(mixed).collect()
+    fill = {}
+    for r in got:
+        fill[r["sequence_id"]] = fill.get(r["sequence_id"], 0) + r["length"]
+    assert len(got) == 900 and max(fill.values()) <= 1024 and 1 <= len(calls) <= 6

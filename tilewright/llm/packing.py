@@ -293,7 +293,7 @@ def _level(loose: DataFrame, level: int, shards: int, size: int) -> DataFrame:
                 ends = np.cumsum(length[order])
                 first = np.r_[True, np.diff(bin_of[order]) > 0]
                 place[order] = ends - length[order] - np.repeat((ends - length[order])[first], np.diff(np.r_[np.flatnonzero(first), len(order)]))
-                yield pa.RecordBatch.from_arrays([pa.array([x["uid"] for x in own], pa.int64()), pa.array(length), pa.array((level << 58) + (shard << 16) + bin_of), pa.array(fill[bin_of]), pa.array(place)],
+                yield pa.RecordBatch.from_arrays([pa.array([x["uid"] for x in own], pa.int64()), pa.array(length), pa.array((level << 52) + (shard << 16) + bin_of), pa.array(fill[bin_of]), pa.array(place)],
                                                  ["uid", "length", "sequence_id", "fill", "offset"])
 
     return held.join(best, "shard").select("shard", "own", "won").mapInArrow(spread, "uid long, length long, sequence_id long, fill long, offset long")
@@ -307,7 +307,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokeni
     looked at. Sequence ids are unique and otherwise arbitrary; offsets in a sequence are gapless from 0.
     """
     cut = written(pieces(docs, id_col, text_col, tokenizer, size).withColumn("uid", F.monotonically_increasing_id()), "pieces")
-    loose, level, done = cut.where(F.col("length") < size).select("uid", "length"), 0, []
+    loose, level, before, done = cut.where(F.col("length") < size).select("uid", "length"), 0, None, []
     while True:
         count = loose.count()
         if not count:
@@ -315,11 +315,14 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tokeni
         shards = -(-count // SHARD)
         got = written(_level(loose, level, shards, size), "packed")
         open_ = got.where(F.col("fill") < FULL * size)
-        left = open_.agg(F.countDistinct("sequence_id").alias("bins"), F.sum("length").alias("ids")).first()
-        # the rest is dealt anew as long as it could do with fewer bins
-        if shards == 1 or level == 15 or not left["bins"] or left["bins"] <= -(-left["ids"] // size):
+        left = open_.agg(F.countDistinct("sequence_id").alias("bins"), F.sum("length").alias("ids"), F.count_if(F.col("length") * 2 > size).alias("large")).first()
+        bins = got.agg(F.countDistinct("sequence_id")).first()[0]
+        # the rest is dealt anew while it could do with fewer bins, of which no two large pieces share one, and while that gains
+        gains = before is None or before - bins >= max(1, before // 1000)
+        if shards == 1 or not gains or not left["bins"] or left["bins"] <= max(-(-left["ids"] // size), left["large"]):
             done.append(got)
             break
+        before = left["bins"]
         done.append(got.where(F.col("fill") >= FULL * size))
         loose, level = open_.select("uid", "length"), level + 1
     place = cut.where(F.col("length") == size).select("uid", (-1 - F.col("uid")).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
