@@ -126,6 +126,21 @@ def test_a_large_group_of_near_copies(spark, monkeypatch):
     assert 1 <= len(made_of) <= 2 and sum(made_of.values()) < 6 * len(rows)
 
 
+def test_blocks_are_cut_by_bytes(spark, monkeypatch):
+    """A group of a few long texts has blocks of its own: so many that none holds much more than the bytes allowed."""
+    from tilewright.llm import jaccard
+
+    monkeypatch.setattr(jaccard, "BLOCK_BYTES", 20_000)
+    placed = []
+    real = jaccard._first_spots
+    monkeypatch.setattr(jaccard, "_first_spots", lambda p: (placed.append(p), real(p))[1])
+    base = [f"w{i}" for i in range(2000)]
+    rows = [(i, " ".join([*base[: 500 + i], f"x{i}", *base[500 + i :]])) for i in range(24)] + [(100 + i, f"a b c d e {i % 2}") for i in range(6)]
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == brute(rows, 3, 90, 100)
+    assert placed[0].where("component = 0").first()["blocks"] >= 10
+
+
 def test_very_long_texts(spark):
     long = " ".join(f"w{i}" for i in range(150_000))
     docs = spark.createDataFrame([(1, long), (2, long + " end"), (3, "x" * 500_000), (4, "w1 " * 100_000)], "doc_id long, text string")

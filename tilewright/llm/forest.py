@@ -51,7 +51,7 @@ def _profiler(k: int):
                     rows = signatures(np.concatenate([sets[x] for x in full]), np.r_[0, np.cumsum(n[full])[:-1]]).astype(">u4")
                     for x, row in zip(full, rows, strict=True):
                         sig[x] = row.tobytes()
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array(n), pa.array(h1), pa.array(h2), pa.array(sig, pa.binary())], ["doc_id", "n", "h1", "h2", "sig"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array(n), pa.array(h1), pa.array(h2), pa.array(np.diff(o), pa.int64()), pa.array(sig, pa.binary())], ["doc_id", "n", "h1", "h2", "bytes", "sig"])
 
     return profile
 
@@ -129,8 +129,8 @@ def forest_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     start. Texts may be of any length. An empty table gives an empty result; other columns are not looked at.
     """
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).where("doc_id is not null")
-    seen = written(docs.mapInArrow(_profiler(k), "doc_id long, n long, h1 long, h2 long, sig binary"), "signatures")
-    reps = jaccard.classes(seen, "sig")
+    seen = written(docs.mapInArrow(_profiler(k), "doc_id long, n long, h1 long, h2 long, bytes long, sig binary"), "signatures")
+    reps = jaccard.classes(seen, "bytes", "sig")
     zero = F.lit(0).cast("long")
     lists = written(met(reps, most).select("h", zero.alias("a"), zero.alias("b"), "node"), "regions")
     links = jaccard.links_among(lists, docs, reps, k, num, den)

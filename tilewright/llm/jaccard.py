@@ -32,8 +32,9 @@ from tilewright.sources.scratch import written
 
 #: Sets up to this size may be light; the boundary itself is found by cost.
 LIGHT_MOST = 40
-#: Sets compared at once in a task; larger groups meet block by block.
+#: Sets compared at once in a task, and bytes of their texts, about; larger groups meet block by block.
 BLOCK = 768
+BLOCK_BYTES = 32 << 20
 #: Groups of at most so many blocks compare all their blocks at once: further passes over the texts would cost more.
 FEW_BLOCKS = 32
 #: Lists are cut into classes of size, each reaching to so many times its smallest size.
@@ -64,7 +65,7 @@ def _sets(data: np.ndarray, off: np.ndarray, k: int) -> Iterator[np.ndarray]:
         yield np.unique(h[at[i] : at[i + 1]])
 
 
-_PROFILE = "doc_id long, n long, h1 long, h2 long, tier array<long>, small array<long>"
+_PROFILE = "doc_id long, n long, h1 long, h2 long, bytes long, tier array<long>, small array<long>"
 
 
 def _profiler(k: int, num: int, den: int):
@@ -85,8 +86,8 @@ def _profiler(k: int, num: int, den: int):
                     rows[3].append(s[:tier].view(np.int64))
                     rows[4].append(s.view(np.int64) if n <= LIGHT_MOST else None)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(i, j - i), *(pa.array(x, pa.int64()) for x in rows[:3]), *(pa.array(x, pa.list_(pa.int64())) for x in rows[3:])],
-                    ["doc_id", "n", "h1", "h2", "tier", "small"])
+                    [batch.column(0).slice(i, j - i), *(pa.array(x, pa.int64()) for x in rows[:3]), pa.array(np.diff(o), pa.int64()), *(pa.array(x, pa.list_(pa.int64())) for x in rows[3:])],
+                    ["doc_id", "n", "h1", "h2", "bytes", "tier", "small"])
 
     return profile, int(bound)
 
@@ -250,9 +251,11 @@ def _spot(b: Column, o: Column) -> Column:
 
 
 def _cut(groups: DataFrame, name: str = "b") -> DataFrame:
-    """(node, component, blocks, b): the sets of each group dealt to blocks of about ``BLOCK``."""
-    many = groups.groupBy("component").agg(F.ceil(F.count("*") / F.lit(BLOCK)).alias("blocks"))
-    return groups.join(many, "component").select("node", "component", "blocks", F.pmod(F.xxhash64("node"), F.col("blocks")).alias(name))
+    """(node, component, bytes, blocks, b): the sets of each group dealt to blocks of about ``BLOCK`` sets or ``BLOCK_BYTES``."""
+    if "bytes" not in groups.columns:
+        groups = groups.withColumn("bytes", F.lit(0).cast("long"))
+    many = groups.groupBy("component").agg(F.ceil(F.greatest(F.count("*") / F.lit(BLOCK), F.sum("bytes") / F.lit(BLOCK_BYTES))).alias("blocks"))
+    return groups.join(many, "component").select("node", "component", "bytes", "blocks", F.pmod(F.xxhash64("node"), F.col("blocks")).alias(name))
 
 
 def _first_spots(placed: DataFrame) -> DataFrame:
@@ -267,15 +270,15 @@ def _rest_spots(keyed: DataFrame, large: DataFrame, linked: DataFrame) -> DataFr
 
     Of each group the largest part that is linked is settled; the sets apart from it meet one another and the settled ones.
     """
-    parts = large.select("node", "component").join(linked.select("node", F.col("component").alias("part")), "node", "left").select("node", "component", F.coalesce("part", "node").alias("part"))
+    parts = large.select("node", "component", "bytes").join(linked.select("node", F.col("component").alias("part")), "node", "left").select("node", "component", "bytes", F.coalesce("part", "node").alias("part"))
     size = parts.groupBy("component", "part").agg(F.count("*").alias("n"))
     most = size.groupBy("component").agg(F.max_by("part", F.struct("n", "part")).alias("settled"))
-    parts = written(parts.join(most, "component").select("node", "component", (F.col("part") == F.col("settled")).alias("settled")), "parts")
-    apart = _cut(parts.where("not settled").select("node", "component")).withColumnRenamed("blocks", "apart")
+    parts = written(parts.join(most, "component").select("node", "component", "bytes", (F.col("part") == F.col("settled")).alias("settled")), "parts")
+    apart = _cut(parts.where("not settled").select("node", "component", "bytes")).withColumnRenamed("blocks", "apart")
     few = apart.groupBy("component").agg(F.first("apart").alias("apart"))
-    rest = _cut(parts.where("settled").select("node", "component")).join(few, "component").select("node", "component", "apart", (F.col("apart") + F.col("b")).alias("b"), F.col("blocks").alias("rest"))
+    rest = _cut(parts.where("settled").select("node", "component", "bytes")).join(few, "component").select("node", "component", "apart", (F.col("apart") + F.col("b")).alias("b"), F.col("blocks").alias("rest"))
     counts = rest.groupBy("component").agg(F.first("rest").alias("rest"))
-    both = written(apart.join(counts, "component").select("node", "component", "apart", "rest", "b").unionByName(rest), "apart")
+    both = written(apart.join(counts, "component").select("node", "component", "apart", "rest", "b").unionByName(rest.select("node", "component", "apart", "rest", "b")), "apart")
     # few sets apart: they meet all; the settled ones meet them
     end = F.when(F.col("b") < F.col("apart"), F.col("apart") + F.col("rest")).otherwise(F.col("apart"))
     near = both.where(F.col("apart") <= FEW_BLOCKS).select("node", "component", F.transform(F.sequence(F.lit(0).cast("long"), end - 1), lambda o: _spot(F.col("b"), o)).alias("spots"))
@@ -297,12 +300,12 @@ def _compared(texts: DataFrame, reps: DataFrame, spots: DataFrame, k: int, num:
 def links_among(keyed: DataFrame, docs: DataFrame, reps: DataFrame, k: int, num: int, den: int) -> DataFrame:
     """Edges (u, v) that span the links among sets that meet: those on a list (h, a, b, node) together, and by way of others.
 
-    ``docs`` (doc_id, text) holds the texts, ``reps`` (node, rid, h1) says which text is which set's. Every link between sets of one
+    ``docs`` (doc_id, text) holds the texts, ``reps`` (node, rid, h1, bytes) says which text is which set's. Every link between sets of one
     list is found on the whole sets, whatever the list's length.
     """
     lead = keyed.groupBy("h", "a", "b").agg(F.min("node").alias("v"), F.max("node").alias("w")).where("v < w").drop("w")
     meets = keyed.join(lead, ["h", "a", "b"]).where("node <> v").select(F.col("node").alias("u"), "v").distinct()
-    placed = written(_cut(connected_components(meets)), "placed")
+    placed = written(_cut(connected_components(meets).join(reps.select("node", "bytes"), "node")), "placed")
     texts = docs.select(F.col("doc_id").alias("rid"), "text")
     links = _compared(texts, reps, _first_spots(placed), k, num, den)
     large = placed.where(F.col("blocks") > FEW_BLOCKS)
@@ -328,7 +331,7 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).where("doc_id is not null")
     profile, bound = _profiler(k, num, den)
     seen = written(docs.mapInArrow(profile, _PROFILE), "profiles")
-    reps = classes(seen, "tier", "small")
+    reps = classes(seen, "bytes", "tier", "small")
     sizes = {r["n"]: r["c"] for r in reps.where(F.col("n") <= 2 * LIGHT_MOST).groupBy("n").agg(F.count("*").alias("c")).collect()}
     x = boundary(sizes, num, den)
     light = _light_links(reps.where(F.col("n") <= x), x, num, den)
