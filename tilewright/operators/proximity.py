@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tilewright.functions import geo
 from tilewright.operators.graph import connected_components
+from tilewright.sources.scratch import written
 
 TOLERANCE_DEG = 1e-6
 
@@ -124,10 +126,63 @@ def group_stats(groups: DataFrame, splits: DataFrame) -> DataFrame:
     return per.agg(F.count("*").alias("components"), F.count_if(F.col("n") > 1).alias("with_repeats"), F.max("n").alias("largest"), *(F.sum(s).alias(s) for s in ("train", "validation", "test")), F.count_if(F.col("test") == 0).alias("without_test"))
 
 
-def group_span(points: DataFrame) -> DataFrame:
-    """(g, span_m): the largest distance of two points (g, id, lat, lon) of a group; groups are observation sets of a target."""
-    b = points.select("g", *(F.col(c).alias("b_" + c) for c in ("id", "lat", "lon")))
-    return points.join(b, "g").where("id < b_id").groupBy("g").agg(F.max(geo.distance_m(F.col("lat"), F.col("lon"), F.col("b_lat"), F.col("b_lon"))).alias("span_m"))
+#: Places up to which a group's pairs are all looked at.
+FEW_PLACES = 32
+
+
+def group_span(points: DataFrame, few: int = FEW_PLACES) -> DataFrame:
+    """(g, span_m): the largest distance of two points (g, id, lat, lon) of a group. Groups of one point are missing, points without
+    coordinates are left out; a group may have any number of points.
+
+    Pairs of all places are looked at in groups of few. Larger ones are cut by octrees on the sphere's points: pairs of cells are
+    bounded from below by a pair of their points and from above by their boxes, and only pairs of cells that may still hold the
+    farthest pair are cut further, until they hold few pairs of points.
+    """
+    lat, lon = F.radians("lat"), F.radians("lon")
+    held = points.where("g is not null and lat is not null and lon is not null")
+    places = held.groupBy("g", "lat", "lon").agg(F.count("*").alias("n")).withColumns({"x": F.cos(lat) * F.cos(lon), "y": F.cos(lat) * F.sin(lon), "z": F.sin(lat)})
+    places = written(places, "places")
+    size = places.groupBy("g").agg(F.count("*").alias("k"), F.sum("n").alias("n")).where("n > 1")
+    size = written(size, "sizes")
+    near = geo.distance_m(F.col("lat"), F.col("lon"), F.col("b_lat"), F.col("b_lon"))
+    one = places.join(size.where(F.col("k") <= few).select("g"), "g")
+    other = one.select("g", F.col("lat").alias("b_lat"), F.col("lon").alias("b_lon"))
+    apart = one.join(other, "g").where("struct(lat, lon) < struct(b_lat, b_lon)").groupBy("g").agg(F.max(near).alias("span_m"))
+    large = size.where(F.col("k") > few).select("g")
+    if not large.isEmpty():
+        apart = apart.unionByName(_farthest(places.join(large, "g")).groupBy("g").agg(F.max(near).alias("span_m")))
+    return size.select("g").join(apart, "g", "left").select("g", F.coalesce("span_m", F.lit(0.0)).alias("span_m"))
+
+
+def _farthest(places: DataFrame, step: int = 2, deepest: int = 20) -> DataFrame:
+    """(g, lat, lon, b_lat, b_lon): pairs of places of each group among which its farthest one is."""
+    box = places.groupBy("g").agg(*(F.min(c).alias("o" + c) for c in "xyz"), F.greatest(*(F.max(c) - F.min(c) for c in "xyz")).alias("wide"))
+    unit = lambda c: (F.col(c) - F.col("o" + c)) / F.col("wide") * (1 - 1e-9)
+    rows = written(places.join(box, "g").select("g", "lat", "lon", "x", "y", "z", *(unit(c).alias("u" + c) for c in "xyz")), "places")
+    cell = lambda level: reduce(lambda k, c: k * 2**21 + F.floor(F.col("u" + c) * 2**level), "xyz", F.lit(0).cast("long"))
+    pairs, level = None, 0
+    while True:
+        level += step
+        boxes = [f(c).alias(n + c) for n, f in (("l", F.min), ("h", F.max)) for c in "xyz"]
+        cells = rows.groupBy("g", cell(level).alias("c"), cell(level - step).alias("p")).agg(F.count("*").alias("n"), F.min(F.struct("x", "y", "z")).alias("at"), *boxes)
+        cells = written(cells, "cells")
+        a, b = (cells.select("g", *(F.col(c).alias(k + c) for c in ("c", "p", "n", "at", *(n + x for n in "lh" for x in "xyz")))) for k in ("a_", "b_"))
+        both = a.join(b, "g") if pairs is None else pairs.join(a, ["g", "a_p"]).join(b, ["g", "b_p"])
+        gap = lambda c: F.greatest(F.abs(F.col("a_h" + c) - F.col("b_l" + c)), F.abs(F.col("b_h" + c) - F.col("a_l" + c)))
+        least = sum((F.col(f"a_at.{c}") - F.col(f"b_at.{c}")) ** 2 for c in "xyz")
+        both = both.where("a_p <> b_p OR a_c <= b_c").withColumns({"least": least, "most": sum(gap(c) ** 2 for c in "xyz")})
+        both = written(both.select("g", "a_c", "b_c", "a_n", "b_n", "least", "most"), "pairs")
+        best = both.groupBy("g").agg(F.max("least").alias("best"))
+        open_ = written(both.join(best, "g").where(F.col("most") >= F.col("best") * (1 - 1e-12)).select("g", "a_c", "b_c", "a_n", "b_n"), "open")
+        ends = open_.select("g", F.col("a_c").alias("c")).union(open_.select("g", F.col("b_c").alias("c"))).distinct()
+        rows = written(rows.withColumn("c", cell(level)).join(ends, ["g", "c"], "left_semi").drop("c"), "places")
+        work = open_.agg(F.sum(F.col("a_n") * F.col("b_n")).alias("work"), F.count("*").alias("pairs")).first()
+        if level >= deepest or work["work"] <= 8 * work["pairs"]:
+            break
+        pairs = open_.select("g", F.col("a_c").alias("a_p"), F.col("b_c").alias("b_p"))
+    ends = rows.select("g", "lat", "lon", cell(level).alias("c"))
+    left = open_.select("g", "a_c", "b_c").join(ends.withColumnRenamed("c", "a_c"), ["g", "a_c"])
+    return left.join(ends.select("g", F.col("lat").alias("b_lat"), F.col("lon").alias("b_lon"), F.col("c").alias("b_c")), ["g", "b_c"]).select("g", "lat", "lon", "b_lat", "b_lon")
 
 
 def coverage_cells(tiles: DataFrame, cell: float = 0.5, n: int = 12) -> DataFrame:
