@@ -307,11 +307,36 @@ def bilinear(raster: DataFrame, points: DataFrame, height: int, width: int) -> D
 
 
 def seeded_sample(pixels: DataFrame, n: int, seed: int) -> DataFrame:
-    """At most n covered pixels of each patch, those of the smallest hash."""
-    order = Window.partitionBy("patch_id").orderBy(F.xxhash64(F.lit(seed), "prow", "pcol"), "prow", "pcol")
+    """At most n covered pixels of each patch: those with the smallest MD5 of seed, patch, row and column.
+
+    The rank is limited to n, so each task keeps the n smallest of each patch that it reads, and only those are shuffled and ranked.
+    """
+    order = Window.partitionBy("patch_id").orderBy(F.md5(F.concat_ws("|", F.lit(seed), "patch_id", "prow", "pcol")), "prow", "pcol")
     return pixels.where("covered").withColumn("_k", F.row_number().over(order)).where(F.col("_k") <= n).drop("_k")
 
 
+def sample_errors(samples: DataFrame, mosaic: DataFrame, mosaic_prefix: str = "m_", by: tuple[str, ...] = ("mosaic_id", "pole")) -> DataFrame:
+    """(patch_id, samples, position_px, geo_m, value_error, reference_error): the largest errors of each patch's sampled pixels.
+
+    ``samples`` have their patch's projection and grid (``x_min``, ``y_max``, ``px``), those of the mosaic with the prefix, and the place
+    ``row0``, ``col0`` that the patch has in it. A pixel's centre is taken to coordinates and into the mosaic's pixels: how far from
+    its place it comes out, how far the centre of that mosaic pixel is, and by how much ``value`` and ``ref_value`` of ``mosaic``
+    (``mrow``, ``mcol``) differ; where the mosaic has no value the error is infinite. A patch without reference has 0.
+    """
+    own, whole, m = geo.Projection(), geo.Projection(mosaic_prefix), mosaic_prefix
+    lat, lon = geo.pixel_to_lonlat(own, F.col("x_min"), F.col("y_max"), F.col("px"), F.col("pcol") + 0.5, F.col("prow") + 0.5)
+    rows = samples.withColumns({"_lat": lat, "_lon": lon})
+    col, row = geo.lonlat_to_pixel(whole, F.col(m + "x_min"), F.col(m + "y_max"), F.col(m + "px"), F.col("_lat"), F.col("_lon"))
+    rows = rows.withColumns({"_col": col, "_row": row}).withColumns({"mcol": F.floor("_col").cast("int"), "mrow": F.floor("_row").cast("int")})
+    back_lat, back_lon = geo.pixel_to_lonlat(whole, F.col(m + "x_min"), F.col(m + "y_max"), F.col(m + "px"), F.col("mcol") + 0.5, F.col("mrow") + 0.5)
+    shown = mosaic.select(*by, F.col("mrow").cast("int").alias("mrow"), F.col("mcol").cast("int").alias("mcol"), F.col("value").alias("_value"), F.col("ref_value").alias("_ref"))
+    both = rows.join(shown, [*by, "mrow", "mcol"], "left")
+    error = lambda a, b: F.coalesce(F.abs(F.col(a) - F.col(b)), F.lit(float("inf")))
+    far = F.hypot(F.col("_col") - (F.col("col0") + F.col("pcol") + 0.5), F.col("_row") - (F.col("row0") + F.col("prow") + 0.5))
+    return both.groupBy("patch_id").agg(F.count("*").alias("samples"), F.max(far).alias("position_px"), F.max(geo.distance_m(F.col("_lat"), F.col("_lon"), back_lat, back_lon)).alias("geo_m"),
+                                        F.max(error("_value", "value")).alias("value_error"), F.coalesce(F.max(F.when(F.col("ref_covered"), error("_ref", "ref_value"))), F.lit(0.0)).alias("reference_error"))
+
+
 def array_profile(arrays: DataFrame, by: tuple[str, ...], value: str) -> DataFrame:
     """Size, non-finite values, and minimum, maximum, mean and population deviation of the finite ones."""
     v = F.when(F.col(value).isNotNull() & ~F.isnan(value) & (F.abs(value) < float("inf")), F.col(value))

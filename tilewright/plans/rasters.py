@@ -273,6 +273,37 @@ def mosaic_off_grid(spark: SparkSession, d: str) -> DataFrame:
     return raster.off_grid(t).select("tile_id", "mosaic_id")
 
 
-@query(f"{PIX} SELECT patch_id, least(count(*), 16) AS sampled FROM pixel WHERE covered GROUP BY patch_id")
+_SAMPLE = "sample AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY patch_id ORDER BY md5(concat_ws('|', 5, patch_id, prow, pcol)), prow, pcol) AS k FROM pixel WHERE covered) WHERE k <= 16)"
+
+
+@query(f"{PIX}, {_SAMPLE} SELECT patch_id, count(*) AS sampled, array_to_string(list(prow * 8 + pcol ORDER BY prow, pcol), ',') AS pixels FROM sample GROUP BY patch_id")
 def seeded_samples(spark: SparkSession, d: str) -> DataFrame:
-    return raster.seeded_sample(fx.pixels(spark, d), 16, 5).groupBy("patch_id").agg(F.count("*").alias("sampled"))
+    at = F.transform(F.sort_array(F.collect_list(F.col("prow") * 8 + F.col("pcol"))), lambda x: x.cast("string"))
+    return raster.seeded_sample(fx.pixels(spark, d), 16, 5).groupBy("patch_id").agg(F.count("*").alias("sampled"), F.array_join(at, ",").alias("pixels"))
+
+
+_SHOWN = """shown AS (SELECT mosaic_id, pole, cell_row * 8 + prow - min_row AS mrow, cell_col * 8 + pcol - min_col AS mcol, CASE WHEN patch_id % 37 = 0 AND prow = 3 THEN NULL ELSE value + CASE WHEN patch_id % 29 = 0 THEN 0.25e0 ELSE 0e0 END END AS shown_value,
+  CASE WHEN ref_covered THEN ref_value * CASE WHEN patch_id % 41 = 0 THEN 1.5e0 ELSE 1e0 END END AS shown_ref FROM pixel JOIN extent USING (mosaic_id, pole) WHERE covered)"""
+_MX, _MY = "(min_col * 240 + (mcol + 0.5e0) * 240)", "(-min_row * 240 - (mrow + 0.5e0) * 240)"
+
+
+@query(f"""{PIX}, {_SAMPLE}, {PATCHES}, {EXTENT}, {_SHOWN}, s AS (SELECT p.*, min_row, min_col, cell_row * 8 - min_row AS row0, cell_col * 8 - min_col + CASE WHEN patch_id % 31 = 0 THEN 1 ELSE 0 END AS col0, 'ps' AS kind, CASE WHEN pole = 'south' THEN -90e0 ELSE 90e0 END AS lat0, 0e0 AS lon0, 1e0 AS k0, 0e0 AS fe, 0e0 AS fn FROM sample p JOIN extent USING (mosaic_id, pole)),
+g AS (SELECT *, {q.inverse(_X, _Y)[0]} AS lat, {q.inverse(_X, _Y)[1]} AS lon FROM s), f AS (SELECT *, ({q.forward('lat', 'lon')[0]} - min_col * 240) / 240 AS fc, (-min_row * 240 - {q.forward('lat', 'lon')[1]}) / 240 AS fr FROM g),
+c AS (SELECT *, CAST(floor(fc) AS INT) AS mcol, CAST(floor(fr) AS INT) AS mrow FROM f), e AS (SELECT c.*, {q.inverse(_MX, _MY)[0]} AS blat, {q.inverse(_MX, _MY)[1]} AS blon, shown_value, shown_ref FROM c LEFT JOIN shown w USING (mosaic_id, pole, mrow, mcol))
+SELECT patch_id, count(*) AS samples, round(max(sqrt(pow(fc - (col0 + pcol + 0.5e0), 2) + pow(fr - (row0 + prow + 0.5e0), 2))), 5) AS position_px, round(max({q.distance('lat', 'lon', 'blat', 'blon')}), 2) AS geo_m,
+CASE WHEN count_if(shown_value IS NULL) > 0 THEN -1 ELSE round(max(abs(shown_value - value)), 6) END AS value_error, CASE WHEN count_if(ref_covered AND shown_ref IS NULL) > 0 THEN -1 ELSE round(coalesce(max(CASE WHEN ref_covered THEN abs(shown_ref - ref_value) END), 0), 6) END AS reference_error FROM e GROUP BY patch_id""")
+def sample_errors(spark: SparkSession, d: str) -> DataFrame:
+    """Every patch's sample against its mosaic, in which some values are changed or missing and some patches stand a column off."""
+    p = fx.pixels(spark, d)
+    patches = p.where("prow = 0 AND pcol = 0").select("patch_id", "mosaic_id", "pole", (F.col("cell_row") * 8).alias("row0"), (F.col("cell_col") * 8).alias("col0"), F.lit(8).alias("height"), F.lit(8).alias("width"))
+    extent = raster.mosaic_extent(patches)
+    placed = raster.placed(p, extent)
+    broken = F.when((F.col("patch_id") % 37 == 0) & (F.col("prow") == 3), F.lit(None)).otherwise(F.col("value") + F.when(F.col("patch_id") % 29 == 0, 0.25).otherwise(0.0))
+    mosaic = placed.select("mosaic_id", "pole", "mrow", "mcol", broken.alias("value"), F.when(F.col("ref_covered"), F.col("ref_value") * F.when(F.col("patch_id") % 41 == 0, 1.5).otherwise(1.0)).alias("ref_value"))
+    grid = {"kind": F.lit("ps"), "lat0": F.when(F.col("pole") == "south", -90.0).otherwise(90.0), "lon0": F.lit(0.0), "k0": F.lit(1.0), "fe": F.lit(0.0), "fn": F.lit(0.0), "px": F.lit(240.0)}
+    s = raster.seeded_sample(p, 16, 5).join(extent.select("mosaic_id", "pole", "min_row", "min_col"), ["mosaic_id", "pole"])
+    s = s.withColumns({**grid, **{"m_" + k: v for k, v in grid.items()}, "x_min": F.col("cell_col") * 8 * 240.0, "y_max": -F.col("cell_row") * 8 * 240.0, "m_x_min": F.col("min_col") * 240.0, "m_y_max": -F.col("min_row") * 240.0,
+                       "row0": F.col("cell_row") * 8 - F.col("min_row"), "col0": F.col("cell_col") * 8 - F.col("min_col") + F.when(F.col("patch_id") % 31 == 0, 1).otherwise(0)})
+    e = raster.sample_errors(s, mosaic)
+    known = lambda c: F.when(F.col(c) == float("inf"), -1.0).otherwise(F.round(c, 6)).alias(c)
+    return e.select("patch_id", "samples", F.round("position_px", 5).alias("position_px"), F.round("geo_m", 2).alias("geo_m"), known("value_error"), known("reference_error"))
