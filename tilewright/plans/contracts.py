@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tilewright.functions import geo
-from tilewright.operators import catalogue, contract, proximity, raster
+from tilewright.operators import catalogue, conformance, contract, proximity, raster
 from tilewright.operators.boxes import with_center
 from tilewright.plans import sphere_sql as q
 from tilewright.plans.catalogue import CRATERS
@@ -178,3 +178,32 @@ def provenance_records(spark: SparkSession, d: str) -> DataFrame:
     runs = o.join(last, "k").select("task", "sample", F.when(F.col("k") % 10 == 7, "val").otherwise("test").alias("split"), F.concat(F.lit("c"), "c").alias("checkpoint"), F.lit("rev").alias("revision"))
     p = catalogue.with_provenance(o, runs, pins, "v1")
     return p.select("k", F.when(F.col("provenance").isNotNull(), F.concat_ws("|", *[F.col(f"provenance.{c}") for c in ("task", "source_dataset", "source_tile", "dataset_split", "model", "checkpoint", "model_revision", "reference_source", "processing_version")])).alias("provenance"))
+
+
+_SPLITS = ["test", "validation", "train", "external"]
+#: A tile's record: its id, provenance, boxes and metrics.
+TILE_SCHEMA = {"type": "object", "required": ["id", "provenance", "boxes"], "properties": {
+    "id": {"type": "string", "pattern": "^wac-[0-9]+$"},
+    "provenance": {"type": "object", "required": ["task", "model", "split", "revision"], "properties": {"task": {"const": "crater-detection"}, "split": {"enum": _SPLITS}, "grid": {"type": "object", "properties": {"px": {"minimum": 1, "maximum": 100}}}}},
+    "boxes": {"type": "array", "minItems": 1, "items": {"type": "object", "properties": {"w": {"type": "number", "maximum": 52}, "score": {"type": "number", "minimum": 0.055, "maximum": 1}}}},
+    "metrics": {"additionalProperties": {"type": "object", "oneOf": ["value", "flag"], "properties": {"value": {"minimum": 0, "maximum": 100}}}}}}
+
+
+@query(f"""{fx.with_sql('tile', 'det')}, t AS (SELECT tile_id, CASE WHEN tile_id % 19 = 0 THEN 'mock-' ELSE 'wac-' END || tile_id AS id, CASE WHEN tile_id % 17 = 0 THEN 'val' ELSE split END AS sp, CASE WHEN tile_id % 23 <> 0 THEN 'm' END AS model, CASE WHEN tile_id % 29 = 0 THEN 400e0 ELSE px END AS size, tile_id % 150 AS share FROM tile),
+b AS (SELECT tile_id, row_number() OVER (PARTITION BY tile_id ORDER BY idx) - 1 AS i, w, score FROM det), none AS (SELECT * FROM t WHERE tile_id NOT IN (SELECT tile_id FROM b))
+SELECT 'tile-pattern' AS rule_id, CAST(tile_id AS VARCHAR) AS object_id, '$.id' AS message FROM t WHERE NOT regexp_matches(id, '^wac-[0-9]+$') UNION ALL SELECT 'tile-enum', CAST(tile_id AS VARCHAR), '$.provenance.split' FROM t WHERE sp NOT IN ('test', 'validation', 'train', 'external')
+UNION ALL SELECT 'tile-required', CAST(tile_id AS VARCHAR), '$.provenance.model' FROM t WHERE model IS NULL UNION ALL SELECT 'tile-required', CAST(tile_id AS VARCHAR), '$.provenance.revision' FROM t UNION ALL SELECT 'tile-maximum', CAST(tile_id AS VARCHAR), '$.provenance.grid.px' FROM t WHERE size > 100
+UNION ALL SELECT 'tile-minItems', CAST(tile_id AS VARCHAR), '$.boxes' FROM none UNION ALL SELECT 'tile-maximum', CAST(b.tile_id AS VARCHAR), '$.boxes[' || i || '].w' FROM b JOIN t USING (tile_id) WHERE w > 52 UNION ALL SELECT 'tile-minimum', CAST(b.tile_id AS VARCHAR), '$.boxes[' || i || '].score' FROM b JOIN t USING (tile_id) WHERE score < 0.055
+UNION ALL SELECT 'tile-maximum', CAST(tile_id AS VARCHAR), '$.metrics.share.value' FROM t WHERE share > 100 UNION ALL SELECT 'tile-oneOf', CAST(tile_id AS VARCHAR), '$.metrics.whole' FROM t WHERE tile_id % 31 = 0""")
+def schema_conformance(spark: SparkSession, d: str) -> DataFrame:
+    """Records of all tiles and their boxes against a schema: faults in fields, nested fields, elements of arrays and values of maps. No
+    record has a revision; widths, scores and shares break their bounds where the data do."""
+    t, k = fx.tiles(spark, d), F.col("tile_id")
+    held = fx.detections(spark, d).groupBy("tile_id").agg(F.sort_array(F.collect_list(F.struct("idx", "w", "score"))).alias("boxes"))
+    metric = lambda v, f: F.struct(v.cast("double").alias("value"), f.cast("boolean").alias("flag"))
+    none = F.lit(None)
+    rows = t.join(held, "tile_id", "left").select(k, F.concat(F.when(k % 19 == 0, "mock-").otherwise("wac-"), k.cast("string")).alias("id"),
+                                                  F.struct(F.lit("crater-detection").alias("task"), F.when(k % 23 != 0, "m").alias("model"), F.when(k % 17 == 0, "val").otherwise(F.col("split")).alias("split"), F.struct(F.when(k % 29 == 0, 400.0).otherwise(F.col("px")).alias("px")).alias("grid")).alias("provenance"),
+                                                  F.coalesce("boxes", F.expr("cast(array() as array<struct<idx:int,w:double,score:double>>)")).alias("boxes"),
+                                                  F.create_map(F.lit("share"), metric(k % 150, none), F.lit("whole"), metric(none, F.when(k % 31 != 0, True))).alias("metrics"))
+    return conformance.conformance(rows, TILE_SCHEMA, "tile_id", "tile")
