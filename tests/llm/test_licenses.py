@@ -1,5 +1,7 @@
 import re
 
+import pytest
+
 from tilewright.llm import licenses
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -85,3 +87,52 @@ def test_automaton_regions():
     assert (ok("one four"), ok("one two three four"), ok("one x y four z"), ok("one two three x y four")) == (2, 4, 4, 6)
     assert ok("one x y z four") is None and ok("two three four") is None and ok("one") is None
     assert a.mandatory == 2
+
+
+def test_every_mandatory_word_counts():
+    """Each whole license with one other word at every mandatory place, and with every such word left out."""
+    whole = [t for t in licenses.TEMPLATES if len(t[1].split()) > 60]
+    assert {x for x, _ in whole} == {"mit", "isc", "bsl-1.0", "unlicense", "bsd-2-clause", "bsd-3-clause", "zlib", "apache-2.0"}
+    for label, template in whole:
+        a = licenses.compile_template(label, template)
+        plain = re.sub(r"\[\[.*?\]\]|\{\{\d+\}\}", " ", template).split()
+        assert a.accepts(plain, 0) == len(plain), label
+        regions = {len(re.sub(r"\[\[.*?\]\]|\{\{\d+\}\}", " ", template[: m.start()]).split()) for m in re.finditer(r"\{\{\d+\}\}", template)}
+        for i in range(len(plain)):
+            assert a.accepts([*plain[:i], "zebra", *plain[i + 1 :]], 0) is None, (label, i)
+            assert i in regions or i == 0 or a.accepts([*plain[:i], "zebra", *plain[i:]], 0) is None, (label, i)
+            gone = [*plain[:i], *plain[i + 1 :], "end"]
+            assert a.accepts(gone, 0) is None or gone[: len(plain) - 1] == plain[:-1] and i == len(plain) - 1, (label, i)
+
+
+def test_replaced_regions_and_denials(spark):
+    goods = licenses.TEMPLATES[0][1].replace("the software", "the stolen goods").replace("{{8}}", "the authors").replace("[[including the next paragraph]] ", "")
+    rows = [
+        (1, goods), (2, MIT.replace("the Software", "")), (3, "It is not licensed under the MIT license."), (4, "It is licensed under the MIT license."), (5, "never released under the MIT license"), (6, "This isn't licensed under the Apache License, Version 2.0"),
+        (7, "Not for sale. Released under the MIT license"), (8, "No longer licensed under the MIT License"), (9, "my own license: do what you like. Really Do."),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: [m["label"] for m in r["matches"]] for r in licenses.scan_licenses(docs).collect()}
+    assert got == {1: [], 2: [], 3: [], 4: ["mit"], 5: [], 6: [], 7: ["mit"], 8: [], 9: []}
+    own = licenses.templates_from({"own": "Do what you like. Really, do!"})
+    more = {r["doc_id"]: r["labels"] for r in licenses.scan_licenses(docs, templates=licenses.TEMPLATES + own).collect()}
+    assert more[9] == "own" and more[4] == "mit"
+
+
+def test_long_licenses_from_files(spark):
+    """Whole long licenses among other text, and each with one word changed at forty places."""
+    import os
+
+    folder = "/usr/share/common-licenses"
+    names = ["GPL-2", "GPL-3", "LGPL-2.1", "LGPL-3", "Apache-2.0", "MPL-2.0", "CC0-1.0"]
+    if not all(os.path.exists(f"{folder}/{n}") for n in names):
+        pytest.skip("no license files here")
+    texts = {"whole " + n.lower(): open(f"{folder}/{n}", encoding="utf-8").read() for n in names}
+    rows = []
+    for n, t in texts.items():
+        rows.append((n, f"Copyright someone.\n{t}\nAnd more."))
+        w = WORD.findall(licenses.templates_from({n: t})[0][1])
+        rows += [("", " ".join([*w[:i], "zebra", *w[i + 1 :]])) for i in range(0, len(w), len(w) // 40)]
+    docs = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(rows)], "doc_id long, text string")
+    got = {r["doc_id"]: {m["label"] for m in r["matches"]} & texts.keys() for r in licenses.scan_licenses(docs, templates=licenses.TEMPLATES + licenses.templates_from(texts)).collect()}
+    assert got == {i: {n} - {""} for i, (n, _) in enumerate(rows)}

@@ -35,28 +35,41 @@ _DAMAGES = ("in no event shall {{10}} be liable for any direct indirect incident
 _BSD = ("redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met [[1]] redistributions of source code must retain the above "
         "copyright notice this list of conditions and the following disclaimer [[2]] redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer "
         "in the documentation and or other materials provided with the distribution")
-_BSD_NAMES = "[[3]] neither the name of {{10}} nor the names of {{2}} contributors may be used to endorse or promote products derived from this software without specific prior written permission"
+_BSD_NAMES = "[[3]] neither the name of {{10}} nor the names of [[its]] [[the]] [[their]] contributors may be used to endorse or promote products derived from this software without specific prior written permission"
 _GPL = "under the terms of the gnu {}general public license as published by the free software foundation either version {} of the license or at your option any later version"
 _GRANT = "licensed under [[the terms of]] [[a]] [[the]]"
 
 #: Labels and templates of licenses and of notices that refer to them.
 TEMPLATES = (
-    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this {{4}} and associated documentation files the {{2}} to deal in the {{2}} without restriction including without "
-            "limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the {{2}} and to permit persons to whom the {{2}} is furnished to do so subject to the following "
-            "conditions the above copyright notice and this permission notice [[including the next paragraph]] shall be included in all copies or substantial portions of the {{2}} the {{2}} is provided as is without "
+    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction including without "
+            "limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so subject to the following "
+            "conditions the above copyright notice and this permission notice [[including the next paragraph]] shall be included in all copies or substantial portions of the software the software is provided as is without "
             "warranty of any kind express or implied including but not limited to the warranties of merchantability fitness for a particular purpose and noninfringement in no event shall {{8}} be liable for any "
-            "claim damages or other liability whether in an action of contract tort or otherwise arising from out of or in connection with the {{2}} or the use or other dealings in the {{2}}"),
+            "claim damages or other liability whether in an action of contract tort or otherwise arising from out of or in connection with the software or the use or other dealings in the software"),
     ("isc", "permission to use copy modify and [[or]] distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in "
-            "all copies the software is provided as is and the author disclaims all warranties with regard to this software including all implied warranties of merchantability and fitness in no event shall the "
-            "author be liable for any special direct indirect or consequential damages or any damages whatsoever resulting from loss of use data or profits whether in an action of contract negligence or other "
+            "all copies the software is provided as is and {{4}} disclaims all warranties with regard to this software including all implied warranties of merchantability and fitness in no event shall {{4}} "
+            "be liable for any special direct indirect or consequential damages or any damages whatsoever resulting from loss of use data or profits whether in an action of contract negligence or other "
             "tortious action arising out of or in connection with the use or performance of this software"),
+    ("bsl-1.0", "permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation covered by this license the software to use reproduce display "
+                "distribute execute and transmit the software and to prepare derivative works of the software and to permit third parties to whom the software is furnished to do so all subject to the following the "
+                "copyright notices in the software and this entire statement including the above license grant this restriction and the following disclaimer must be included in all copies of the software in whole or "
+                "in part and all derivative works of the software unless such copies or derivative works are solely in the form of machine executable object code generated by a source language processor the software "
+                "is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability fitness for a particular purpose title and non infringement in no event "
+                "shall the copyright holders or anyone distributing the software be liable for any damages or other liability whether in contract tort or otherwise arising from out of or in connection with the software "
+                "or the use or other dealings in the software"),
+    ("unlicense", "this is free and unencumbered software released into the public domain anyone is free to copy modify publish use compile sell or distribute this software either in source code form or as a compiled "
+                  "binary for any purpose commercial or non commercial and by any means in jurisdictions that recognize copyright laws the author or authors of this software dedicate any and all copyright interest in the "
+                  "software to the public domain we make this dedication for the benefit of the public at large and to the detriment of our heirs and successors we intend this dedication to be an overt act of "
+                  "relinquishment in perpetuity of all present and future rights to this software under copyright law the software is provided as is without warranty of any kind express or implied including but not "
+                  "limited to the warranties of merchantability fitness for a particular purpose and noninfringement in no event shall the authors be liable for any claim damages or other liability whether in an action "
+                  "of contract tort or otherwise arising from out of or in connection with the software or the use or other dealings in the software"),
     ("bsd-2-clause", f"{_BSD} {_AS_IS} {_DAMAGES}"),
     ("bsd-3-clause", f"{_BSD} {_BSD_NAMES} {_AS_IS} {_DAMAGES}"),
     ("zlib", "this software is provided as is without any express or implied warranty in no event will the authors be held liable for any damages arising from the use of this software permission is granted to "
              "anyone to use this software for any purpose including commercial applications and to alter it and redistribute it freely subject to the following restrictions [[1]] the origin of this software must "
              "not be misrepresented you must not claim that you wrote the original software if you use this software in a product an acknowledgment in the product documentation would be appreciated but is not "
              "required [[2]] altered source versions must be plainly marked as such and must not be misrepresented as being the original software [[3]] this notice may not be removed or altered from any source distribution"),
-    ("apache-2.0", "licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license you may obtain a copy of the license at {{9}} unless required by "
+    ("apache-2.0", "licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license you may obtain a copy of the license at [[http]] [[https]] www apache org licenses license 2 0 unless required by "
                    "applicable law or agreed to in writing software distributed under the license is distributed on an as is basis without warranties or conditions of any kind either express or implied see the "
                    "license for the specific language governing permissions and limitations under the license"),
     ("apache-2.0", f"{_GRANT} apache license [[version]] 2 0"),
@@ -66,7 +79,7 @@ TEMPLATES = (
     ("lgpl-2.1", _GPL.format("lesser ", "2 1")),
     *((f"gpl-{v}.0", f"{_GRANT} gnu general public license [[version]] {v} [[0]]") for v in "23"),
     ("lgpl", f"{_GRANT} gnu lesser general public license"),
-    ("mpl-2.0", "this source code form is subject to the terms of the mozilla public license v 2 0 if a copy of the mpl was not distributed with this file you can obtain one at {{6}} mozilla org mpl 2 0"),
+    ("mpl-2.0", "this source code form is subject to the terms of the mozilla public license v 2 0 if a copy of the mpl was not distributed with this file you can obtain one at [[http]] [[https]] [[www]] mozilla org mpl 2 0"),
     *((f"cc-{kind}-4.0", f"{_GRANT} {words} 4 0 [[international]]") for kind, both in (
         ("by", ("cc by", "creative commons attribution")), ("by-sa", ("cc by sa", "creative commons attribution sharealike")), ("by-nc", ("cc by nc", "creative commons attribution noncommercial")),
         ("by-nd", ("cc by nd", "creative commons attribution noderivatives")), ("by-nc-sa", ("cc by nc sa", "creative commons attribution noncommercial sharealike")),
@@ -75,6 +88,26 @@ TEMPLATES = (
 )
 
 
+_LOWER = {c: c + 32 for c in range(65, 91)}
+
+#: Words that deny what follows them; a notice with one of them among the two words before it puts nothing under a license.
+DENIALS = {"not", "never", "cannot", "neither", "nor", "no", "isn", "aren", "wasn", "weren", "unless", "isnt", "arent"}
+#: Words that notices begin with.
+NOTICES = {"licensed", "released", "under"}
+
+
+#: What ends the wording of long licenses; appendices after it say how to apply them.
+ENDS = "end of terms and conditions"
+
+
+def templates_from(texts: dict[str, str]) -> tuple[tuple[str, str], ...]:
+    """Templates of whole license texts by label, for licenses that a user has the files of (GPL, LGPL, AGPL, Apache, MPL, CC0, ...): all
+    their words are mandatory, to the end of terms and conditions where a text marks it."""
+    words = lambda t: " ".join(re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", t.translate(_LOWER)))
+    cut = lambda w: w[: w.index(ENDS) + len(ENDS)] if ENDS in w else w
+    return tuple((label, cut(words(t))) for label, t in texts.items())
+
+
 @dataclass
 class Automaton:
     """States 0..n; ``word`` leads from a state to the next, ``skip`` from a state past an optional region, ``any`` keeps it."""
@@ -142,7 +175,7 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """(doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score, matches) for each row.
 
     The base columns say where phrases of ``base`` stand; ``labels`` has those of accepted templates too, and ``matches``
-    where. ``score`` is 0 without any place, 0.25 for a phrase alone, else m / (m + 2) of the longest accepted template's m
+    where. A notice that is denied ("not licensed under ...") is none. ``score`` is 0 without any place, 0.25 for a phrase alone, else m / (m + 2) of the longest accepted template's m
     mandatory words. A null or empty text has no words; repeated rows stay; texts may be of any length; an empty table gives an
     empty result. Other columns are not looked at. Where several templates begin at a word, each counts.
     """
@@ -181,7 +214,8 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
             words = [w.translate(_LOWER) for w in words]
             for p in begin[text[begin] == i] - first[i]:
                 for a in by_head.get(words[p], ()):
-                    stop = a.accepts(words, int(p))
+                    denied = words[p] in NOTICES and not DENIALS.isdisjoint(words[max(0, p - 2) : p])
+                    stop = None if denied else a.accepts(words, int(p))
                     if stop is not None:
                         found[i].append((a.label, int(p), stop, a.mandatory))
         rows = []
@@ -205,6 +239,3 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
     return rows.mapInArrow(run, _RESULT.format(rows.schema["doc_id"].dataType.simpleString()))
-
-
-_LOWER = {c: c + 32 for c in range(65, 91)}
