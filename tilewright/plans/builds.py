@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tilewright.operators import contract
+from tilewright.operators import contract, differences, proximity
 from tilewright.plans import sphere_sql as q
+from tilewright.plans.catalogue import REGIONS, _regions
 from tilewright.plans.registry import query
 from tilewright.plans.spatial import ROUNDED, _published
-from tilewright.sources import builds, collections, documents, fixtures as fx
-from tilewright.sources.scratch import new_path
+from tilewright.sources import builds, collections, documents, fixtures as fx, runs
+from tilewright.sources.scratch import new_path, written
 
 _BOXES = "coalesce((SELECT list([x, y, w, h] ORDER BY idx) FROM det d WHERE d.tile_id = t.tile_id), [])"
 
@@ -67,3 +68,35 @@ def published_build(spark: SparkSession, d: str) -> DataFrame:
         one = builds.published(spark, path, name, build).groupBy("build").agg(F.count("*").alias("n"), F.sum("tile_id").alias("total")).select(F.lit(name).alias("name"), "build", "n", "total", F.lit(refused).cast("long").alias("refused"))
         both = one if both is None else both.unionByName(one)
     return both
+
+
+@query("""WITH e AS (SELECT event_id AS i, event_type AS task, 'run-' || event_id AS sample, round(value, 4) AS seconds FROM events),
+s AS (SELECT *, i % 13 = 0 AS cut, i % 17 = 0 AS plain, CASE WHEN i % 11 = 0 THEN '1' ELSE '2' END AS version FROM e), ok AS (SELECT * FROM s WHERE NOT cut AND NOT plain)
+SELECT 'run-malformed' AS rule_id, 'r/' || i AS object_id, '' AS message FROM s WHERE cut OR plain UNION ALL SELECT 'run-version', 'r/' || i, version FROM ok WHERE version <> '2' UNION ALL SELECT 'run-outputs', 'r/' || i, '' FROM ok WHERE i % 7 = 0
+UNION ALL SELECT 'run-field', 'r/' || i, 'seconds' FROM ok WHERE seconds IS NULL OR i % 19 = 0 UNION ALL SELECT 'run-missing', task || '/' || sample, '' FROM s WHERE task IS NOT NULL AND (cut OR plain OR version <> '2' OR i % 7 = 0)
+UNION ALL SELECT 'run-field', 'r/' || i, 'task' FROM ok WHERE task IS NULL""")
+def run_records(spark: SparkSession, d: str) -> DataFrame:
+    """Run texts of two versions, with some cut off, some no objects, numbers that are text, and without outputs."""
+    e = fx.table(spark, d, "events").select(F.col("event_id").alias("i"), F.col("event_type").alias("task"), F.concat(F.lit("run-"), F.col("event_id").cast("string")).alias("sample"), F.round("value", 4).alias("seconds"))
+    i, text = F.col("i"), lambda *c: F.to_json(F.struct(*c))
+    outputs = F.when(i % 7 != 0, F.create_map(F.lit("mask"), F.struct(F.lit(0.5).alias("mean"), F.lit(0.1).alias("std"), F.lit(0).alias("min"), F.lit(1).alias("max"), F.array(F.lit(2), F.lit(2)).alias("shape")))).alias("outputs")
+    slow = F.when(i % 19 == 0, F.lit("slow")).otherwise(F.col("seconds").cast("string"))
+    new = text("task", "sample", F.lit("2").alias("processingVersion"), F.lit("2024-01-01").alias("createdAt"), F.struct(slow.alias("seconds")).alias("timing"), outputs)
+    old = text("task", F.col("sample").alias("sampleId"), F.lit("1").alias("version"), F.lit("2024-01-01").alias("createdAt"), slow.alias("seconds"), outputs)
+    value = F.when(i % 11 == 0, old).otherwise(new)
+    texts = e.select(F.concat(F.lit("r/"), i.cast("string")).alias("path"), F.when(i % 13 == 0, F.substr(value, F.lit(1), F.length(value) - 3)).when(i % 17 == 0, "[1, 2]").otherwise(value).alias("value"))
+    return runs.run_problems(runs.run_table(texts), e.where("task is not null").select("task", "sample"), "2")
+
+
+@query(REGIONS + """, size AS (SELECT target, count(*) AS n FROM ok GROUP BY target)
+SELECT target, '$.train' AS path FROM size WHERE target % 13 = 0 AND target % 17 > 0 UNION ALL SELECT target, '$.observation_ids.size' FROM size WHERE target % 11 = 0 AND n > 1 AND target % 17 > 0
+UNION ALL SELECT target, '$' FROM size WHERE target % 17 = 0 UNION ALL SELECT -1 - target, '$' FROM size WHERE target % 19 = 0""")
+def regrouped(spark: SparkSession, d: str) -> DataFrame:
+    """The groups of observations made again, against published ones of which some are changed, gone or made up."""
+    made, _ = proximity.observation_groups(_regions(spark, d), 100.0)
+    made = written(made.select("target", "observation_ids", "train", "validation", "test", F.struct(F.round("g_lat", 6).alias("lat"), F.round("g_lon", 6).alias("lon")).alias("center"), "radius_m"), "groups")
+    t = F.col("target")
+    shown = made.where(t % 17 != 0).withColumns({"train": F.col("train") + F.when(t % 13 == 0, 1).otherwise(0), "observation_ids": F.when((t % 11 == 0) & (F.size("observation_ids") > 1), F.slice("observation_ids", 2, 1000)).otherwise(F.reverse("observation_ids"))})
+    more = made.where(t % 19 == 0).withColumn("target", -1 - t)
+    mine = made.withColumn("observation_ids", F.reverse("observation_ids"))
+    return differences.differences(mine, shown.unionByName(more), "target")
