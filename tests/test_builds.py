@@ -35,3 +35,23 @@ def test_publication(spark, tmp_path):
     builds.publish(spark, path, {"a": rows(0, "e"), "b": rows(0, "e")}, rules, keep=1)
     assert seen("a") == set() and len(os.listdir(tmp_path / "site" / "builds")) == 2
     assert not [x for x in os.listdir(tmp_path / "site") if x.startswith("CURRENT.")]
+
+
+def test_inventory_of_large_files(spark, tmp_path):
+    """A file of more than two gigabytes, mostly a hole, is hashed by a task without being a value."""
+    import hashlib
+
+    from tilewright.sources import collections as src
+
+    size = (1 << 31) + 12345
+    with open(tmp_path / "large.bin", "wb") as f:
+        f.seek(size - 3)
+        f.write(b"end")
+    (tmp_path / "small.bin").write_bytes(b"abc")
+    digest, zeros, left = hashlib.sha256(), bytes(1 << 22), size - 3
+    while left:
+        digest.update(zeros[: min(left, len(zeros))])
+        left -= min(left, len(zeros))
+    digest.update(b"end")
+    got = {r["path"].rsplit("/", 1)[1]: (r["bytes"], r["sha256"]) for r in src.inventory(spark, str(tmp_path)).collect()}
+    assert got == {"large.bin": (size, digest.hexdigest()), "small.bin": (3, hashlib.sha256(b"abc").hexdigest())}

@@ -100,3 +100,21 @@ def regrouped(spark: SparkSession, d: str) -> DataFrame:
     more = made.where(t % 19 == 0).withColumn("target", -1 - t)
     mine = made.withColumn("observation_ids", F.reverse("observation_ids"))
     return differences.differences(mine, shown.unionByName(more), "target")
+
+
+@query(f"""{fx.with_sql('tile')}, f AS (SELECT CASE WHEN tile_id % 3 > 0 THEN 7 ELSE tile_id % 24 END AS bucket, string_agg(tile_id || ' ' || kind || ' ' || split || repeat('.', 200), chr(10) ORDER BY tile_id) || chr(10) AS t FROM tile GROUP BY ALL),
+h AS (SELECT 'bucket=' || bucket AS file, octet_length(encode(t)) AS bytes, sha256(t) AS sha256, bucket FROM f)
+SELECT file, bytes, sha256, CASE WHEN bucket % 5 = 1 THEN 'unlisted' WHEN bucket % 5 = 2 THEN 'changed' END AS why FROM h UNION ALL SELECT 'bucket=' || (bucket + 100), NULL, NULL, 'missing' FROM h WHERE bucket % 5 = 3""")
+def file_checksums(spark: SparkSession, d: str) -> DataFrame:
+    """Files of very different sizes, hashed whole or piece by piece, against a list that lacks some, names others, or has other checksums."""
+    t = fx.tiles(spark, d)
+    bucket = F.when(F.col("tile_id") % 3 > 0, 7).otherwise(F.col("tile_id") % 24).cast("int")
+    lines = t.select(bucket.alias("bucket"), "tile_id", F.concat_ws(" ", F.col("tile_id").cast("string"), "kind", F.concat("split", F.lit("." * 200))).alias("line"))
+    path = new_path(spark, "files")
+    lines.repartition("bucket").sortWithinPartitions("bucket", "tile_id").select("bucket", "line").write.partitionBy("bucket").text(path)
+    found = collections.inventory(spark, path, whole=8192)
+    found = written(found.where(F.contains("path", F.lit(".txt"))).withColumn("path", F.regexp_extract("path", "bucket=[0-9]+", 0)), "inventory")
+    n = F.regexp_extract("path", "[0-9]+", 0).cast("int")
+    listed = found.where(n % 5 != 1).withColumn("sha256", F.when(n % 5 == 2, "0").otherwise(F.col("sha256")))
+    listed = listed.unionByName(found.where(n % 5 == 3).withColumn("path", F.concat(F.lit("bucket="), (n + 100).cast("string"))))
+    return found.join(collections.inventory_differences(found, listed), "path", "full_outer").select(F.col("path").alias("file"), "bytes", "sha256", "why")

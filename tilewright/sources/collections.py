@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tilewright.sources.documents import read_collection, write_collection  # noqa: F401
+from tilewright.sources.shipping import shipped
 
 
 def tile_metadata(spark: SparkSession, path: str, name: str = "WAC_VIS_TILE") -> DataFrame:
@@ -65,10 +71,30 @@ def crater_map(spark: SparkSession, path: str, range_bytes: int | None = None) -
     return rows.select("region_id", "idx", *((F.col("v")[i].cast("int") if n in ("truncated", "matched") else F.col("v")[i]).alias(n) for i, n in enumerate(names)))
 
 
-def inventory(spark: SparkSession, path: str) -> DataFrame:
-    """(path, bytes, sha256) of the files below a folder, each read by the task that hashes it."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    return files.select("path", F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
+#: Bytes up to which a file is hashed as one value; larger ones are read by a task, a piece at a time.
+WHOLE = 32 << 20
+
+
+def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Paths with the SHA-256 of their files, of which a task holds one piece at a time."""
+    for batch in batches:
+        out = []
+        for path in batch.column(0).to_pylist():
+            files, name = fs.FileSystem.from_uri(path)
+            digest = hashlib.sha256()
+            with files.open_input_stream(name) as file:
+                while piece := file.read(1 << 20):
+                    digest.update(piece)
+            out.append(digest.hexdigest())
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.string())], ["path", "bytes", "sha256"])
+
+
+def inventory(spark: SparkSession, path: str, whole: int = WHOLE) -> DataFrame:
+    """(path, bytes, sha256) of the files below a folder, each read by the task that hashes it, of any size."""
+    files = shipped(spark).read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    small = files.where(F.col("length") <= whole).select("path", F.col("length").alias("bytes"), F.sha2("content", 256).alias("sha256"))
+    large = files.where(F.col("length") > whole).select("path", F.col("length").alias("bytes"))  # without content: nothing is read yet
+    return small.unionByName(large.repartition("path").mapInArrow(_hashed, "path string, bytes long, sha256 string"))
 
 
 def inventory_differences(found: DataFrame, listed: DataFrame) -> DataFrame:
