@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window
 
-from tilewright.functions import geo, selection
+from tilewright.functions import geo, scoring, selection
 from tilewright.sources.scratch import written
 
 ID_PATTERN = r"^MM-(CR|ICE|IMP)-\d{6}$"
@@ -27,6 +27,14 @@ def crater_candidates(craters: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, [large, high, lone])
 
 
+def ranked(candidates: DataFrame, order: list[str], by: str = "category") -> DataFrame:
+    """``candidates`` with ``place``, from 1, in the order of their columns ``order`` among those of the same ``by``. The columns tell all
+    rows of a ``by`` apart. Places are counted by ranges and added, so that no task sees a whole ``by``."""
+    rows = candidates.withColumns({"_key": F.struct(*order), "_n": F.lit(1)})
+    placed = scoring.running_total(rows, "_key", "_n", "_below", by=(by,))
+    return placed.withColumn("place", F.col("_below") + 1).drop("_key", "_n", "_below")
+
+
 def spaced(candidates: DataFrame, order: list, km: float, limit: int, taken: list[tuple[float, float]] = (), batch: int = 256) -> list:
     """At most ``limit`` rows, in order: each one at least ``km`` from all rows picked before it and from ``taken``.
 

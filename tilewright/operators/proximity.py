@@ -261,12 +261,13 @@ def sites(regions: DataFrame, km: float = 5.0) -> DataFrame:
 
 
 def round_trip_error(grids: DataFrame, n: int, seed: int) -> DataFrame:
-    """(tile_id, max_error_m) of n seeded points of each grid: projected point, inverse, forward."""
+    """(tile_id, max_error_m, lat_sum) of n seeded points of each grid: projected point, inverse, forward; and the sum of their
+    latitudes, which tells the points. A point is where the MD5 of tile, number, seed and axis says."""
     rows = grids.select("*", F.explode(F.sequence(F.lit(1), F.lit(n))).alias("k"))
-    u = lambda s: F.pmod(F.xxhash64("tile_id", "k", F.lit(seed), F.lit(s)), F.lit(1 << 30)) / float(1 << 30)
+    u = lambda s: F.conv(F.substring(F.md5(F.concat_ws("|", "tile_id", "k", F.lit(seed), F.lit(s))), 1, 8), 16, 10).cast("double") / float(1 << 32)
     p = geo.Projection()
     rows = rows.withColumns({"x": F.col("x_min") + u(1) * F.col("width") * F.col("px"), "y": F.col("y_max") - u(2) * F.col("width") * F.col("px")})
     lat, lon = geo.inverse(p, F.col("x"), F.col("y"))
     rows = rows.withColumns({"lat": lat, "lon": lon})
     x, y = geo.forward(p, F.col("lat"), F.col("lon"))
-    return rows.withColumn("off", F.hypot(x - F.col("x"), y - F.col("y"))).groupBy("tile_id").agg(F.max("off").alias("max_error_m"))
+    return rows.withColumn("off", F.hypot(x - F.col("x"), y - F.col("y"))).groupBy("tile_id").agg(F.max("off").alias("max_error_m"), F.sum("lat").alias("lat_sum"))

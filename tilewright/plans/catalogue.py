@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tilewright.functions import geo, scoring
 from tilewright.operators import boxes, catalogue, contract, proximity, raster, text
 from tilewright.plans import sphere_sql as q
-from tilewright.plans.rasters import MASKED, PIX
+from tilewright.plans.rasters import MASKED, PIX, _deep
 from tilewright.plans.registry import query
 from tilewright.plans.spatial import CONFIDENT, ROUNDED, _confident_located, _published
 from tilewright.sources import collections as src, fixtures as fx
@@ -92,11 +92,11 @@ ORDER = ["o1", "o2", "tile_id", "idx"]
 CATEGORIES = ["large", "high-confidence", "unmatched-high-confidence"]
 
 
-@query(CRATERS + f", {CATS} SELECT category, tile_id, idx, round(o1, 9) AS o1, round(o2, 9) AS o2 FROM cats")
+@query(CRATERS + f", {CATS} SELECT category, row_number() OVER (PARTITION BY category ORDER BY o1, o2, tile_id, idx) AS place, tile_id, idx, round(o1, 9) AS o1, round(o2, 9) AS o2 FROM cats")
 def crater_candidates(spark: SparkSession, d: str) -> DataFrame:
-    """Every candidate of each category with the numbers that it is ordered by."""
-    c = catalogue.crater_candidates(_published(spark, d))
-    return c.select("category", "tile_id", "idx", F.round("o1", 9).alias("o1"), F.round("o2", 9).alias("o2"))
+    """Every candidate of each category with its place and the numbers that it is ordered by."""
+    c = catalogue.ranked(catalogue.crater_candidates(_published(spark, d)), ORDER)
+    return c.select("category", "place", "tile_id", "idx", F.round("o1", 9).alias("o1"), F.round("o2", 9).alias("o2"))
 
 
 SPREAD_KM, SPREAD_LIMIT = 120, 8
@@ -135,10 +135,16 @@ def diameter_analysis(spark: SparkSession, d: str) -> DataFrame:
     return catalogue.diameter_analysis(_published(spark, d), _picks(spark, d), SHARES)
 
 
-@query()
+_REGION = "concat(CASE WHEN abs(lon) <= 90 THEN 'NEARSIDE' ELSE 'FARSIDE' END, ' · ', CASE WHEN lat >= 0 THEN 'NORTHERN' ELSE 'SOUTHERN' END, ' HEMISPHERE')"
+_SENTENCE = """concat('Model detection of a crater-like feature, ', printf('%.2f', diameter_km), ' km across, at confidence ', printf('%.2f', score), '.', CASE WHEN matched = 0 THEN ' No reference annotation overlaps it.' ELSE '' END, CASE WHEN split <> 'test' THEN ' The tile was part of the training or validation data.' ELSE '' END)"""
+
+
+@query(CURATED + f""" SELECT p.tile_id, p.idx, {_REGION} AS region, {_SENTENCE} AS description, split = 'test' AS featured, concat('confidence=', round(score, 6), ' diameter=', round(diameter_km, 6), 'km referenceMatch=', matched = 1) AS metrics
+FROM pick k JOIN pub p ON p.tile_id = k.tile_id AND p.idx = k.idx WHERE n > 0""")
 def discovery_records(spark: SparkSession, d: str) -> DataFrame:
     r = catalogue.discoveries(_picks(spark, d))
-    return r.select("tile_id", "idx", "region", "description", "featured", F.size("metrics").alias("metrics"))
+    text = F.transform("metrics", lambda m: F.concat(m["key"], F.lit("="), F.coalesce(F.round(m["value"], 6).cast("string"), m["value_bool"].cast("string")), F.coalesce(m["unit"], F.lit(""))))
+    return r.select("tile_id", "idx", "region", "description", "featured", F.array_join(text, " ").alias("metrics"))
 
 
 @query(CRATERS + """ SELECT tile_id, idx, concat(CASE WHEN abs(lon) <= 90 THEN 'NEARSIDE' ELSE 'FARSIDE' END, ' · ', CASE WHEN lat >= 0 THEN 'NORTHERN' ELSE 'SOUTHERN' END, ' HEMISPHERE') AS region,
@@ -319,8 +325,8 @@ def build_summary(spark: SparkSession, d: str) -> DataFrame:
     return contract.build_summary(tiles=fx.tiles(spark, d), detections=fx.table(spark, d, "lineitem"), patches=fx.table(spark, d, "embeddings"), texts=fx.table(spark, d, "documents"))
 
 
-POLAR = f"""{PIX}, r AS (SELECT patch_id, pole, split, quantile_cont(value, 0.9) AS p90, arbitrary(cell_row) AS cr, arbitrary(cell_col) AS cc FROM pixel WHERE covered GROUP BY ALL)
-SELECT patch_id AS region_id, pole, round(p90, 6) AS p90, floor(least(greatest(p90, 0e0), 1e0) * 100 * 10 + 0.5e0) / 10 AS score FROM r"""
+_P90 = f"{PIX}, r AS (SELECT patch_id, pole, split, quantile_cont(value, 0.9) AS p90, arbitrary(cell_row) AS cr, arbitrary(cell_col) AS cc FROM pixel WHERE covered GROUP BY ALL)"
+_SCORE = "floor(least(greatest(p90, 0e0), 1e0) * 100 * 10 + 0.5e0) / 10 AS score"
 
 
 def _sectors(spark: SparkSession, d: str) -> DataFrame:
@@ -331,13 +337,21 @@ def _sectors(spark: SparkSession, d: str) -> DataFrame:
     return s.join(safe, "patch_id", "left_semi").select(F.col("patch_id").alias("region_id"), "pole", "split", "p90", scoring.bounded_score(F.col("p90")).alias("score"), lat.alias("lat"), (20.0 * F.col("cell_col") - 180).alias("lon"))
 
 
-@query(POLAR)
+@query(f"{_P90} SELECT patch_id AS region_id, pole, round(p90, 6) AS p90, {_SCORE} FROM r")
 def bounded_scores(spark: SparkSession, d: str) -> DataFrame:
     s = raster.stats(fx.pixels(spark, d), ("patch_id", "pole"))
     return s.select(F.col("patch_id").alias("region_id"), "pole", F.round("p90", 6).alias("p90"), scoring.bounded_score(F.col("p90")).alias("score"))
 
 
-@query()
+@query(f"""{_P90}, s AS (SELECT patch_id AS region_id, pole, split, CASE WHEN pole = 'south' THEN -1 ELSE 1 END * (80 + 0.5e0 * cr) AS lat, 20e0 * cc - 180 AS lon, {_SCORE} FROM r), {_deep(1)},
+line AS (SELECT *, -score AS o1, CASE WHEN split = 'test' THEN 0 ELSE 2 END + CASE pole WHEN 'south' THEN 0 ELSE 1 END AS stage FROM s WHERE region_id IN (SELECT patch_id FROM deep WHERE deep AND covered)),
+pick(n, stage, taken, region_id, score) AS (
+  SELECT 0, -1, CAST([] AS STRUCT(lat DOUBLE, lon DOUBLE, stage INTEGER)[]), CAST(0 AS BIGINT), 0e0
+  UNION ALL
+  SELECT p.n + 1, x.s, list_append(p.taken, {{'lat': x.lat, 'lon': x.lon, 'stage': x.s}}), x.region_id, x.score FROM pick p, LATERAL (
+    SELECT c.stage AS s, c.lat, c.lon, c.o1, c.region_id, c.score FROM line c
+    WHERE c.stage >= p.stage AND len(list_filter(p.taken, lambda t: t.stage = c.stage)) < 8 AND len(list_filter(p.taken, lambda t: {FAR} < 100000)) = 0 ORDER BY c.stage, c.o1, c.region_id LIMIT 1) x)
+SELECT CAST(stage // 2 AS INT) AS pass, CASE stage % 2 WHEN 0 THEN 'south' ELSE 'north' END AS category, CAST(row_number() OVER (PARTITION BY stage ORDER BY n) - 1 AS INT) AS pick, region_id, score FROM pick WHERE n > 0""")
 def polar_picks(spark: SparkSession, d: str) -> DataFrame:
     c = catalogue.polar_candidates(_sectors(spark, d))
     return catalogue.curated(c, ["south", "north"], ["o1", "region_id"], 100, 8).select("pass", "category", "pick", "region_id", "score")

@@ -228,7 +228,12 @@ def sun_bearing(spark: SparkSession, d: str) -> DataFrame:
     return tiles.select("tile_id", F.round(geo.bearing(F.col("lat"), F.col("lon"), F.lit(1.5), F.lit(30.0)), 6).alias("azimuth"))
 
 
-@query(f"""{fx.with_sql('tile')} SELECT tile_id, TRUE AS exact FROM tile""")
+_U = "CAST(('0x' || substr(md5(concat_ws('|', tile_id, k, 7, {})), 1, 8)) AS BIGINT) / 4294967296e0"
+
+
+@query(f"""{fx.with_sql('tile')}, pt AS (SELECT *, x_min + {_U.format(1)} * width * px AS x, y_max - {_U.format(2)} * width * px AS y FROM tile, (SELECT unnest(range(1, 21)) AS k)),
+g AS (SELECT *, {q.inverse('x', 'y')[0]} AS lat, {q.inverse('x', 'y')[1]} AS lon FROM pt), b AS (SELECT *, sqrt(pow({q.forward('lat', 'lon')[0]} - x, 2) + pow({q.forward('lat', 'lon')[1]} - y, 2)) AS off FROM g)
+SELECT tile_id, max(off) < 1e-3 AS exact, round(sum(lat), 5) AS lat_sum FROM b GROUP BY tile_id""")
 def grid_round_trip(spark: SparkSession, d: str) -> DataFrame:
     e = proximity.round_trip_error(fx.tiles(spark, d), 20, 7)
-    return e.select("tile_id", (F.col("max_error_m") < 1e-3).alias("exact"))
+    return e.select("tile_id", (F.col("max_error_m") < 1e-3).alias("exact"), F.round("lat_sum", 5).alias("lat_sum"))
