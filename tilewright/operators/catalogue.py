@@ -231,6 +231,32 @@ def global_stats(objects: DataFrame) -> DataFrame:
 
 
 SPLITS = ("train", "validation", "test", "external")
+#: The tasks of objects and the types of discoveries, with their names in the statistics.
+TASKS = {"crater-detection": "crater", "ice-prospectivity": "ice", "imp-segmentation": "imp"}
+TYPES = {"CRATER_CANDIDATE": "crater", "HIGH_PROSPECTIVITY_REGION": "ice", "IMP_CANDIDATE": "imp"}
+
+
+def build_stats(objects: DataFrame, discoveries: DataFrame, groups: DataFrame, references: DataFrame, sources: DataFrame) -> DataFrame:
+    """One row of what a build holds, from objects (task, split, pole, predictions, area_m2, score, dataset, model), discoveries (type,
+    featured), observation groups, reference boxes and sources (id, kind): objects in all and by task, pole and split, what models
+    predicted, regions of high interest (a score of 80 or more), discoveries by type, references, and the datasets and models in use.
+
+    Each table is aggregated once; empty tables count as 0.
+    """
+    task = lambda t: F.col("task") == t
+    crater, ice, imp = map(task, TASKS)
+    amount = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("long")
+    one = objects.agg(
+        F.count("*").alias("regions_analyzed"), F.count_if(crater).alias("crater_regions"), amount(F.when(crater, F.col("predictions"))).alias("crater_detections"), F.count_if(ice & (F.col("pole") == "north")).alias("patches_north"),
+        F.count_if(ice & (F.col("pole") == "south")).alias("patches_south"), F.count_if(imp).alias("imp_tiles"), F.count_if(imp & (F.col("area_m2") > 0)).alias("imp_candidates"),
+        (amount(F.when(crater, F.col("predictions"))) + F.count_if(~crater)).alias("model_predictions"), F.count_if(F.col("score") >= 80).alias("high_interest"), *[F.count_if(F.col("split") == s).alias(f"split_{s}") for s in SPLITS],
+        F.count_if(ice).alias("reference_maps"), F.count_if(imp).alias("reference_masks"))
+    found = discoveries.agg(F.count("*").alias("discoveries"), *[F.count_if(F.col("type") == t).alias(f"discoveries_{n}") for t, n in TYPES.items()], F.count_if("featured").alias("featured"))
+    used = objects.select(F.explode(F.array("dataset", "model")).alias("id")).where("id IS NOT NULL").distinct()
+    known = sources.join(used, "id", "left_semi").agg(F.count_if(F.col("kind") == "dataset").alias("datasets"), F.count_if(F.col("kind") == "model").alias("models"))
+    for other in (found, groups.agg(F.count("*").alias("imp_groups")), references.agg(F.count("*").alias("reference_boxes")), known):
+        one = one.crossJoin(F.broadcast(other))  # one row each
+    return one
 
 
 def manifest_counts(objects: DataFrame) -> DataFrame:

@@ -226,6 +226,8 @@ def identity_drift(spark: SparkSession, d: str) -> DataFrame:
     return catalogue.identity_drift(old, det.select(key(F.lit(0)).alias("key")))
 
 
+_P90 = f"{PIX}, r AS (SELECT patch_id, pole, split, quantile_cont(value, 0.9) AS p90, arbitrary(cell_row) AS cr, arbitrary(cell_col) AS cc FROM pixel WHERE covered GROUP BY ALL)"
+_SCORE = "floor(least(greatest(p90, 0e0), 1e0) * 100 * 10 + 0.5e0) / 10 AS score"
 DENS = f"""n AS (SELECT c.tile_id, c.split, width * ground_m / 1000 AS side, (SELECT count(*) FROM pub d WHERE d.tile_id = c.tile_id) AS detections FROM center c), dd AS (SELECT *, round(detections / (side * side) * 1000, 3) AS density FROM n),
 sc AS (SELECT *, floor(100e0 * (rank() OVER (ORDER BY density) - 1 + 0.5e0 * count(*) OVER (PARTITION BY density)) / count(*) OVER () * 10 + 0.5e0) / 10 AS score FROM dd),
 {fx.SQL['pixel']}, {MASKED}, reg AS (SELECT patch_id, arbitrary(split) AS split, count_if(mask AND covered) * 0.25e0 AS area_m2 FROM m GROUP BY patch_id),
@@ -241,6 +243,32 @@ def global_stats(spark: SparkSession, d: str) -> DataFrame:
     return catalogue.global_stats(objects).drop("level")
 
 
+_SOURCES = [("wac", "dataset"), ("detector", "model"), ("layers", "dataset"), ("prospector", "model"), ("nac", "dataset"), ("old", "dataset")]
+
+
+@query(CRATERS + f""", {q.CENTER}, {DENS} p90 AS (SELECT patch_id, pole, split, quantile_cont(value, 0.9) AS p90 FROM pixel WHERE covered GROUP BY ALL), ice AS (SELECT pole, split, {_SCORE} FROM p90),
+obj AS (SELECT 'crater' AS task, split, '' AS pole, detections AS predictions, 0e0 AS area, score FROM sc UNION ALL SELECT 'ice', split, pole, 1, 0, score FROM ice UNION ALL SELECT 'imp', split, '', 1, area_m2, score FROM rk),
+disc AS (SELECT 'crater' AS type, split = 'test' AS featured FROM sc WHERE score >= 95 UNION ALL SELECT 'ice', split = 'test' FROM ice WHERE score >= 60 UNION ALL SELECT 'imp', split = 'test' FROM rk WHERE score >= 90),
+grp AS (SELECT target FROM pixel WHERE prow = 0 AND pcol = 0 GROUP BY target HAVING count(DISTINCT CASE WHEN patch_id % 50 = 0 THEN 1 ELSE 0 END) = 1)
+SELECT count(*) AS regions_analyzed, count_if(task = 'crater') AS crater_regions, CAST(sum(CASE WHEN task = 'crater' THEN predictions ELSE 0 END) AS BIGINT) AS crater_detections, count_if(pole = 'north') AS patches_north, count_if(pole = 'south') AS patches_south,
+count_if(task = 'imp') AS imp_tiles, count_if(task = 'imp' AND area > 0) AS imp_candidates, CAST(sum(predictions) AS BIGINT) AS model_predictions, count_if(score >= 80) AS high_interest, count_if(split = 'train') AS split_train, count_if(split = 'validation') AS split_validation,
+count_if(split = 'test') AS split_test, count_if(split = 'external') AS split_external, count_if(task = 'ice') AS reference_maps, count_if(task = 'imp') AS reference_masks, (SELECT count(*) FROM disc) AS discoveries, (SELECT count_if(type = 'crater') FROM disc) AS discoveries_crater,
+(SELECT count_if(type = 'ice') FROM disc) AS discoveries_ice, (SELECT count_if(type = 'imp') FROM disc) AS discoveries_imp, (SELECT count_if(featured) FROM disc) AS featured, (SELECT count(*) FROM grp) AS imp_groups, (SELECT count(*) FROM ref) AS reference_boxes, CAST(3 AS BIGINT) AS datasets, CAST(1 AS BIGINT) AS models FROM obj""")
+def build_stats(spark: SparkSession, d: str) -> DataFrame:
+    """What the whole build holds; sectors have a dataset and no model, and one source is not used."""
+    c = written(_published(spark, d), "published")
+    none = F.lit(None)
+    row = lambda df, task, pole, n, area, dataset, model: df.select(F.lit(task).alias("task"), "split", pole.cast("string").alias("pole"), n.cast("long").alias("predictions"), area.cast("double").alias("area_m2"), "score", F.lit(dataset).alias("dataset"), model.cast("string").alias("model"))
+    tiles = row(boxes.region_records(fx.tiles(spark, d), c, fx.references(spark, d), c.where("matched = 1")), "crater-detection", none, F.col("detections"), none, "wac", F.lit("detector"))
+    s = raster.stats(fx.pixels(spark, d), ("patch_id", "pole", "split")).withColumn("score", scoring.bounded_score(F.col("p90")))
+    objects = written(tiles.unionByName(row(s, "ice-prospectivity", F.col("pole"), F.lit(1), none, "layers", none)).unionByName(row(_scored(spark, d), "imp-segmentation", none, F.lit(1), F.col("area_m2"), "nac", none)), "objects")
+    kind = F.when(F.col("task") == "crater-detection", "CRATER_CANDIDATE").when(F.col("task") == "ice-prospectivity", "HIGH_PROSPECTIVITY_REGION").otherwise("IMP_CANDIDATE")
+    least = F.when(F.col("task") == "crater-detection", 95).when(F.col("task") == "ice-prospectivity", 60).otherwise(90)
+    found = objects.where(F.col("score") >= least).select(kind.alias("type"), (F.col("split") == "test").alias("featured"))
+    groups, _ = proximity.observation_groups(_regions(spark, d), 100.0)
+    return catalogue.build_stats(objects, found, groups, fx.references(spark, d), spark.createDataFrame(_SOURCES, "id string, kind string"))
+
+
 @query("SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 5 = 0 THEN round(CAST(o_totalprice AS DOUBLE) + 1, 2) ELSE round(CAST(o_totalprice AS DOUBLE), 2) END AS price FROM orders")
 def upsert_by_id(spark: SparkSession, d: str) -> DataFrame:
     base = fx.table(spark, d, "orders").select("o_orderkey", "o_custkey", F.round(F.col("o_totalprice").cast("double"), 2).alias("price"))
@@ -325,10 +353,6 @@ def build_summary(spark: SparkSession, d: str) -> DataFrame:
     return contract.build_summary(tiles=fx.tiles(spark, d), detections=fx.table(spark, d, "lineitem"), patches=fx.table(spark, d, "embeddings"), texts=fx.table(spark, d, "documents"))
 
 
-_P90 = f"{PIX}, r AS (SELECT patch_id, pole, split, quantile_cont(value, 0.9) AS p90, arbitrary(cell_row) AS cr, arbitrary(cell_col) AS cc FROM pixel WHERE covered GROUP BY ALL)"
-_SCORE = "floor(least(greatest(p90, 0e0), 1e0) * 100 * 10 + 0.5e0) / 10 AS score"
-
-
 def _sectors(spark: SparkSession, d: str) -> DataFrame:
     p = fx.pixels(spark, d)
     s = raster.stats(p, ("patch_id", "pole", "split", "cell_row", "cell_col"))
