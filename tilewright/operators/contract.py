@@ -174,6 +174,35 @@ def ice_rules(published: DataFrame, pixels: DataFrame, margin: int, formula: str
         ("ice-anchor", F.col("anchor").isNotNull() & F.col("_anchor").isNotNull() & F.coalesce(moved("anchor"), F.lit(True))))
 
 
+#: Fixed value: how an anchor is chosen.
+ANCHOR_METHOD = "edge-safe-max-v1"
+
+
+def ice_place_rules(published: DataFrame, pixels: DataFrame, margin: int, method: str = ANCHOR_METHOD, tolerance_deg: float = 1e-6) -> DataFrame:
+    """What published sectors say of their place, against their pixels: records (patch_id, id, pole, projection columns, x_min, y_max, px,
+    peak, anchor) whose peak and anchor are (prow, pcol, edge_distance, lat, lon), the anchor with method and edge_margin too.
+
+    The projection's pole and the id's prefix are the sector's; coordinates are in range and those of the pixel's centre; edge
+    distances are the exact ones; the anchor was chosen by ``method``, by this margin, and lies no nearer to the edge.
+    """
+    exact = raster.edge_distance(pixels).select("patch_id", "prow", "pcol", "edge_distance").where("edge_distance IS NOT NULL")
+    south, rows = F.col("pole") == "south", published
+    for part in ("peak", "anchor"):
+        there = exact.select("patch_id", F.col("prow").alias(f"_{part}_row"), F.col("pcol").alias(f"_{part}_col"), F.col("edge_distance").alias(f"_{part}_edge"))
+        rows = rows.withColumns({f"_{part}_row": F.col(f"{part}.prow"), f"_{part}_col": F.col(f"{part}.pcol")}).join(there, ["patch_id", f"_{part}_row", f"_{part}_col"], "left")
+    checks = [("ice-projection-pole", (F.col("lat0") < 0) != south), ("ice-id", ~F.startswith("id", F.concat(F.lit("ice-"), F.substring("pole", 1, 1), F.lit("-"))))]
+    has = F.col("anchor").isNotNull()
+    checks.append(("ice-anchor-method", has & F.coalesce((F.col("anchor.method") != method) | (F.col("anchor.edge_margin") != margin) | (F.col("anchor.edge_distance") < F.col("anchor.edge_margin")), F.lit(True))))
+    for part in ("peak", "anchor"):
+        c = lambda x: F.col(f"{part}.{x}")  # noqa: E731,B023
+        lat, lon = geo.pixel_to_lonlat(geo.Projection(), F.col("x_min"), F.col("y_max"), F.col("px"), c("pcol") + 0.5, c("prow") + 0.5)
+        off = (F.abs(lat - c("lat")) > tolerance_deg) | (F.abs(geo.wrap(lon - c("lon"))) > tolerance_deg)
+        there = F.lit(True) if part == "peak" else has
+        checks += [(f"ice-{part}-range", there & F.coalesce(~(c("lat").between(-90, 90) & (c("lon") >= -180) & (c("lon") < 180)), F.lit(True))), (f"ice-{part}-coordinate", there & F.coalesce(off, F.lit(True))),
+                   (f"ice-{part}-edge", there & ~c("edge_distance").eqNullSafe(F.col(f"_{part}_edge")))]
+    return checked(rows, "patch_id", *checks)
+
+
 def mosaic_rules(placements: DataFrame, sectors: DataFrame, mosaics: DataFrame, tolerance_m: float = 0.01) -> DataFrame:
     """Placements (mosaic_id, patch_id, row, col, height, width) of sectors (patch_id, pole, projection, x_min, y_max) in mosaics
     (mosaic_id, pole, projection, x_min, y_max, px, height, width): each sector once, all of one pole and projection, at its

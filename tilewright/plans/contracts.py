@@ -10,7 +10,7 @@ from tilewright.operators import catalogue, conformance, contract, proximity, ra
 from tilewright.operators.boxes import with_center
 from tilewright.plans import sphere_sql as q
 from tilewright.plans.catalogue import CRATERS
-from tilewright.plans.rasters import EXTENT, MASKED, PATCHES, PIX, _deep, _patches
+from tilewright.plans.rasters import EXTENT, MASKED, PATCHES, PIX, _deep, _located_pixels, _patches
 from tilewright.plans.registry import query
 from tilewright.plans.spatial import _published
 from tilewright.sources import fixtures as fx
@@ -207,3 +207,32 @@ def schema_conformance(spark: SparkSession, d: str) -> DataFrame:
                                                   F.coalesce("boxes", F.expr("cast(array() as array<struct<idx:int,w:double,score:double>>)")).alias("boxes"),
                                                   F.create_map(F.lit("share"), metric(k % 150, none), F.lit("whole"), metric(none, F.when(k % 31 != 0, True))).alias("metrics"))
     return conformance.conformance(rows, TILE_SCHEMA, "tile_id", "tile")
+
+
+_X, _Y = "((cell_col * 8 + pcol + 0.5e0) * 240)", "(-(cell_row * 8 + prow + 0.5e0) * 240)"
+
+
+@query(f"""{PIX}, off AS (SELECT patch_id, prow, pcol FROM pixel WHERE NOT covered), grid AS (SELECT *, 'ps' AS kind, CASE WHEN pole = 'south' THEN -90e0 ELSE 90e0 END AS lat0, 0e0 AS lon0, 1e0 AS k0, 0e0 AS fe, 0e0 AS fn FROM pixel WHERE covered),
+dist AS (SELECT *, {q.inverse(_X, _Y)[0]} AS lat, {q.inverse(_X, _Y)[1]} AS lon, least(prow, pcol, 7 - prow, 7 - pcol, coalesce((SELECT min(greatest(abs(o.prow - p.prow), abs(o.pcol - p.pcol))) - 1 FROM off o WHERE o.patch_id = p.patch_id), 99)) AS e FROM grid p),
+pick AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY patch_id, part ORDER BY value DESC, prow, pcol) AS k FROM (SELECT 'peak' AS part, * FROM dist UNION ALL SELECT 'anchor', * FROM dist WHERE e >= 1)) WHERE k = 1),
+told AS (SELECT * REPLACE (CASE WHEN patch_id % 13 = 0 THEN -90e0 ELSE lat0 END AS lat0), CASE WHEN part = 'peak' THEN least(e, 1) WHEN patch_id % 4 = 0 THEN 0 ELSE e END AS t_edge, CASE WHEN part = 'peak' AND patch_id % 3 = 0 THEN round(lat, 3) ELSE lat END AS t_lat, CASE WHEN part = 'anchor' AND patch_id % 7 = 0 THEN lon + 360 ELSE lon END AS t_lon FROM pick),
+seen AS (SELECT *, {q.inverse(_X, _Y)[0]} AS x_lat, {q.inverse(_X, _Y)[1]} AS x_lon FROM told)
+SELECT 'ice-projection-pole' AS rule_id, CAST(patch_id AS VARCHAR) AS object_id, '' AS message FROM seen WHERE part = 'peak' AND (lat0 < 0) <> (pole = 'south') UNION ALL SELECT 'ice-id', CAST(patch_id AS VARCHAR), '' FROM seen WHERE part = 'peak' AND patch_id % 11 = 0 AND pole = 'north'
+UNION ALL SELECT 'ice-anchor-method', CAST(patch_id AS VARCHAR), '' FROM seen WHERE part = 'anchor' AND (t_edge < 1 OR patch_id % 17 = 0) UNION ALL SELECT 'ice-' || part || '-edge', CAST(patch_id AS VARCHAR), '' FROM seen WHERE t_edge <> e
+UNION ALL SELECT 'ice-' || part || '-range', CAST(patch_id AS VARCHAR), '' FROM seen WHERE t_lon >= 180 UNION ALL SELECT 'ice-' || part || '-coordinate', CAST(patch_id AS VARCHAR), '' FROM seen WHERE abs(x_lat - t_lat) > 1e-6 OR abs(((x_lon - t_lon + 180) % 360 + 360) % 360 - 180) > 1e-6""")
+def ice_places(spark: SparkSession, d: str) -> DataFrame:
+    """Published peaks and anchors: distances cut at one pixel, coordinates with few digits or beyond the antimeridian, ids and projections
+    that tell the south, other methods."""
+    p = _located_pixels(spark, d)
+    n, south = F.col("patch_id"), F.col("pole") == "south"
+    at = F.struct("value", "prow", "pcol", "edge_distance", "lat", "lon")
+    order = F.struct(-F.col("value"), "prow", "pcol")
+    rows = raster.edge_distance(p.select("patch_id", "prow", "pcol", "covered", "value", "lat", "lon", "pole", "cell_row", "cell_col")).where("edge_distance IS NOT NULL")
+    deep = F.col("edge_distance") >= 1
+    s = rows.groupBy("patch_id", "pole", "cell_row", "cell_col").agg(F.min_by(at, order).alias("peak"), F.min_by(F.when(deep, at), F.when(deep, order)).alias("anchor"))
+    peak = F.col("peak").withField("edge_distance", F.least(F.col("peak.edge_distance"), F.lit(1))).withField("lat", F.when(n % 3 == 0, F.round("peak.lat", 3)).otherwise(F.col("peak.lat")))
+    anchor = F.col("anchor").withField("edge_distance", F.when(n % 4 == 0, 0).otherwise(F.col("anchor.edge_distance"))).withField("lon", F.when(n % 7 == 0, F.col("anchor.lon") + 360).otherwise(F.col("anchor.lon")))
+    anchor = anchor.withField("method", F.when(n % 17 == 0, "max").otherwise(contract.ANCHOR_METHOD)).withField("edge_margin", F.lit(1))
+    shown = s.select("patch_id", F.concat(F.lit("ice-"), F.when(south | (n % 11 == 0), "s").otherwise("n"), F.lit("-"), n.cast("string")).alias("id"), "pole", F.lit("ps").alias("kind"), F.when(south | (n % 13 == 0), -90.0).otherwise(90.0).alias("lat0"), F.lit(0.0).alias("lon0"), F.lit(1.0).alias("k0"),
+                     F.lit(0.0).alias("fe"), F.lit(0.0).alias("fn"), (F.col("cell_col") * 8 * 240.0).alias("x_min"), (-F.col("cell_row") * 8 * 240.0).alias("y_max"), F.lit(240.0).alias("px"), peak.alias("peak"), F.when(F.col("anchor").isNotNull(), anchor).alias("anchor"))
+    return contract.ice_place_rules(shown, p, 1)
