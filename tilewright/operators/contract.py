@@ -119,6 +119,30 @@ def raster_rules(published: DataFrame, model: DataFrame) -> DataFrame:
     return off.unionByName(violations(flat, "raster-constant", F.col("s") <= 0, "patch_id"))
 
 
+def display_rules(display: DataFrame, decoded: DataFrame, scale: str = "scale") -> DataFrame:
+    """Display rasters (patch_id, prow, pcol, red, green, blue, alpha) against decoded ones (patch_id, prow, pcol, decoded, scale) of covered
+    pixels, one violation for each patch and rule: alpha is 0 or 255 and says what is covered, colours are gray, and gray is the value
+    clipped to 0 and 1 within one level and the encoding's step; a raster covers something. One pass over both tables."""
+    key = ["patch_id", "prow", "pcol"]
+    both = display.join(decoded.select(*key, "decoded", scale), key, "full_outer")
+    gray = F.rint(F.least(F.greatest("decoded", F.lit(0.0)), F.lit(1.0)) * 255)
+    seen, covered = F.coalesce(F.col("alpha") == 255, F.lit(False)), F.col("decoded").isNotNull()
+    faults = {"alpha": F.col("alpha").isNotNull() & ~F.col("alpha").isin(0, 255), "coverage": seen != covered, "gray": F.col("red").isNotNull() & ((F.col("red") != F.col("green")) | (F.col("green") != F.col("blue"))),
+              "clip": covered & F.col("red").isNotNull() & (F.abs(F.col("red") - gray) > 1 + 255 * F.col(scale))}
+    per = both.groupBy("patch_id").agg(F.count_if(covered).alias("covered"), *[F.count_if(F.coalesce(x, F.lit(True))).alias(n) for n, x in faults.items()])
+    return checked(per, "patch_id", ("display-empty", F.col("covered") == 0), *[(f"display-{n}", F.col(n) > 0, F.col(n)) for n in faults])
+
+
+def mosaic_value_rules(patches: DataFrame, mosaic: DataFrame, by: tuple[str, ...] = ("mosaic_id", "pole")) -> DataFrame:
+    """Decoded pixels of patches (patch_id, mrow, mcol, decoded, scale; a null is not covered) against their mosaic's (mrow, mcol, decoded, scale) at
+    the same places: what is covered, and values within half of both steps. One violation for each patch and rule."""
+    m = mosaic.select(*by, "mrow", "mcol", F.col("decoded").alias("_value"), F.col("scale").alias("_scale"))
+    both = patches.join(m, [*by, "mrow", "mcol"], "left")
+    differs = F.abs(F.col("decoded") - F.col("_value")) > (F.col("scale") + F.col("_scale")) / 2 + 1e-9
+    per = both.groupBy("patch_id").agg(F.count_if(F.col("decoded").isNull() != F.col("_value").isNull()).alias("coverage"), F.count_if(differs).alias("value"))
+    return checked(per, "patch_id", ("mosaic-coverage", F.col("coverage") > 0, F.col("coverage")), ("mosaic-value", F.col("value") > 0, F.col("value")))
+
+
 def build_summary(**counts: DataFrame) -> DataFrame:
     """One row of the counts of a build's tables."""
     each = [df.agg(F.count("*").alias("n")).select(F.lit(name).alias("name"), "n") for name, df in counts.items()]

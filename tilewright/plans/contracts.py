@@ -236,3 +236,40 @@ def ice_places(spark: SparkSession, d: str) -> DataFrame:
     shown = s.select("patch_id", F.concat(F.lit("ice-"), F.when(south | (n % 11 == 0), "s").otherwise("n"), F.lit("-"), n.cast("string")).alias("id"), "pole", F.lit("ps").alias("kind"), F.when(south | (n % 13 == 0), -90.0).otherwise(90.0).alias("lat0"), F.lit(0.0).alias("lon0"), F.lit(1.0).alias("k0"),
                      F.lit(0.0).alias("fe"), F.lit(0.0).alias("fn"), (F.col("cell_col") * 8 * 240.0).alias("x_min"), (-F.col("cell_row") * 8 * 240.0).alias("y_max"), F.lit(240.0).alias("px"), peak.alias("peak"), F.when(F.col("anchor").isNotNull(), anchor).alias("anchor"))
     return contract.ice_place_rules(shown, p, 1)
+
+
+_ENCODED = """range_ AS (SELECT patch_id, min(value) AS lo, CASE WHEN max(value) > min(value) THEN (max(value) - min(value)) / 65535 ELSE 1e0 END AS scale FROM pixel WHERE covered GROUP BY patch_id),
+decoded AS (SELECT p.*, scale, lo + scale * CAST(round_even((value - lo) / scale, 0) AS INT) AS decoded FROM pixel p JOIN range_ r ON r.patch_id = p.patch_id WHERE covered)"""
+
+
+@query(f"""{PIX}, {_ENCODED}, shown AS (SELECT p.patch_id, p.prow, p.pcol, d.decoded, d.scale, CAST(round_even(least(greatest(coalesce(d.decoded, 0), 0), 1) * 255, 0) AS INT) + CASE WHEN p.patch_id % 7 = 0 THEN p.prow ELSE 0 END AS red,
+  CASE WHEN p.patch_id % 13 = 0 AND p.pcol = 2 THEN 128 WHEN p.patch_id % 17 = 0 OR p.covered THEN 255 ELSE 0 END AS alpha FROM pixel p LEFT JOIN decoded d ON d.patch_id = p.patch_id AND d.prow = p.prow AND d.pcol = p.pcol),
+n AS (SELECT patch_id, count_if(alpha NOT IN (0, 255)) AS a, count_if((alpha = 255) <> (decoded IS NOT NULL)) AS c, count_if(patch_id % 11 = 0 AND (prow + pcol) % 5 = 0) AS g, count_if(decoded IS NOT NULL AND abs(red - round_even(least(greatest(decoded, 0), 1) * 255, 0)) > 1 + 255 * scale) AS v FROM shown GROUP BY patch_id)
+SELECT 'display-alpha' AS rule_id, CAST(patch_id AS VARCHAR) AS object_id, CAST(a AS VARCHAR) AS message FROM n WHERE a > 0 UNION ALL SELECT 'display-coverage', CAST(patch_id AS VARCHAR), CAST(c AS VARCHAR) FROM n WHERE c > 0
+UNION ALL SELECT 'display-gray', CAST(patch_id AS VARCHAR), CAST(g AS VARCHAR) FROM n WHERE g > 0 UNION ALL SELECT 'display-clip', CAST(patch_id AS VARCHAR), CAST(v AS VARCHAR) FROM n WHERE v > 0""")
+def display_contract(spark: SparkSession, d: str) -> DataFrame:
+    """Display rasters made from the decoded ones, some brighter from row to row, some coloured, some with other alphas."""
+    p = fx.pixels(spark, d)
+    decoded = raster.quantized(p).select("patch_id", "prow", "pcol", "decoded", "scale")
+    n = F.col("patch_id")
+    rows = p.select("patch_id", "prow", "pcol", "covered").join(decoded, ["patch_id", "prow", "pcol"], "left")
+    red = raster.display_level(F.coalesce("decoded", F.lit(0.0))) + F.when(n % 7 == 0, F.col("prow")).otherwise(0)
+    alpha = F.when((n % 13 == 0) & (F.col("pcol") == 2), 128).when((n % 17 == 0) | F.col("covered"), 255).otherwise(0)
+    shown = rows.select("patch_id", "prow", "pcol", red.alias("red"), red.alias("green"), (red + F.when((n % 11 == 0) & ((F.col("prow") + F.col("pcol")) % 5 == 0), 1).otherwise(0)).alias("blue"), alpha.alias("alpha"))
+    return contract.display_rules(shown, decoded)
+
+
+@query(f"""{PIX}, {_ENCODED}, top AS (SELECT mosaic_id, pole, min(value) AS lo, CASE WHEN max(value) > min(value) THEN (max(value) - min(value)) / 65535 ELSE 1e0 END AS scale FROM pixel WHERE covered GROUP BY ALL),
+m AS (SELECT p.patch_id, p.prow, p.pcol, lo + scale * CAST(round_even((value - lo) / scale, 0) AS INT) + CASE WHEN p.patch_id % 19 = 0 THEN value * value / 1000 ELSE 0 END AS shown, scale AS m_scale FROM pixel p JOIN top USING (mosaic_id, pole) WHERE covered AND NOT (p.patch_id % 23 = 0 AND pcol < 2)),
+n AS (SELECT p.patch_id, count_if((d.decoded IS NULL) <> (m.shown IS NULL)) AS c, count_if(abs(d.decoded - m.shown) > (d.scale + m_scale) / 2 + 1e-9) AS v FROM pixel p LEFT JOIN decoded d ON d.patch_id = p.patch_id AND d.prow = p.prow AND d.pcol = p.pcol LEFT JOIN m ON m.patch_id = p.patch_id AND m.prow = p.prow AND m.pcol = p.pcol GROUP BY p.patch_id)
+SELECT 'mosaic-coverage' AS rule_id, CAST(patch_id AS VARCHAR) AS object_id, CAST(c AS VARCHAR) AS message FROM n WHERE c > 0 UNION ALL SELECT 'mosaic-value', CAST(patch_id AS VARCHAR), CAST(v AS VARCHAR) FROM n WHERE v > 0""")
+def mosaic_values(spark: SparkSession, d: str) -> DataFrame:
+    """Patches against mosaics of an encoding of their own, in which some values are off by what they are themselves, and some are missing."""
+    p = fx.pixels(spark, d)
+    at = {"mrow": F.col("cell_row") * 8 + F.col("prow"), "mcol": F.col("cell_col") * 8 + F.col("pcol")}
+    decoded = raster.quantized(p).select("patch_id", "prow", "pcol", "decoded", "scale")
+    patches = p.withColumns(at).select("patch_id", "mosaic_id", "pole", "prow", "pcol", "mrow", "mcol").join(decoded, ["patch_id", "prow", "pcol"], "left")
+    whole = raster.quantized(p.withColumns(at).withColumns({"own": F.col("patch_id"), "patch_id": F.concat_ws("/", "mosaic_id", "pole")}))
+    off = F.when(F.col("own") % 19 == 0, F.col("value") * F.col("value") / 1000).otherwise(0.0)
+    mosaic = whole.where("NOT (own % 23 = 0 AND pcol < 2)").select("mosaic_id", "pole", "mrow", "mcol", (F.col("decoded") + off).alias("decoded"), "scale")
+    return contract.mosaic_value_rules(patches, mosaic)
