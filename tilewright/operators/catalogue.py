@@ -5,7 +5,6 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.window import Window
 
 from tilewright.functions import geo, scoring, selection
 from tilewright.sources.scratch import written
@@ -125,9 +124,8 @@ def _numbered(registry: DataFrame, requests: DataFrame) -> DataFrame:
     asked = requests.select("type", "key").distinct().withColumn("prefix", _prefix()).where("prefix IS NOT NULL AND key IS NOT NULL")
     one = asked.groupBy("key").agg(F.min("type").alias("type"), F.min("prefix").alias("prefix"))  # of a key with several types the first; the rest is a conflict
     new = one.join(registry.select("key"), "key", "left_anti")
-    order = Window.partitionBy("prefix").orderBy("key")  # at most MOST_NUMBER ids of a prefix
-    new = new.withColumn("n", F.row_number().over(order)).join(top, "prefix", "left")
-    return new.select("type", "key", "prefix", (F.coalesce("top", F.lit(0)) + F.col("n")).alias("number"))
+    new = ranked(new, ["key"], by="prefix").join(top, "prefix", "left")  # by ranges of keys: a prefix is no task
+    return new.select("type", "key", "prefix", (F.coalesce("top", F.lit(0)) + F.col("place")).alias("number"))
 
 
 def registry_assign(registry: DataFrame, requests: DataFrame, date: str) -> DataFrame:
