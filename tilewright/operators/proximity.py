@@ -115,9 +115,19 @@ def close_pairs(points: DataFrame, km: float) -> DataFrame:
 
 
 def point_groups(points: DataFrame, km: float) -> DataFrame:
-    """(id, component) of every point: components of the graph of close pairs."""
-    found = connected_components(close_pairs(points, km), "a", "b")
-    return points.select("id").join(found, points["id"] == found["node"], "left").select("id", F.coalesce("component", "id").alias("component"))
+    """(id, component) of every point: components of the graph of close pairs. Points without numbers as coordinates are alone.
+
+    Points of one place are close, so only distinct places are paired, each by the least id of its points; an id that stands at
+    several places links them. However many points share places, pairs grow with the places alone.
+    """
+    held = points.where("id is not null").where((F.abs("lat") < float("inf")) & (F.abs("lon") < float("inf"))).select("id", "lat", "lon")
+    places = written(held.groupBy("lat", "lon").agg(F.min("id").alias("place")), "places")
+    at = F.struct("lat", "lon")
+    apart = held.groupBy("id").agg(F.min(at).alias("from"), F.max(at).alias("to")).where(F.col("from") != F.col("to")).select("id")
+    same = held.join(apart, "id", "left_semi").join(places, ["lat", "lon"]).select(F.col("place").alias("a"), F.col("id").alias("b"))
+    pairs = close_pairs(places.withColumnRenamed("place", "id"), km).select("a", "b").unionByName(same)
+    found = places.join(connected_components(pairs, "a", "b"), F.col("place") == F.col("node"), "left").select("lat", "lon", F.coalesce("component", "place").alias("component"))
+    return points.select("id", "lat", "lon").join(found, ["lat", "lon"], "left").select("id", F.when(F.col("id").isNotNull(), F.coalesce("component", "id")).alias("component"))
 
 
 def group_stats(groups: DataFrame, splits: DataFrame) -> DataFrame:
