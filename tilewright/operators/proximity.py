@@ -55,7 +55,8 @@ def points_in_tiles(points: DataFrame, tiles: DataFrame, cell: float = 2.0) -> D
 
     ``tiles`` carry ``lat`` and ``lon`` of their centre and ``reach_deg``, the largest angle from it to a point of the tile.
     Both sides meet in cells of latitude and longitude; a tile enters every cell that the circle around it may touch, all
-    longitudes where the circle holds a pole.
+    longitudes where the circle holds a pole. Distinct places meet distinct grids; their points and tiles come in only where a
+    place is found inside, so that what many share is computed once and only the result grows with the square of copies.
     """
     rows, turn = round(180 / cell), round(360 / cell)
     at = lambda v, o: F.floor((v + o) / cell)
@@ -65,14 +66,19 @@ def points_in_tiles(points: DataFrame, tiles: DataFrame, cell: float = 2.0) -> D
     ratio = F.sin(F.radians("reach_deg")) / F.cos(F.radians("lat"))
     half = F.when((most >= 89.999) | (ratio >= 1), 180.0).otherwise(F.degrees(F.asin(F.least(ratio, F.lit(1.0)))) + 1e-9)
     i = F.explode(F.sequence(at(lo, 90), F.least(at(hi, 90), F.lit(rows - 1))))
-    t = tiles.withColumn("half", half).withColumn("ci", i)
+    grid = ["kind", "lat0", "lon0", "k0", "fe", "fn", "x_min", "y_max", "px", "width", "lat", "lon", "reach_deg"]
+    t = tiles.select(*grid).distinct().withColumn("half", half).withColumn("ci", i)
     t = t.withColumn("cj", F.explode(F.array_distinct(F.transform(F.sequence(at(F.col("lon") - F.col("half"), 180), at(F.col("lon") + F.col("half"), 180)), lambda j: F.pmod(j, F.lit(turn))))))
     p = points.select("point_id", F.col("lat").alias("p_lat"), F.col("lon").alias("p_lon"))
-    p = p.withColumns({"ci": F.least(at(F.col("p_lat"), 90), F.lit(rows - 1)), "cj": F.pmod(at(F.col("p_lon"), 180), F.lit(turn))})
-    both = p.join(t, ["ci", "cj"])
+    one = p.select("p_lat", "p_lon").distinct().withColumns({"ci": F.least(at(F.col("p_lat"), 90), F.lit(rows - 1)), "cj": F.pmod(at(F.col("p_lon"), 180), F.lit(turn))})
+    # explicit numbers of tasks: candidates and the result are far more than what adaptive execution measures
+    n = int(points.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    both = one.repartition(n, "ci", "cj").join(t.repartition(n, "ci", "cj"), ["ci", "cj"])
     col, row = geo.lonlat_to_pixel(geo.Projection(), F.col("x_min"), F.col("y_max"), F.col("px"), F.col("p_lat"), F.col("p_lon"))
     near = geo.distance_m(F.col("p_lat"), F.col("p_lon"), F.col("lat"), F.col("lon")) <= F.radians("reach_deg") * geo.RADIUS * 1.0000001
-    return both.where(near).withColumns({"c": F.round(col, 6), "r": F.round(row, 6)}).where("c BETWEEN 0 AND width AND r BETWEEN 0 AND width").select("point_id", "tile_id")
+    inside = both.where(near).withColumns({"c": F.round(col, 6), "r": F.round(row, 6)}).where("c BETWEEN 0 AND width AND r BETWEEN 0 AND width")
+    held = inside.select("p_lat", "p_lon", *grid).join(tiles.select("tile_id", *grid), grid).select("p_lat", "p_lon", "tile_id")
+    return p.repartition(n, "p_lat", "p_lon").join(held, ["p_lat", "p_lon"]).select("point_id", "tile_id")
 
 
 def with_corners(tiles: DataFrame) -> DataFrame:
