@@ -202,10 +202,13 @@ def _farthest(places: DataFrame, step: int = 2, deepest: int = 20) -> DataFrame:
 
 
 def coverage_cells(tiles: DataFrame, cell: float = 0.5, n: int = 12) -> DataFrame:
-    """(split, i, j): distinct cells that an n x n grid of points of each tile touches."""
+    """(split, i, j): distinct cells that an n x n grid of points of each tile touches; tiles of equal grids are projected once."""
     rows = round(180 / cell)
     at = lambda v, o, most: F.least(F.floor((F.round(v, 9) + o) / cell), F.lit(most - 1)).cast("int")
-    return footprint(tiles, n).select("split", at(F.col("lat"), 90, rows).alias("i"), at(F.col("lon"), 180, 2 * rows).alias("j")).distinct()
+    grids = tiles.select("split", "kind", "lat0", "lon0", "k0", "fe", "fn", "x_min", "y_max", "px", "width").distinct()
+    # few bytes, much to compute: an explicit number of tasks, since adaptive execution puts small partitions together
+    grids = grids.repartition(int(tiles.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return footprint(grids, n).select("split", at(F.col("lat"), 90, rows).alias("i"), at(F.col("lon"), 180, 2 * rows).alias("j")).distinct()
 
 
 def covered_area(cells: DataFrame, cell: float = 0.5) -> DataFrame:
