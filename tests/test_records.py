@@ -1,6 +1,9 @@
 """Run records of several shapes, and nested differences."""
 
 import json
+from collections import Counter
+
+from pyspark.sql import functions as F
 
 from tilewright.operators import differences
 from tilewright.sources import runs
@@ -24,6 +27,21 @@ def test_run_records(spark, tmp_path):
     assert got == sorted([("run-malformed", x, "") for x in "bc"] + [("run-version", "e", "1"), ("run-outputs", "e", ""), ("run-finite", "g", "m"), ("run-twice", "t/a", "2"), ("run-missing", "t/b", ""), ("run-missing", "t/e", ""), ("run-missing", "t/z", "")])
 
 
+def test_run_texts_are_read_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def once(v):
+        seen.add(1)
+        return v
+
+    rows = [(f"r/{i}", json.dumps({"task": None if i == 3 else "t", "sample": f"s{i % 20}", "processingVersion": "2" if i % 4 else "1", "createdAt": "x", "seconds": 1, "outputs": {"m": {"mean": 0, "std": 1, "min": 0, "max": 1}}})) for i in range(30)]
+    texts = spark.createDataFrame(rows, "path string, value string").select("path", F.udf(once)("value").alias("value"))
+    expected = spark.createDataFrame([("t", "s1"), ("t", "s1"), ("t", "s16"), ("t", "s12"), ("t", "zz"), (None, "s3")], "task string, sample string")
+    got = Counter(tuple(r) for r in runs.run_problems(runs.run_table(texts), expected, "2").collect())
+    want = {("run-version", f"r/{i}", "1") for i in range(0, 30, 4)} | {("run-field", "r/3", "task")} | {("run-twice", f"t/s{i}", "2") for i in range(10) if i != 3} | {("run-missing", x, "") for x in ("t/s16", "t/s12", "t/zz", "s3")}
+    assert got == Counter(want) and seen.value == 30
+
+
 def test_nested_differences(spark):
     ddl = "id int, s struct<a:int,l:array<struct<x:double>>>, m map<string,int>, u array<int>"
     a = [(1, (1, [(1.0,), (2.0,)]), {"k": 1}, [1, 2, 2]), (2, (None, None), None, None), (3, (1, [(1.0,)]), {"k": 1}, [1]), (4, None, {}, []), (5, None, None, None), (5, None, None, None), (None, None, None, [1])]

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tilewright.operators.contract import SCHEMA
+from tilewright.sources.scratch import written
 
 #: Fields of a run: (name, paths from the newest version's to the oldest's, type). The first path that has a value of the type counts.
 FIELDS = (("task", ("$.task",), "string"), ("sample", ("$.sample", "$.sampleId"), "string"), ("version", ("$.processingVersion", "$.version"), "string"), ("created", ("$.createdAt",), "string"), ("seconds", ("$.seconds", "$.timing.seconds"), "double"))
@@ -30,18 +31,23 @@ def run_table(texts: DataFrame, fields=FIELDS) -> DataFrame:
 def run_problems(runs: DataFrame, expected: DataFrame, version: str, fields=FIELDS) -> DataFrame:
     """(rule_id, object_id, message): texts that are no JSON objects, fields without a value, runs of another version, outputs that are
     missing or hold numbers that are not finite, runs (task, sample) that stand several times, and ``expected`` ones that no good record has."""
-    ok = runs.where("record is not null")
-    say = lambda df, rule, who, what: df.select(F.lit(rule).alias("rule_id"), who.cast("string").alias("object_id"), what.cast("string").alias("message"))
     lacks = F.filter(F.array(*[F.when(F.col(name).isNull(), F.lit(name)) for name, _, _ in fields]), lambda x: x.isNotNull())
     odd = lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == float("inf"))
     bad = F.map_keys(F.map_filter("outputs", lambda _, v: reduce(lambda a, b: a | b, [odd(v[c]) for c in ("mean", "std", "min", "max")])))
-    name = F.concat_ws("/", "task", "sample")
-    twice = ok.where("task is not null and sample is not null").groupBy("task", "sample").agg(F.count("*").alias("n"))
-    good = ok.where((F.col("version") == version) & (F.size("outputs") > 0))
-    parts = [
-        say(runs.where("record is null"), "run-malformed", F.col("path"), F.lit("")), say(ok.select("path", F.explode(lacks).alias("f")), "run-field", F.col("path"), F.col("f")),
-        say(ok.where(F.col("version") != version), "run-version", F.col("path"), F.col("version")), say(ok.where(F.coalesce(F.size("outputs"), F.lit(0)) < 1), "run-outputs", F.col("path"), F.lit("")),
-        say(ok.select("path", F.explode(bad).alias("f")), "run-finite", F.col("path"), F.col("f")), say(twice.where("n > 1"), "run-twice", name, F.col("n")),
-        say(expected.select("task", "sample").distinct().join(good.select("task", "sample"), ["task", "sample"], "left_anti"), "run-missing", name, F.lit("")),
-    ]
-    return reduce(DataFrame.unionByName, parts, runs.sparkSession.createDataFrame([], SCHEMA))
+    fault = lambda rule, messages: F.transform(F.coalesce(messages, F.array().cast("array<string>")), lambda m: F.struct(F.lit(rule).alias("rule_id"), m.alias("message")))
+    when = lambda test, what: F.when(test, F.array(what.cast("string")))
+    none = F.coalesce(F.size("outputs"), F.lit(0)) < 1
+    of_ok = F.concat(fault("run-field", lacks), fault("run-version", when(F.col("version") != version, F.col("version"))), fault("run-outputs", when(none, F.lit(""))), fault("run-finite", bad))
+    ok = F.col("record").isNotNull()
+    # texts are parsed in this one pass; the rules' results and the runs' names are what is read again
+    told = written(runs.select(F.col("path").cast("string").alias("object_id"), "task", "sample", ok.alias("ok"), F.coalesce(ok & (F.col("version") == version) & (F.size("outputs") > 0), F.lit(False)).alias("good"),
+                               F.when(ok, of_ok).otherwise(fault("run-malformed", F.array(F.lit("")))).alias("faults")), "runs")
+    each = told.select("object_id", F.explode("faults").alias("f")).select("f.rule_id", "object_id", "f.message")
+    seen = told.where("ok").select("task", "sample", F.lit(1).alias("n"), F.col("good").cast("int").alias("good"), F.lit(0).alias("wanted"))
+    seen = seen.unionByName(expected.select("task", "sample", F.lit(0).alias("n"), F.lit(0).alias("good"), F.lit(1).alias("wanted")))
+    whole = F.col("task").isNotNull() & F.col("sample").isNotNull()
+    runs_ = seen.groupBy("task", "sample").agg(F.sum("n").alias("n"), F.max("good").alias("good"), F.max("wanted").alias("wanted"))
+    twice = when(whole & (F.col("n") > 1), F.col("n"))
+    missing = when((F.col("wanted") == 1) & (~whole | (F.col("good") == 0)), F.lit(""))
+    named = runs_.select(F.concat_ws("/", "task", "sample").alias("object_id"), F.explode(F.concat(fault("run-twice", twice), fault("run-missing", missing))).alias("f")).select("f.rule_id", "object_id", "f.message")
+    return runs.sparkSession.createDataFrame([], SCHEMA).unionByName(each).unionByName(named)
