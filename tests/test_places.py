@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tests.test_repeats import distance
 from tilewright.functions import geo
 from tilewright.operators import proximity
+from tilewright.sources import collections
 
 GRID = dict(kind="'tm'", lat0="0d", lon0="0d", k0="0.999d", fe="250000d", fn="0d", x_min="240000d", y_max="51200d", px="100d", width="512")
 
@@ -73,3 +74,11 @@ def test_equal_grids_are_projected_once(spark, monkeypatch):
     seen = counted(spark, monkeypatch, "inverse", 0)
     assert sorted(map(tuple, proximity.coverage_cells(tiles).collect())) == want and len(want) > 2
     assert 0 < seen.value <= 4 * 2 * 144
+
+
+def test_layers_stay_dealt_over_all_tasks(spark):
+    layer = lambda v: spark.range(64).selectExpr("id % 4 AS patch_id", "id AS prow", "0 AS pcol", "IF(id % 4 = 3, id, 0) AS grid", f"{v} AS value")
+    wide, bad = collections.assembled({"a": layer("CAST(NULL AS DOUBLE)"), "b": layer("double(id)").where("id % 4 <> 2")})
+    assert sorted(map(tuple, wide.collect())) == [(i % 4, i, 0, None, float(i)) for i in sorted(range(64), key=lambda i: (i % 4, i)) if i % 4 < 2]
+    assert {r["patch_id"] for r in bad.collect()} == {2, 3}
+    assert wide.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))

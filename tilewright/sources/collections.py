@@ -59,7 +59,10 @@ def assembled(layers: dict[str, DataFrame]) -> tuple[DataFrame, DataFrame]:
         part = df.select("patch_id", "prow", "pcol", "grid", "value", F.lit(name).alias("layer"))
         long = part if long is None else long.unionByName(part)
     bad = long.groupBy("patch_id").agg(F.count_distinct("grid").alias("grids"), F.count_distinct("layer").alias("layers")).where((F.col("grids") > 1) | (F.col("layers") < len(layers)))
-    wide = long.join(bad, "patch_id", "left_anti").groupBy("patch_id", "prow", "pcol").pivot("layer", list(layers)).agg(F.first("value"))
+    # an explicit number of tasks: pixels are few bytes each in a shuffle and many in a task's aggregates and sorts
+    place = ("patch_id", "prow", "pcol")
+    dealt = long.join(bad, "patch_id", "left_anti").repartition(int(long.sparkSession.conf.get("spark.sql.shuffle.partitions")), *place)
+    wide = dealt.groupBy(*place).agg(*(F.first(F.when(F.col("layer") == name, F.col("value")), ignorenulls=True).alias(name) for name in layers))
     return wide, bad
 
 
