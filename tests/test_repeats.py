@@ -3,6 +3,8 @@
 import math
 import random
 
+from pyspark.sql import functions as F
+
 from tilewright.functions import geo
 from tilewright.operators import boxes
 
@@ -30,3 +32,20 @@ def test_against_all_pairs(spark):
     got = [tuple(r) for r in boxes.repeats_by_reach(df).collect()]
     assert len(got) == len(set(got)) and set(got) == want and 100 < len(want) < 690
     assert boxes.repeats_by_reach(df.where("false")).count() == 0
+
+
+def test_craters_are_computed_once(spark):
+    """What makes the craters runs once a row, however many cells and levels they stand in; other reaches and shares against all pairs."""
+    rng = random.Random(7)
+    rows = [(i % 5, i, rng.choice([-89.9, 0.0, 75.0]) + rng.uniform(-0.1, 0.1), rng.choice([-180.0, 30.0]) + rng.uniform(0, 0.3), rng.choice([0.1, 0.5, 1.0, 8.0, 9.5, 30.0])) for i in range(400)]
+    want = {(t, i) for t, i, a, b, d in rows if any(u != t and abs(d - e) <= 0.4 * max(d, e) and distance(a, b, p, q) <= max(300.0, 400 * d) for u, _, p, q, e in rows)}
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(v: float) -> float:
+        seen.add(1)
+        return v
+
+    df = spark.createDataFrame(rows, "tile_id int, idx int, lat double, lon double, diameter_km double").withColumn("lat", F.udf(counted, "double")("lat"))
+    got = [tuple(r) for r in boxes.repeats_by_reach(df, least_km=0.3, share=0.4).collect()]
+    assert len(got) == len(set(got)) and set(got) == want and 40 < len(want) < 390
+    assert seen.value == len(rows)

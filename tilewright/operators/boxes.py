@@ -9,6 +9,7 @@ from pyspark.sql.window import Window
 
 from tilewright.functions import geo
 from tilewright.functions.scoring import percentile_rank, running_total
+from tilewright.sources.scratch import written
 
 CONFIDENCE, MATCH_IOU = 0.5, 0.5
 
@@ -141,27 +142,38 @@ def repeats_by_reach(craters: DataFrame, least_km: float = 1.0, share: float = 0
     place is missed. Rows with a null among these columns repeat nothing.
 
     The grid has a level for each class of diameters, three-dimensional, so that poles and the antimeridian are like any other place. A
-    cell of a level is twice as wide as the farthest reach of its class: a crater looks into the cells that its reach
-    touches, eight at most, of its own level, and stands itself in one cell of each level whose craters may be repeated by it, three.
-    Levels also keep small and large craters of one spot apart.
+    cell of a level is three times as wide as the farthest reach of its class: a crater looks into the cells of its own level that lie
+    on the sphere and within its reach, about three, and stands itself in one cell of each level whose craters may be repeated by it, two.
+    Levels also keep small and large craters of one spot apart. The craters are written once, so that what makes them (projections, say)
+    is computed neither for both sides nor again in each filter that the optimizer puts below the join.
     """
-    step = 1.001 / (1 - share)
-    d = F.greatest(F.col("diameter_km"), F.lit(1e-9))
-    reach = F.greatest(F.lit(least_km), share * F.col("diameter_km"))
+    step = 1.001 / (1 - share) ** 2
+    names, r = ("tile_id", "idx", "lat", "lon", "diameter_km"), geo.RADIUS / 1000
+    rows = written(craters.select(*names), "craters").where("tile_id is not null and lat is not null and lon is not null and diameter_km is not null")
+    level = lambda part: F.floor(F.log(F.greatest(F.col("diameter_km"), F.lit(1e-9))) / math.log(step) + part)
+    width = 3 * F.greatest(F.lit(least_km), share * F.pow(F.lit(step), F.col("level") + 1))
     p, q = F.radians("lat"), F.radians("lon")
-    r = geo.RADIUS / 1000
-    rows = craters.where("tile_id is not null and lat is not null and lon is not null and diameter_km is not null")
-    rows = rows.select("tile_id", "idx", "lat", "lon", "diameter_km", F.floor(F.log(d) / F.lit(math.log(step))).alias("level"), *(v.alias(c) for c, v in (("x", r * F.cos(p) * F.cos(q)), ("y", r * F.cos(p) * F.sin(q)), ("z", r * F.sin(p)))))
-    width = lambda level: 2 * F.greatest(F.lit(least_km), share * F.pow(F.lit(step), level + 1))
-    touched = lambda c: F.sequence(F.floor((F.col(c) - reach * 1.000001) / width(F.col("level"))), F.floor((F.col(c) + reach * 1.000001) / width(F.col("level"))))
-    look = rows.withColumn("cx", F.explode(touched("x"))).withColumn("cy", F.explode(touched("y"))).withColumn("cz", F.explode(touched("z"))).drop("x", "y", "z")
-    stand = rows.withColumn("level", F.explode(F.array(F.col("level") - 1, F.col("level"), F.col("level") + 1)))
-    stand = stand.select(*(F.col(c).alias("o_" + c) for c in ("tile_id", "lat", "lon", "diameter_km")), "level", *(F.floor(F.col(c) / width(F.col("level"))).alias("c" + c) for c in "xyz"))
+    rows = rows.withColumns({"x": r * F.cos(p) * F.cos(q), "y": r * F.cos(p) * F.sin(q), "z": r * F.sin(p)})
+    # a hash as a cell's name: what two cells of one hash bring together is compared like the rest
+    cell = lambda *c: F.xxhash64("level", *c).alias("cell")
+    reach = F.greatest(F.lit(least_km), share * F.col("diameter_km"))
+    look = rows.withColumns({"level": level(0), "reach": reach * 1.000001}).withColumn("width", width)
+    for c in "xyz":
+        look = look.withColumn("c" + c, F.explode(F.sequence(F.floor((F.col(c) - F.col("reach")) / F.col("width")), F.floor((F.col(c) + F.col("reach")) / F.col("width")))))
+    low = {c: F.col("c" + c) * F.col("width") for c in "xyz"}
+    square = lambda of: sum((of(c, low[c], low[c] + F.col("width")) ** 2 for c in "xyz"), F.lit(0.0))
+    within = square(lambda c, lo, hi: F.greatest(lo - F.col(c), F.col(c) - hi, F.lit(0.0))) <= F.col("reach") ** 2
+    on_sphere = (square(lambda c, lo, hi: F.greatest(lo, -hi, F.lit(0.0))) <= r * r * 1.000001) & (square(lambda c, lo, hi: F.greatest(-lo, hi)) >= r * r * 0.999999)
+    look = look.where(within & on_sphere).select(*names, cell("cx", "cy", "cz"))
+    span = -math.log(1 - share) / math.log(step) + 1e-4
+    stand = rows.withColumn("level", F.explode(F.sequence(level(-span), level(span)))).withColumn("width", width)
+    stand = stand.select(*(F.col(c).alias("o_" + c) for c in names if c != "idx"), cell(*(F.floor(F.col(c) / F.col("width")) for c in "xyz")))
+    # latitudes are compared first, since they are the cheap part of the distance
+    beside = F.abs(F.col("lat") - F.col("o_lat")) <= reach * math.degrees(1.000001 / r)
     near = geo.distance_m(F.col("lat"), F.col("lon"), F.col("o_lat"), F.col("o_lon")) <= 1000 * reach
     alike = F.abs(F.col("diameter_km") - F.col("o_diameter_km")) <= share * F.greatest("diameter_km", "o_diameter_km")
     a, b = look.alias("a"), stand.alias("b")
-    cell = (F.col("a.level") == F.col("b.level")) & (F.col("a.cx") == F.col("b.cx")) & (F.col("a.cy") == F.col("b.cy")) & (F.col("a.cz") == F.col("b.cz"))
-    return a.join(b, cell & (F.col("tile_id") != F.col("o_tile_id")) & alike & near, "left_semi").select("tile_id", "idx").distinct()
+    return a.join(b, (F.col("a.cell") == F.col("b.cell")) & (F.col("tile_id") != F.col("o_tile_id")) & alike & beside & near, "left_semi").select("tile_id", "idx").distinct()
 
 
 def coordinate_residual(tiles: DataFrame, detections: DataFrame, published: DataFrame) -> DataFrame:
