@@ -79,3 +79,48 @@ def test_a_folder_of_details(spark, tmp_path):
         (tmp_path / f"t{i}.json").write_text(json.dumps([{"id": f"{i}-{j}", "v": j} for j in range(i)], indent=2 if i % 2 else None))
     got = src.read_collection(spark, str(tmp_path))
     assert sorted(r["key"] for r in got.collect()) == sorted(f"{i}-{j}" for i in range(5) for j in range(i))
+
+
+def test_a_compact_document_by_ranges_of_any_size(tmp_path):
+    """Each record is read once, wherever the ranges begin: in strings, after backslashes, in letters of several bytes, in the last blanks."""
+    rows = data()[:8] + ["a \\", '\\"', {"k]": "}\\\\"}, 1.5, [], ""]
+    for layout in (rows, {f'k"{i}': r for i, r in enumerate(rows)}):
+        path = tmp_path / "a.json"
+        path.write_text("  " + json.dumps(layout, ensure_ascii=False, separators=(",", ":")) + " \n" * 9, encoding="utf-8")
+        doc, name = path.read_bytes(), str(path)
+        want = [r for _, r in src.records(iter([doc]))]
+        assert len(want) == len(rows)
+        reader = src._Reader(name, "id", 1 << 20, "{}")
+        for size in (*range(1, 40), 100, 333, 5000):
+            ranges = [(a, min(a + size, len(doc))) for a in range(0, len(doc), size)]
+            with open(path, "rb") as file:
+                begins = src.begins([src.counted(iter([doc[a : (a + b) // 2], doc[(a + b) // 2 : b]]), src._escaped(file, a)) for a, b in ranges])
+            got = [r for (a, b), begin in zip(ranges, begins, strict=True) for r in reader._records(src._Range(name, a, b, False, begin))]
+            assert got == want, size
+    with open(path, "wb") as file:
+        file.write(b"x" + b"\\" * 1001)
+    with open(path, "rb") as file:
+        assert [src._escaped(file, a) for a in (0, 1, 2, 999, 1000, 1002)] == [False, False, True, False, True, True]
+
+
+def test_large_compact_documents_are_many_tasks_work(spark, tmp_path):
+    rows = [dict(r, id=f"{r['id']}-{j}") for j in range(110) for r in data()]
+    rows[7]["text"] = '},{"id":"x"\\' * 1_000_000  # longer than a range
+    path = tmp_path / "a.json"
+    path.write_text(json.dumps(rows, separators=(",", ":")))
+    got, later = (src.read_collection(spark, str(path), range_bytes=1000) for _ in range(2))
+    assert got.rdd.getNumPartitions() == -(-path.stat().st_size // src.COMPACT) >= 5
+    assert sorted(tuple(r) for r in got.collect()) == sorted((r["id"], json.dumps(r, separators=(",", ":"))) for r in rows)
+    path.write_text(json.dumps(rows[20:], separators=(",", ":")))  # another document, of which nobody has counted anything
+    assert later.count() == len(rows) - 20
+    with pytest.raises(Exception, match="was replaced"):
+        got.where("key is not null").count()
+    path.write_text(json.dumps(rows, separators=(",", ":"))[:-9])
+    with pytest.raises(Exception, match="within a record"):
+        src.read_collection(spark, str(path)).count()
+
+
+def test_documents_indented_otherwise(spark, tmp_path):
+    for n, text in (("four", json.dumps(data(), indent=4)), ("lines", "[\n" + ",\n".join(json.dumps(r) for r in data()) + "\n]"), ("none", "[\n]")):
+        (tmp_path / f"{n}.json").write_text(text)
+        assert src.read_collection(spark, str(tmp_path / f"{n}.json")).count() == (0 if n == "none" else 300)

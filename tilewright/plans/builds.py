@@ -19,16 +19,16 @@ _BOXES = "coalesce((SELECT list([x, y, w, h] ORDER BY idx) FROM det d WHERE d.ti
 j AS (SELECT id, CAST(to_json({{'id': id, 'kind': kind, 'grid': {{'xMin': x_min, 'yMax': y_max, 'width': CAST(width AS INT), 'note': CASE WHEN tile_id % 3 > 0 THEN 'a "quoted"\\ note' END}}, 'boxes': {_BOXES.replace('t.tile_id', 'r.tile_id')}}}) AS VARCHAR) AS text FROM r)
 SELECT id AS key, sha256(text) AS sha256, octet_length(encode(text)) AS bytes FROM j""")
 def json_round_trip(spark: SparkSession, d: str) -> DataFrame:
-    """All tiles as one pretty document, read by ranges, written again as a compact one, and that read: each record's bytes."""
+    """All tiles as one pretty document, read by ranges, written again as a compact one, and that read by ranges: each record's bytes."""
     held = fx.detections(spark, d).groupBy("tile_id").agg(F.sort_array(F.collect_list(F.struct("idx", F.array("x", "y", "w", "h").alias("b")))).alias("l")).select("tile_id", F.transform("l", lambda s: s["b"]).alias("boxes"))
-    rows = fx.tiles(spark, d).join(held, "tile_id", "left")
+    rows = fx.tiles(spark, d).join(held.hint("merge"), "tile_id", "left")  # all boxes are no table to broadcast
     note = F.when(F.col("tile_id") % 3 > 0, F.lit('a "quoted"\\ note'))
     rows = rows.select(F.concat(F.lit("tile-"), F.lpad(F.col("tile_id").cast("string"), 9, "0")).alias("id"), "kind", F.struct(F.col("x_min").alias("xMin"), F.col("y_max").alias("yMax"), F.expr("int(width)").alias("width"), note.alias("note")).alias("grid"),
                        F.coalesce("boxes", F.expr("cast(array() as array<array<double>>)")).alias("boxes"))
     first, second = new_path(spark, "pretty"), new_path(spark, "compact")
     documents.write_collection(rows, f"{first}.json", "id", pretty=True)
     documents.copy_collection(documents.read_collection(spark, f"{first}.json", range_bytes=1 << 20), f"{second}.json")
-    return documents.read_collection(spark, f"{second}.json").select("key", F.sha2("value", 256).alias("sha256"), F.octet_length("value").cast("long").alias("bytes"))
+    return documents.read_collection(spark, f"{second}.json", range_bytes=8 << 20).select("key", F.sha2("value", 256).alias("sha256"), F.octet_length("value").cast("long").alias("bytes"))
 
 
 @query(f"""{fx.with_sql('tile', 'det', 'ref')}, {q.PAIRS.format(where='WHERE d.score >= 0.5')}, {q.matches()}, {q.LOCATED}, {ROUNDED}

@@ -1,8 +1,9 @@
 """JSON collections as a data source: one document, an array of records or an object of entries, sorted by key.
 
 ``spark.read.format("json_collection")`` gives (key, value): a record's key and its JSON exactly as it stands in the file. Pretty
-documents are read by byte ranges, since a line of two spaces can only begin a record; a compact document is one line and is
-read by one task, a piece at a time. The writer's tasks each serialize a sorted range into a part; the commit strings the parts
+documents are read by byte ranges, since a line of two spaces can only begin a record. A compact document is one line: before a large one
+is read, tasks count quotes and brackets range by range, and from these counts follows how deep, and whether in a string, each range begins.
+A document is read a piece at a time. The writer's tasks each serialize a sorted range into a part; the commit strings the parts
 together, a piece at a time, and puts the document in place by a rename. Whoever reads sees the old document or the new one; an
 aborted job leaves the old one.
 """
@@ -13,9 +14,11 @@ import json
 import posixpath
 import re
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
@@ -26,8 +29,11 @@ from tilewright.sources.shipping import shipped
 PIECE = 1 << 20
 #: Bytes of a pretty document that a task reads.
 RANGE = 32 << 20
+#: Bytes of a compact document that a task reads at least: smaller ones are one task's work.
+COMPACT = 4 << 20
 _NUMBER, _KEY = "a number of the collection is not finite", "a key of the collection is null"
-_TOKEN = re.compile(rb'"(?:[^"\\]|\\.)*"|[\[\]{},"]', re.S)
+_ESCAPE = re.compile(rb"\\.", re.S)
+_PRETTY = re.compile(rb"[\[{]\n  (?=[^ \]}])")
 _ENTRY = re.compile(rb'\s*("(?:[^"\\]|\\.)*")\s*:\s*', re.S)
 _LINE = re.compile(rb"\n  (?=[^ \]}])")
 
@@ -47,63 +53,173 @@ def _pieces(file, start: int, size: int) -> Iterator[bytes]:
         yield piece
 
 
-def records(pieces: Iterator[bytes], depth: int = 0) -> Iterator[tuple[int, bytes]]:
-    """(place, bytes) of the records of a document that begins with its bracket, or, with ``depth`` 1, with a record."""
-    held, base, at, begin = b"", 0, 0, 0 if depth else -1
-    for piece in pieces:
-        held += piece
-        while True:
-            token = _TOKEN.search(held, at)
-            if not token or token[0] == b'"':  # a string that ends in a later piece
-                at = token.start() if token else len(held)
-                break
-            at, mark = token.end(), token[0]
-            if mark in (b"[", b"{"):
-                depth += 1
-                if depth == 1:
-                    begin = at
-            elif mark in (b"]", b"}"):
-                depth -= 1
-            if begin >= 0 and (depth == 0 or depth == 1 and mark == b","):
-                record = held[begin : token.start()]
-                if record.strip():
-                    yield base + begin, record.strip()
-                if depth == 0:
-                    return
-                begin = at
-        cut = begin if begin >= 0 else at
-        held, base, at, begin = held[cut:], base + cut, at - cut, 0 if begin >= 0 else -1
-    if held.strip():
+def _masked(pieces: Iterator[bytes], escaped: bool = False) -> Iterator[tuple[bytes, bytes]]:
+    """Pieces, and the same with blanks for each backslash and what it escapes: all quotes that are left begin or end a string."""
+    for piece in filter(None, pieces):
+        masked = b" " + piece[1:] if escaped else piece
+        masked = _ESCAPE.sub(b"  ", masked) if b"\\" in masked else masked
+        escaped = masked.endswith(b"\\")
+        yield piece, masked
+
+
+#: What a byte is: a quote, an opening or closing bracket, a comma.
+_QUOTE, _OPEN, _CLOSE, _COMMA = 1, 2, 3, 4
+_KINDS = np.zeros(256, np.uint8)
+for _byte, _kind in zip(b'"[{]},', (_QUOTE, _OPEN, _OPEN, _CLOSE, _CLOSE, _COMMA), strict=True):
+    _KINDS[_byte] = _kind
+_STEPS = np.array([0, 0, 1, -1, 0])
+
+
+def records(pieces: Iterator[bytes], depth: int = 0, begin: int = -1, inside: bool = False, escaped: bool = False, end: int | None = None) -> Iterator[tuple[int, bytes]]:
+    """(place, bytes) of the records of a document, from its beginning on; a place is where a bracket or comma has just ended.
+
+    Pieces from elsewhere on are given with their ``depth``, whether they begin ``inside`` a string, and whether their first byte is
+    ``escaped``; ``begin`` is 0 if they begin with a record. Places from ``end`` on, counted from the pieces' first byte, are not read.
+    """
+    left: list[bytes] = []
+    base = 0
+    for piece, masked in _masked(pieces, escaped):
+        if end is not None and base >= end and begin < 0:
+            return
+        codes = _KINDS[np.frombuffer(masked, np.uint8)]
+        at = np.flatnonzero(codes)
+        kinds = codes[at]
+        quotes = np.cumsum(kinds == _QUOTE) + inside
+        outside = (quotes & 1 == 0) & (kinds != _QUOTE)
+        inside = bool(quotes[-1] & 1) if len(quotes) else inside
+        at, kinds = at[outside], kinds[outside]
+        depths = depth + np.cumsum(_STEPS[kinds])
+        depth = int(depths[-1]) if len(depths) else depth
+        found = np.flatnonzero((depths == 1) & (kinds != _CLOSE) | (depths == 0) & (kinds == _CLOSE))
+        for place, kind in zip(at[found].tolist(), kinds[found].tolist(), strict=True):
+            if begin >= 0:
+                record = (b"".join(left) + piece[max(begin - base, 0) : place]).strip()
+                left = []
+                if record:
+                    yield begin, record
+            if kind == _CLOSE:
+                return
+            begin = base + place + 1
+            if end is not None and begin >= end:
+                return
+        if begin >= 0:
+            left.append(piece[max(begin - base, 0) :])
+        base += len(piece)
+    if depth > 0 or inside:
         raise ValueError("the document ends within a record")
 
 
+def counted(pieces: Iterator[bytes], escaped: bool) -> tuple[int, int, int]:
+    """Opening less closing brackets of a range, if it begins outside of a string and if it begins inside, and its quotes modulo 2."""
+    depths, odd = [0, 0], 0
+    for _, masked in _masked(pieces, escaped):
+        parts = masked.split(b'"')
+        for i in (0, 1):
+            text = b"".join(parts[i::2])
+            depths[(i + odd) % 2] += text.count(b"[") + text.count(b"{") - text.count(b"]") - text.count(b"}")
+        odd = (odd + len(parts) - 1) % 2
+    return depths[0], depths[1], odd
+
+
+def _escaped(file, start: int) -> bool:
+    """Whether an odd number of backslashes stands before a place of a file."""
+    n, size = 0, 64
+    while start - n > 0:
+        size = min(size * 2, PIECE, start - n)
+        file.seek(start - n - size)
+        piece = file.read(size)
+        more = size - len(piece.rstrip(b"\\"))
+        n += more
+        if more < size:
+            break
+    return n % 2 == 1
+
+
+def begins(counts: Iterable[tuple[int, int, int]]) -> list[int]:
+    """How each of a document's ranges begins, from what ``counted`` gives for them in order: twice its depth, and 1 more inside a string."""
+    out, depth, string = [], 0, 0
+    for outside, inside, odd in counts:
+        out.append(2 * depth + string)
+        depth += inside if string else outside
+        string ^= odd
+    return out
+
+
+_COUNTS = pa.schema([("name", pa.string()), *((c, pa.int64()) for c in ("start", "outside", "inside", "odd"))])
+
+
+def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``counted`` of each range (path, name, start, end)."""
+    for batch in batches:
+        out = []
+        for row in batch.to_pylist():
+            with _filesystem(row["path"])[0].open_input_file(row["name"]) as file:
+                escaped = _escaped(file, row["start"])
+                numbers = counted(_pieces(file, row["start"], row["end"] - row["start"]), escaped)
+            out.append({"name": row["name"], "start": row["start"]} | dict(zip(_COUNTS.names[2:], numbers, strict=True)))
+        yield pa.RecordBatch.from_pylist(out, _COUNTS)
+
+
+def _documents(path: str) -> list:
+    """The files of a path: itself, or the ``.json`` documents below it."""
+    from pyarrow import fs
+
+    files, root = _filesystem(path)
+    info = files.get_file_info(root)
+    if info.type == fs.FileType.File:
+        return [info]
+    return sorted((f for f in files.get_file_info(fs.FileSelector(root, recursive=True)) if f.type == fs.FileType.File and f.path.endswith(".json")), key=lambda f: f.path)
+
+
+def _pretty(files, path: str) -> bool:
+    with files.open_input_stream(path) as head:
+        return _PRETTY.match(head.read(5)) is not None
+
+
+def _version(info) -> list[int]:
+    return [info.size, info.mtime_ns or 0]
+
+
+def _begins(spark: SparkSession, path: str, size: int) -> dict[str, dict]:
+    """How the ranges of ``size`` bytes of the path's large compact documents begin. Tasks count; the driver adds up three numbers of each range."""
+    files, _ = _filesystem(path)
+    large = {f.path: f for f in _documents(path) if f.size > size and not _pretty(files, f.path)}
+    ranges = [(path, f.path, a, min(a + size, f.size)) for f in large.values() for a in range(0, f.size, size)]
+    if not ranges:
+        return {}
+    rows = spark.createDataFrame(ranges, "path string, name string, start long, end long").repartition(min(len(ranges), 1000))
+    counts: dict[str, list] = {name: [] for name in large}
+    for name, _, *numbers in sorted(tuple(r) for r in rows.mapInArrow(_counts, "name string, start long, outside long, inside long, odd long").collect()):
+        counts[name].append(numbers)
+    return {name: {"version": _version(f), "size": size, "begins": begins(counts[name])} for name, f in large.items()}
+
+
 @dataclass
 class _Range(InputPartition):
     path: str
     start: int
     end: int
-    depth: int
+    pretty: bool
+    begins: int = 0
+    version: list[int] | None = None
 
 
 class _Reader(DataSourceReader):
-    def __init__(self, path: str, id_field: str, size: int) -> None:
-        self.path, self.id_field, self.size = path, id_field, size
+    def __init__(self, path: str, id_field: str, size: int, begins: str) -> None:
+        self.path, self.id_field, self.size, self.begins = path, id_field, size, begins
 
     def partitions(self) -> list[InputPartition]:
-        from pyarrow import fs
-
-        files, root = _filesystem(self.path)
-        info = files.get_file_info(root)
-        found = [info] if info.type == fs.FileType.File else sorted((f for f in files.get_file_info(fs.FileSelector(root, recursive=True)) if f.type == fs.FileType.File and f.path.endswith(".json")), key=lambda f: f.path)
+        files, _ = _filesystem(self.path)
+        known = json.loads(self.begins)
         out: list[InputPartition] = []
-        for f in found:
-            with files.open_input_stream(f.path) as head:
-                pretty = head.read(2)[1:] == b"\n"
-            if pretty:
-                out += [_Range(f.path, a, min(a + self.size, f.size), 1) for a in range(0, f.size, self.size)]
-            else:
-                out.append(_Range(f.path, 0, f.size, 0))
-        return out or [_Range("", 0, 0, 0)]
+        for f in _documents(self.path):
+            if _pretty(files, f.path):
+                out += [_Range(f.path, a, min(a + self.size, f.size), True) for a in range(0, f.size, self.size)]
+            elif (has := known.get(f.path)) and has["version"] == _version(f):
+                out += [_Range(f.path, i * has["size"], min((i + 1) * has["size"], f.size), False, b, has["version"]) for i, b in enumerate(has["begins"])]
+            else:  # a small one, or one that nobody has counted
+                out.append(_Range(f.path, 0, f.size, False))
+        return out or [_Range("", 0, 0, False)]
 
     def _records(self, part: _Range) -> Iterator[bytes]:
         if not part.path:
@@ -111,8 +227,13 @@ class _Reader(DataSourceReader):
         files, _ = _filesystem(self.path)
         with files.open_input_file(part.path) as file:
             size = file.size()
-            if not part.depth:
-                yield from (record for _, record in records(_pieces(file, 0, size)))
+            if part.version and part.version != _version(files.get_file_info(part.path)):
+                raise ValueError("the document was replaced after its ranges had been counted: read it anew")
+            if not part.pretty:
+                # records whose bracket or comma stands in the range: places are one further
+                escaped = _escaped(file, part.start)
+                found = records(_pieces(file, part.start, size - part.start), part.begins // 2, -1, part.begins % 2 == 1, escaped, part.end - part.start + 1)
+                yield from (record for _, record in found)
                 return
             # records whose line break stands in the range, from the first one on
             held, first = b"", -1
@@ -125,10 +246,7 @@ class _Reader(DataSourceReader):
             if first < 0 or part.start + first - 3 >= part.end:
                 return
             first += part.start
-            for place, record in records(_pieces(file, first, size - first), 1):
-                if place and first + place >= part.end:
-                    return
-                yield record
+            yield from (record for _, record in records(_pieces(file, first, size - first), 1, 0, end=max(part.end - first, 1)))
 
     def read(self, part: _Range):
         for record in self._records(part):
@@ -215,7 +333,7 @@ class JsonCollection(DataSource):
         return "key string, value string"
 
     def reader(self, schema: T.StructType) -> DataSourceReader:
-        return _Reader(self.options["path"], self.options.get("id", "id"), int(self.options.get("rangeBytes", RANGE)))
+        return _Reader(self.options["path"], self.options.get("id", "id"), int(self.options.get("rangeBytes", RANGE)), self.options.get("begins", "{}"))
 
     def writer(self, schema: T.StructType, overwrite: bool) -> DataSourceWriter:
         return _Writer(self.options["path"], self.options.get("layout", "array"), self.options.get("pretty", "false") == "true", overwrite)
@@ -278,5 +396,9 @@ def copy_collection(entries: DataFrame, path: str, layout: str = "array", pretty
 
 
 def read_collection(spark: SparkSession, path: str, id_field: str = "id", range_bytes: int = RANGE) -> DataFrame:
-    """(key, value) of a document, or of all ``.json`` documents below a folder; ``value`` is the record's JSON as it stands there."""
-    return registered(spark).read.format("json_collection").option("id", id_field).option("rangeBytes", range_bytes).load(path)
+    """(key, value) of a document, or of all ``.json`` documents below a folder; ``value`` is the record's JSON as it stands there.
+
+    Compact documents larger than ``range_bytes`` (and than ``COMPACT``) are counted by a job first, so that they too are read by ranges.
+    """
+    known = _begins(registered(spark), path, max(range_bytes, COMPACT))
+    return spark.read.format("json_collection").option("id", id_field).option("rangeBytes", range_bytes).option("begins", json.dumps(known)).load(path)
