@@ -24,6 +24,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, InputPartition, WriterCommitMessage
 
+from tilewright.sources.scratch import written
 from tilewright.sources.shipping import shipped
 
 PIECE = 1 << 20
@@ -391,8 +392,9 @@ def _save(rows: DataFrame, path: str, layout: str, pretty: bool) -> None:
 
 
 def copy_collection(entries: DataFrame, path: str, layout: str = "array", pretty: bool = False) -> None:
-    """One document of (key, value) rows as ``read_collection`` gives them, ascending by key."""
-    _save(entries.select("key", "value").repartitionByRange("key").sortWithinPartitions("key"), path, layout, pretty)
+    """One document of (key, value) rows as ``read_collection`` gives them, ascending by key; they are read once."""
+    held = written(entries.select("key", "value"), "entries")  # ranges are chosen in one pass over the rows and dealt in another
+    _save(held.repartitionByRange("key").sortWithinPartitions("key"), path, layout, pretty)
 
 
 def read_collection(spark: SparkSession, path: str, id_field: str = "id", range_bytes: int = RANGE) -> DataFrame:
